@@ -139,23 +139,58 @@ select sample, concat('probe_', cast(rate as varchar(8))) as reference, read_id,
     "{seq}", probe_read_expr("ref_seq", "ok", "ln", "rate")
 )
 
+# Six-count header layout of the same sites: tiers spread over 0/1/2.  Sites at
+# pos % 11 = 0 carry only tier-0 counts (depth 0 after P1), pos % 13 = 0 get an
+# N inside the 3-mer, pos % 19 = 0 a non-target centre base.
+_PILEUP_TIERS = """
+select sample, chrom, pos, strand,
+ case when pos % 13 = 0 then concat(substr(motif, 1, 14), 'N', substr(motif, 16))
+      when pos % 19 = 0 then concat(substr(motif, 1, 15), 'C', substr(motif, 17))
+      else motif end as motif,
+ case when pos % 11 = 0 then uncon else uncon % 5 end as u0,
+ case when pos % 11 = 0 then 0 else uncon - uncon // 3 end as u1,
+ case when pos % 11 = 0 then 0 else uncon // 3 end as u2,
+ case when pos % 11 = 0 then depth - uncon else (depth - uncon) % 7 end as m0,
+ case when pos % 11 = 0 then 0 else (depth - uncon) - (depth - uncon) // 2 end as m1,
+ case when pos % 11 = 0 then 0 else (depth - uncon) // 2 end as m2
+from {site_counts}
+"""
+
+# name -> (template, base tables, fixture dependencies)
 TEMPLATES = {
-    "site_counts": (_SITE_COUNTS, ("lineitem",)),
-    "alignments": (_ALIGNMENTS, ("lineitem",)),
-    "transcripts": (_TRANSCRIPTS, ("part",)),
-    "transcript_counts": (_TRANSCRIPT_COUNTS, ("lineitem",)),
-    "probe_reads": (_PROBE_READS, ("lineitem",)),
+    "site_counts": (_SITE_COUNTS, ("lineitem",), ()),
+    "alignments": (_ALIGNMENTS, ("lineitem",), ()),
+    "transcripts": (_TRANSCRIPTS, ("part",), ()),
+    "transcript_counts": (_TRANSCRIPT_COUNTS, ("lineitem",), ()),
+    "probe_reads": (_PROBE_READS, ("lineitem",), ()),
+    "pileup_tiers": (_PILEUP_TIERS, (), ("site_counts",)),
 }
 
 
+def _deps(name: str, seen: list[str]) -> list[str]:
+    for d in TEMPLATES[name][2]:
+        _deps(d, seen)
+    if name not in seen:
+        seen.append(name)
+    return seen
+
+
 def duckdb_sql(name: str) -> str:
-    """Derivation text for DuckDB, over its pre-registered views."""
-    text, tables = TEMPLATES[name]
-    return text.format(**{t: t for t in tables}).strip()
+    """Derivation text for DuckDB, over its pre-registered views (fixture deps as CTE names)."""
+    text, tables, deps = TEMPLATES[name]
+    return text.format(**{t: t for t in (*tables, *deps)}).strip()
+
+
+def duckdb_ctes(*names: str) -> list[tuple[str, str]]:
+    """(alias, body) pairs for the fixtures and their dependencies, in dependency order."""
+    order: list[str] = []
+    for n in names:
+        _deps(n, order)
+    return [(n, duckdb_sql(n)) for n in order]
 
 
 def spark_sql_text(name: str) -> str:
-    text, tables = TEMPLATES[name]
+    text = TEMPLATES[name][0]
     return text.replace(" // ", " div ").replace("varchar(8)", "string").replace("varchar(20)", "string")
 
 
@@ -164,9 +199,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The derivation as a lazy Spark plan (not materialised)."""
-    text, tables = TEMPLATES[name]
+    """The derivation as a lazy Spark plan (fixture dependencies are read materialised)."""
+    _, tables, deps = TEMPLATES[name]
     args = {t: table(spark, sf_dir, t) for t in tables}
+    args.update({d: load(spark, sf_dir, d) for d in deps})
     return spark.sql(spark_sql_text(name), **args)
 
 
@@ -186,7 +222,9 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def with_cte(name_to_fixture: dict[str, str], body: str) -> str:
-    """DuckDB oracle text: ``with <alias> as (<derivation>), ... <body>``."""
-    ctes = ",\n".join(f"{alias} as (\n{duckdb_sql(fx)}\n)" for alias, fx in name_to_fixture.items())
-    return f"with {ctes}\n{body}"
+def with_fixtures(fixture_names, body: str, extra: list[tuple[str, str]] | None = None) -> str:
+    """DuckDB oracle text: ``with <fixture> as (...), <extra ctes> <body>``."""
+    ctes = duckdb_ctes(*fixture_names) + list(extra or [])
+    if not ctes:
+        return body
+    return "with " + ",\n".join(f"{alias} as (\n{text}\n)" for alias, text in ctes) + "\n" + body

@@ -57,7 +57,7 @@ def background_rate(a, b, gc) -> Column:
 def mod_level(c, d, e, x) -> Column:
     """Modification level c * exp(-d (x - e)^2)."""
     xx = _dbl(x)
-    return _dbl(c) * F.exp(-_dbl(d) * F.pow(xx - _dbl(e), F.lit(2.0)))
+    return _dbl(c) * F.exp(-_dbl(d) * (xx - _dbl(e)) * (xx - _dbl(e)))
 
 
 def combined_level(a, b, c, d, e, x) -> Column:
@@ -77,7 +77,7 @@ def chi2_stat(uncon, depth, background) -> Column:
     eu = F.when(eu <= 0, F.lit(EXPECTED_FLOOR)).otherwise(eu)
     ec = F.when(ec <= 0, F.lit(EXPECTED_FLOOR)).otherwise(ec)
     c = d - u
-    return F.pow(u - eu, F.lit(2.0)) / eu + F.pow(c - ec, F.lit(2.0)) / ec
+    return (u - eu) * (u - eu) / eu + (c - ec) * (c - ec) / ec
 
 
 def call_gate(uncon, depth, background, min_depth: int = 10, min_ratio: float = 0.1) -> Column:
