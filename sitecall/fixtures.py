@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -91,7 +92,7 @@ select sample, chrom, pos, strand, {motif} as motif, depth, uncon from (
 _ALIGNMENTS = """
 select concat('s', cast(l_linenumber % 4 as varchar(8))) as sample,
  concat('run', cast(l_orderkey % 2 + 1 as varchar(8))) as run,
- concat('r', cast(l_orderkey as varchar(20)), '_', cast(l_suppkey as varchar(20))) as read_id,
+ concat('r', cast(l_orderkey as varchar(20)), '_', cast(l_suppkey % 3 as varchar(20))) as read_id,
  case when l_partkey % 10 = 0 then 'contamination' when l_partkey % 10 = 1 then 'genes'
       when l_partkey % 10 < 7 then 'transcript' else 'genome' end as reftype,
  concat('chr', cast(l_suppkey % 5 + 1 as varchar(8))) as chrom, l_partkey as pos,
@@ -156,6 +157,86 @@ select sample, chrom, pos, strand,
 from {site_counts}
 """
 
+def seq_expr(a: str, b: str, n: int, alphabet: str = "ACGT", mult: int = 3) -> str:
+    """n characters drawn from ``alphabet`` by a fixed rule of (a, b)."""
+    k = len(alphabet)
+    parts = [
+        f"substr('{alphabet}', cast((({a}) * {mult * (2 * i + 3)} + {i * i * 7} + ({b}) * 11) % 97 % {k} + 1 as int), 1)"
+        for i in range(n)
+    ]
+    return "concat(" + ", ".join(parts) + ")"
+
+
+QUAL_ALPHABET = "56789:;<=>?@ABCDEFGHI"
+ADAPTER = "AGATCGGAAGAGC"  # public Illumina universal adapter prefix
+READ_LEN = 60
+
+# Raw reads (before clipping): every lineitem row is one fragment; the samples
+# with odd line numbers are paired-end (an R2 row per fragment).  R1 carries a
+# 3' adapter after an insert of 6-55 bases unless orderkey % 3 = 0.
+_READS = """
+select sample, run, 'R1' as mate, read_id,
+ substr(concat(substr(b1, 1, ins), case when has_ad then '{adapter}' else '' end, b1), 1, {n}) as seq, q1 as qual
+from (select concat('s', cast(l_linenumber % 4 as varchar(8))) as sample,
+  concat('run', cast(l_orderkey % 2 + 1 as varchar(8))) as run,
+  concat('f', cast(l_orderkey as varchar(20)), '_', cast(l_linenumber as varchar(8))) as read_id,
+  cast(l_quantity as bigint) + 5 as ins, l_orderkey % 3 <> 0 as has_ad,
+  {b1} as b1, {q1} as q1 from {lineitem}) x
+union all
+select sample, run, 'R2' as mate, read_id, b2 as seq, q2 as qual
+from (select concat('s', cast(l_linenumber % 4 as varchar(8))) as sample,
+  concat('run', cast(l_orderkey % 2 + 1 as varchar(8))) as run,
+  concat('f', cast(l_orderkey as varchar(20)), '_', cast(l_linenumber as varchar(8))) as read_id,
+  {b2} as b2, {q2} as q2 from {lineitem} where l_linenumber % 2 = 1) y
+""".replace("{adapter}", ADAPTER).replace("{n}", str(READ_LEN)).replace(
+    "{b1}", seq_expr("l_orderkey", "l_partkey", 80)).replace(
+    "{q1}", seq_expr("l_orderkey", "l_suppkey", READ_LEN, QUAL_ALPHABET, 1)).replace(
+    "{b2}", seq_expr("l_orderkey + 7", "l_partkey + 3", READ_LEN)).replace(
+    "{q2}", seq_expr("l_orderkey + 5", "l_suppkey", READ_LEN, QUAL_ALPHABET, 1))
+
+# Trimmer JSON reports per (sample, run), pretty-printed; run2 reports a zero
+# primary percentage so the fallback path is used.
+_TRIM_REPORTS = """
+select sample, run, n_in, n_out, concat('{', chr(10),
+ '  "filtering_statistics": {', chr(10),
+ '    "input": ', cast(n_in as varchar(20)), ',', chr(10),
+ '    "output": ', cast(n_out as varchar(20)), ',', chr(10),
+ '    "percent_trimmed": ', cast(p1 as varchar(20)), chr(10),
+ '  },', chr(10),
+ '  "report": {"summary": {"terminal_stats": {"percent_trimmed": ', cast(p2 as varchar(20)), '}}}', chr(10),
+ '}') as report
+from (select sample, run, n_in, n_out,
+  cast(case when run = 'run2' then 0 else round(100.0 * n_short / n_in, 2) end as decimal(10, 2)) as p1,
+  cast(round(100.0 * n_disc / n_in, 2) as decimal(10, 2)) as p2
+ from (select concat('s', cast(l_linenumber % 4 as varchar(8))) as sample,
+   concat('run', cast(l_orderkey % 2 + 1 as varchar(8))) as run,
+   cast(count(*) as bigint) as n_in, cast(sum(case when l_quantity > 3 then 1 else 0 end) as bigint) as n_out,
+   sum(case when l_quantity < 10 then 1 else 0 end) as n_short, sum(case when l_discount > 0.05 then 1 else 0 end) as n_disc
+  from {lineitem} group by 1, 2) a) b
+"""
+
+# Dedup tool logs per (sample, reference type), numbers with thousands
+# separators; (s0, contamination) has no total line and must be skipped.
+_DEDUP_LOGS = """
+select sample, reftype, concat('Deduplicating alignments', chr(10),
+ case when sample = 's0' and reftype = 'contamination' then '' else concat('Total reads processed: ', fmt_thousands(total), chr(10)) end,
+ 'Duplicates removed: ', fmt_thousands(dups), chr(10),
+ 'Total Unique Reads: ', fmt_thousands(total - dups), chr(10),
+ 'Deduplication rate: ', cast(cast(round(100.0 * dups / total, 2) as decimal(10, 2)) as varchar(20)), '%', chr(10)) as log
+from (select sample, reftype, cast(count(*) as bigint) * 40 as total,
+  cast(sum(case when mapq < 8 then 1 else 0 end) as bigint) * 40 as dups from {alignments} group by 1, 2) a
+"""
+
+# Alignments in transcript coordinates (for lifting whole alignments).
+_TX_ALIGNMENTS = """
+select concat('s', cast(l_linenumber % 4 as varchar(8))) as sample,
+ concat('a', cast(l_orderkey as varchar(20)), '_', cast(l_linenumber as varchar(8))) as read_id,
+ concat(case when l_suppkey % 10 = 0 then 'U' else 'G' end, cast(l_partkey as varchar(20))) as gene,
+ cast(l_suppkey % 100 + 1 as bigint) as tx_pos, cast(20 + l_quantity as bigint) as aln_len
+from {lineitem}
+"""
+
+
 # name -> (template, base tables, fixture dependencies)
 TEMPLATES = {
     "site_counts": (_SITE_COUNTS, ("lineitem",), ()),
@@ -164,6 +245,10 @@ TEMPLATES = {
     "transcript_counts": (_TRANSCRIPT_COUNTS, ("lineitem",), ()),
     "probe_reads": (_PROBE_READS, ("lineitem",), ()),
     "pileup_tiers": (_PILEUP_TIERS, (), ("site_counts",)),
+    "reads": (_READS, ("lineitem",), ()),
+    "trim_reports": (_TRIM_REPORTS, ("lineitem",), ()),
+    "dedup_logs": (_DEDUP_LOGS, (), ("alignments",)),
+    "tx_alignments": (_TX_ALIGNMENTS, ("lineitem",), ()),
 }
 
 
@@ -178,7 +263,10 @@ def _deps(name: str, seen: list[str]) -> list[str]:
 def duckdb_sql(name: str) -> str:
     """Derivation text for DuckDB, over its pre-registered views (fixture deps as CTE names)."""
     text, tables, deps = TEMPLATES[name]
-    return text.format(**{t: t for t in (*tables, *deps)}).strip()
+    for t in (*tables, *deps):
+        text = text.replace("{" + t + "}", t)
+    text = re.sub(r"fmt_thousands\(([^()]*)\)", r"format('{:,}', \1)", text)
+    return text.strip()
 
 
 def duckdb_ctes(*names: str) -> list[tuple[str, str]]:
@@ -191,19 +279,36 @@ def duckdb_ctes(*names: str) -> list[tuple[str, str]]:
 
 def spark_sql_text(name: str) -> str:
     text = TEMPLATES[name][0]
-    return text.replace(" // ", " div ").replace("varchar(8)", "string").replace("varchar(20)", "string")
+    text = text.replace(" // ", " div ").replace("varchar(8)", "string").replace("varchar(20)", "string")
+    return re.sub(r"fmt_thousands\(([^()]*)\)", r"format_number(\1, 0)", text)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def _sf_key(sf_dir: str) -> str:
+    return hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:10]
+
+
 def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The derivation as a lazy Spark plan (fixture dependencies are read materialised)."""
+    """The derivation as a lazy Spark plan (fixture dependencies are read materialised).
+
+    Inputs are bound as session temp views with names unique to the scale-factor
+    directory; the template placeholders are replaced by those names.
+    """
     _, tables, deps = TEMPLATES[name]
-    args = {t: table(spark, sf_dir, t) for t in tables}
-    args.update({d: load(spark, sf_dir, d) for d in deps})
-    return spark.sql(spark_sql_text(name), **args)
+    text = spark_sql_text(name)
+    key = _sf_key(sf_dir)
+    for t in tables:
+        view = f"sitecall_{t}_{key}"
+        table(spark, sf_dir, t).createOrReplaceTempView(view)
+        text = text.replace("{" + t + "}", view)
+    for d in deps:
+        view = f"sitecall_fx_{d}_{key}"
+        load(spark, sf_dir, d).createOrReplaceTempView(view)
+        text = text.replace("{" + d + "}", view)
+    return spark.sql(text)
 
 
 _MATERIALISED: dict[tuple, str] = {}
@@ -212,7 +317,7 @@ _MATERIALISED: dict[tuple, str] = {}
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read the derivation, writing it once per session as Parquet."""
     app = spark.sparkContext.applicationId
-    sf_key = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:10]
+    sf_key = _sf_key(sf_dir)
     key = (app, sf_key, name)
     path = _MATERIALISED.get(key)
     if path is None:

@@ -1 +1,383 @@
-"""Registered queries."""
+"""Registered read/alignment-layer queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from sitecall import fixtures as fx
+from sitecall.operators import reads as rd
+from sitecall.operators import report
+from sitecall.options import Options
+from sitecall.plans.registry import register
+
+OPTS = Options()
+ALN_OUT = ["sample", "run", "read_id", "reftype", "chrom", "pos", "strand", "flag"]
+
+
+def _aln(spark, sf) -> DataFrame:
+    return fx.load(spark, sf, "alignments")
+
+
+def W(body: str, extra=None, fixtures=("alignments",)) -> str:
+    return fx.with_fixtures(list(fixtures), body, extra)
+
+
+# SQL forms of the accept rules ------------------------------------------------
+PE_SQL = "((flag & 2) <> 0 and (flag & 4) = 0 and (flag & 8) = 0 and qlen - sclen >= 30 and xm * 15 < qlen - sclen)"
+SE_SQL = "((flag & 4) = 0 and qlen - sclen >= 30 and xm * 15 < qlen - sclen)"
+REMAP_SQL = "((ns + nc * 0.2) / qlen <= 0.08 and (flag & 256) = 0)"
+MAIN_SQL = "((flag & 4) = 0 and (qlen - sclen) / qlen >= 0.8 and ns <= 6 and nc / (qlen - sclen) <= 0.33)"
+PREMAP_SQL = f"(case when (flag & 1) <> 0 then {PE_SQL} else {SE_SQL} end)"
+STAGE_SQL = (
+    f"(case when reftype = 'contamination' then {PREMAP_SQL} when reftype in ('genes', 'transcript') then {MAIN_SQL} "
+    f"when reftype = 'genome' then {REMAP_SQL} end)"
+)
+ACC = ("acc", f"select *, coalesce({STAGE_SQL}, false) as ok from alignments")
+
+
+def _acc(spark, sf) -> DataFrame:
+    return rd.accept_reject_split(_aln(spark, sf), rd.stage_accept(OPTS))
+
+
+for _name, _sid, _col, _sql in (
+    ("premap_accept_pe", "P3", rd.premap_accept_pe, PE_SQL),
+    ("premap_accept_se", "P4", rd.premap_accept_se, SE_SQL),
+    ("remap_accept", "P5", rd.remap_accept, REMAP_SQL),
+    ("mainmap_accept", "P6", rd.mainmap_accept, MAIN_SQL),
+):
+    register(
+        _name, _sid,
+        W(f"select sample, run, read_id, reftype, chrom, pos, strand, flag, coalesce({_sql}, false) as ok from alignments"),
+    )(lambda spark, sf, _c=_col: _aln(spark, sf).select(*ALN_OUT, F.coalesce(_c(OPTS), F.lit(False)).alias("ok")))
+
+
+@register(
+    "accept_reject_split", "P7",
+    W("select sample, run, read_id, reftype, chrom, pos, strand, flag, case when ok then 'passed' else 'rejected' end as route from acc", [ACC]),
+)
+def accept_reject_split(spark, sf):
+    """One stage predicate, two outputs (passed / complement incl. null predicates)."""
+    s = _acc(spark, sf)
+    passed = s.where("ok").select(*ALN_OUT, F.lit("passed").alias("route"))
+    rejected = s.where("not ok").select(*ALN_OUT, F.lit("rejected").alias("route"))
+    return passed.unionByName(rejected)
+
+
+register(
+    "accept_counts", "P8",
+    W("select sample, run, reftype, count_if(ok) as passed, count_if(not ok) as rejected from acc group by all", [ACC]),
+)(lambda spark, sf: rd.accept_counts(_acc(spark, sf)))
+
+register(
+    "primary_reads", "P9",
+    W("select sample, run, read_id, reftype, chrom, pos, strand, flag from alignments where (flag & 2304) = 0"),
+)(lambda spark, sf: rd.primary_reads(_aln(spark, sf)).select(*ALN_OUT))
+
+
+@register(
+    "split_mates", "P10",
+    W(
+        "select sample, run, read_id, mate, reftype, chrom, pos, flag from lab where read_id is not null "
+        "and (sample, run, read_id) in (select sample, run, read_id from lab group by all having bool_or(mate = 'R1') and bool_or(mate = 'R2'))",
+        [ACC, ("lab", "select * from (select *, case when (flag & 64) <> 0 and (flag & 128) = 0 then 'R1' "
+                      "when (flag & 128) <> 0 and (flag & 64) = 0 then 'R2' end as mate from acc where not ok and (flag & 2304) = 0) "
+                      "where mate is not null")],
+    ),
+)
+def split_mates(spark, sf):
+    """P10: rejected primary records of complete pairs to R1/R2."""
+    rej = _acc(spark, sf).where("not ok")
+    return rd.split_mates(rej).select("sample", "run", "read_id", "mate", "reftype", "chrom", "pos", "flag")
+
+
+# P11 / P12 / A22 / A20 on raw reads ----------------------------------------------
+UMI_LEN = 4
+
+
+def _clip_sql(adapter: str = fx.ADAPTER, umi: int = UMI_LEN, min_overlap: int = 3) -> str:
+    partial = " ".join(
+        f"when suffix(seq, '{adapter[:k]}') then length(seq) - {k} + 1" for k in range(len(adapter) - 1, min_overlap - 1, -1)
+    )
+    cut = f"(case when strpos(seq, '{adapter}') > 0 then strpos(seq, '{adapter}') else coalesce(case {partial} end, length(seq) + 1) end)"
+    return (
+        f"select sample, run, mate, read_id, substr(seq, 1, {umi}) as umi, "
+        f"substr(seq, {umi + 1}, greatest({cut} - 1 - {umi}, 0)) as seq, substr(qual, {umi + 1}, greatest({cut} - 1 - {umi}, 0)) as qual from reads"
+    )
+
+
+CLIP = ("clipped", _clip_sql())
+
+
+def _clipped(spark, sf) -> DataFrame:
+    return rd.adapter_clip(fx.load(spark, sf, "reads"), fx.ADAPTER, umi_len=UMI_LEN)
+
+
+register("adapter_clip", "P12", W("select * from clipped", [CLIP], ("reads",)))(
+    lambda spark, sf: _clipped(spark, sf).select("sample", "run", "mate", "read_id", "umi", "seq", "qual")
+)
+register(
+    "length_route", "P11",
+    W("select sample, run, mate, read_id, length(seq) as len, case when length(seq) < 20 then 'too_short' else 'clean' end as route from clipped", [CLIP], ("reads",)),
+)(lambda spark, sf: rd.length_route(_clipped(spark, sf), OPTS.min_read_len).select(
+    "sample", "run", "mate", "read_id", F.length("seq").alias("len"), "route"))
+
+
+@register(
+    "read_qc", "A22",
+    W(
+        "select sample, mate, cast(i as bigint) as position, count(*) as reads, "
+        + ", ".join(f"count_if(upper(substr(seq, i, 1)) = '{b}') as {b.lower()}" for b in "ACGTN")
+        + ", round(avg(ascii(substr(qual, i, 1)) - 33), 6) as mean_quality "
+        "from (select *, unnest(generate_series(1, length(seq))) as i from clipped where length(seq) >= 20) group by all",
+        [CLIP], ("reads",),
+    ),
+)
+def read_qc(spark, sf):
+    """Per-position base composition and mean quality of clean clipped reads."""
+    clean = rd.length_route(_clipped(spark, sf), OPTS.min_read_len).where(F.col("route") == "clean")
+    return rd.read_qc(clean).withColumn("mean_quality", F.round("mean_quality", 6))
+
+
+register(
+    "read_length_hist", "A20",
+    W("select sample, reftype, qlen as length, count(*) as count from alignments where (flag & 2304) = 0 group by all"),
+)(lambda spark, sf: rd.read_length_hist(rd.primary_reads(_aln(spark, sf)), F.col("qlen")))
+
+
+# J8 / J9 / J10 ----------------------------------------------------------------------
+_MATE_SQL = """
+select p.sample, p.run, p.read_id, p.reftype, p.chrom, p.pos, p.strand, p.flag,
+ case when (p.flag & 1) <> 0 and (p.flag & 64) <> 0 then m2.c when (p.flag & 1) <> 0 and (p.flag & 128) <> 0 then m1.c end as mate_chrom,
+ case when (p.flag & 1) <> 0 and (p.flag & 64) <> 0 then m2.p when (p.flag & 1) <> 0 and (p.flag & 128) <> 0 then m1.p end as mate_pos,
+ case when (p.flag & 1) <> 0 and (p.flag & 64) <> 0 then m2.s when (p.flag & 1) <> 0 and (p.flag & 128) <> 0 then m1.s end as mate_strand
+from prim p
+left join (select sample, run, read_id, first(chrom order by chrom, pos, strand) as c, first(pos order by chrom, pos, strand) as p,
+   first(strand order by chrom, pos, strand) as s from prim where (flag & 64) <> 0 group by all) m1 using (sample, run, read_id)
+left join (select sample, run, read_id, first(chrom order by chrom, pos, strand) as c, first(pos order by chrom, pos, strand) as p,
+   first(strand order by chrom, pos, strand) as s from prim where (flag & 128) <> 0 group by all) m2 using (sample, run, read_id)
+"""
+
+
+@register("mate_join", "J8", W(_MATE_SQL, [("prim", "select * from alignments where (flag & 2304) = 0")]))
+def mate_join(spark, sf):
+    """Mate coordinates on each primary paired record; single-end records pass with nulls."""
+    return rd.mate_join(_aln(spark, sf)).select(*ALN_OUT, "mate_chrom", "mate_pos", "mate_strand")
+
+
+_CASCADE_SQL = """
+select sample, run, read_id, 'contamination' as stage from r0 semi join c using (sample, run, read_id)
+union all select sample, run, read_id, 'main' from (select * from r0 anti join c using (sample, run, read_id)) r1 semi join m using (sample, run, read_id)
+union all select sample, run, read_id, 'genome' from (select * from (select * from r0 anti join c using (sample, run, read_id)) x anti join m using (sample, run, read_id)) r2 semi join g using (sample, run, read_id)
+union all select sample, run, read_id, 'unmapped' from (select * from (select * from r0 anti join c using (sample, run, read_id)) x anti join m using (sample, run, read_id)) r3 anti join g using (sample, run, read_id)
+"""
+
+
+@register(
+    "reject_cascade", "J9",
+    W(_CASCADE_SQL, [
+        ACC,
+        ("r0", "select distinct sample, run, read_id from alignments"),
+        ("c", "select distinct sample, run, read_id from acc where reftype = 'contamination' and ok"),
+        ("m", "select distinct sample, run, read_id from acc where reftype in ('genes', 'transcript') and ok"),
+        ("g", "select distinct sample, run, read_id from acc where reftype = 'genome' and ok"),
+    ]),
+)
+def reject_cascade(spark, sf):
+    """Final stage per read: contamination -> genes/transcript -> genome -> unmapped."""
+    return rd.reject_cascade(_aln(spark, sf), OPTS)
+
+
+_COMP_COLS = ["reftype", "chrom", "pos", "strand", "flag", "qlen", "sclen", "xm", "ns", "nc", "umi", "isize", "mapq"]
+
+
+@register(
+    "competitive_assign", "J10",
+    W(
+        "select sample, run, read_id, " + ", ".join(_COMP_COLS) + " from (select *, row_number() over (partition by sample, run, read_id "
+        "order by qlen - sclen - ns desc, case when reftype = 'genes' then 0 else 1 end, chrom, pos, reftype, strand, flag, qlen, sclen, "
+        "xm nulls first, ns, nc, umi, isize, mapq) as rn from alignments where reftype in ('genes', 'transcript') and coalesce("
+        + MAIN_SQL + ", false)) where rn = 1"
+    ),
+)
+def competitive_assign(spark, sf):
+    """One main-stage alignment per read: best score, genes before transcript, lowest position."""
+    return rd.competitive_assign(_aln(spark, sf), OPTS).select(*rd.READ_KEYS, *_COMP_COLS)
+
+
+# W2 / A23 / A17 / A18 / A19 ----------------------------------------------------------
+_DEDUP_P = (
+    "dp", "select *, case when strand = '-' then pos + qlen - sclen - 1 else pos end as five_prime from alignments "
+          "where (flag & 2304) = 0 and (flag & 4) = 0",
+)
+_DEDUP_KEYS_SQL = "sample, reftype, chrom, strand, five_prime, umi"
+_KEPT = (
+    "kept",
+    f"select * exclude (rn) from (select *, row_number() over (partition by {_DEDUP_KEYS_SQL} order by mapq desc, read_id, run, pos, flag, "
+    "qlen, sclen, xm nulls first, ns, nc, isize) as rn from dp) where rn = 1",
+)
+
+
+@register(
+    "dedup_alignments", "W2",
+    W(f"select {_DEDUP_KEYS_SQL}, run, read_id, pos, flag, mapq from kept", [_DEDUP_P, _KEPT]),
+)
+def dedup_alignments(spark, sf):
+    """One record per duplicate set (best mapq, then read id), as a partial aggregate."""
+    kept, _ = rd.dedup_alignments(_aln(spark, sf))
+    return kept.select(*rd.DEDUP_KEYS, "run", "read_id", "pos", "flag", "mapq")
+
+
+@register(
+    "dedup_report", "A23",
+    W(
+        "select sample, reftype, count(*) as total_reads, count(*) - count(distinct (chrom, strand, five_prime, umi)) as duplicates, "
+        "count(distinct (chrom, strand, five_prime, umi)) as unique_reads, "
+        "round((count(*) - count(distinct (chrom, strand, five_prime, umi))) * 100.0 / count(*), 6) as duplication_rate from dp group by all",
+        [_DEDUP_P],
+    ),
+)
+def dedup_report(spark, sf):
+    """Total, duplicates, unique, duplication % per (sample, reference type)."""
+    _, sets = rd.dedup_alignments(_aln(spark, sf))
+    r = rd.dedup_report(sets)
+    return r.withColumn("duplication_rate", F.round("duplication_rate", 6))
+
+
+@register(
+    "flag_stats", "A17",
+    W(
+        "select sample, reftype, count(*) as total, count_if((flag & 2304) = 0) as primary, count_if((flag & 256) <> 0) as secondary, "
+        "count_if((flag & 2048) <> 0) as supplementary, count_if((flag & 1024) <> 0) as duplicates, count_if((flag & 4) = 0) as mapped, "
+        "count_if((flag & 1) <> 0) as paired, count_if((flag & 1) <> 0 and (flag & 64) <> 0) as read1, "
+        "count_if((flag & 1) <> 0 and (flag & 128) <> 0) as read2, count_if((flag & 1) <> 0 and (flag & 2) <> 0 and (flag & 4) = 0) as properly_paired, "
+        "count_if((flag & 1) <> 0 and (flag & 4) = 0 and (flag & 8) <> 0) as singletons from alignments group by all"
+    ),
+)
+def flag_stats(spark, sf):
+    """Record counts per flag class."""
+    return rd.flag_stats(_aln(spark, sf))
+
+
+register(
+    "read_count_r1", "A18",
+    W("select sample, reftype, count_if((flag & 384) = 0) as n from alignments group by all"),
+)(lambda spark, sf: rd.read_count_r1(_aln(spark, sf)))
+
+register(
+    "insert_size_hist", "A19",
+    W("select sample, reftype, abs(isize) as isize, count(*) as pairs from alignments where (flag & 2304) = 0 and (flag & 1) <> 0 "
+      "and (flag & 2) <> 0 and (flag & 64) <> 0 and abs(isize) <= 1000 group by all"),
+)(lambda spark, sf: rd.insert_size_hist(_aln(spark, sf)))
+
+
+# A21 / F14 / J7 / F15 / F17 --------------------------------------------------------
+_TRIM_NUM = (
+    "tn",
+    "select sample, run, cast(nullif(regexp_extract(report, '\"input\": ([0-9]+),', 1), '') as bigint) as input, "
+    "cast(nullif(regexp_extract(report, '\"output\": ([0-9]+),', 1), '') as bigint) as output from trim_reports",
+)
+
+
+def _trim_numbers(spark, sf) -> DataFrame:
+    t = fx.load(spark, sf, "trim_reports")
+    return t.select("sample", "run", report.json_first_number("report", "input").alias("input"),
+                    report.json_first_number("report", "output").alias("output"))
+
+
+register("json_first_number", "F17", W("select * from tn", [_TRIM_NUM], ("trim_reports",)))(_trim_numbers)
+
+
+def stage_counts_long(spark, sf) -> DataFrame:
+    aln = _aln(spark, sf)
+    passed = rd.read_count_r1(aln)
+    kept, _ = rd.dedup_alignments(aln)
+    dedup = rd.read_count_r1(kept)
+    return rd.stage_counts(_trim_numbers(spark, sf), passed, dedup)
+
+
+_STAGE_SQL = [
+    _TRIM_NUM, _DEDUP_P, _KEPT,
+    ("stage", """
+select sample, 'Raw' as key, cast(sum(input) as bigint) as value from tn group by sample
+union all select sample, 'Clean', cast(sum(output) as bigint) from tn group by sample
+union all select sample, case reftype when 'contamination' then 'Contamination' when 'genes' then 'Masking' when 'transcript' then 'Transcript'
+  else 'Genome' end || '_Passed', cast(count_if((flag & 384) = 0) as bigint) from alignments group by sample, reftype
+union all select sample, case reftype when 'contamination' then 'Contamination' when 'genes' then 'Masking' when 'transcript' then 'Transcript'
+  else 'Genome' end || '_Dedup', cast(count_if((flag & 384) = 0) as bigint) from kept group by sample, reftype
+"""),
+]
+register("stage_counts", "A21", W("select * from stage", _STAGE_SQL, ("alignments", "trim_reports")))(stage_counts_long)
+
+_K = report.STAGE_KEYS
+_WIDE_STAGE = ("sw", "select sample, " + ", ".join(f"max(case when key = '{k}' then value end) as {k}" for k in _K) + " from stage group by sample")
+_HIER = (
+    "hier",
+    "select sample, coalesce(Transcript_Dedup, 0) + coalesce(Genome_Dedup, 0) as unique_mapped, "
+    "greatest(0, coalesce(Transcript_Passed, 0) + coalesce(Genome_Passed, 0) - coalesce(Transcript_Dedup, 0) - coalesce(Genome_Dedup, 0)) as duplicates, "
+    "coalesce(Masking_Passed, 0) as masking, coalesce(Contamination_Passed, 0) as contamination, "
+    "greatest(0, coalesce(Clean, 0) - (coalesce(Contamination_Passed, 0) + coalesce(Masking_Passed, 0) + coalesce(Transcript_Passed, 0) + coalesce(Genome_Passed, 0))) as unmapped, "
+    "greatest(0, coalesce(Raw, 0) - coalesce(Clean, 0)) as discarded_short from sw",
+)
+
+
+def hierarchy(spark, sf) -> DataFrame:
+    return report.read_hierarchy(report.stage_counts_wide(stage_counts_long(spark, sf)))
+
+
+register("read_hierarchy", "F14", W("select * from hier", [*_STAGE_SQL, _WIDE_STAGE, _HIER], ("alignments", "trim_reports")))(hierarchy)
+
+_TRIM_PCT_SQL = (
+    "tp",
+    "select sample, case when coalesce(cast(json_extract(report, '$.filtering_statistics.percent_trimmed') as double), 0) = 0 "
+    "then coalesce(cast(json_extract(report, '$.report.summary.terminal_stats.percent_trimmed') as double), 0) "
+    "else cast(json_extract(report, '$.filtering_statistics.percent_trimmed') as double) end as trimmed_pct from trim_reports where run = 'run1'",
+)
+
+
+@register(
+    "trim_report_join", "J7",
+    W("select h.*, tp.trimmed_pct from hier h left join tp using (sample)", [*_STAGE_SQL, _WIDE_STAGE, _HIER, _TRIM_PCT_SQL], ("alignments", "trim_reports")),
+)
+def trim_report_join(spark, sf):
+    """Read hierarchy rows with the first run's trimmed percentage (left join on sample)."""
+    t = fx.load(spark, sf, "trim_reports").where(F.col("run") == "run1").select("sample", report.trimmed_pct("report").alias("trimmed_pct"))
+    return hierarchy(spark, sf).join(F.broadcast(t), "sample", "left")
+
+
+@register(
+    "sample_type_label", "F15",
+    W(
+        "select sample || '_' || reftype as sample_library, count(*) as total_reads, count(distinct (chrom, strand, five_prime, umi)) as unique_reads "
+        "from dp group by sample, reftype",
+        [_DEDUP_P],
+    ),
+)
+def sample_type_label(spark, sf):
+    """``{sample}_{type}`` labels on the dedup table."""
+    _, sets = rd.dedup_alignments(_aln(spark, sf))
+    r = rd.dedup_report(sets)
+    return r.select(report.sample_type_label("sample", "reftype").alias("sample_library"), "total_reads", "unique_reads")
+
+
+# O2 / O5 -------------------------------------------------------------------------
+@register(
+    "sort_alignments", "O2",
+    W("select sample, reftype, chrom, pos, strand, read_id, flag from alignments order by sample, reftype, chrom, pos"),
+)
+def sort_alignments(spark, sf):
+    """O2: coordinate sort (range partitioning, then per-partition sort)."""
+    return _aln(spark, sf).select("sample", "reftype", "chrom", "pos", "strand", "read_id", "flag").orderBy("sample", "reftype", "chrom", "pos")
+
+
+@register(
+    "union_runs", "O5",
+    W("select sample, reftype, chrom, pos, read_id, run from alignments where run = 'run1' union all "
+      "select sample, reftype, chrom, pos, read_id, run from alignments where run = 'run2'"),
+)
+def union_runs(spark, sf):
+    """Runs of a sample stacked, coordinate-ordered per (sample, reference type)."""
+    a = _aln(spark, sf).select("sample", "reftype", "chrom", "pos", "read_id", "run")
+    runs = [a.where(F.col("run") == r) for r in ("run1", "run2")]
+    u = runs[0].unionByName(runs[1])
+    return u.repartition("sample", "reftype").sortWithinPartitions("sample", "reftype", "chrom", "pos")
