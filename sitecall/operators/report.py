@@ -198,8 +198,8 @@ def sample_type_label(sample, typ) -> Column:
 
 
 def ratio_percent(x, digits: int = 3) -> Column:
-    """x * 100 formatted with ``digits`` decimals and a % sign (null stays null)."""
-    return F.when(col(x).isNotNull(), F.format_string(f"%.{digits}f%%", col(x) * 100))
+    """x * 100 with ``digits`` decimals (round-half-even on the double) and a % sign; null stays null."""
+    return F.when(col(x).isNotNull(), F.concat(F.format_number(col(x) * 100, digits), F.lit("%")))
 
 
 def json_first_number(text, key: str) -> Column:

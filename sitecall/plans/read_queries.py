@@ -381,3 +381,129 @@ def union_runs(spark, sf):
     runs = [a.where(F.col("run") == r) for r in ("run1", "run2")]
     u = runs[0].unionByName(runs[1])
     return u.repartition("sample", "reftype").sortWithinPartitions("sample", "reftype", "chrom", "pos")
+
+
+# A1 / A15 / A16 / F11 / F12 / J11 / O6 -------------------------------------------
+from sitecall.operators import liftover as lo  # noqa: E402
+from sitecall.operators import pileup as pu  # noqa: E402
+from sitecall.plans import sqltext as q  # noqa: E402
+
+_RATE_SQL = "cast(case when regexp_full_match(string_split({c}, '_')[-1], '[0-9]+') then string_split({c}, '_')[-1] else '0' end as bigint)"
+_SPIKE_SQL = (
+    "counts",
+    "select sample, rate, i = 18 as is_signal, upper(substr(ref_seq, i, 1)) as ref_base, substr(seq, i, 1) as read_base, count(*) as n "
+    f"from (select sample, {_RATE_SQL.format(c='reference')} as rate, ref_seq, seq, "
+    "unnest(generate_series(1, least(length(seq), length(ref_seq)))) as i from probe_reads "
+    "where starts_with(reference, 'probe_') and yf + zf >= 5) group by all",
+)
+
+
+def _probe(spark, sf) -> DataFrame:
+    return fx.load(spark, sf, "probe_reads")
+
+
+register("spike_counts", "A15", W("select * from counts", [_SPIKE_SQL], ("probe_reads",)))(
+    lambda spark, sf: pu.spike_counts(_probe(spark, sf))
+)
+
+
+def _pct_sql(num: str, den: str) -> str:
+    return f"case when {den} > 0 then printf('%.3f%%', cast({num} as double) * 100.0 / cast({den} as double)) end"
+
+
+@register(
+    "spike_ratio", "A16",
+    W(
+        "select sample, rate, coalesce(" + _pct_sql("s_aa", "s_aa + s_ag") + ", 'NA') as m6a_pct, "
+        + _pct_sql("b_ag", "b_aa + b_ag") + " as a_convert_pct, " + _pct_sql("b_ct", "b_cc + b_ct") + " as c_convert_pct from ("
+        "select sample, rate, "
+        "sum(case when is_signal and ref_base = 'A' and read_base = 'A' then n else 0 end) as s_aa, "
+        "sum(case when is_signal and ref_base = 'A' and read_base = 'G' then n else 0 end) as s_ag, "
+        "sum(case when not is_signal and ref_base = 'A' and read_base = 'A' then n else 0 end) as b_aa, "
+        "sum(case when not is_signal and ref_base = 'A' and read_base = 'G' then n else 0 end) as b_ag, "
+        "sum(case when not is_signal and ref_base = 'C' and read_base = 'C' then n else 0 end) as b_cc, "
+        "sum(case when not is_signal and ref_base = 'C' and read_base = 'T' then n else 0 end) as b_ct, "
+        "bool_or(not is_signal) as has_bg from counts group by all) where has_bg",
+        [_SPIKE_SQL], ("probe_reads",),
+    ),
+)
+def spike_ratio(spark, sf):
+    """m6A % at the signal base, A->G and C->T conversion % elsewhere, per sample and rate."""
+    return pu.spike_ratio(pu.spike_counts(_probe(spark, sf)))
+
+
+@register(
+    "probe_rate", "F11",
+    W(
+        f"select distinct name, {_RATE_SQL.format(c='name')} as rate from "
+        "(select reference as name from probe_reads union all select chrom from alignments union all select read_id from alignments)",
+        None, ("probe_reads", "alignments"),
+    ),
+)
+def probe_rate(spark, sf):
+    """spike-in rate from the reference name's last ``_`` token (0 unless all digits)."""
+    names = _probe(spark, sf).select(F.col("reference").alias("name")).unionByName(
+        _aln(spark, sf).select(F.col("chrom").alias("name"))).unionByName(_aln(spark, sf).select(F.col("read_id").alias("name")))
+    return names.distinct().select("name", pu.probe_rate("name").alias("rate"))
+
+
+register(
+    "read_min_support", "F12",
+    W("select sample, reference, read_id, yf, zf from probe_reads where yf + zf >= 5", None, ("probe_reads",)),
+)(lambda spark, sf: pu.read_min_support(_probe(spark, sf)).select("sample", "reference", "read_id", "yf", "zf"))
+
+_PILEUP_SQL = """
+select sample, reference as chrom, cast(pos as bigint) as pos, '+' as strand,
+ substr(concat(repeat('N', 15), first(ref_seq), repeat('N', 15)), pos, 31) as motif,
+ count_if(tier = 0 and upper(substr(seq, pos, 1)) = 'A') as u0, count_if(tier = 1 and upper(substr(seq, pos, 1)) = 'A') as u1,
+ count_if(tier = 2 and upper(substr(seq, pos, 1)) = 'A') as u2, count_if(tier = 0 and upper(substr(seq, pos, 1)) = 'G') as m0,
+ count_if(tier = 1 and upper(substr(seq, pos, 1)) = 'G') as m1, count_if(tier = 2 and upper(substr(seq, pos, 1)) = 'G') as m2
+from (select *, unnest(list_filter(generate_series(1, least(length(seq), length(ref_seq))), lambda i: upper(substr(ref_seq, i, 1)) = 'A')) as pos,
+   case when yf + zf < 5 then 0 when zf <= 2 then 1 else 2 end as tier from probe_reads)
+group by sample, reference, pos
+"""
+
+
+@register("pileup_counts", "A1", W(_PILEUP_SQL, None, ("probe_reads",)))
+def pileup_counts(spark, sf):
+    """A1: six-count pileup (tiers 0/1/2, unconverted A / converted G) at reference A positions."""
+    return pu.pileup_counts(_probe(spark, sf))
+
+
+_TXL_SQL = """
+select sample, read_id, gene, chrom, strand, cast(min(bs) + 1 as bigint) as pos,
+ string_agg(cast(bs + 1 as varchar) || '-' || cast(be as varchar), ',' order by bs, be) as blocks,
+ cast(count(*) as bigint) as n_blocks, cast(sum(be - bs) as bigint) as aligned
+from (select a.sample, a.read_id, a.gene, e.ex_chrom as chrom, e.ex_strand as strand,
+  case when e.ex_strand = '+' then e.g_start + (greatest(a.s, e.tx_start) - e.tx_start) else e.g_end - (least(a.e, e.tx_end) - e.tx_start) end as bs,
+  case when e.ex_strand = '+' then e.g_start + (least(a.e, e.tx_end) - e.tx_start) else e.g_end - (greatest(a.s, e.tx_start) - e.tx_start) end as be
+ from (select sample, read_id, gene, tx_pos - 1 as s, tx_pos - 1 + aln_len as e from tx_alignments) a
+ join exons e on a.gene = e.gene_name and a.s < e.tx_end and a.e > e.tx_start)
+group by sample, read_id, gene, chrom, strand
+"""
+
+
+def _tx_lifted(spark, sf) -> DataFrame:
+    ex = lo.exon_offsets(fx.load(spark, sf, "transcripts"))
+    return pu.alignment_liftover(fx.load(spark, sf, "tx_alignments"), ex)
+
+
+register(
+    "alignment_liftover", "J11",
+    W("select * from txl", [("exons", q.exons_cte("transcripts")), ("txl", _TXL_SQL)], ("transcripts", "tx_alignments")),
+)(_tx_lifted)
+
+
+@register(
+    "union_lifted", "O6",
+    W(
+        "select * from txl union all select sample, read_id, null, chrom, strand, cast(pos as bigint), "
+        "cast(pos as varchar) || '-' || cast(pos + qlen - sclen - 1 as varchar), 1, cast(qlen - sclen as bigint) from alignments "
+        "where reftype = 'genome' order by sample, chrom, pos",
+        [("exons", q.exons_cte("transcripts")), ("txl", _TXL_SQL)], ("transcripts", "tx_alignments", "alignments"),
+    ),
+)
+def union_lifted(spark, sf):
+    """Lifted transcript alignments plus genome alignments, coordinate-sorted."""
+    g = pu.genome_alignment_blocks(_aln(spark, sf).where(F.col("reftype") == "genome"))
+    return pu.union_lifted(_tx_lifted(spark, sf), g)
