@@ -68,7 +68,9 @@ def call_sites(long_sites: DataFrame, keys: Sequence[str], opts: Options = Optio
     ``params``: precomputed parameters (sample, motif3, a, b, ...); fitted if None.
     """
     x = pool_treated(long_sites, [*keys, "motif"]) if pool else long_sites
-    sites = prepare_sites(x)
+    # the site table feeds both the fit and the scoring: write it once to the
+    # shared checkpoint folder (keeps its partitioning) instead of recomputing it
+    sites = prepare_sites(x).checkpoint(eager=True)
     points = bg.background_points(sites, opts.fit_depth_max)
     if params is None:
         params = bg.fit_background(points)

@@ -92,9 +92,17 @@ def bin_index(x: Column, edges: Sequence[float]) -> Column:
     Counting the interior edges <= x reproduces edge-array binning exactly
     (not floor(x * n), which disagrees at 0.7, 0.58, 0.82, 0.94).
     """
-    interior = F.array(*[F.lit(float(e)) for e in edges[1:-1]])
-    idx = F.size(F.filter(interior, lambda e: e <= x))
-    return F.when((x >= F.lit(float(edges[0]))) & (x <= F.lit(float(edges[-1]))), idx)
+    interior = [float(e) for e in edges[1:-1]]
+
+    def tree(lo: int, hi: int) -> Column:
+        # number of interior edges <= x, knowing interior[:lo] <= x < interior[hi:]
+        if lo >= hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(x >= F.lit(interior[mid]), tree(mid + 1, hi)).otherwise(tree(lo, mid))
+
+    # balanced comparison tree: ~log2(n) comparisons per value, stays in whole-stage codegen
+    return F.when((x >= F.lit(float(edges[0]))) & (x <= F.lit(float(edges[-1]))), tree(0, len(interior)))
 
 
 def ratio_labels(n: int = RATIO_BINS) -> list[str]:

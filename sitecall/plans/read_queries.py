@@ -380,7 +380,8 @@ def union_runs(spark, sf):
     a = _aln(spark, sf).select("sample", "reftype", "chrom", "pos", "read_id", "run")
     runs = [a.where(F.col("run") == r) for r in ("run1", "run2")]
     u = runs[0].unionByName(runs[1])
-    return u.repartition("sample", "reftype").sortWithinPartitions("sample", "reftype", "chrom", "pos")
+    # global range-partitioned sort: a hot sample spreads over many range partitions
+    return u.orderBy("sample", "reftype", "chrom", "pos")
 
 
 # A1 / A15 / A16 / F11 / F12 / J11 / O6 -------------------------------------------
