@@ -77,13 +77,12 @@ def merge_samples(site_counts: DataFrame, samples: Sequence[str], requires: Sequ
 
 
 def merged_wide(merged_long: DataFrame, ordered_samples: Sequence[str]) -> DataFrame:
-    """Wide view ``Chrom Pos Strand Motif Uncon_<s> Depth_<s> ...`` with zeros for absent samples."""
-    aggs = [F.first("motif", ignorenulls=True).alias("Motif")]
-    for s in ordered_samples:
-        aggs.append(F.coalesce(F.sum(F.when(F.col("sample") == s, F.col("uncon"))), F.lit(0).cast("bigint")).alias(f"Uncon_{s}"))
-        aggs.append(F.coalesce(F.sum(F.when(F.col("sample") == s, F.col("depth"))), F.lit(0).cast("bigint")).alias(f"Depth_{s}"))
-    return (
-        merged_long.groupBy(*SITE_KEYS)
-        .agg(*aggs)
-        .withColumnsRenamed({"chrom": "Chrom", "pos": "Pos", "strand": "Strand"})
-    )
+    """Wide view ``Chrom Pos Strand Motif Uncon_<s> Depth_<s> ...`` with zeros for absent samples.
+
+    The motif is constant per merged site, so it is part of the grouping key
+    (same groups, no new shuffle, code-generated hash aggregate).
+    """
+    from sitecall.operators.sites import to_wide
+
+    w = to_wide(merged_long, ordered_samples, SITE_KEYS, site_cols=("motif",))
+    return w.withColumnsRenamed({"chrom": "Chrom", "pos": "Pos", "strand": "Strand", "motif": "Motif"})

@@ -247,23 +247,24 @@ def dedup_report(sets: DataFrame, by: Sequence[str] = ("sample", "reftype")) ->
 
 
 # A17 / A18 / A19 / A20 --------------------------------------------------------
-FLAG_CLASSES = {
-    "total": None,
-    "primary": ~bit("flag", SECONDARY | SUPPLEMENTARY),
-    "secondary": bit("flag", SECONDARY),
-    "supplementary": bit("flag", SUPPLEMENTARY),
-    "duplicates": bit("flag", DUP),
-    "mapped": ~bit("flag", UNMAP),
-    "paired": bit("flag", PAIRED),
-    "read1": bit("flag", PAIRED) & bit("flag", READ1),
-    "read2": bit("flag", PAIRED) & bit("flag", READ2),
-    "properly_paired": bit("flag", PAIRED) & bit("flag", PROPER) & ~bit("flag", UNMAP),
-    "singletons": bit("flag", PAIRED) & ~bit("flag", UNMAP) & bit("flag", MUNMAP),
-}
+def flag_classes() -> dict:
+    """Flag classes as Columns (built on call: no Spark context is needed at import)."""
+    return {
+        "primary": ~bit("flag", SECONDARY | SUPPLEMENTARY),
+        "secondary": bit("flag", SECONDARY),
+        "supplementary": bit("flag", SUPPLEMENTARY),
+        "duplicates": bit("flag", DUP),
+        "mapped": ~bit("flag", UNMAP),
+        "paired": bit("flag", PAIRED),
+        "read1": bit("flag", PAIRED) & bit("flag", READ1),
+        "read2": bit("flag", PAIRED) & bit("flag", READ2),
+        "properly_paired": bit("flag", PAIRED) & bit("flag", PROPER) & ~bit("flag", UNMAP),
+        "singletons": bit("flag", PAIRED) & ~bit("flag", UNMAP) & bit("flag", MUNMAP),
+    }
 
 
 def flag_stats(aln: DataFrame, by: Sequence[str] = ("sample", "reftype")) -> DataFrame:
-    aggs = [F.count(F.lit(1)).alias("total")] + [F.count_if(c).alias(k) for k, c in FLAG_CLASSES.items() if c is not None]
+    aggs = [F.count(F.lit(1)).alias("total")] + [F.count_if(c).alias(k) for k, c in flag_classes().items()]
     return aln.groupBy(*by).agg(*aggs)
 
 

@@ -101,22 +101,25 @@ def rename_insert_null(df: DataFrame, renames: dict[str, str], inserts: Sequence
 def to_wide(long_df: DataFrame, samples: Sequence[str], keys: Sequence[str],
             values: Sequence[str] = ("uncon", "depth"),
             names: dict[str, str] | None = None, fill: int | None = 0,
-            first_cols: Sequence[str] = ()) -> DataFrame:
+            site_cols: Sequence[str] = ()) -> DataFrame:
     """Pivot the long table to ``Uncon_<s>``/``Depth_<s>`` columns (sink edge).
 
     One grouped aggregate with conditional sums; the sample list is config-sized.
-    Missing samples are ``fill`` (0 as in the original merge).  ``first_cols``
-    are site-level annotations carried through with ``first``.
+    Missing samples are ``fill`` (0 as in the original merge).  ``site_cols``
+    are site-level annotations (functionally dependent on ``keys``): they join
+    the grouping key, which keeps the groups, needs no extra shuffle (hash
+    partitioning on ``keys`` already clusters them) and leaves only fixed-width
+    sum buffers, so Spark can use a code-generated hash aggregate.
     """
     names = names or {"uncon": "Uncon", "depth": "Depth"}
-    aggs = [F.first(c, ignorenulls=True).alias(c) for c in first_cols]
+    aggs = []
     for s in samples:
         for v in values:
             a = F.sum(F.when(F.col("sample") == s, F.col(v)))
             if fill is not None:
                 a = F.coalesce(a, F.lit(fill).cast("bigint"))
             aggs.append(a.alias(f"{names.get(v, v)}_{s}"))
-    return long_df.groupBy(*keys).agg(*aggs)
+    return long_df.groupBy(*keys, *site_cols).agg(*aggs)
 
 
 def to_long(wide: DataFrame, keys: Sequence[str], prefixes: dict[str, str] | None = None) -> DataFrame:

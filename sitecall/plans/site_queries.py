@@ -245,7 +245,7 @@ def merged_sites_long(spark, sf, min_depth: int = 1) -> DataFrame:
 def merged_sites_wide(spark, sf, min_depth: int = 1) -> DataFrame:
     long = merged_sites_long(spark, sf, min_depth)
     ordered = [s for s, _ in merge.merge_order(PIPE_SAMPLES, PIPE_REQUIRES)]
-    w = sites.to_wide(long, ordered, KEYS, first_cols=("gene_names", "gene_pos", "motif"))
+    w = sites.to_wide(long, ordered, KEYS, site_cols=("gene_names", "gene_pos", "motif"))
     return w.select(
         F.col("chrom").alias("Chrom"), F.col("pos").alias("Pos"), F.col("strand").alias("Strand"),
         F.col("gene_names").alias("GeneName"), F.col("gene_pos").alias("GenePos"), F.col("motif").alias("Motif"),
@@ -545,3 +545,12 @@ def flagship(spark: SparkSession, sf: str, fitted: bool = True) -> DataFrame:
 
 
 register("call_sites", "entry B")(lambda spark, sf: flagship(spark, sf, True))
+
+
+@register(
+    "sort_motif", "O3",
+    fx.with_fixtures(["site_counts"], "select * from points order by motif3, gc, sample", [("prep", _PREP_SQL), ("points", _POINTS_SQL)]),
+)
+def sort_motif(spark, sf):
+    """O3: fit points ordered by 3-mer, then GC, then sample (as they are fitted and reported)."""
+    return bg.background_points(_prepared(spark, sf)).orderBy("motif3", "gc", "sample")
