@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sitecall.functions.motif import gc_pct, has_n, motif3_rna, site_ratio
 from sitecall.functions.stats import call_gate, call_pvalue, chi2_stat
 from sitecall.operators import background as bg
+from sitecall.operators.joins import materialise
 from sitecall.options import Options
 
 POOL_MARK = "-p-"
@@ -70,7 +71,7 @@ def call_sites(long_sites: DataFrame, keys: Sequence[str], opts: Options = Optio
     x = pool_treated(long_sites, [*keys, "motif"]) if pool else long_sites
     # the site table feeds both the fit and the scoring: write it once to the
     # shared checkpoint folder (keeps its partitioning) instead of recomputing it
-    sites = prepare_sites(x).checkpoint(eager=True)
+    sites = materialise(prepare_sites(x))
     points = bg.background_points(sites, opts.fit_depth_max)
     if params is None:
         params = bg.fit_background(points)

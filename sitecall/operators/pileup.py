@@ -1,10 +1,9 @@
 """Per-base counting from aligned reads: site pileup (A1), spike-in calibration (A15, A16,
 F11, F12) and whole-alignment liftover (J11, O6).
 
-Every aligned base becomes a row only after the reference base is tested inside
-the array (``filter`` before ``explode``), and the counts are hash aggregates
-with map-side partial aggregation: a reference with a third of all reads adds
-rows to many tasks' partial maps, never to one task.
+Aligned bases are counted per Arrow batch (``basecount``) and the partial counts
+are summed by Spark: a reference with a third of all reads adds rows to many
+tasks' partials, never to one task.
 """
 
 from __future__ import annotations
@@ -15,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitecall.functions.motif import col
+from sitecall.operators.basecount import aligned_pair_counts
 from sitecall.operators.joins import bounded_broadcast
 from sitecall.options import PROBE_MIN_SUPPORT, SIGNAL_POS
 
@@ -40,14 +40,10 @@ def spike_counts(probe_reads: DataFrame, prefix: str = "probe_", signal_pos: int
     Input: sample, reference, ref_seq, seq (ungapped, base i of seq on base i of ref_seq), yf, zf.
     """
     r = read_min_support(probe_reads.where(F.col("reference").startswith(prefix)))
-    x = r.select(
-        "sample", probe_rate("reference").alias("rate"), "ref_seq", "seq",
-        F.explode(F.sequence(F.lit(1), F.least(F.length("seq"), F.length("ref_seq")))).alias("i"),
-    )
-    return x.groupBy(
-        "sample", "rate", (F.col("i") == signal_pos).alias("is_signal"),
-        F.upper(F.expr("substring(ref_seq, i, 1)")).alias("ref_base"), F.expr("substring(seq, i, 1)").alias("read_base"),
-    ).agg(F.count(F.lit(1)).alias("n"))
+    c = aligned_pair_counts(r.withColumn("rate", probe_rate("reference")), ["sample", "rate"])
+    return c.groupBy(
+        "sample", "rate", (F.col("pos") == signal_pos).alias("is_signal"), F.upper("ref_base").alias("ref_base"), "read_base",
+    ).agg(F.sum("n").alias("n"))
 
 
 def _pct(num: Column, den: Column) -> Column:
@@ -92,24 +88,21 @@ def pileup_counts(reads: DataFrame, ref_base: str = "A", mut_base: str = "G", ti
     """
     tier = default_tier() if tier is None else tier
     ref_base, mut_base = ref_base.upper(), mut_base.upper()
-    # test the reference base inside the array, so only target positions are exploded
-    positions = F.expr(
-        f"filter(sequence(1, least(length(seq), length(ref_seq))), i -> upper(substring(ref_seq, i, 1)) = '{ref_base}')"
-    )
-    x = reads.select("sample", F.col(chrom).alias("chrom"), "ref_seq", "seq", tier.alias("tier"), F.explode(positions).alias("pos"))
-    b = F.upper(F.expr("substring(seq, pos, 1)"))
+    r = reads.select("sample", F.col(chrom).alias("chrom"), tier.alias("tier"), "ref_seq", "seq")
+    c = aligned_pair_counts(r, ["sample", "chrom", "tier"]).where(F.upper("ref_base") == ref_base)
+    b = F.upper("read_base")
     aggs = []
-    for t in (0, 1, 2):
-        aggs.append(F.count_if((F.col("tier") == t) & (b == ref_base)).alias(f"u{t}"))
-    for t in (0, 1, 2):
-        aggs.append(F.count_if((F.col("tier") == t) & (b == mut_base)).alias(f"m{t}"))
+    for base, prefix in ((ref_base, "u"), (mut_base, "m")):
+        for t in (0, 1, 2):
+            aggs.append(F.sum(F.when((F.col("tier") == t) & (b == base), F.col("n")).otherwise(0)).cast("bigint").alias(f"{prefix}{t}"))
+    g = c.groupBy("sample", "chrom", "pos").agg(*aggs)
+    # reference sequence per chrom (one row per reference), checked before broadcast
+    refs, _ = bounded_broadcast(r.groupBy("chrom").agg(F.min("ref_seq").alias("_ref")))
     pad = "N" * MOTIF_HALF
-    g = x.groupBy("sample", "chrom", "pos").agg(F.first("ref_seq").alias("_ref"), *aggs)
     motif = F.expr(f"substring(concat('{pad}', _ref, '{pad}'), pos, {2 * MOTIF_HALF + 1})")
-    return g.select(
+    return g.join(refs, "chrom").select(
         "sample", "chrom", F.col("pos").cast("bigint").alias("pos"), F.lit("+").alias("strand"), motif.alias("motif"),
-        *[F.col(f"u{t}").cast("bigint").alias(f"u{t}") for t in (0, 1, 2)],
-        *[F.col(f"m{t}").cast("bigint").alias(f"m{t}") for t in (0, 1, 2)],
+        *[F.col(f"u{t}") for t in (0, 1, 2)], *[F.col(f"m{t}") for t in (0, 1, 2)],
     )
 
 
