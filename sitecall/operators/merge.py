@@ -3,7 +3,7 @@
 The original joins one sample at a time: required samples with a full outer
 join, optional samples with a left join, and a one-off depth filter on the
 joined table just before the first optional sample.  With unique site keys per
-sample this equals ONE union of the long table and ONE grouped aggregate on
+sample this equals ONE union of the long table and ONE window over
 (chrom, pos, strand):
 
 * the samples are stably ordered, required first (J3) -> ``rank``;
@@ -14,8 +14,8 @@ sample this equals ONE union of the long table and ONE grouped aggregate on
 * optional samples only annotate surviving sites (left join, J2);
 * motif = the motif of the lowest-ranked sample that has one.
 
-Per site the aggregate collects at most one entry per sample, so groups are
-bounded by the sample count whatever the data size.
+A site's window holds at most one row per sample, so groups are bounded by
+the sample count whatever the data size.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sitecall.operators.joins import literal_map
 from sitecall.operators.sites import SITE_KEYS
@@ -50,6 +51,10 @@ def merge_samples(site_counts: DataFrame, samples: Sequence[str], requires: Sequ
     Input columns: sample, chrom, pos, strand, motif, uncon, depth.
     Output: chrom, pos, strand, motif, sample, uncon, depth (one row per sample
     that has the site; absent samples count as 0 at the wide edge).
+
+    One shuffle on the site key and one sort by (site, rank): the site-level
+    facts (in a base sample, max base depth, first motif by rank) are window
+    aggregates over a site's rows, which number at most one per sample.
     """
     ordered = merge_order(samples, requires)
     k = base_size(ordered)
@@ -59,21 +64,18 @@ def merge_samples(site_counts: DataFrame, samples: Sequence[str], requires: Sequ
     x = site_counts.where(F.col("sample").isin([s for s, _ in ordered])).withColumn(
         "_rank", F.element_at(rank, F.col("sample"))
     )
+    w = Window.partitionBy(*SITE_KEYS).orderBy("_rank").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     is_base = F.col("_rank") < k
-    agg = x.groupBy(*SITE_KEYS).agg(
-        F.max(is_base).alias("_in_base"),
-        F.coalesce(F.max(F.when(is_base, F.col("depth"))), F.lit(0)).alias("_base_max"),
-        F.min(F.when(F.col("motif").isNotNull(), F.struct(F.col("_rank"), F.col("motif")))).alias("_m"),
-        F.collect_list(F.struct("sample", "uncon", "depth")).alias("_rows"),
+    y = x.select(
+        "*",
+        F.max(is_base).over(w).alias("_in_base"),
+        F.coalesce(F.max(F.when(is_base, F.col("depth"))).over(w), F.lit(0)).alias("_base_max"),
+        F.first("motif", ignorenulls=True).over(w).alias("_motif"),
     )
     keep = F.col("_in_base")
     if shrink:
         keep = keep & (F.col("_base_max") >= min_depth)
-    return (
-        agg.where(keep)
-        .select(*SITE_KEYS, F.col("_m.motif").alias("motif"), F.explode("_rows").alias("_r"))
-        .select(*SITE_KEYS, "motif", "_r.sample", "_r.uncon", "_r.depth")
-    )
+    return y.where(keep).select(*SITE_KEYS, F.col("_motif").alias("motif"), "sample", "uncon", "depth")
 
 
 def merged_wide(merged_long: DataFrame, ordered_samples: Sequence[str]) -> DataFrame:
