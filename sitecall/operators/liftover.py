@@ -20,9 +20,10 @@ from sitecall.operators.sites import SITE_KEYS
 def exon_offsets(transcripts: DataFrame) -> DataFrame:
     """(gene_id, chrom, strand, spans) -> one row per exon with transcript offsets.
 
-    Output: gene_name, ex_chrom, ex_strand, g_start, g_end (0-based half-open),
-    tx_start, tx_end (running sum of exon lengths in listed order).  Duplicate
-    gene rows are kept, each with its own offsets (no de-duplication).
+    Output: _tx_row (id of the transcript row), gene_name, ex_chrom, ex_strand,
+    g_start, g_end (0-based half-open), tx_start, tx_end (running sum of exon
+    lengths in listed order).  Duplicate gene rows are kept, each with its own
+    offsets (no de-duplication).
     """
     spans = F.split(F.col("spans"), ",")
     exons = F.transform(
@@ -43,15 +44,16 @@ def exon_offsets(transcripts: DataFrame) -> DataFrame:
     )
     return (
         transcripts.select(
+            F.monotonically_increasing_id().alias("_tx_row"),
             F.col("gene_id").alias("gene_name"),
             F.col("chrom").alias("ex_chrom"),
             F.col("strand").alias("ex_strand"),
             exons.alias("_ex"),
         )
         .withColumn("_len", lens)
-        .select("gene_name", "ex_chrom", "ex_strand", F.explode(with_off).alias("e"))
+        .select("_tx_row", "gene_name", "ex_chrom", "ex_strand", F.explode(with_off).alias("e"))
         .select(
-            "gene_name", "ex_chrom", "ex_strand", "e.g_start", "e.g_end", "e.tx_start",
+            "_tx_row", "gene_name", "ex_chrom", "ex_strand", "e.g_start", "e.g_end", "e.tx_start",
             (F.col("e.tx_start") + F.col("e.g_end") - F.col("e.g_start")).alias("tx_end"),
         )
     )

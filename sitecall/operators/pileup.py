@@ -107,6 +107,16 @@ def pileup_counts(reads: DataFrame, ref_base: str = "A", mut_base: str = "G", ti
 
 
 # J11 / O6 -----------------------------------------------------------------------
+def gene_exon_arrays(exons: DataFrame) -> DataFrame:
+    """One row per transcript row: (gene_name, ex_chrom, ex_strand, exons array), listed order.
+
+    Bounded by the annotation; a gene listed twice keeps two rows.
+    """
+    return exons.groupBy("gene_name", "ex_chrom", "ex_strand", "_tx_row").agg(
+        F.array_sort(F.collect_list(F.struct("tx_start", "tx_end", "g_start", "g_end"))).alias("exons")
+    ).drop("_tx_row")
+
+
 def alignment_liftover(tx_aln: DataFrame, exons: DataFrame, broadcast_max_rows: int = 2_000_000) -> DataFrame:
     """Lift transcript-coordinate alignments to genome blocks, one block per overlapped exon.
 
@@ -114,21 +124,26 @@ def alignment_liftover(tx_aln: DataFrame, exons: DataFrame, broadcast_max_rows:
     cannot be lifted and are dropped; parts beyond the transcript are clipped.
     Output: sample, read_id, gene, chrom, strand, pos (1-based genomic start),
     blocks (``start-end`` 1-based inclusive, genomic order), n_blocks, aligned.
+
+    Each alignment meets the exon array of its gene (broadcast after a size
+    check) and its blocks are built within the row: no shuffle of alignments.
     """
-    ex, _ = bounded_broadcast(exons, broadcast_max_rows)
+    ex = exons if "_tx_row" in exons.columns else exons.withColumn("_tx_row", F.lit(0))
+    arrays, _ = bounded_broadcast(gene_exon_arrays(ex), broadcast_max_rows)
     a = tx_aln.select("sample", "read_id", "gene", (F.col("tx_pos") - 1).alias("_as"), (F.col("tx_pos") - 1 + F.col("aln_len")).alias("_ae"))
-    j = a.join(ex, (a["gene"] == ex["gene_name"]) & (a["_as"] < ex["tx_end"]) & (a["_ae"] > ex["tx_start"]), "inner")
-    ov_s = F.greatest("_as", "tx_start")
-    ov_e = F.least("_ae", "tx_end")
+    j = a.join(arrays, a["gene"] == arrays["gene_name"], "inner")
+    s0, e0 = F.col("_as"), F.col("_ae")
     plus = F.col("ex_strand") == "+"
-    bs = F.when(plus, F.col("g_start") + (ov_s - F.col("tx_start"))).otherwise(F.col("g_end") - (ov_e - F.col("tx_start")))
-    be = F.when(plus, F.col("g_start") + (ov_e - F.col("tx_start"))).otherwise(F.col("g_end") - (ov_s - F.col("tx_start")))
-    blocks = j.select("sample", "read_id", "gene", F.col("ex_chrom").alias("chrom"), F.col("ex_strand").alias("strand"),
-                      bs.alias("bs"), be.alias("be"))
-    g = blocks.groupBy("sample", "read_id", "gene", "chrom", "strand").agg(
-        F.array_sort(F.collect_list(F.struct("bs", "be"))).alias("_b")
-    )
-    return g.select(
+    hit = F.filter("exons", lambda e: (s0 < e["tx_end"]) & (e0 > e["tx_start"]))
+    blocks = F.transform(hit, lambda e: F.struct(
+        F.when(plus, e["g_start"] + (F.greatest(s0, e["tx_start"]) - e["tx_start"]))
+        .otherwise(e["g_end"] - (F.least(e0, e["tx_end"]) - e["tx_start"])).alias("bs"),
+        F.when(plus, e["g_start"] + (F.least(e0, e["tx_end"]) - e["tx_start"]))
+        .otherwise(e["g_end"] - (F.greatest(s0, e["tx_start"]) - e["tx_start"])).alias("be"),
+    ))
+    x = j.select("sample", "read_id", "gene", F.col("ex_chrom").alias("chrom"), F.col("ex_strand").alias("strand"),
+                 F.array_sort(blocks).alias("_b")).where(F.size("_b") > 0)
+    return x.select(
         "sample", "read_id", "gene", "chrom", "strand",
         (F.element_at("_b", 1)["bs"] + 1).alias("pos"),
         F.array_join(F.transform("_b", lambda b: F.concat((b["bs"] + 1).cast("string"), F.lit("-"), b["be"].cast("string"))), ",").alias("blocks"),

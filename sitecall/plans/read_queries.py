@@ -475,12 +475,12 @@ _TXL_SQL = """
 select sample, read_id, gene, chrom, strand, cast(min(bs) + 1 as bigint) as pos,
  string_agg(cast(bs + 1 as varchar) || '-' || cast(be as varchar), ',' order by bs, be) as blocks,
  cast(count(*) as bigint) as n_blocks, cast(sum(be - bs) as bigint) as aligned
-from (select a.sample, a.read_id, a.gene, e.ex_chrom as chrom, e.ex_strand as strand,
+from (select a.aid, a.sample, a.read_id, a.gene, e.ex_chrom as chrom, e.ex_strand as strand,
   case when e.ex_strand = '+' then e.g_start + (greatest(a.s, e.tx_start) - e.tx_start) else e.g_end - (least(a.e, e.tx_end) - e.tx_start) end as bs,
   case when e.ex_strand = '+' then e.g_start + (least(a.e, e.tx_end) - e.tx_start) else e.g_end - (greatest(a.s, e.tx_start) - e.tx_start) end as be
- from (select sample, read_id, gene, tx_pos - 1 as s, tx_pos - 1 + aln_len as e from tx_alignments) a
+ from (select row_number() over () as aid, sample, read_id, gene, tx_pos - 1 as s, tx_pos - 1 + aln_len as e from tx_alignments) a
  join exons e on a.gene = e.gene_name and a.s < e.tx_end and a.e > e.tx_start)
-group by sample, read_id, gene, chrom, strand
+group by aid, sample, read_id, gene, chrom, strand
 """
 
 

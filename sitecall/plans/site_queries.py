@@ -161,7 +161,7 @@ _EXONS = q.exons_cte("transcripts")
 @register("exon_offsets", "W1", fx.with_fixtures(["transcripts"], "select * from exons", [("exons", _EXONS)]))
 def exon_offsets(spark, sf):
     """Exon rows with running transcript offsets (listed span order)."""
-    return liftover.exon_offsets(fx.load(spark, sf, "transcripts"))
+    return liftover.exon_offsets(fx.load(spark, sf, "transcripts")).drop("_tx_row")
 
 
 @register(
