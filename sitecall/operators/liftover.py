@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sitecall.functions.coords import liftover_pos
 from sitecall.operators.joins import bounded_broadcast
@@ -96,7 +97,10 @@ def merge_transcript_genome(lifted: DataFrame, genome_long: DataFrame, min_depth
     its first row; ``motif`` = first motif in the same order; sites whose depth
     summed over samples is < ``min_depth`` are dropped.
 
-    One shuffle on (chrom, pos, strand) serves both aggregation levels.
+    One shuffle on (chrom, pos, strand): a window ordered by (source, gene,
+    gene position) yields the site total, the gene list (bounded by the genes
+    overlapping one site) and the first motif; the per-sample sums then group
+    by site-level columns on the same partitioning (no further shuffle).
     Output (long): chrom, pos, strand, gene_names, gene_pos, motif, sample, uncon, depth.
     """
     t = lifted.select(*SITE_KEYS, F.lit(0).alias("_src"), "gene_name", "gene_pos", "motif", "sample", "uncon", "depth")
@@ -104,28 +108,22 @@ def merge_transcript_genome(lifted: DataFrame, genome_long: DataFrame, min_depth
         *SITE_KEYS, F.lit(1).alias("_src"), F.lit(None).cast("string").alias("gene_name"),
         F.lit(None).cast("bigint").alias("gene_pos"), "motif", "sample", "uncon", "depth",
     )
-    u = t.unionByName(g).repartition(*SITE_KEYS)
-    ord_struct = F.struct(F.col("_src"), F.col("gene_name"), F.col("gene_pos"), F.col("motif"))
-    per_sample = u.groupBy(*SITE_KEYS, "sample").agg(
-        F.sum("uncon").alias("uncon"),
-        F.sum("depth").alias("depth"),
-        F.collect_set(ord_struct).alias("_o"),
+    u = t.unionByName(g)
+    w = Window.partitionBy(*SITE_KEYS).orderBy("_src", "gene_name", "gene_pos").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
     )
-    site = per_sample.groupBy(*SITE_KEYS).agg(
-        F.sum("depth").alias("_tot"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("_o")))).alias("_o"),
-        F.collect_list(F.struct("sample", "uncon", "depth")).alias("_rows"),
+    genes = F.array_sort(F.collect_set(F.when(F.col("gene_name").isNotNull(), F.struct("gene_name", "gene_pos"))).over(w))
+    y = u.select(
+        "*", F.sum("depth").over(w).alias("_tot"), genes.alias("_g"), F.first("motif").over(w).alias("_m")
     ).where(F.col("_tot") >= min_depth)
-    # first row of each gene in the order; nulls (genome rows) dropped
-    firsts = F.filter(
-        F.col("_o"),
-        lambda x, i: x["gene_name"].isNotNull()
-        & F.coalesce(F.get(F.col("_o"), i - 1)["gene_name"] != x["gene_name"], F.lit(True)),
-    )
-    return site.select(
+    # sorted by (gene, position): a gene's first entry holds its first position
+    firsts = F.filter("_g", lambda x, i: F.coalesce(F.get(F.col("_g"), i - 1)["gene_name"] != x["gene_name"], F.lit(True)))
+    z = y.select(
         *SITE_KEYS,
         F.array_join(F.transform(firsts, lambda x: x["gene_name"]), ";").alias("gene_names"),
         F.array_join(F.transform(firsts, lambda x: x["gene_pos"].cast("string")), ";").alias("gene_pos"),
-        F.element_at(F.col("_o"), 1)["motif"].alias("motif"),
-        F.explode("_rows").alias("_r"),
-    ).select(*SITE_KEYS, "gene_names", "gene_pos", "motif", "_r.sample", "_r.uncon", "_r.depth")
+        F.col("_m").alias("motif"), "sample", "uncon", "depth",
+    )
+    return z.groupBy(*SITE_KEYS, "gene_names", "gene_pos", "motif", "sample").agg(
+        F.sum("uncon").alias("uncon"), F.sum("depth").alias("depth")
+    )
