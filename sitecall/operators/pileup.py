@@ -131,24 +131,34 @@ def alignment_liftover(tx_aln: DataFrame, exons: DataFrame, broadcast_max_rows:
     ex = exons if "_tx_row" in exons.columns else exons.withColumn("_tx_row", F.lit(0))
     arrays, _ = bounded_broadcast(gene_exon_arrays(ex), broadcast_max_rows)
     a = tx_aln.select("sample", "read_id", "gene", (F.col("tx_pos") - 1).alias("_as"), (F.col("tx_pos") - 1 + F.col("aln_len")).alias("_ae"))
-    j = a.join(arrays, a["gene"] == arrays["gene_name"], "inner")
     s0, e0 = F.col("_as"), F.col("_ae")
     plus = F.col("ex_strand") == "+"
+    # exons are in transcript order and tile [0, transcript length): genomic order is
+    # the same order on "+" and the reverse on "-", and the aligned length is the
+    # overlap of the alignment with the transcript (two array passes in total)
     hit = F.filter("exons", lambda e: (s0 < e["tx_end"]) & (e0 > e["tx_start"]))
-    blocks = F.transform(hit, lambda e: F.struct(
-        F.when(plus, e["g_start"] + (F.greatest(s0, e["tx_start"]) - e["tx_start"]))
-        .otherwise(e["g_end"] - (F.least(e0, e["tx_end"]) - e["tx_start"])).alias("bs"),
-        F.when(plus, e["g_start"] + (F.least(e0, e["tx_end"]) - e["tx_start"]))
-        .otherwise(e["g_end"] - (F.greatest(s0, e["tx_start"]) - e["tx_start"])).alias("be"),
-    ))
-    x = j.select("sample", "read_id", "gene", F.col("ex_chrom").alias("chrom"), F.col("ex_strand").alias("strand"),
-                 F.array_sort(blocks).alias("_b")).where(F.size("_b") > 0)
+    ordered = F.when(plus, F.col("_hit")).otherwise(F.reverse("_hit"))
+
+    def bs(e):
+        return F.when(plus, e["g_start"] + (F.greatest(s0, e["tx_start"]) - e["tx_start"])).otherwise(
+            e["g_end"] - (F.least(e0, e["tx_end"]) - e["tx_start"]))
+
+    def be(e):
+        return F.when(plus, e["g_start"] + (F.least(e0, e["tx_end"]) - e["tx_start"])).otherwise(
+            e["g_end"] - (F.greatest(s0, e["tx_start"]) - e["tx_start"]))
+
+    tx_len = F.element_at("exons", -1)["tx_end"]
+    x = a.join(arrays, a["gene"] == arrays["gene_name"], "inner").select(
+        "sample", "read_id", "gene", F.col("ex_chrom").alias("chrom"), F.col("ex_strand").alias("strand"),
+        "_as", "_ae", "ex_strand", "exons", hit.alias("_hit"),
+    ).where(F.size("_hit") > 0).withColumn("_ord", ordered)
+    first = F.element_at("_ord", 1)
     return x.select(
         "sample", "read_id", "gene", "chrom", "strand",
-        (F.element_at("_b", 1)["bs"] + 1).alias("pos"),
-        F.array_join(F.transform("_b", lambda b: F.concat((b["bs"] + 1).cast("string"), F.lit("-"), b["be"].cast("string"))), ",").alias("blocks"),
-        F.size("_b").cast("bigint").alias("n_blocks"),
-        F.aggregate("_b", F.lit(0).cast("bigint"), lambda acc, b: acc + b["be"] - b["bs"]).alias("aligned"),
+        (bs(first) + 1).alias("pos"),
+        F.array_join(F.transform("_ord", lambda e: F.concat((bs(e) + 1).cast("string"), F.lit("-"), be(e).cast("string"))), ",").alias("blocks"),
+        F.size("_ord").cast("bigint").alias("n_blocks"),
+        (F.least(e0, tx_len) - F.greatest(s0, F.lit(0))).cast("bigint").alias("aligned"),
     )
 
 
