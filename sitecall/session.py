@@ -51,8 +51,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        # unset (tests, local runs): a fresh local folder; a cluster names a shared one
         configured = tempfile.mkdtemp(prefix="sitecall-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
