@@ -85,3 +85,29 @@ def chi2_columns(df: DataFrame, opts: Options = Options()) -> DataFrame:
     return df.withColumn("stat", chi2_stat("uncon", "depth", "background")).withColumn(
         "tested", F.coalesce(call_gate("uncon", "depth", "background", opts.call_min_depth, opts.call_min_ratio), F.lit(False))
     )
+
+
+def called_wide(called: DataFrame, samples: Sequence[str], keys: Sequence[str],
+                site_cols: Sequence[str] = ("motif", "motif3", "gc_pct")) -> DataFrame:
+    """Wide called-sites table: per library ``Uncon_/Depth_/Background_/Ratio_/p_`` columns.
+
+    A library without a row at a site had zero counts there: Uncon/Depth 0,
+    Ratio NaN (0/0), p 1 (never tested); its background is left null.  Site-level
+    columns join the grouping key (one aggregate, no extra shuffle after the
+    calling plan's site partitioning).  GC is reported as a fraction.
+    """
+    aggs = []
+    for s in samples:
+        here = F.col("sample") == s
+        present = F.max(here)
+        aggs += [
+            F.coalesce(F.sum(F.when(here, F.col("uncon"))), F.lit(0)).cast("bigint").alias(f"Uncon_{s}"),
+            F.coalesce(F.sum(F.when(here, F.col("depth"))), F.lit(0)).cast("bigint").alias(f"Depth_{s}"),
+            F.max(F.when(here, F.col("background"))).alias(f"Background_{s}"),
+            F.when(present, F.max(F.when(here, F.col("ratio")))).otherwise(F.lit(float("nan"))).alias(f"Ratio_{s}"),
+            F.when(present, F.max(F.when(here, F.col("p")))).otherwise(F.lit(1.0)).alias(f"p_{s}"),
+        ]
+    w = called.groupBy(*keys, *site_cols).agg(*aggs)
+    if "gc_pct" in site_cols:
+        w = w.withColumn("GC", F.col("gc_pct") / F.lit(100.0)).drop("gc_pct")
+    return w

@@ -233,24 +233,26 @@ def union_sites(spark, sf):
 
 
 # The merged site table ---------------------------------------
+def _design():
+    from sitecall.plans.pipeline import SampleDesign
+
+    return SampleDesign(PIPE_SAMPLES, PIPE_REQUIRES, fx.GROUPS)
+
+
 def merged_sites_long(spark, sf, min_depth: int = 1) -> DataFrame:
     """Entry C: merge per reference type, lift transcripts, union, re-aggregate (long)."""
-    ex = liftover.exon_offsets(fx.load(spark, sf, "transcripts"))
-    tx = merge.merge_samples(fx.load(spark, sf, "transcript_counts"), PIPE_SAMPLES, PIPE_REQUIRES, 3)
-    gn = merge.merge_samples(_sc(spark, sf), PIPE_SAMPLES, PIPE_REQUIRES, 3)
-    lifted = liftover.liftover_sites(tx, ex)
-    return liftover.merge_transcript_genome(lifted, gn, min_depth)
+    from sitecall.plans import pipeline
+
+    return pipeline.merged_sites(
+        _sc(spark, sf), fx.load(spark, sf, "transcript_counts"), fx.load(spark, sf, "transcripts"),
+        _design(), Options(merged_min_depth=min_depth),
+    )
 
 
 def merged_sites_wide(spark, sf, min_depth: int = 1) -> DataFrame:
-    long = merged_sites_long(spark, sf, min_depth)
-    ordered = [s for s, _ in merge.merge_order(PIPE_SAMPLES, PIPE_REQUIRES)]
-    w = sites.to_wide(long, ordered, KEYS, site_cols=("gene_names", "gene_pos", "motif"))
-    return w.select(
-        F.col("chrom").alias("Chrom"), F.col("pos").alias("Pos"), F.col("strand").alias("Strand"),
-        F.col("gene_names").alias("GeneName"), F.col("gene_pos").alias("GenePos"), F.col("motif").alias("Motif"),
-        *[c for c in w.columns if c.startswith(("Uncon_", "Depth_"))],
-    )
+    from sitecall.plans import pipeline
+
+    return pipeline.merged_sites_wide(merged_sites_long(spark, sf, min_depth), _design())
 
 
 def _oracle_merged_sites(min_depth: int, body: str | None = None) -> str:

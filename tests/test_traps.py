@@ -178,3 +178,13 @@ def test_to_wide_to_long_roundtrip(spark):
     w = st.to_wide(_sc(spark, rows), ["a", "b"], ["chrom", "pos", "strand"])
     lg = {(r["pos"], r["sample"]): (r["uncon"], r["depth"]) for r in st.to_long(w, ["chrom", "pos", "strand"]).collect()}
     assert lg == {(1, "a"): (1, 2), (1, "b"): (0, 0), (2, "a"): (0, 0), (2, "b"): (3, 4)}
+
+
+def test_called_wide_absent_library(spark):
+    rows = [("a", "c", 1, "+", "M", "AAA", 40, 5, 20, 0.01, 0.25, 0.001)]
+    df = spark.createDataFrame(rows, "sample string, chrom string, pos long, strand string, motif string, motif3 string, gc_pct long, "
+                                     "uncon long, depth long, background double, ratio double, p double")
+    r = calling.called_wide(df, ["a", "b"], ["chrom", "pos", "strand"]).first()
+    assert (r["Uncon_a"], r["Depth_a"], r["p_a"]) == (5, 20, 0.001)
+    assert (r["Uncon_b"], r["Depth_b"], r["p_b"], r["Background_b"]) == (0, 0, 1.0, None)
+    assert math.isnan(r["Ratio_b"]) and r["GC"] == 0.4
