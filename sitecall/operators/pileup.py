@@ -153,11 +153,20 @@ def alignment_liftover(tx_aln: DataFrame, exons: DataFrame, broadcast_max_rows:
         "_as", "_ae", "ex_strand", "exons", hit.alias("_hit"),
     ).where(F.size("_hit") > 0).withColumn("_ord", ordered)
     first = F.element_at("_ord", 1)
+
+    def block(e):
+        return F.concat((bs(e) + 1).cast("string"), F.lit("-"), be(e).cast("string"))
+
+    # up to three blocks as plain (code-generated) expressions; longer lists take the
+    # array pass, evaluated only in that branch
+    n = F.size("_ord")
+    few = F.concat_ws(",", *[F.when(n >= i, block(F.element_at("_ord", i))) for i in (1, 2, 3)])
+    blocks = F.when(n <= 3, few).otherwise(F.array_join(F.transform("_ord", block), ","))
     return x.select(
         "sample", "read_id", "gene", "chrom", "strand",
         (bs(first) + 1).alias("pos"),
-        F.array_join(F.transform("_ord", lambda e: F.concat((bs(e) + 1).cast("string"), F.lit("-"), be(e).cast("string"))), ",").alias("blocks"),
-        F.size("_ord").cast("bigint").alias("n_blocks"),
+        blocks.alias("blocks"),
+        n.cast("bigint").alias("n_blocks"),
         (F.least(e0, tx_len) - F.greatest(s0, F.lit(0))).cast("bigint").alias("aligned"),
     )
 
