@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitecall.functions.motif import col, motif3, motif_valid, site_ratio
+from sitecall.functions.motif import col, motif3, motif_valid
 from sitecall.options import DEPTH_BINS, DEPTH_HIST_MIN_MAX, RATIO_BINS
 
 

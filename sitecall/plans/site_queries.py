@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from sitecall import fixtures as fx
 from sitecall.functions import motif as fm
 from sitecall.functions import stats as fs
-from sitecall.functions.coords import liftover_pos, span_end0, span_start0
+from sitecall.functions.coords import span_end0, span_start0
 from sitecall.operators import background as bg
 from sitecall.operators import calling, groups, liftover, merge, sites
 from sitecall.options import FALLBACK_PARAMS, Options

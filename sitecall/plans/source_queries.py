@@ -4,7 +4,6 @@ and are read back."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitecall import fixture_files as ff
@@ -16,14 +15,12 @@ from sitecall.operators import sites as st
 from sitecall.plans import read_queries as rq
 from sitecall.plans import report_queries as repq
 from sitecall.plans import site_queries as sq
+from sitecall.plans import sqltext as q
 from sitecall.plans.registry import register
 from sitecall.session import unique_scratch
 from sitecall.sources import files as src
 from sitecall.sources import sinks
 
-LONG = ["sample", "chrom", "pos", "strand", "motif", "uncon", "depth"]
-
-
 # S1 / S2 / S3 -----------------------------------------------------------------------
 register("scan_pileup", "S1", fx.with_fixtures(["pileup_tiers"], f"select * from ({sq._P1_SQL}) where depth > 0"))(
     lambda spark, sf: src.scan_pileup(spark, ff.pileup_header_files(spark, sf))
@@ -191,7 +188,7 @@ _K2_SQL = (
     "select sample, chrom, pos, strand, uncon, depth, "
     "regexp_replace(printf('%.8e', stat), 'e\\+?(-?)0*([0-9])', 'e\\1\\2') as stat, "
     "regexp_replace(printf('%.8e', background), 'e\\+?(-?)0*([0-9])', 'e\\1\\2') as background from "
-    "(select *, " + __import__("sitecall.plans.sqltext", fromlist=["chi2"]).chi2("uncon", "depth", "background") + " as stat from bgt)"
+    "(select *, " + q.chi2("uncon", "depth", "background") + " as stat from bgt)"
 )
 
 

@@ -62,7 +62,7 @@ def scan_pileup_legacy(spark: SparkSession, path: str | Sequence[str], sample: s
 
 
 # S3 -------------------------------------------------------------------------
-def scan_pileup_auto(spark: SparkSession, path: str | Sequence[str], max_files_broadcast: int = 1_000_000) -> DataFrame:
+def scan_pileup_auto(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Mixed layouts: a file whose header line starts with ``chrom`` is read as the
     header layout, any other file as the legacy layout.
 
