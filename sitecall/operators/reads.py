@@ -305,7 +305,7 @@ def stage_counts(trim: DataFrame, passed: DataFrame, dedup: DataFrame) -> DataFr
 # A22 -----------------------------------------------------------------------
 def read_qc(reads: DataFrame, by: Sequence[str] = ("sample", "mate")) -> DataFrame:
     """Per position: reads covering it, A/C/G/T/N counts, mean Phred quality (offset 33)."""
-    x = reads.select(*by, "seq", "qual", F.explode(F.sequence(F.lit(1), F.length("seq"))).alias("position"))
+    x = reads.select(*by, "seq", "qual", F.explode(F.sequence(F.lit(1).cast("bigint"), F.length("seq").cast("bigint"))).alias("position"))
     b = F.upper(F.expr("substring(seq, position, 1)"))
     qv = F.ascii(F.expr("substring(qual, position, 1)")) - 33
     return x.groupBy(*by, "position").agg(

@@ -66,7 +66,7 @@ def accept_reject_split(spark, sf):
 
 register(
     "accept_counts", "P8",
-    W("select sample, run, reftype, count_if(ok) as passed, count_if(not ok) as rejected from acc group by all", [ACC]),
+    W("select sample, run, reftype, cast(count_if(ok) as bigint) as passed, cast(count_if(not ok) as bigint) as rejected from acc group by all", [ACC]),
 )(lambda spark, sf: rd.accept_counts(_acc(spark, sf)))
 
 register(
@@ -120,14 +120,14 @@ register(
     "length_route", "P11",
     W("select sample, run, mate, read_id, length(seq) as len, case when length(seq) < 20 then 'too_short' else 'clean' end as route from clipped", [CLIP], ("reads",)),
 )(lambda spark, sf: rd.length_route(_clipped(spark, sf), OPTS.min_read_len).select(
-    "sample", "run", "mate", "read_id", F.length("seq").alias("len"), "route"))
+    "sample", "run", "mate", "read_id", F.length("seq").cast("bigint").alias("len"), "route"))
 
 
 @register(
     "read_qc", "A22",
     W(
         "select sample, mate, cast(i as bigint) as position, count(*) as reads, "
-        + ", ".join(f"count_if(upper(substr(seq, i, 1)) = '{b}') as {b.lower()}" for b in "ACGTN")
+        + ", ".join(f"cast(count_if(upper(substr(seq, i, 1)) = '{b}') as bigint) as {b.lower()}" for b in "ACGTN")
         + ", round(avg(ascii(substr(qual, i, 1)) - 33), 6) as mean_quality "
         "from (select *, unnest(generate_series(1, length(seq))) as i from clipped where length(seq) >= 20) group by all",
         [CLIP], ("reads",),
@@ -247,11 +247,11 @@ def dedup_report(spark, sf):
 @register(
     "flag_stats", "A17",
     W(
-        "select sample, reftype, count(*) as total, count_if((flag & 2304) = 0) as primary, count_if((flag & 256) <> 0) as secondary, "
-        "count_if((flag & 2048) <> 0) as supplementary, count_if((flag & 1024) <> 0) as duplicates, count_if((flag & 4) = 0) as mapped, "
-        "count_if((flag & 1) <> 0) as paired, count_if((flag & 1) <> 0 and (flag & 64) <> 0) as read1, "
-        "count_if((flag & 1) <> 0 and (flag & 128) <> 0) as read2, count_if((flag & 1) <> 0 and (flag & 2) <> 0 and (flag & 4) = 0) as properly_paired, "
-        "count_if((flag & 1) <> 0 and (flag & 4) = 0 and (flag & 8) <> 0) as singletons from alignments group by all"
+        "select sample, reftype, count(*) as total, cast(count_if((flag & 2304) = 0) as bigint) as primary, cast(count_if((flag & 256) <> 0) as bigint) as secondary, "
+        "cast(count_if((flag & 2048) <> 0) as bigint) as supplementary, cast(count_if((flag & 1024) <> 0) as bigint) as duplicates, cast(count_if((flag & 4) = 0) as bigint) as mapped, "
+        "cast(count_if((flag & 1) <> 0) as bigint) as paired, cast(count_if((flag & 1) <> 0 and (flag & 64) <> 0) as bigint) as read1, "
+        "cast(count_if((flag & 1) <> 0 and (flag & 128) <> 0) as bigint) as read2, cast(count_if((flag & 1) <> 0 and (flag & 2) <> 0 and (flag & 4) = 0) as bigint) as properly_paired, "
+        "cast(count_if((flag & 1) <> 0 and (flag & 4) = 0 and (flag & 8) <> 0) as bigint) as singletons from alignments group by all"
     ),
 )
 def flag_stats(spark, sf):
@@ -261,7 +261,7 @@ def flag_stats(spark, sf):
 
 register(
     "read_count_r1", "A18",
-    W("select sample, reftype, count_if((flag & 384) = 0) as n from alignments group by all"),
+    W("select sample, reftype, cast(count_if((flag & 384) = 0) as bigint) as n from alignments group by all"),
 )(lambda spark, sf: rd.read_count_r1(_aln(spark, sf)))
 
 register(
@@ -456,9 +456,9 @@ register(
 _PILEUP_SQL = """
 select sample, reference as chrom, cast(pos as bigint) as pos, '+' as strand,
  substr(concat(repeat('N', 15), first(ref_seq), repeat('N', 15)), pos, 31) as motif,
- count_if(tier = 0 and upper(substr(seq, pos, 1)) = 'A') as u0, count_if(tier = 1 and upper(substr(seq, pos, 1)) = 'A') as u1,
- count_if(tier = 2 and upper(substr(seq, pos, 1)) = 'A') as u2, count_if(tier = 0 and upper(substr(seq, pos, 1)) = 'G') as m0,
- count_if(tier = 1 and upper(substr(seq, pos, 1)) = 'G') as m1, count_if(tier = 2 and upper(substr(seq, pos, 1)) = 'G') as m2
+ cast(count_if(tier = 0 and upper(substr(seq, pos, 1)) = 'A') as bigint) as u0, cast(count_if(tier = 1 and upper(substr(seq, pos, 1)) = 'A') as bigint) as u1,
+ cast(count_if(tier = 2 and upper(substr(seq, pos, 1)) = 'A') as bigint) as u2, cast(count_if(tier = 0 and upper(substr(seq, pos, 1)) = 'G') as bigint) as m0,
+ cast(count_if(tier = 1 and upper(substr(seq, pos, 1)) = 'G') as bigint) as m1, cast(count_if(tier = 2 and upper(substr(seq, pos, 1)) = 'G') as bigint) as m2
 from (select *, unnest(list_filter(generate_series(1, least(length(seq), length(ref_seq))), lambda i: upper(substr(ref_seq, i, 1)) = 'A')) as pos,
    case when yf + zf < 5 then 0 when zf <= 2 then 1 else 2 end as tier from probe_reads)
 group by sample, reference, pos

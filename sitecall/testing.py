@@ -55,10 +55,27 @@ def normalise(pdf: pd.DataFrame, digits: int = 6) -> list[tuple]:
     return rows
 
 
-def compare(spark_df, oracle_sql: str, sf_dir: str, digits: int = 6) -> tuple[bool, str]:
+_SPARK_TYPES = {"int": "int32", "bigint": "int64", "double": "float64", "string": "str", "boolean": "bool",
+                "smallint": "int16", "tinyint": "int8", "float": "float32"}
+_DUCK_TYPES = {"INTEGER": "int32", "BIGINT": "int64", "DOUBLE": "float64", "VARCHAR": "str", "BOOLEAN": "bool",
+               "SMALLINT": "int16", "TINYINT": "int8", "FLOAT": "float32"}
+
+
+def schema_diff(spark_df, relation) -> dict:
+    """Columns whose Spark and DuckDB types differ (e.g. int vs BIGINT, HUGEINT or DECIMAL leaks)."""
+    s = {f.name: _SPARK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in spark_df.schema.fields}
+    d = {c: _DUCK_TYPES.get(str(t), str(t)) for c, t in zip(relation.columns, relation.types)}
+    return {c: (s.get(c), d.get(c)) for c in set(s) | set(d) if s.get(c) != d.get(c)}
+
+
+def compare(spark_df, oracle_sql: str, sf_dir: str, digits: int = 6, check_types: bool = True) -> tuple[bool, str]:
     """Run the Spark DataFrame and the DuckDB SQL; return (equal, message)."""
-    left = spark_df.toPandas()
     con = duckdb_connect(sf_dir)
+    if check_types:
+        diff = schema_diff(spark_df, con.sql(oracle_sql))
+        if diff:
+            return False, f"column types differ: {diff}"
+    left = spark_df.toPandas()
     right = con.execute(oracle_sql).fetchdf()
     if sorted(left.columns) != sorted(right.columns):
         return False, f"columns differ: {sorted(left.columns)} vs {sorted(right.columns)}"
