@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -36,9 +37,37 @@ def configure(spark: SparkSession) -> SparkSession:
     if conf.get("spark.sql.adaptive.enabled", "true") != "true":
         conf.set("spark.sql.adaptive.enabled", "true")
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``sitecall`` importable by the Python workers (like ``--py-files``).
+
+    The per-group fit and the per-batch counters run in Python workers, which
+    unpickle functions by module name; the package is zipped on the driver and
+    distributed by Spark once per application.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="sitecall-pyfiles-"), "sitecall.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(app)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder named by ``spark.checkpoint.dir``.
 
