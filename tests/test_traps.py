@@ -188,3 +188,30 @@ def test_called_wide_absent_library(spark):
     assert (r["Uncon_a"], r["Depth_a"], r["p_a"]) == (5, 20, 0.001)
     assert (r["Uncon_b"], r["Depth_b"], r["p_b"], r["Background_b"]) == (0, 0, 1.0, None)
     assert math.isnan(r["Ratio_b"]) and r["GC"] == 0.4
+
+
+def test_fit_depth_window_applies_to_points_only(spark):
+    from sitecall.operators import background as bg
+
+    m = "A" * 31
+    rows = [("a", "c", 1, "+", m, 50_000, 200_000), ("a", "c", 2, "+", m, 3, 20)]
+    sites = calling.prepare_sites(_sc(spark, rows))
+    pts = bg.background_points(sites).collect()
+    assert sum(r["count"] for r in pts) == 1  # depth 200000 is not a fit point
+    params = bg.fallback_background(bg.background_points(sites))
+    scored = calling.score_sites(bg.attach_background(sites, params)).collect()
+    assert {r["pos"] for r in scored} == {1, 2}  # ...but it is still called
+    assert [r["p"] for r in scored if r["pos"] == 1][0] < 1
+
+
+def test_motif_without_points_has_no_parameters(spark):
+    from sitecall.operators import background as bg
+
+    with_pts = "A" * 31
+    no_pts = "C" * 14 + "GAG" + "C" * 14
+    rows = [("a", "c", 1, "+", with_pts, 3, 20), ("a", "c", 2, "+", no_pts, 0, 0), ("a", "c", 3, "+", no_pts, 9, 20)]
+    sites = calling.prepare_sites(_sc(spark, rows))
+    params = bg.fallback_background(bg.background_points(sites.where("pos < 3")))
+    scored = {r["pos"]: r for r in calling.score_sites(bg.attach_background(sites, params)).collect()}
+    assert scored[1]["background"] is not None
+    assert scored[3]["background"] is None and scored[3]["p"] is None
