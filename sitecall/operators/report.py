@@ -150,7 +150,8 @@ def histogram_wide(hist: DataFrame, samples: Sequence[str], n: int, labels: Sequ
     piv = hist.groupBy("bin").agg(
         *[F.sum(F.when(F.col("sample") == s, F.col("count"))).alias(s) for s in samples]
     )
-    return F.broadcast(spine).join(piv, "bin", "left").select(
+    # both sides hold at most n rows (the bin count): a plain join, Spark/AQE pick the strategy
+    return spine.join(piv, "bin", "left").select(
         "bin", "label", *[F.coalesce(F.col(s), F.lit(0)).cast("bigint").alias(s) for s in samples]
     )
 

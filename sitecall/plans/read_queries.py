@@ -341,8 +341,10 @@ _TRIM_PCT_SQL = (
 )
 def trim_report_join(spark, sf):
     """Read hierarchy rows with the first run's trimmed percentage (left join on sample)."""
+    from sitecall.operators.joins import join_small
+
     t = fx.load(spark, sf, "trim_reports").where(F.col("run") == "run1").select("sample", report.trimmed_pct("report").alias("trimmed_pct"))
-    return hierarchy(spark, sf).join(F.broadcast(t), "sample", "left")
+    return join_small(hierarchy(spark, sf), t, "sample", "left")
 
 
 @register(

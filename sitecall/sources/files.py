@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sitecall.operators.joins import bounded_broadcast
 from sitecall.operators.sites import uncon_depth_from_tiers
 
 HEADER_COLS = ("chrom", "pos", "strand", "motif", "u0", "u1", "u2", "m0", "m1", "m2")
@@ -67,13 +68,14 @@ def scan_pileup_auto(spark: SparkSession, path: str | Sequence[str]) -> DataFram
     header layout, any other file as the legacy layout.
 
     The per-file layout table has one row per header file (bounded by the file
-    listing the driver already holds) and is broadcast.
+    listing); it is broadcast after a row-count check.
     """
     raw = spark.read.text(path)  # Hive-style directories add partition columns
     lines = raw.select("value", F.col("_metadata.file_path").alias("_file"), *(["sample"] if "sample" in raw.columns else []))
     header_files = lines.where(F.col("value").startswith("chrom\t")).select("_file").distinct().withColumn("_hdr", F.lit(True))
+    header_files, _ = bounded_broadcast(header_files)  # one row per header file, checked
     f = F.split(F.col("value"), "\t")
-    x = lines.join(F.broadcast(header_files), "_file", "left").where(~F.col("value").startswith("chrom\t"))
+    x = lines.join(header_files, "_file", "left").where(~F.col("value").startswith("chrom\t"))
     hdr = F.coalesce(F.col("_hdr"), F.lit(False))
 
     def fld(i: int) -> Column:
