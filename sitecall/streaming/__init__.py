@@ -1 +1,7 @@
-"""streaming."""
+"""Streaming: intentionally empty.
+
+Every step of the original pipeline reads complete files and writes complete
+files; it has no watermark, event-time window, session, state or late-data
+rule (SURVEY §2.9), so there is no streaming operator to rebuild.  All
+operators here are batch DataFrame transformations.
+"""
