@@ -69,3 +69,78 @@ def aligned_pair_counts(reads: DataFrame, keys: Sequence[str], ref: str = "ref_s
 
     partial = src.mapInPandas(run, schema)
     return partial.groupBy(*keys, "pos", "ref_base", "read_base").agg(F.sum("n").alias("n"))
+
+
+_BASE_CODE = np.full(256, 5, dtype=np.int64)  # other letters: counted in "reads" only
+for _i, _b in enumerate("ACGTN"):
+    _BASE_CODE[ord(_b)] = _i
+    _BASE_CODE[ord(_b.lower())] = _i
+_BASES = ("a", "c", "g", "t", "n")
+
+
+def _batch_position_stats(pdf: pd.DataFrame, keys: Sequence[str], seq: str, qual: str, offset: int) -> pd.DataFrame | None:
+    seqs = pdf[seq].to_numpy()
+    quals = pdf[qual].fillna("").to_numpy()
+    ok = pd.notna(seqs)
+    if not ok.all():
+        pdf, seqs, quals = pdf[ok], seqs[ok], quals[ok]
+    if len(pdf) == 0:
+        return None
+    lens = np.fromiter((len(s) for s in seqs), dtype=np.int64, count=len(seqs))
+    total = int(lens.sum())
+    if total == 0:
+        return None
+    sb = np.frombuffer("".join(seqs).encode("latin-1", "replace"), dtype=np.uint8)
+    # quality aligned to the read: padded/truncated to the read length (missing -> no quality)
+    qpad = "".join(q[:n].ljust(n, "\x00") for q, n in zip(quals, lens))
+    qb = np.frombuffer(qpad.encode("latin-1", "replace"), dtype=np.uint8).astype(np.int64)
+    gid = pdf.groupby(list(keys), sort=False, dropna=False).ngroup().to_numpy(dtype=np.int64)
+    starts = np.cumsum(lens) - lens
+    pos = np.arange(total, dtype=np.int64) - np.repeat(starts, lens)
+    width = int(lens.max())
+    ngroups = int(gid.max()) + 1
+    cell = np.repeat(gid, lens) * width + pos
+    size = ngroups * width
+    reads = np.bincount(cell, minlength=size)
+    has_q = qb > 0
+    qsum = np.bincount(cell[has_q], weights=(qb[has_q] - offset).astype(np.float64), minlength=size)
+    qn = np.bincount(cell[has_q], minlength=size)
+    code = _BASE_CODE[sb]
+    bases = np.bincount(cell * 6 + code, minlength=size * 6).reshape(size, 6)
+    used = np.nonzero(reads)[0]
+    first_row = pd.Series(np.arange(len(gid))).groupby(gid).first()
+    out = pdf[list(keys)].iloc[first_row.loc[used // width].to_numpy()].reset_index(drop=True)
+    out["position"] = (used % width + 1).astype(np.int64)
+    out["reads"] = reads[used].astype(np.int64)
+    for j, b in enumerate(_BASES):
+        out[b] = bases[used, j].astype(np.int64)
+    out["q_sum"] = qsum[used]
+    out["q_n"] = qn[used].astype(np.int64)
+    return out
+
+
+def position_stats(reads: DataFrame, keys: Sequence[str], seq: str = "seq", qual: str = "qual", offset: int = 33) -> DataFrame:
+    """Per (keys..., position): reads covering it, A/C/G/T/N counts (case-folded; other
+    letters only count as covering reads), mean Phred quality.  Partial sums per
+    Arrow batch, summed by Spark."""
+    keys = list(keys)
+    src = reads.select(*keys, seq, qual)
+    fields = [f for f in src.schema.fields if f.name in keys]
+    schema = T.StructType(
+        fields + [T.StructField("position", T.LongType()), T.StructField("reads", T.LongType())]
+        + [T.StructField(b, T.LongType()) for b in _BASES]
+        + [T.StructField("q_sum", T.DoubleType()), T.StructField("q_n", T.LongType())]
+    )
+
+    def run(batches):
+        for pdf in batches:
+            out = _batch_position_stats(pdf, keys, seq, qual, offset)
+            if out is not None and len(out):
+                yield out[[f.name for f in schema.fields]]
+
+    partial = src.mapInPandas(run, schema)
+    g = partial.groupBy(*keys, "position").agg(
+        F.sum("reads").alias("reads"), *[F.sum(b).alias(b) for b in _BASES],
+        F.sum("q_sum").alias("_qs"), F.sum("q_n").alias("_qn"),
+    )
+    return g.select(*keys, "position", "reads", *_BASES, F.try_divide(F.col("_qs"), F.col("_qn").cast("double")).alias("mean_quality"))

@@ -304,15 +304,14 @@ def stage_counts(trim: DataFrame, passed: DataFrame, dedup: DataFrame) -> DataFr
 
 # A22 -----------------------------------------------------------------------
 def read_qc(reads: DataFrame, by: Sequence[str] = ("sample", "mate")) -> DataFrame:
-    """Per position: reads covering it, A/C/G/T/N counts, mean Phred quality (offset 33)."""
-    x = reads.select(*by, "seq", "qual", F.explode(F.sequence(F.lit(1).cast("bigint"), F.length("seq").cast("bigint"))).alias("position"))
-    b = F.upper(F.expr("substring(seq, position, 1)"))
-    qv = F.ascii(F.expr("substring(qual, position, 1)")) - 33
-    return x.groupBy(*by, "position").agg(
-        F.count(F.lit(1)).alias("reads"),
-        *[F.count_if(b == base).alias(base.lower()) for base in ("A", "C", "G", "T", "N")],
-        F.avg(qv).alias("mean_quality"),
-    )
+    """Per position: reads covering it, A/C/G/T/N counts, mean Phred quality (offset 33).
+
+    Counted per Arrow batch (``basecount.position_stats``) and summed by Spark:
+    no per-base rows are materialised.
+    """
+    from sitecall.operators.basecount import position_stats
+
+    return position_stats(reads, list(by))
 
 
 def read_gc(reads: DataFrame, by: Sequence[str] = ("sample", "mate")) -> DataFrame:

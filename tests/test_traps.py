@@ -215,3 +215,13 @@ def test_motif_without_points_has_no_parameters(spark):
     scored = {r["pos"]: r for r in calling.score_sites(bg.attach_background(sites, params)).collect()}
     assert scored[1]["background"] is not None
     assert scored[3]["background"] is None and scored[3]["p"] is None
+
+
+def test_read_qc_position_stats(spark):
+    from sitecall.operators import reads as rdx
+
+    df = spark.createDataFrame([("s", "R1", "ACgN", "I5+!"), ("s", "R1", "AR", "II")], "sample string, mate string, seq string, qual string")
+    got = {r["position"]: r for r in rdx.read_qc(df).collect()}
+    assert (got[1]["reads"], got[1]["a"], got[1]["mean_quality"]) == (2, 2, 40.0)
+    assert (got[2]["reads"], got[2]["c"], got[2]["n"]) == (2, 1, 0)  # R is neither C nor N
+    assert (got[3]["g"], got[4]["n"], got[4]["mean_quality"]) == (1, 1, 0.0)
