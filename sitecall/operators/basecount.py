@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 _CHARS = np.array([chr(i) for i in range(256)], dtype=object)
 
 
-def _batch_counts(pdf: pd.DataFrame, keys: Sequence[str], ref: str, seq: str) -> pd.DataFrame | None:
+def _batch_counts(pdf: pd.DataFrame, keys: Sequence[str], ref: str, seq: str, context: int | None = None) -> pd.DataFrame | None:
     refs = pdf[ref].to_numpy()
     seqs = pdf[seq].to_numpy()
     ok = pd.notna(refs) & pd.notna(seqs)
@@ -48,27 +48,41 @@ def _batch_counts(pdf: pd.DataFrame, keys: Sequence[str], ref: str, seq: str) ->
     out["ref_base"] = _CHARS[(uniq >> 8) & 255]
     out["read_base"] = _CHARS[uniq & 255]
     out["n"] = counts.astype(np.int64)
+    if context is not None:
+        # reference window around each position (N-padded), from the group's first read
+        pad = "N" * context
+        ref_of_group = refs[first_row.to_numpy()]
+        gi = g.astype(np.int64)
+        p0 = rest % width
+        out["context"] = [(pad + ref_of_group[a] + pad)[b: b + 2 * context + 1] for a, b in zip(gi, p0)]
     return out
 
 
-def aligned_pair_counts(reads: DataFrame, keys: Sequence[str], ref: str = "ref_seq", seq: str = "seq") -> DataFrame:
-    """(keys..., pos (1-based), ref_base, read_base, n): base i of ``seq`` aligned to base i of ``ref``."""
+def aligned_pair_counts(reads: DataFrame, keys: Sequence[str], ref: str = "ref_seq", seq: str = "seq",
+                        context: int | None = None) -> DataFrame:
+    """(keys..., pos (1-based), ref_base, read_base, n): base i of ``seq`` aligned to base i of ``ref``.
+
+    With ``context=k`` a ``context`` column carries the 2k+1 reference bases centred on
+    ``pos`` (N-padded); the reference must be the same for all reads of a key group.
+    """
     keys = list(keys)
     src = reads.select(*keys, ref, seq)
     fields = [f for f in src.schema.fields if f.name in keys]
+    extra = [T.StructField("context", T.StringType())] if context is not None else []
     schema = T.StructType(
         fields + [T.StructField("pos", T.LongType()), T.StructField("ref_base", T.StringType()),
-                  T.StructField("read_base", T.StringType()), T.StructField("n", T.LongType())]
+                  T.StructField("read_base", T.StringType()), T.StructField("n", T.LongType())] + extra
     )
 
     def run(batches):
         for pdf in batches:
-            out = _batch_counts(pdf, keys, ref, seq)
+            out = _batch_counts(pdf, keys, ref, seq, context)
             if out is not None and len(out):
                 yield out[[f.name for f in schema.fields]]
 
     partial = src.mapInPandas(run, schema)
-    return partial.groupBy(*keys, "pos", "ref_base", "read_base").agg(F.sum("n").alias("n"))
+    group = [*keys, "pos", "ref_base", "read_base"] + (["context"] if context is not None else [])
+    return partial.groupBy(*group).agg(F.sum("n").alias("n"))
 
 
 _BASE_CODE = np.full(256, 5, dtype=np.int64)  # other letters: counted in "reads" only

@@ -89,19 +89,16 @@ def pileup_counts(reads: DataFrame, ref_base: str = "A", mut_base: str = "G", ti
     tier = default_tier() if tier is None else tier
     ref_base, mut_base = ref_base.upper(), mut_base.upper()
     r = reads.select("sample", F.col(chrom).alias("chrom"), tier.alias("tier"), "ref_seq", "seq")
-    c = aligned_pair_counts(r, ["sample", "chrom", "tier"]).where(F.upper("ref_base") == ref_base)
+    # the motif window comes with the counts (functionally dependent on chrom, pos)
+    c = aligned_pair_counts(r, ["sample", "chrom", "tier"], context=MOTIF_HALF).where(F.upper("ref_base") == ref_base)
     b = F.upper("read_base")
     aggs = []
     for base, prefix in ((ref_base, "u"), (mut_base, "m")):
         for t in (0, 1, 2):
             aggs.append(F.sum(F.when((F.col("tier") == t) & (b == base), F.col("n")).otherwise(0)).cast("bigint").alias(f"{prefix}{t}"))
-    g = c.groupBy("sample", "chrom", "pos").agg(*aggs)
-    # reference sequence per chrom (one row per reference), checked before broadcast
-    refs, _ = bounded_broadcast(r.groupBy("chrom").agg(F.min("ref_seq").alias("_ref")))
-    pad = "N" * MOTIF_HALF
-    motif = F.expr(f"substring(concat('{pad}', _ref, '{pad}'), pos, {2 * MOTIF_HALF + 1})")
-    return g.join(refs, "chrom").select(
-        "sample", "chrom", F.col("pos").cast("bigint").alias("pos"), F.lit("+").alias("strand"), motif.alias("motif"),
+    g = c.groupBy("sample", "chrom", "pos", F.col("context").alias("motif")).agg(*aggs)
+    return g.select(
+        "sample", "chrom", F.col("pos").cast("bigint").alias("pos"), F.lit("+").alias("strand"), "motif",
         *[F.col(f"u{t}") for t in (0, 1, 2)], *[F.col(f"m{t}") for t in (0, 1, 2)],
     )
 
