@@ -18,6 +18,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _CHARS = np.array([chr(i) for i in range(256)], dtype=object)
+MAX_BASES_PER_CHUNK = 4_000_000  # bounds worker memory whatever the read length
+
+
+def _chunks(pdf: pd.DataFrame, seq: str, max_bases: int = MAX_BASES_PER_CHUNK):
+    """Consecutive slices of an Arrow batch holding at most ``max_bases`` bases (at least one read)."""
+    lens = pdf[seq].fillna("").str.len().to_numpy()
+    start, acc = 0, 0
+    for i, n in enumerate(lens):
+        if acc and acc + n > max_bases:
+            yield pdf.iloc[start:i]
+            start, acc = i, 0
+        acc += n
+    if start < len(pdf):
+        yield pdf.iloc[start:]
 
 
 def _batch_counts(pdf: pd.DataFrame, keys: Sequence[str], ref: str, seq: str, context: int | None = None) -> pd.DataFrame | None:
@@ -75,10 +89,11 @@ def aligned_pair_counts(reads: DataFrame, keys: Sequence[str], ref: str = "ref_s
     )
 
     def run(batches):
-        for pdf in batches:
-            out = _batch_counts(pdf, keys, ref, seq, context)
-            if out is not None and len(out):
-                yield out[[f.name for f in schema.fields]]
+        for batch in batches:
+            for pdf in _chunks(batch, seq):
+                out = _batch_counts(pdf, keys, ref, seq, context)
+                if out is not None and len(out):
+                    yield out[[f.name for f in schema.fields]]
 
     partial = src.mapInPandas(run, schema)
     group = [*keys, "pos", "ref_base", "read_base"] + (["context"] if context is not None else [])
@@ -147,10 +162,11 @@ def position_stats(reads: DataFrame, keys: Sequence[str], seq: str = "seq", qual
     )
 
     def run(batches):
-        for pdf in batches:
-            out = _batch_position_stats(pdf, keys, seq, qual, offset)
-            if out is not None and len(out):
-                yield out[[f.name for f in schema.fields]]
+        for batch in batches:
+            for pdf in _chunks(batch, seq):
+                out = _batch_position_stats(pdf, keys, seq, qual, offset)
+                if out is not None and len(out):
+                    yield out[[f.name for f in schema.fields]]
 
     partial = src.mapInPandas(run, schema)
     g = partial.groupBy(*keys, "position").agg(
