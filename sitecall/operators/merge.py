@@ -44,7 +44,7 @@ def base_size(ordered: Sequence[tuple[str, bool]]) -> int:
     return len(ordered)
 
 
-def merge_samples(site_counts: DataFrame, samples: Sequence[str], requires: Sequence[int | bool],
+def merge_site_counts(site_counts: DataFrame, samples: Sequence[str], requires: Sequence[int | bool],
                   min_depth: int = 3) -> DataFrame:
     """Merge long per-sample counts; returns the long merged table.
 

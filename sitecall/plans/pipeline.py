@@ -39,8 +39,8 @@ def merged_sites(genome_long: DataFrame, transcript_long: DataFrame, transcripts
                  design: SampleDesign, opts: Options = Options()) -> DataFrame:
     """Entry C: merge each reference type, lift transcript sites, union, re-aggregate (long)."""
     ex = liftover.exon_offsets(transcripts)
-    tx = merge.merge_samples(transcript_long, design.samples, design.requires, opts.merge_min_depth)
-    gn = merge.merge_samples(genome_long, design.samples, design.requires, opts.merge_min_depth)
+    tx = merge.merge_site_counts(transcript_long, design.samples, design.requires, opts.merge_min_depth)
+    gn = merge.merge_site_counts(genome_long, design.samples, design.requires, opts.merge_min_depth)
     return liftover.merge_transcript_genome(liftover.liftover_sites(tx, ex), gn, opts.merged_min_depth)
 
 

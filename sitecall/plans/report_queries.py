@@ -88,7 +88,7 @@ def motif_table_join(spark, sf):
 
 def sites_long(spark, sf) -> DataFrame:
     """Genome merged sites (long) as read by the site report."""
-    return merge.merge_samples(fx.load(spark, sf, "site_counts"), PIPE_SAMPLES, PIPE_REQUIRES, 3)
+    return merge.merge_site_counts(fx.load(spark, sf, "site_counts"), PIPE_SAMPLES, PIPE_REQUIRES, 3)
 
 
 def _sites_long_sql(body: str, extra=None) -> str:

@@ -32,7 +32,7 @@ def _tiers(spark, sf):
 
 
 def _wide_merge(spark, sf, samples, requires, min_depth=3, src="site_counts") -> DataFrame:
-    long = merge.merge_samples(fx.load(spark, sf, src), samples, requires, min_depth)
+    long = merge.merge_site_counts(fx.load(spark, sf, src), samples, requires, min_depth)
     ordered = [s for s, _ in merge.merge_order(samples, requires)]
     return merge.merged_wide(long, ordered)
 
@@ -315,8 +315,8 @@ register(
 def first_distinct(spark, sf):
     """First row per (site, gene) by window, then genes joined in order."""
     ex = liftover.exon_offsets(fx.load(spark, sf, "transcripts"))
-    tx = merge.merge_samples(fx.load(spark, sf, "transcript_counts"), PIPE_SAMPLES, PIPE_REQUIRES, 3)
-    gn = merge.merge_samples(_sc(spark, sf), PIPE_SAMPLES, PIPE_REQUIRES, 3)
+    tx = merge.merge_site_counts(fx.load(spark, sf, "transcript_counts"), PIPE_SAMPLES, PIPE_REQUIRES, 3)
+    gn = merge.merge_site_counts(_sc(spark, sf), PIPE_SAMPLES, PIPE_REQUIRES, 3)
     lifted = liftover.liftover_sites(tx, ex)
     kept = liftover.merge_transcript_genome(lifted, gn, 1).select(*KEYS).distinct()
     w = Window.partitionBy(*KEYS, "gene_name").orderBy("gene_pos")
@@ -540,7 +540,7 @@ def binom_pvalue(spark, sf):
 # entry: the minimum slice -------------------------------------------------------
 def flagship(spark: SparkSession, sf: str, fitted: bool = True) -> DataFrame:
     """Which sites are modified in which library: merge -> background fit -> chi-square -> any p < 1."""
-    long = merge.merge_samples(_sc(spark, sf), PIPE_SAMPLES, PIPE_REQUIRES, 3)
+    long = merge.merge_site_counts(_sc(spark, sf), PIPE_SAMPLES, PIPE_REQUIRES, 3)
     params = None if fitted else bg.fallback_background(bg.background_points(calling.prepare_sites(long)))
     called, _, _ = calling.call_sites(long, KEYS, Options(), params=params)
     return called.select("sample", *KEYS, "motif", "motif3", "gc_pct", "uncon", "depth", "background", "ratio", "p")

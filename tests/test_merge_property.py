@@ -30,7 +30,7 @@ def test_merge_equals_join_chain(spark, seed):
             uniq.append(r)
     df = spark.createDataFrame(uniq, "sample string, chrom string, pos long, strand string, motif string, uncon long, depth long")
     ordered = merge.merge_order(samples, requires)
-    got = merge.merged_wide(merge.merge_samples(df, samples, requires, 3), [s for s, _ in ordered]).toPandas()
+    got = merge.merged_wide(merge.merge_site_counts(df, samples, requires, 3), [s for s, _ in ordered]).toPandas()
     con = duckdb.connect()
     con.register("src", df.toPandas())
     ctes, out = q.merge_chain("src", ordered, 3)

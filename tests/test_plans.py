@@ -33,7 +33,7 @@ def test_no_cross_or_nested_loop_joins(spark, sf, name):
 
 
 def test_merge_is_one_shuffle_and_pivot_reuses_it(spark, sf, static_plans):
-    long = merge.merge_samples(fx.load(spark, sf, "site_counts"), sq.PIPE_SAMPLES, sq.PIPE_REQUIRES, 3)
+    long = merge.merge_site_counts(fx.load(spark, sf, "site_counts"), sq.PIPE_SAMPLES, sq.PIPE_REQUIRES, 3)
     assert _shuffles(_plan(long)) == 1
     wide = merge.merged_wide(long, ["s1", "s2", "s3", "s0"])
     plan = _plan(wide)

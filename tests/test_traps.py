@@ -47,19 +47,19 @@ def test_merge_depth_filter_only_with_optional(spark):
     rows = [("a", "c", 1, "+", "M", 1, 2), ("b", "c", 1, "+", "M", 0, 1), ("b", "c", 2, "+", "M", 5, 9), ("o", "c", 2, "+", "M", 1, 1)]
     df = _sc(spark, rows)
     # no optional sample: no depth filter, full union of a and b
-    both = merge.merge_samples(df, ["a", "b"], [1, 1], 3)
+    both = merge.merge_site_counts(df, ["a", "b"], [1, 1], 3)
     assert {(r["pos"]) for r in both.collect()} == {1, 2}
     # with an optional sample: max depth over a, b >= 3 before annotating with o
-    opt = merge.merge_samples(df, ["a", "b", "o"], [1, 1, 0], 3)
+    opt = merge.merge_site_counts(df, ["a", "b", "o"], [1, 1, 0], 3)
     assert sorted((r["pos"], r["sample"]) for r in opt.collect()) == [(2, "b"), (2, "o")]
     # all optional: the first sample alone is the base and is filtered alone
-    allopt = merge.merge_samples(df, ["b", "a", "o"], [0, 0, 0], 3)
+    allopt = merge.merge_site_counts(df, ["b", "a", "o"], [0, 0, 0], 3)
     assert sorted((r["pos"], r["sample"]) for r in allopt.collect()) == [(2, "b"), (2, "o")]
 
 
 def test_merge_motif_precedence(spark):
     rows = [("x", "c", 1, "+", None, 1, 5), ("y", "c", 1, "+", "MY", 1, 5), ("z", "c", 1, "+", "MZ", 1, 5)]
-    out = merge.merge_samples(_sc(spark, rows), ["z", "x", "y"], [0, 1, 1], 0)
+    out = merge.merge_site_counts(_sc(spark, rows), ["z", "x", "y"], [0, 1, 1], 0)
     assert {r["motif"] for r in out.collect()} == {"MY"}  # x (rank 0) has none, y is next
 
 
