@@ -53,9 +53,11 @@ def merged_sites_wide(merged_long: DataFrame, design: SampleDesign) -> DataFrame
     )
 
 
-def call(merged_long: DataFrame, opts: Options = Options()) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Entry B: (called long rows, fit points, fit parameters)."""
-    return calling.call_sites(merged_long, KEYS, opts)
+def call(merged_long: DataFrame, opts: Options = Options(), design: SampleDesign | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Entry B: (called long rows, fit points, fit parameters).  Treated-library pooling
+    runs only when the design has ``-p-`` libraries (or when no design is given)."""
+    pool = True if design is None else any(calling.POOL_MARK in s for s in design.samples)
+    return calling.call_sites(merged_long, KEYS, opts, pool=pool)
 
 
 def group_tests(merged_long: DataFrame, design: SampleDesign, opts: Options = Options()) -> DataFrame:
@@ -79,7 +81,7 @@ def run_sites(spark: SparkSession, genome_long: DataFrame, transcript_long: Data
     merged_sites(genome_long, transcript_long, transcripts, design, opts).write.mode("overwrite").parquet(out["merged"])
     merged = spark.read.parquet(out["merged"])
     sinks.sink_tsv(merged_sites_wide(merged, design), out["sites"])
-    called, points, params = call(merged, opts)
+    called, points, params = call(merged, opts, design)
     wide = calling.called_wide(called, design.ordered, KEYS, site_cols=("gene_names", "gene_pos", "motif", "motif3", "gc_pct"))
     sinks.sink_tsv_sci(wide, out["filtered"])
     sinks.sink_model(points, params, out["model"])

@@ -542,7 +542,8 @@ def flagship(spark: SparkSession, sf: str, fitted: bool = True) -> DataFrame:
     """Which sites are modified in which library: merge -> background fit -> chi-square -> any p < 1."""
     long = merge.merge_site_counts(_sc(spark, sf), PIPE_SAMPLES, PIPE_REQUIRES, 3)
     params = None if fitted else bg.fallback_background(bg.background_points(calling.prepare_sites(long)))
-    called, _, _ = calling.call_sites(long, KEYS, Options(), params=params)
+    pool = any(calling.POOL_MARK in smp for smp in PIPE_SAMPLES)  # treated libraries in the design?
+    called, _, _ = calling.call_sites(long, KEYS, Options(), params=params, pool=pool)
     return called.select("sample", *KEYS, "motif", "motif3", "gc_pct", "uncon", "depth", "background", "ratio", "p")
 
 
