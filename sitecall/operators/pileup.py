@@ -90,7 +90,8 @@ def pileup_counts(reads: DataFrame, ref_base: str = "A", mut_base: str = "G", ti
     ref_base, mut_base = ref_base.upper(), mut_base.upper()
     r = reads.select("sample", F.col(chrom).alias("chrom"), tier.alias("tier"), "ref_seq", "seq")
     # the motif window comes with the counts (functionally dependent on chrom, pos)
-    c = aligned_pair_counts(r, ["sample", "chrom", "tier"], context=MOTIF_HALF).where(F.upper("ref_base") == ref_base)
+    c = aligned_pair_counts(r, ["sample", "chrom", "tier"], context=MOTIF_HALF, partition_by=["sample", "chrom", "pos"]).where(
+        F.upper("ref_base") == ref_base)
     b = F.upper("read_base")
     aggs = []
     for base, prefix in ((ref_base, "u"), (mut_base, "m")):
