@@ -108,7 +108,11 @@ def merge_transcript_genome(lifted: DataFrame, genome_long: DataFrame, min_depth
         *SITE_KEYS, F.lit(1).alias("_src"), F.lit(None).cast("string").alias("gene_name"),
         F.lit(None).cast("bigint").alias("gene_pos"), "motif", "sample", "uncon", "depth",
     )
-    u = t.unionByName(g)
+    return _site_window(t.unionByName(g), min_depth)
+
+
+def _site_window(u: DataFrame, min_depth: int) -> DataFrame:
+    """Second level of entry C on rows (keys, _src, gene_name, gene_pos, motif, sample, uncon, depth)."""
     w = Window.partitionBy(*SITE_KEYS).orderBy("_src", "gene_name", "gene_pos").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing
     )
@@ -127,3 +131,42 @@ def merge_transcript_genome(lifted: DataFrame, genome_long: DataFrame, min_depth
     return z.groupBy(*SITE_KEYS, "gene_names", "gene_pos", "motif", "sample").agg(
         F.sum("uncon").alias("uncon"), F.sum("depth").alias("depth")
     )
+
+
+def merge_lifted_with_genome(lifted: DataFrame, genome_long: DataFrame, samples, requires,
+                             merge_min_depth: int = 3, min_depth: int = 1) -> DataFrame:
+    """Entry C in one shuffle of the genome rows: the genome sample merge and the
+    merged-site aggregation share the site partitioning.
+
+    Genome rows are merged across samples exactly as ``merge.merge_site_counts``
+    (base samples, depth filter before the first optional sample, motif by rank),
+    computed by a first window over the union; the second window is that of
+    :func:`merge_transcript_genome`.  Same output as merging the genome rows first.
+    """
+    from sitecall.operators.joins import literal_map
+    from sitecall.operators.merge import base_size, merge_order
+
+    ordered = merge_order(samples, requires)
+    k = base_size(ordered)
+    shrink = k < len(ordered)
+    rank = literal_map({s: i for i, (s, _) in enumerate(ordered)})
+    t = lifted.select(*SITE_KEYS, F.lit(0).alias("_src"), "gene_name", "gene_pos", "motif", "sample", "uncon", "depth",
+                      F.lit(None).cast("bigint").alias("_rank"))
+    g = genome_long.where(F.col("sample").isin([s for s, _ in ordered])).select(
+        *SITE_KEYS, F.lit(1).alias("_src"), F.lit(None).cast("string").alias("gene_name"),
+        F.lit(None).cast("bigint").alias("gene_pos"), "motif", "sample", "uncon", "depth",
+        F.element_at(rank, F.col("sample")).alias("_rank"),
+    )
+    u = t.unionByName(g)
+    w1 = Window.partitionBy(*SITE_KEYS).orderBy("_rank").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    is_g = F.col("_src") == 1
+    is_base = is_g & (F.col("_rank") < k)
+    y = u.select(
+        "*",
+        F.coalesce(F.max(is_base).over(w1), F.lit(False)).alias("_in"),
+        F.coalesce(F.max(F.when(is_base, F.col("depth"))).over(w1), F.lit(0)).alias("_bm"),
+        F.first(F.when(is_g, F.col("motif")), ignorenulls=True).over(w1).alias("_gm"),
+    )
+    keep_g = F.col("_in") & ((F.col("_bm") >= merge_min_depth) if shrink else F.lit(True))
+    y = y.where(~is_g | keep_g).withColumn("motif", F.when(is_g, F.col("_gm")).otherwise(F.col("motif")))
+    return _site_window(y.drop("_rank", "_in", "_bm", "_gm"), min_depth)

@@ -40,8 +40,9 @@ def merged_sites(genome_long: DataFrame, transcript_long: DataFrame, transcripts
     """Entry C: merge each reference type, lift transcript sites, union, re-aggregate (long)."""
     ex = liftover.exon_offsets(transcripts)
     tx = merge.merge_site_counts(transcript_long, design.samples, design.requires, opts.merge_min_depth)
-    gn = merge.merge_site_counts(genome_long, design.samples, design.requires, opts.merge_min_depth)
-    return liftover.merge_transcript_genome(liftover.liftover_sites(tx, ex), gn, opts.merged_min_depth)
+    # the genome merge shares the merged-site partitioning: one shuffle of the genome rows
+    return liftover.merge_lifted_with_genome(liftover.liftover_sites(tx, ex), genome_long, design.samples, design.requires,
+                                             opts.merge_min_depth, opts.merged_min_depth)
 
 
 def merged_sites_wide(merged_long: DataFrame, design: SampleDesign) -> DataFrame:
