@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitecall.llm import language, mixing
+from sitecall.llm import language, mixing, packing
 from sitecall.llm.common import bucket5
 from sitecall.llm.registry import register, table
 
@@ -23,3 +23,10 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources mixed to weights 5, 2, 1 by length counts and bounded-knapsack fitting."""
     docs = table(spark, sf_dir, "documents")
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@register("op6_best_fit_packing")
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token pieces packed into sequences of 2048 by a grouping genetic algorithm."""
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack_documents(docs).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
