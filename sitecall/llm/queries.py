@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitecall.llm import language, mixing, packing
+from sitecall.llm import language, mixing, packing, quality_rules
 from sitecall.llm.common import bucket5
 from sitecall.llm.registry import register, table
 
@@ -30,3 +30,11 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token pieces packed into sequences of 2048 by a grouping genetic algorithm."""
     docs = table(spark, sf_dir, "documents")
     return packing.pack_documents(docs).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@register("op7_quality_rules")
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality rules as votes, combined by the posterior of an expectation-maximisation fit."""
+    docs = table(spark, sf_dir, "documents")
+    out = quality_rules.judge_quality(docs)
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "votes", "posterior")
