@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitecall.llm import language, mixing, packing, quality_rules
+from sitecall.llm import language, merkle, mixing, packing, quality_rules, toxicity
 from sitecall.llm.common import bucket5
 from sitecall.llm.registry import register, table
 
@@ -38,3 +38,19 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = quality_rules.judge_quality(docs)
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "votes", "posterior")
+
+
+@register("op5_toxicity")
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compression-distance scores from dictionaries trained on four fifths of the labelled documents."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = bucket5(F.col("doc_id")) == 0
+    model = toxicity.train(*toxicity.labelled_sample(docs.filter(~held_out), table(spark, sf_dir, "labels")))
+    out = toxicity.score_toxicity(docs, model)
+    return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@register("op8_document_fingerprints", merkle.oracle_sql())
+def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle fingerprints of all documents, of an edit of each, and their likeness."""
+    return merkle.fingerprints(table(spark, sf_dir, "documents"))
