@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitecall.llm import language, merkle, mixing, packing, quality_rules, toxicity
+from sitecall.llm import language, merkle, mixing, packing, quality_rules, suffix, toxicity
 from sitecall.llm.common import bucket5
 from sitecall.llm.registry import register, table
 
@@ -54,3 +54,9 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merkle fingerprints of all documents, of an edit of each, and their likeness."""
     return merkle.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@register("op2_suffix_dedup")
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every byte covered by a 100-byte string that starts earlier is removed from all documents."""
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"))
