@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitecall.llm import language, merkle, mixing, packing, quality_rules, suffix, toxicity
+from sitecall.llm import jaccard, language, merkle, mixing, packing, quality_rules, suffix, toxicity
 from sitecall.llm.common import bucket5
 from sitecall.llm.registry import register, table
 
@@ -60,3 +60,9 @@ def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every byte covered by a 100-byte string that starts earlier is removed from all documents."""
     return suffix.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@register("op10_jaccard_join")
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under links of shingle sets with a Jaccard similarity of 0.8 or more."""
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
