@@ -7,12 +7,13 @@ The Jaccard distance is a metric, and two documents link at a distance of at mos
    window around such a boundary holds everything. The first pivots are therefore the one-shingle sets: a set
    is at distance 1 - 1/n from the pivots in it and at 1 from all others. Pivots have one global order, frequent
    ones last (by a sketch of counts over all documents), and a document lies in the region of its first pivot.
-   By the triangle inequality a partner within EPSILON misses at most ``n - ceil(0.8 n)`` of its n pivots, so a
-   document is replicated to the regions of its first ``n - ceil(0.8 n) + 1`` pivots, and to no others. Regions
-   with one class are finished.
-3. Members of a region are joined to candidate edges: all pairs that pass the bounds on sizes and places in a
-   region of at most ``PAIR_LIMIT`` members, else a star around one member. The components of these edges are
-   zones; links never leave a zone, and each document's set is sent to its zone once.
+   By the triangle inequality a partner within EPSILON misses at most ``n - ceil(0.8 n)`` of its n pivots, so
+   two linked documents have at least ``1 + n // 10`` of the first ``n - ceil(0.8 n) + 1 + n // 10`` pivots in common;
+   a document is replicated to the regions of these and to no others. Regions with one class are finished.
+3. Candidate edges: pairs of regions with at most ``PAIR_LIMIT`` members are counted, and stay if they have enough
+   pivots in common (those in larger regions count as common for both). Documents with enough pivots in
+   larger regions are joined there by a star around one of them. The components of these edges are zones;
+   links never leave a zone, and each document's set is sent to its zone once.
 4. A zone of at most ``ZONE_DOCS`` documents and ``ZONE_HASHES`` shingles is joined exactly in one task. A larger
    one is split by ``PIVOTS`` of its documents as pivots: every member's distance to them is computed, it goes
    to the Voronoi region of the nearest pivot (within ``BALL``), and to every other region whose pivot is at most
@@ -60,6 +61,11 @@ def _least_overlap(n):
     return -(-4 * n // 5)
 
 
+def _shared_pivots(n):
+    """Pivots that two linked documents surely share among their first ``n - ceil(0.8 n) + this`` ones."""
+    return 1 + n // 10
+
+
 def _row_sets(data: np.ndarray, off: np.ndarray):
     """The sorted distinct shingle hashes of each row."""
     low = LOWER_AZ[data]
@@ -112,26 +118,25 @@ def _frequent(rows: DataFrame) -> np.ndarray:
 
 
 def _region_batches(frequent: np.ndarray):
-    """The first pivots of each document: pivot, size and place in the document's order."""
+    """The first pivots of each document, and the size of its set."""
 
     def run(batches):
         for rb, data, off in chunks(batches, "text"):
-            pivot, n, place, sig = [], [], [], []
+            pivot, n, sig = [], [], []
             for x in _row_sets(data, off):
                 m = len(x)
-                k = m - _least_overlap(m) + 1 if m else 0
+                k = m - _least_overlap(m) + int(_shared_pivots(m)) if m else 0
                 late = frequent[_place(x)]
                 first = x[:k] if not late[:k].any() else np.concatenate([x[~late], x[late]])[:k]
                 pivot.append(first)
-                place.append(np.arange(k))
                 n.append(m)
                 sig.append(x.sum(dtype=np.uint64))
             count = np.array([len(p) for p in pivot])
             row = np.repeat(np.arange(rb.num_rows), count)
             if len(row):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(as_int64(np.concatenate(pivot))), pa.array(as_int64(np.array(sig, np.uint64)[row])), ids_of(rb).take(pa.array(row)), pa.array((np.array(n)[row] << 24) | np.concatenate(place))],
-                    ["pivot", "sig", "doc_id", "size_place"],
+                    [pa.array(as_int64(np.concatenate(pivot))), pa.array(as_int64(np.array(sig, np.uint64)[row])), ids_of(rb).take(pa.array(row)), pa.array(np.array(n)[row])],
+                    ["pivot", "sig", "doc_id", "n"],
                 )
 
     return run
@@ -139,25 +144,31 @@ def _region_batches(frequent: np.ndarray):
 
 def _candidates(rows: DataFrame, classes: DataFrame, frequent: np.ndarray) -> DataFrame:
     """Edges (a, b) between class representatives whose components hold all links."""
-    members = rows.mapInArrow(_region_batches(frequent), "pivot long, sig long, doc_id long, size_place long")
+    members = rows.mapInArrow(_region_batches(frequent), "pivot long, sig long, doc_id long, n long")
     shared = members.groupBy("pivot").agg(F.min("sig").alias("x"), F.max("sig").alias("y")).filter("x <> y").select(F.col("pivot").alias("_pivot"))
     shared = staged(shared, "jaccard-pivots")
     reps = classes.select(F.col("rep").alias("_rep")).distinct()
     alive = members.join(shared, F.col("pivot") == F.col("_pivot")).join(reps, F.col("doc_id") == F.col("_rep"), "left_semi")
-    alive = staged(alive.select("pivot", "doc_id", F.shiftright("size_place", 24).alias("n"), F.col("size_place").bitwiseAND((1 << 24) - 1).alias("i")), "jaccard-regions")
-    sizes = alive.groupBy("pivot").agg(F.count("*").alias("m"), F.min(F.struct(F.xxhash64("doc_id").alias("h"), "doc_id")).alias("centre")).filter("m > 1")
-    sizes = staged(sizes.select(F.col("pivot").alias("_pivot"), "m", F.col("centre.doc_id").alias("centre")), "jaccard-sizes")
-    sized = alive.join(sizes, F.col("pivot") == F.col("_pivot"))
-    few = sized.filter(F.col("m") <= PAIR_LIMIT).select("pivot", "doc_id", "n", "i")
+    alive = staged(alive.select("pivot", "doc_id", "n", (1 + F.floor(F.col("n") / 10)).alias("need")), "jaccard-regions")
+    sizes = staged(alive.groupBy("pivot").agg(F.count("*").alias("m")).filter("m > 1").withColumnRenamed("pivot", "_pivot"), "jaccard-sizes")
+    sized = staged(alive.join(sizes, F.col("pivot") == F.col("_pivot")).drop("_pivot"), "jaccard-sized")
+    large = sized.filter(F.col("m") > PAIR_LIMIT)
+    in_large = staged(large.groupBy("doc_id").agg(F.count("*").alias("c")), "jaccard-large").withColumnRenamed("doc_id", "_id")
+
+    few = sized.filter(F.col("m") <= PAIR_LIMIT)
     x, y = few.alias("x"), few.alias("y")
-    need = F.ceil((F.col("x.n") + F.col("y.n")) * 4 / 9)
-    pairs = x.join(y, F.col("x.pivot") == F.col("y.pivot")).filter(
-        (F.col("x.doc_id") < F.col("y.doc_id"))
-        & (5 * F.least("x.n", "y.n") >= 4 * F.greatest("x.n", "y.n"))
-        & (F.least(F.col("x.n") - F.col("x.i"), F.col("y.n") - F.col("y.i")) >= need)
-    )
-    pairs = pairs.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
-    stars = sized.filter((F.col("m") > PAIR_LIMIT) & (F.col("doc_id") != F.col("centre"))).select(F.col("doc_id").alias("a"), F.col("centre").alias("b"))
+    close = (F.col("x.doc_id") < F.col("y.doc_id")) & (5 * F.least("x.n", "y.n") >= 4 * F.greatest("x.n", "y.n"))
+    pairs = x.join(y, F.col("x.pivot") == F.col("y.pivot")).filter(close)
+    pairs = pairs.groupBy(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).agg(F.count("*").alias("common"), F.first(F.least("x.need", "y.need")).alias("need"))
+    ca, cb = in_large.alias("ca"), in_large.alias("cb")
+    pairs = pairs.join(ca, F.col("a") == F.col("ca._id"), "left").join(cb, F.col("b") == F.col("cb._id"), "left")
+    pairs = pairs.filter(F.col("common") + F.coalesce(F.least("ca.c", "cb.c"), F.lit(0)) >= F.col("need")).select("a", "b")  # least() skips nulls, which only keeps more pairs
+
+    stars = large.join(in_large.withColumnRenamed("_id", "_id2"), F.col("doc_id") == F.col("_id2")).filter(F.col("c") >= F.col("need"))
+    stars = staged(stars.select("pivot", "doc_id"), "jaccard-stars")
+    centres = stars.groupBy(F.col("pivot").alias("_pivot")).agg(F.min(F.struct(F.xxhash64("doc_id").alias("h"), "doc_id")).alias("centre"))
+    centres = staged(centres.select("_pivot", F.col("centre.doc_id").alias("b")), "jaccard-centres")
+    stars = stars.join(centres, F.col("pivot") == F.col("_pivot")).filter("doc_id <> b").select(F.col("doc_id").alias("a"), "b")
     return pairs.union(stars).distinct()
 
 
