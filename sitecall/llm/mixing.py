@@ -125,7 +125,7 @@ def _fit_source(budgets: dict[str | None, int]):
 
 
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, ceiling: int = CEILING, seed: int = 17) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken (words that the mix takes of the document, repeats counted)."""
+    """doc_id, source, size, source_size, target, taken (words that the mix takes of the document, repeats counted), copies."""
     spark = docs.sparkSession
     sized = staged(document_sizes(docs), "mix-sizes")
     source_kind = dict(sized.dtypes)["source"]
@@ -156,5 +156,5 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, ceiling: in
     mixed = chosen.unionByName(rows.filter("take <= 0").select("doc_id", "source", "size", F.lit(False).alias("extra")))
     facts = spark.createDataFrame([(s, sizes[s], float(target[s]), whole[s]) for s in sizes], f"source {source_kind}, source_size long, target double, whole long").alias("f")
     out = mixed.join(F.broadcast(facts), mixed["source"].eqNullSafe(F.col("f.source")))  # at most MAX_SOURCES rows
-    taken = F.col("size") * (F.col("whole") + F.col("extra").cast("long"))
-    return out.select(mixed["doc_id"], mixed["source"], mixed["size"], "source_size", "target", taken.alias("taken"))
+    copies = F.col("whole") + F.col("extra").cast("long")
+    return out.select(mixed["doc_id"], mixed["source"], mixed["size"], "source_size", "target", (F.col("size") * copies).alias("taken"), copies.alias("copies"))

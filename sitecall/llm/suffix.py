@@ -224,7 +224,7 @@ def _string_batches(batches):
 def _later(members: DataFrame, keys: list[str], place: str) -> tuple[DataFrame, DataFrame]:
     """(first member of each group by (doc_id, place), the members after the first)."""
     firsts = members.groupBy(*keys).agg(F.min(F.struct("doc_id", place)).alias("first"), F.count("*").alias("n"))
-    more = firsts.filter("n > 1").select(*[F.col(k).alias(f"_{k}") for k in keys], "first")
+    more = staged(firsts.filter("n > 1").select(*[F.col(k).alias(f"_{k}") for k in keys], "first"), "suffix-more")  # joined as a table, so that hot groups can be split
     cond = [members[k] == more[f"_{k}"] for k in keys]
     later = members.join(more, cond).filter((F.col("first.doc_id") != F.col("doc_id")) | (F.col(f"first.{place}") != F.col(place)))
     return firsts, later.select("doc_id", place)
@@ -237,7 +237,7 @@ def _resolved(members: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     first are ranges; if a bucket fell apart into several runs, the first of each is refined further.
     """
     shared = members.groupBy("core").agg(F.count("*").alias("n"), F.min("run").alias("a"), F.max("run").alias("b")).filter("n > 1")
-    shared = shared.select(F.col("core").alias("_core"), (F.col("a") != F.col("b")).alias("split"))
+    shared = staged(shared.select(F.col("core").alias("_core"), (F.col("a") != F.col("b")).alias("split")), f"{name}-shared")
     alive = staged(members.join(shared, F.col("core") == F.col("_core")).drop("_core"), name)
     firsts, later = _later(alive, ["core", "split", "run"], "pos")
     lo = F.shiftright("pos", 16)
@@ -268,7 +268,7 @@ def _covered(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return lo[at], reach[np.append(at[1:], len(lo)) - 1]
 
 
-def _cut_batches(passed: tuple[str, ...], digest: bool):
+def _cut_batches(passed: tuple[str, ...], result: str):
     def run(batches):
         for rb, data, off in chunks(batches, "text"):
             ranges = rb.column(rb.schema.get_field_index("ranges"))
@@ -290,19 +290,21 @@ def _cut_batches(passed: tuple[str, ...], digest: bool):
                     n_removed.append(0)
                     n_spans.append(0)
                 kept.append(text.tobytes())
-            last = pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()) if digest else pa.array(kept, pa.binary())
+            last = pa.array([hashlib.sha256(k).hexdigest() if result == "kept_sha256" else k.decode("utf-8", "ignore") for k in kept], pa.string())
             sizes = [pa.array(np.diff(off), pa.int64()), pa.array(n_removed, pa.int64()), pa.array(n_spans, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*(ids_of(rb, c) for c in passed), *sizes, last], [*passed, "n_bytes", "n_removed", "n_spans", "kept_sha256" if digest else "kept"])
+            yield pa.RecordBatch.from_arrays([*(ids_of(rb, c) for c in passed), *sizes, last], [*passed, "n_bytes", "n_removed", "n_spans", result])
 
     return run
 
 
-def remove_repeats(docs: DataFrame, passed: tuple[str, ...] = ("doc_id",), digest: bool = True) -> DataFrame:
-    """``passed`` columns, n_bytes, n_removed, n_spans and the kept bytes (``kept``) or their sha256."""
+def remove_repeats(docs: DataFrame, passed: tuple[str, ...] = ("doc_id",), result: str = "kept_sha256") -> DataFrame:
+    """``passed`` columns, n_bytes, n_removed, n_spans and ``kept_sha256`` of the kept bytes or the text ``kept``.
+
+    As text, the rest of a character that a removal cut through goes too.
+    """
     found = staged(repeated_ranges(docs), "suffix-ranges")
     ranges = found.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
     rows = doc_columns(docs, *dict.fromkeys([*passed, "text"])).alias("d").join(ranges.alias("r"), F.col("d.doc_id") == F.col("r.doc_id"), "left")
     rows = rows.select("d.*", F.coalesce("ranges", F.array().cast("array<struct<lo:bigint,hi:bigint>>")).alias("ranges"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*passed).schema)
-    last = "kept_sha256 string" if digest else "kept binary"
-    return rows.mapInArrow(_cut_batches(passed, digest), f"{schema}, n_bytes long, n_removed long, n_spans long, {last}")
+    return rows.mapInArrow(_cut_batches(passed, result), f"{schema}, n_bytes long, n_removed long, n_spans long, {result} string")
