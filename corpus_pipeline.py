@@ -1,17 +1,81 @@
-"""Corpus pipeline: language ID, n-gram Jaccard join, suffix-array dedup, source mixing, best-fit packing."""
+"""Corpus pipeline: language ID, n-gram Jaccard join, suffix-array dedup, source mixing, best-fit packing.
+
+``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame. All stages but
+the last return the columns of their input; further columns of ``documents`` pass through. ``run`` writes each
+stage's result to the shared scratch folder as Parquet and reads it again.
+
+Rows with the same doc_id are one document to the join of stage 2 and the mix of stage 4: they stay or go, and
+are repeated, together.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
-ORACLE_SQL = None  # training, seeded choice and packing cannot be written in SQL; tests compare with brute force
+from sitecall.llm import jaccard, language, mixing, packing, suffix
+from sitecall.llm.common import staged
 
+#: A document whose best language profile is farther than this (score is 1 - relative distance) is in none of them.
+MIN_LANGUAGE_SCORE = 0.4
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or far from every learnt language, go. Learns from all rows with a lang."""
+    if not docs.take(1):
+        return docs
+    profiles = language.train_profiles(docs)
+    row = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    judged = language.identify_language(row, profiles, passed=("row",))
+    return judged.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select("row.*")
+
+
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of linked documents, the one with the smallest doc_id stays."""
+    found = jaccard.jaccard_components(docs)
+    gone = staged(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "pipeline-gone")
+    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+
+
+def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every byte covered by a 100-byte string that starts earlier is cut out of the texts; n_chars follows."""
+    others = [c for c in docs.columns if c != "text"]
+    row = docs.select("doc_id", F.struct(*others).alias("row"), "text")
+    cut = suffix.remove_repeats(row, passed=("doc_id", "row"), result="kept")
+    values = {c: F.col(f"row.{c}") for c in others} | {"text": F.col("kept")}
+    if "n_chars" in values:
+        values["n_chars"] = F.length("kept").cast(docs.schema["n_chars"].dataType)
+    return cut.select(*[values[c].alias(c) for c in docs.columns])
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from sitecall.llm.common import staged
 
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it; documents that the mix does not take go."""
+    mix = mixing.mix_sources(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.when(F.col("size") > 0, F.col("copies")).otherwise(0)).alias("_copies"))
+    mix = staged(mix.filter("_copies > 0"), "pipeline-mix")
+    kept = docs.join(mix, F.col("doc_id").eqNullSafe(F.col("_id")))
+    again = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_again")
+    return kept.select(*[F.col(c) for c in docs.columns], again).drop("_again")
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents, packed into sequences."""
+    return packing.pack_documents(docs).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+STAGES = [
+    ("language ID", language_id),
+    ("n-gram Jaccard join", jaccard_join),
+    ("suffix-array dedup", suffix_dedup),
+    ("mixing sources to target weights", source_mix),
+    ("best-fit packing", best_fit_packing),
+]
+
+#: Trained profiles, seeded choice and genetic packing cannot be written in SQL; tests compare with brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = staged(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
     return docs
