@@ -147,8 +147,9 @@ def _candidates(rows: DataFrame, classes: DataFrame, frequent: np.ndarray) -> Da
     members = rows.mapInArrow(_region_batches(frequent), "pivot long, sig long, doc_id long, n long")
     shared = members.groupBy("pivot").agg(F.min("sig").alias("x"), F.max("sig").alias("y")).filter("x <> y").select(F.col("pivot").alias("_pivot"))
     shared = staged(shared, "jaccard-pivots")
+    # merge joins here and below: both sides grow with the corpus, so none is ever to be broadcast
     reps = classes.select(F.col("rep").alias("_rep")).distinct()
-    alive = members.join(shared, F.col("pivot") == F.col("_pivot")).join(reps, F.col("doc_id") == F.col("_rep"), "left_semi")
+    alive = members.join(shared.hint("merge"), F.col("pivot") == F.col("_pivot")).join(reps, F.col("doc_id") == F.col("_rep"), "left_semi")
     alive = staged(alive.select("pivot", "doc_id", "n", (1 + F.floor(F.col("n") / 10)).alias("need")), "jaccard-regions")
     sizes = staged(alive.groupBy("pivot").agg(F.count("*").alias("m")).filter("m > 1").withColumnRenamed("pivot", "_pivot"), "jaccard-sizes")
     sized = staged(alive.join(sizes, F.col("pivot") == F.col("_pivot")).drop("_pivot"), "jaccard-sized")
@@ -387,7 +388,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     named = rows.filter("doc_id is not null")
     zones = components(_candidates(named, classes, frequent), "jaccard-zones")
     zones = zones.select(F.col("node").alias("_node"), F.col("component").alias("zone"))
-    members = named.join(zones, F.col("doc_id") == F.col("_node")).select("zone", "doc_id", "text").mapInArrow(_set_batches, _MEMBER)
+    members = named.join(zones.hint("merge"), F.col("doc_id") == F.col("_node")).select("zone", "doc_id", "text").mapInArrow(_set_batches, _MEMBER)
     links = staged(_resolve(staged(members, "jaccard-sets")), "jaccard-links")
     # copies hang on their class, classes on their links
     same = filled.join(classes, ["n", "s1", "s2"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitecall.llm import jaccard, language, merkle, mixing, packing, quality_rules, suffix, toxicity
+from sitecall.llm import importance, jaccard, language, merkle, mixing, packing, quality_rules, suffix, toxicity, urls
 from sitecall.llm.common import bucket5
 from sitecall.llm.registry import register, table
 
@@ -66,3 +66,16 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents under links of shingle sets with a Jaccard similarity of 0.8 or more."""
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@register("op1_url_filters", urls.oracle_sql())
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by the rules, else by trust and distrust propagated over host edges."""
+    return urls.judge_urls(table(spark, sf_dir, "pages"))
+
+
+@register("op4_importance_resampling")
+def op4_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents drawn by their likeness to those labelled as good quality; ``kept`` marks the sample."""
+    good = table(spark, sf_dir, "labels").filter("quality = 1")
+    return importance.resample(table(spark, sf_dir, "documents"), good)
