@@ -9,7 +9,7 @@ documents for the rest of the budget:
 2. Per source, the counts (one row per distinct length) are fitted: an equal share of every length first,
    then longest first while the budget is more than the longest length, and the last words by a bounded
    knapsack over the lengths still left (dynamic programming on bit sets, each length's count in powers
-   of two). The result is how many documents of each length to take.
+   of two), and one document more where that comes nearer from above. The result is how many documents of each length to take.
 3. Spark picks that many documents of each length in the order of a seeded hash. Large groups of one
    source and length are cut into buckets of that hash of about ``BUCKET`` rows: whole buckets are taken
    by running totals of their counts, and only the one that the limit falls in is ranked row by row.
@@ -70,13 +70,14 @@ def share_targets(sizes: dict[str | None, int], weights: tuple[int, ...] = WEIGH
 
 
 def fit_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many documents of each length to take so that their words come as near to ``budget`` from below as found."""
+    """How many documents of each length to take so that their words come as near to ``budget`` as found."""
     take = np.zeros(len(lengths), np.int64)
     whole = int((lengths * counts).sum())
     if budget >= whole:
         return counts.copy()
     if budget <= 0:
         return take
+    whole_budget = budget
     take = (counts * (budget / whole)).astype(np.int64)
     budget -= int((take * lengths).sum())
     for i in np.argsort(-lengths, kind="stable"):  # longest first, down to a budget of about one document
@@ -110,6 +111,11 @@ def fit_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndar
         if not before >> at & 1:
             take[i] += n
             at -= n * int(lengths[i])
+    # one more document if that comes nearer from above
+    gap = whole_budget - int((take * lengths).sum())
+    left = np.flatnonzero((take < counts) & (lengths < 2 * gap))
+    if len(left):
+        take[left[np.argmin(np.abs(lengths[left] - gap))]] += 1
     return take
 
 
