@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from sitecall.session import unique_scratch
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 _C1, _C2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
