@@ -22,8 +22,11 @@ _C1, _C2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
 def prepare(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of a finished query (the staged tables hold what is still needed)."""
+    """Let Spark delete the shuffle files of a finished query (the staged tables hold what is still needed), and
+    hand texts to Python in small Arrow batches, so that a task's memory does not depend on their number."""
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

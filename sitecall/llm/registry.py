@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sitecall.llm.common import prepare
+
 
 @dataclass(frozen=True)
 class LlmQuery:
@@ -31,6 +33,7 @@ def register(name: str, oracle: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -16,7 +16,7 @@ import regex
 
 from sitecall.llm.common import LOWER_AZ, SEPARATOR, word_spans
 
-MAX_WORDS = 500_000
+MAX_WORDS = 400_000
 _JOIN = 500
 
 
