@@ -22,12 +22,11 @@ MIN_LANGUAGE_SCORE = 0.4
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or far from every learnt language, go. Learns from all rows with a lang."""
-    if not docs.take(1):
-        return docs
     profiles = language.train_profiles(docs)
-    row = docs.select(F.struct(*docs.columns).alias("row"), "text")
-    judged = language.identify_language(row, profiles, passed=("row",))
-    return judged.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select("row.*")
+    others = [c for c in docs.columns if c != "text"]
+    judged = language.identify_language(docs.select(F.struct(*others).alias("row"), "text"), profiles, passed=("row", "text"))
+    kept = judged.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
+    return kept.select(*[F.col("text") if c == "text" else F.col(f"row.{c}").alias(c) for c in docs.columns])
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
