@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitecall.functions.motif import gc_pct, has_n, motif3_rna, site_ratio
@@ -57,8 +57,9 @@ def keep_significant(scored: DataFrame, keys: Sequence[str]) -> DataFrame:
     Site ids with a hit come from one partial-aggregated shuffle; the
     semi-join brings the rows back (no per-site row collection).
     """
-    hits = scored.where(F.col("p") < 1).select(*keys).distinct()
-    return scored.join(hits, on=list(keys), how="left_semi")
+    # one window: the rows are scored once, on the partitioning by site that they already have
+    hit = F.max((F.col("p") < 1).cast("int")).over(Window.partitionBy(*keys))
+    return scored.withColumn("_hit", hit).where(F.col("_hit") == 1).drop("_hit")
 
 
 def call_sites(long_sites: DataFrame, keys: Sequence[str], opts: Options = Options(),

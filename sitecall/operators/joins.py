@@ -12,17 +12,10 @@ DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 def materialise(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
 
-    The frame is persisted first so the checkpoint write does not recompute
-    it, then released; the checkpointed frame keeps its output partitioning.
+    An eager checkpoint computes each row once; the checkpointed frame keeps
+    its output partitioning.
     """
-    from pyspark import StorageLevel
-
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        out = df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
-    return out
+    return df.checkpoint(eager=True)
 
 
 def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:

@@ -179,6 +179,6 @@ def genome_alignment_blocks(aln: DataFrame) -> DataFrame:
     )
 
 
-def union_lifted(lifted: DataFrame, genome: DataFrame, keys: Sequence[str] = ("sample", "chrom", "pos")) -> DataFrame:
+def union_lifted(lifted: DataFrame, genome: DataFrame, keys: Sequence[str] = ("sample", "chrom", "pos", "read_id")) -> DataFrame:
     """Lifted transcript alignments plus genome alignments, coordinate-sorted."""
     return lifted.unionByName(genome).orderBy(*keys)

@@ -274,9 +274,9 @@ def read_count_r1(aln: DataFrame, by: Sequence[str] = ("sample", "reftype")) ->
 
 
 def insert_size_hist(aln: DataFrame, max_isize: int = 1000, by: Sequence[str] = ("sample", "reftype")) -> DataFrame:
-    """|isize| -> pairs, over primary properly paired first mates, sizes above ``max_isize`` dropped."""
+    """|isize| -> pairs, over primary properly paired first mates; the row ``max_isize + 1`` holds all larger sizes."""
     p = primary_reads(aln).where(bit("flag", PAIRED) & bit("flag", PROPER) & bit("flag", READ1))
-    x = p.select(*by, F.abs("isize").alias("isize")).where(F.col("isize") <= max_isize)
+    x = p.select(*by, F.least(F.abs("isize"), F.lit(max_isize + 1).cast(p.schema["isize"].dataType)).alias("isize"))
     return x.groupBy(*by, "isize").agg(F.count(F.lit(1)).alias("pairs"))
 
 

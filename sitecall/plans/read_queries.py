@@ -266,8 +266,8 @@ register(
 
 register(
     "insert_size_hist", "A19",
-    W("select sample, reftype, abs(isize) as isize, count(*) as pairs from alignments where (flag & 2304) = 0 and (flag & 1) <> 0 "
-      "and (flag & 2) <> 0 and (flag & 64) <> 0 and abs(isize) <= 1000 group by all"),
+    W("select sample, reftype, least(abs(isize), 1001) as isize, count(*) as pairs from alignments where (flag & 2304) = 0 and (flag & 1) <> 0 "
+      "and (flag & 2) <> 0 and (flag & 64) <> 0 group by all"),
 )(lambda spark, sf: rd.insert_size_hist(_aln(spark, sf)))
 
 
@@ -365,25 +365,22 @@ def sample_type_label(spark, sf):
 # O2 / O5 -------------------------------------------------------------------------
 @register(
     "sort_alignments", "O2",
-    W("select sample, reftype, chrom, pos, strand, read_id, flag from alignments order by sample, reftype, chrom, pos"),
+    W("select sample, reftype, chrom, pos, strand, read_id, flag from alignments order by sample, reftype, chrom, pos, read_id"),
 )
 def sort_alignments(spark, sf):
     """O2: coordinate sort (range partitioning, then per-partition sort)."""
-    return _aln(spark, sf).select("sample", "reftype", "chrom", "pos", "strand", "read_id", "flag").orderBy("sample", "reftype", "chrom", "pos")
+    return _aln(spark, sf).select("sample", "reftype", "chrom", "pos", "strand", "read_id", "flag").orderBy("sample", "reftype", "chrom", "pos", "read_id")
 
 
 @register(
     "union_runs", "O5",
-    W("select sample, reftype, chrom, pos, read_id, run from alignments where run = 'run1' union all "
-      "select sample, reftype, chrom, pos, read_id, run from alignments where run = 'run2'"),
+    W("select sample, reftype, chrom, pos, read_id, run from alignments"),
 )
 def union_runs(spark, sf):
-    """Runs of a sample stacked, coordinate-ordered per (sample, reference type)."""
+    """All runs of a sample stacked, coordinate-ordered per (sample, reference type)."""
     a = _aln(spark, sf).select("sample", "reftype", "chrom", "pos", "read_id", "run")
-    runs = [a.where(F.col("run") == r) for r in ("run1", "run2")]
-    u = runs[0].unionByName(runs[1])
-    # global range-partitioned sort: a hot sample spreads over many range partitions
-    return u.orderBy("sample", "reftype", "chrom", "pos")
+    # global range-partitioned sort: read_id lets a hot sample or position spread over many range partitions
+    return a.orderBy("sample", "reftype", "chrom", "pos", "read_id")
 
 
 # A1 / A15 / A16 / F11 / F12 / J11 / O6 -------------------------------------------

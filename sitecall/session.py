@@ -80,7 +80,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # unset (tests, local runs): a fresh local folder; a cluster names a shared one
+        # unset (tests, local runs): a fresh local folder; a cluster must name a shared one
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="sitecall-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -42,7 +42,8 @@ def scan_pileup(spark: SparkSession, path: str | Sequence[str], sample: str | No
          T.StructField("strand", T.StringType()), T.StructField("motif", T.StringType())]
         + [T.StructField(c, T.LongType()) for c in HEADER_COLS[4:]]
     )
-    df = spark.read.csv(path, sep="\t", header=True, schema=schema)
+    # a malformed count or a header with other names or another order is an error, never a silent loss
+    df = spark.read.csv(path, sep="\t", header=True, schema=schema, enforceSchema=False, mode="FAILFAST")
     df = _with_sample(df, sample)
     return uncon_depth_from_tiers(df).where(F.col("depth") > 0).select(*LONG_OUT)
 
@@ -55,7 +56,7 @@ def scan_pileup_legacy(spark: SparkSession, path: str | Sequence[str], sample: s
          T.StructField("Strand", T.StringType()), T.StructField("Motif", T.StringType())]
         + [T.StructField(c, T.LongType()) for c in LEGACY_COLS[4:]]
     )
-    df = _with_sample(spark.read.csv(path, sep="\t", header=False, schema=schema), sample)
+    df = _with_sample(spark.read.csv(path, sep="\t", header=False, schema=schema, mode="FAILFAST"), sample)
     return df.where(F.col("D1") > 0).select(
         "sample", F.col("Chrom").alias("chrom"), F.col("Pos").alias("pos"), F.col("Strand").alias("strand"),
         F.col("Motif").alias("motif"), F.col("U1").alias("uncon"), F.col("D1").alias("depth"),
@@ -274,7 +275,8 @@ def motif_file_scan(spark: SparkSession, path: str | Sequence[str]) -> DataFrame
     sample/reftype come from partition directories, else from ``<sample>.<reftype>.tsv``
     (missing part -> ``unknown``)."""
     schema = "motif string, count bigint, unconverted bigint, depth bigint, ratio double"
-    df = spark.read.csv(path, sep="\t", header=True, schema=schema)
+    # a malformed count or a header with other names or another order is an error, never a silent loss
+    df = spark.read.csv(path, sep="\t", header=True, schema=schema, enforceSchema=False, mode="FAILFAST")
     name = F.regexp_replace(F.col("_metadata.file_name"), "\\.tsv$", "")
     parts = F.split(name, "\\.")
     sample = F.col("sample").cast("string") if "sample" in df.columns else parts.getItem(0)
