@@ -10,7 +10,7 @@ The k-th largest key is found by counting keys in ever finer ranges (at most ``R
 driver); only the keys of the last range are ranked, so no sort of all documents is needed.
 
 Defined cases: null or empty text has log weight 0; with no target texts all weights are 0, so the draw is
-uniform; equal keys are drawn by smaller id; rows with the same id have the same noise; a null id counts as the
+uniform; equal keys are drawn by smaller id (more than RANGES rows of one key by row number); rows with the same id have the same noise; a null id counts as the
 empty text; k = 0 for an empty table; other columns are ignored.
 """
 
@@ -81,7 +81,7 @@ def _weight_batches(ratio: np.ndarray):
 
 
 def top_k(rows: DataFrame, key: str, k: int) -> DataFrame:
-    """Mark the k rows with the largest (key, smallest doc_id) as ``kept``."""
+    """Mark the k rows with the largest (key, smallest doc_id) as ``kept``; of many rows with one key, the last of ``_row``."""
     low, high, above = rows.agg(F.min(key), F.max(key)).first() + (0,)
     if k <= 0 or low is None:
         return rows.withColumn("kept", F.lit(False))
@@ -102,7 +102,9 @@ def top_k(rows: DataFrame, key: str, k: int) -> DataFrame:
         last = F.col(key).between(low, high)
         if counts[p]["n"] <= RANGES:
             break
-    ranked = rows.filter(last).withColumn("_r", F.row_number().over(Window.orderBy(F.desc(key), F.asc_nulls_first("doc_id"))))  # about RANGES rows, or rows of one key
+    if low == high and key != "_row" and rows.filter(last).count() > RANGES:  # many rows of one id and text: cut by their unique numbers
+        return rows.filter(~last).withColumn("kept", F.col(key) > high).unionByName(top_k(rows.filter(last), "_row", k - above))
+    ranked = rows.filter(last).withColumn("_r", F.row_number().over(Window.orderBy(F.desc(key), F.asc_nulls_first("doc_id"))))  # about RANGES rows
     ranked = ranked.withColumn("kept", F.col("_r") <= k - above).drop("_r")
     return rows.filter(~last).withColumn("kept", F.col(key) > high).unionByName(ranked)
 
@@ -111,10 +113,12 @@ def resample(docs: DataFrame, target_ids: DataFrame, keep: float = KEEP, seed: i
     """doc_id, n_grams, log_weight, key and kept of every document; k is ``keep`` times the number of documents."""
     rows = doc_columns(docs, "doc_id", "text")
     kind = dict(rows.dtypes)["doc_id"]
-    target = rows.join(target_ids.select("doc_id").distinct(), "doc_id", "left_semi")
+    # a hash join on shuffled sides at every size: the ids grow with the corpus, so they are never to be broadcast
+    target = rows.join(target_ids.select("doc_id").distinct().hint("shuffle_hash"), "doc_id", "left_semi")
     ratio = log_ratio(bucket_counts(target), bucket_counts(rows))
     weighed = rows.mapInArrow(_weight_batches(ratio), f"doc_id {kind}, n_grams long, log_weight double")
     h = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 11)
     uniform = (h.cast("double") + 0.5) / float(1 << 53)
-    keyed = staged(weighed.withColumn("key", F.col("log_weight") - F.log(-F.log(uniform))), "importance-keys")
-    return top_k(keyed, "key", math.floor(keep * keyed.count()))
+    weighed = weighed.withColumn("key", F.col("log_weight") - F.log(-F.log(uniform))).withColumn("_row", F.monotonically_increasing_id())
+    keyed = staged(weighed, "importance-keys")
+    return top_k(keyed, "key", math.floor(keep * keyed.count())).drop("_row")
