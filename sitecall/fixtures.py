@@ -26,15 +26,9 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
-# The five 53-base spike-in probes of the original counting step
-# (probe_0 without its trailing dot), in their natural order.
-PROBES = {
-    0: "TATCTGTCTCGACGTNNANNGGCCTTTGCAACTAGAATTACACCATAATTGCT",
-    25: "TATCTGTCTCGACGTNNANNGGCATTCAAGCCTAGAATTACACCATAATTGCT",
-    50: "TATCTGTCTCGACGTNNANNGGCGAGGTGATCTAGAATTACACCATAATTGCT",
-    75: "TATCTGTCTCGACGTNNANNGGCTTCAACAACTAGAATTACACCATAATTGCT",
-    100: "TATCTGTCTCGACGTNNANNGGCGATGGTTTCTAGAATTACACCATAATTGCT",
-}
+# Five 53-base spike-in probes of our own: a common head, NNANN around the signal base, a barcode a rate, a common tail.
+_BARCODES = {0: "CCTTGGAACT", 25: "GATTACCAGA", 50: "TGAGGCTTCA", 75: "ACCGATATGC", 100: "CGTACTAGGT"}
+PROBES = {rate: f"GCATTGACGTCAATCNNANN{barcode}TTCAGCATTGGCAAGTCTGCATT" for rate, barcode in _BARCODES.items()}
 MOTIF_LEN = 31
 TARGET_INDEX = 15
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitecall.functions.motif import gc_bin_pct, has_n, ratio_pct2
@@ -47,21 +47,38 @@ def background_points(sites: DataFrame, depth_max: int = FIT_DEPTH_MAX) -> DataF
     )
 
 
+# A group is fitted with at least 5 points at 3 GC values whose ratios spread by 1e-10 and by 5 % of their mean.
+MIN_POINTS, MIN_GC_VALUES, MIN_SPREAD, MIN_RELATIVE_SPREAD = 5, 3, 1e-10, 0.05
+
+
+def gated_points(points: DataFrame) -> DataFrame:
+    """Fit points with their group's ``n_points`` and ``gate``: ``fit``, or why it takes the fallback parameters."""
+    w = Window.partitionBy("sample", "motif3")
+    n, mean = F.count(F.lit(1)).over(w), F.avg("ratio").over(w)
+    spread = F.max("ratio").over(w) - F.min("ratio").over(w)
+    gate = (
+        F.when(n < MIN_POINTS, "few_points")
+        .when(spread < MIN_SPREAD, "constant")
+        .when((mean > 0) & (F.try_divide(spread, mean) < MIN_RELATIVE_SPREAD), "narrow")
+        .when(F.size(F.collect_set("gc").over(w)) < MIN_GC_VALUES, "few_gc")
+        .otherwise("fit")
+    )
+    return points.withColumn("n_points", n).withColumn("gate", gate)
+
+
+def fit_gates(points: DataFrame) -> DataFrame:
+    """(sample, motif3, n_points, gate): which groups are fitted, and why the others are not."""
+    return gated_points(points).select("sample", "motif3", "n_points", "gate").distinct()
+
+
 def _fit_group(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values("gc", kind="mergesort")
-    x = pdf["gc"].to_numpy(dtype=float)
-    y = pdf["ratio"].to_numpy(dtype=float)
-    reason = fitlib.gate_reason(x, y)
-    params = FALLBACK_PARAMS
-    status = "fit"
-    if reason is not None:
-        status = f"gated: {reason}"
-    else:
+    status, params = pdf["gate"].iloc[0], FALLBACK_PARAMS
+    if status == "fit":
         try:
-            params = tuple(float(v) for v in fitlib.fit_motif(x, y))
-        except (fitlib.FitError, FloatingPointError, ValueError, np.linalg.LinAlgError) as exc:
-            status = f"failed: {exc}"
-            params = FALLBACK_PARAMS
+            params = tuple(fitlib.fit_points(pdf["gc"].to_numpy(float), pdf["ratio"].to_numpy(float)).tolist())
+        except (fitlib.FitError, np.linalg.LinAlgError):
+            status = "not_converged"
     a, b, c, d, e = params
     return pd.DataFrame(
         {
@@ -75,8 +92,8 @@ def _fit_group(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def fit_background(points: DataFrame) -> DataFrame:
-    """One parameter row per (sample, motif3) that has points."""
-    return points.groupBy("sample", "motif3").applyInPandas(_fit_group, PARAM_SCHEMA)
+    """One parameter row per (sample, motif3) that has points; ``status`` is ``fit``, the gate or ``not_converged``."""
+    return gated_points(points).groupBy("sample", "motif3").applyInPandas(_fit_group, PARAM_SCHEMA)
 
 
 def fallback_background(points: DataFrame) -> DataFrame:

@@ -72,15 +72,13 @@ def _batch_counts(pdf: pd.DataFrame, keys: Sequence[str], ref: str, seq: str, co
     return out
 
 
-def aligned_pair_counts(reads: DataFrame, keys: Sequence[str], ref: str = "ref_seq", seq: str = "seq",
-                        context: int | None = None, partition_by: Sequence[str] | None = None) -> DataFrame:
-    """(keys..., pos (1-based), ref_base, read_base, n): base i of ``seq`` aligned to base i of ``ref``.
+def aligned_pair_partials(reads: DataFrame, keys: Sequence[str], ref: str = "ref_seq", seq: str = "seq",
+                          context: int | None = None) -> DataFrame:
+    """(keys..., pos (1-based), ref_base, read_base, n) per Arrow batch, not yet summed: base i of ``seq``
+    aligned to base i of ``ref``.
 
     With ``context=k`` a ``context`` column carries the 2k+1 reference bases centred on
     ``pos`` (N-padded); the reference must be the same for all reads of a key group.
-    ``partition_by`` (a subset of the output keys) hash-partitions the per-batch
-    partial counts, so a caller's follow-up aggregation on a superset of those
-    columns needs no second shuffle.
     """
     keys = list(keys)
     src = reads.select(*keys, ref, seq)
@@ -98,11 +96,7 @@ def aligned_pair_counts(reads: DataFrame, keys: Sequence[str], ref: str = "ref_s
                 if out is not None and len(out):
                     yield out[[f.name for f in schema.fields]]
 
-    partial = src.mapInPandas(run, schema)
-    if partition_by:
-        partial = partial.repartition(*partition_by)
-    group = [*keys, "pos", "ref_base", "read_base"] + (["context"] if context is not None else [])
-    return partial.groupBy(*group).agg(F.sum("n").alias("n"))
+    return src.mapInPandas(run, schema)
 
 
 _BASE_CODE = np.full(256, 5, dtype=np.int64)  # other letters: counted in "reads" only

@@ -1,4 +1,4 @@
-"""Replicate-group test (A7, P18, F9) and per-group Parquet sink (K3)."""
+"""Replicate-group test."""
 
 from __future__ import annotations
 
@@ -45,12 +45,3 @@ def group_test(pooled: DataFrame, min_depth: int = GROUP_MIN_DEPTH, p: float = G
         .withColumn("m3", motif3_rna("motif"))
         .withColumn("p", group_pvalue("uncon", "depth", p))
     )
-
-
-def write_groups(tested: DataFrame, path: str) -> None:
-    """K3: one Parquet directory per group (``group=<name>``).
-
-    No repartition by group: a hot group would land in one task.  Each task
-    writes the groups it holds; files are capped by ``maxRecordsPerFile``.
-    """
-    tested.write.mode("overwrite").option("maxRecordsPerFile", 5_000_000).partitionBy("group").parquet(path)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitecall.functions.motif import col
-from sitecall.operators.basecount import aligned_pair_counts
+from sitecall.operators.basecount import aligned_pair_partials
 from sitecall.operators.joins import bounded_broadcast
 from sitecall.options import PROBE_MIN_SUPPORT, SIGNAL_POS
 
@@ -40,7 +40,7 @@ def spike_counts(probe_reads: DataFrame, prefix: str = "probe_", signal_pos: int
     Input: sample, reference, ref_seq, seq (ungapped, base i of seq on base i of ref_seq), yf, zf.
     """
     r = read_min_support(probe_reads.where(F.col("reference").startswith(prefix)))
-    c = aligned_pair_counts(r.withColumn("rate", probe_rate("reference")), ["sample", "rate"])
+    c = aligned_pair_partials(r.withColumn("rate", probe_rate("reference")), ["sample", "rate"])
     return c.groupBy(
         "sample", "rate", (F.col("pos") == signal_pos).alias("is_signal"), F.upper("ref_base").alias("ref_base"), "read_base",
     ).agg(F.sum("n").alias("n"))
@@ -89,9 +89,9 @@ def pileup_counts(reads: DataFrame, ref_base: str = "A", mut_base: str = "G", ti
     tier = default_tier() if tier is None else tier
     ref_base, mut_base = ref_base.upper(), mut_base.upper()
     r = reads.select("sample", F.col(chrom).alias("chrom"), tier.alias("tier"), "ref_seq", "seq")
-    # the motif window comes with the counts (functionally dependent on chrom, pos)
-    c = aligned_pair_counts(r, ["sample", "chrom", "tier"], context=MOTIF_HALF, partition_by=["sample", "chrom", "pos"]).where(
-        F.upper("ref_base") == ref_base)
+    # the motif window comes with the counts (functionally dependent on chrom, pos); the batch counts are summed
+    # in their task before the one shuffle, so a hot site sends one row a task
+    c = aligned_pair_partials(r, ["sample", "chrom", "tier"], context=MOTIF_HALF).where(F.upper("ref_base") == ref_base)
     b = F.upper("read_base")
     aggs = []
     for base, prefix in ((ref_base, "u"), (mut_base, "m")):

@@ -3,8 +3,8 @@
 The aligners stay outside; their output is an alignment table
 (sample, run, read_id, reftype, chrom, pos, strand, flag, qlen, sclen, xm, ns,
 nc, umi, isize, mapq).  Per-read logic (routing, mates, competition) is one
-hash aggregate keyed by the read, whose groups are bounded by the alignments
-of one read.  Duplicate marking aggregates by the duplicate key with map-side
+aggregate keyed by the read, whose groups are bounded by the alignments of one
+read; where whole records are carried (competition, duplicates) it sorts.  Duplicate marking aggregates by the duplicate key with map-side
 partial aggregation, so a hugely duplicated fragment cannot skew one task.
 """
 
@@ -66,9 +66,6 @@ def premap_accept(opts: Options = Options()) -> Column:
     return F.when(bit("flag", PAIRED), premap_accept_pe(opts)).otherwise(premap_accept_se(opts))
 
 
-STAGE_OF_REFTYPE = {"contamination": "contamination", "genes": "main", "transcript": "main", "genome": "genome"}
-
-
 def stage_accept(opts: Options = Options()) -> Column:
     rt = F.col("reftype")
     return (
@@ -173,17 +170,20 @@ def mate_join(aln: DataFrame) -> DataFrame:
 STAGES = ("contamination", "main", "genome")
 
 
-def reject_cascade(aln: DataFrame, opts: Options = Options(), stages: Sequence[str] = STAGES) -> DataFrame:
+def reject_cascade(aln: DataFrame, opts: Options = Options(), stages: Sequence[str] = STAGES, reads: DataFrame | None = None) -> DataFrame:
     """Final stage of each read: the first stage (contamination -> main -> genome) with an
     accepted alignment, else ``unmapped``.  Equals the chain of left-anti joins, as one
-    read-keyed aggregate.  Stages not configured (no reference) are skipped.
+    read-keyed aggregate.  Stages not configured (no reference) are skipped.  ``reads`` (the
+    cleaned reads) adds those without any alignment record, which are unmapped.
     """
+    if reads is not None:
+        aln = aln.unionByName(reads.select(*READ_KEYS), allowMissingColumns=True)
     ok = F.coalesce(stage_accept(opts), F.lit(False))
     st = F.col("reftype")
     flags = {
-        "contamination": F.max(ok & (st == "contamination")).alias("contamination"),
-        "main": F.max(ok & st.isin("genes", "transcript")).alias("main"),
-        "genome": F.max(ok & (st == "genome")).alias("genome"),
+        "contamination": F.coalesce(F.max(ok & (st == "contamination")), F.lit(False)).alias("contamination"),
+        "main": F.coalesce(F.max(ok & st.isin("genes", "transcript")), F.lit(False)).alias("main"),
+        "genome": F.coalesce(F.max(ok & (st == "genome")), F.lit(False)).alias("genome"),
     }
     g = aln.groupBy(*READ_KEYS).agg(*[flags[s] for s in stages])
     stage = F.lit("unmapped")

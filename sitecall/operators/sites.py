@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitecall.functions.motif import col, has_n, motif3, motif_valid
+from sitecall.functions.motif import has_n, motif3
 
 SITE_KEYS = ("chrom", "pos", "strand")
 LONG_COLUMNS = ("sample", "chrom", "pos", "strand", "motif", "uncon", "depth")
@@ -39,11 +39,6 @@ def motif_no_n(df: DataFrame, motif: str = "motif") -> DataFrame:
     return df.where(~has_n(motif3(motif)))
 
 
-def motif_target_valid(df: DataFrame, motif: str = "motif", target_base: str = "A") -> DataFrame:
-    """Keep sites whose 3-mer is A/T/G/C only and centred on the target base."""
-    return df.where(motif_valid(motif3(motif), target_base))
-
-
 # P15 -------------------------------------------------------------------
 def depth_window(df: DataFrame, lo: int = 1, hi: int = 100_000, depth: str = "depth") -> DataFrame:
     """lo <= depth < hi (background points only)."""
@@ -51,32 +46,6 @@ def depth_window(df: DataFrame, lo: int = 1, hi: int = 100_000, depth: str = "de
     return df.where((d >= lo) & (d < hi))
 
 
-# P17 / P18 -----------------------------------------------------------
-def min_depth_total(long_df: DataFrame, min_depth: int, keys: Sequence[str] = SITE_KEYS) -> DataFrame:
-    """Keep sites whose depth summed over samples is >= min_depth (long input)."""
-    from pyspark.sql.window import Window
-
-    w = Window.partitionBy(*keys)
-    return long_df.withColumn("_tot", F.sum("depth").over(w)).where(F.col("_tot") >= min_depth).drop("_tot")
-
-
-def min_depth_rows(df: DataFrame, min_depth: int, depth: str = "depth") -> DataFrame:
-    return df.where(F.col(depth) >= min_depth)
-
-
-# P19 -------------------------------------------------------------------
-def any_significant(long_df: DataFrame, keys: Sequence[str], p: str = "p") -> DataFrame:
-    """Keep every row of a site if any library has p < 1 (nulls never count)."""
-    from pyspark.sql.window import Window
-
-    w = Window.partitionBy(*keys)
-    return (
-        long_df.withColumn("_any", F.max(F.coalesce(F.col(p) < 1, F.lit(False))).over(w))
-        .where("_any")
-        .drop("_any")
-    )
-
-
 # P20 -------------------------------------------------------------------
 def columns_matching(df: DataFrame, pattern: str, exclude: str | None = None) -> list[str]:
     """Column names matching a regex (the wide-form selectors), optionally excluding one."""

@@ -177,15 +177,15 @@ union all select sample, run, read_id, 'unmapped' from (select * from (select *
     "reject_cascade", "J9",
     W(_CASCADE_SQL, [
         ACC,
-        ("r0", "select distinct sample, run, read_id from alignments"),
+        ("r0", "select sample, run, read_id from alignments union select sample, run, read_id from reads"),
         ("c", "select distinct sample, run, read_id from acc where reftype = 'contamination' and ok"),
         ("m", "select distinct sample, run, read_id from acc where reftype in ('genes', 'transcript') and ok"),
         ("g", "select distinct sample, run, read_id from acc where reftype = 'genome' and ok"),
-    ]),
+    ], ("alignments", "reads")),
 )
 def reject_cascade(spark, sf):
-    """Final stage per read: contamination -> genes/transcript -> genome -> unmapped."""
-    return rd.reject_cascade(_aln(spark, sf), OPTS)
+    """Final stage per read: contamination -> genes/transcript -> genome -> unmapped (also without an alignment record)."""
+    return rd.reject_cascade(_aln(spark, sf), OPTS, reads=fx.load(spark, sf, "reads"))
 
 
 _COMP_COLS = ["reftype", "chrom", "pos", "strand", "flag", "qlen", "sclen", "xm", "ns", "nc", "umi", "isize", "mapq"]
@@ -289,7 +289,7 @@ register("json_first_number", "F17", W("select * from tn", [_TRIM_NUM], ("trim_r
 
 
 def stage_counts_long(spark, sf) -> DataFrame:
-    aln = _aln(spark, sf)
+    aln = _acc(spark, sf).where("ok").drop("ok")  # the combined files hold accepted records only
     passed = rd.read_count_r1(aln)
     kept, _ = rd.dedup_alignments(aln)
     dedup = rd.read_count_r1(kept)
@@ -297,12 +297,12 @@ def stage_counts_long(spark, sf) -> DataFrame:
 
 
 _STAGE_SQL = [
-    _TRIM_NUM, _DEDUP_P, _KEPT,
+    _TRIM_NUM, ACC, ("okd", "select * exclude (ok) from acc where ok"), (_DEDUP_P[0], _DEDUP_P[1].replace("from alignments", "from okd")), _KEPT,
     ("stage", """
 select sample, 'Raw' as key, cast(sum(input) as bigint) as value from tn group by sample
 union all select sample, 'Clean', cast(sum(output) as bigint) from tn group by sample
 union all select sample, case reftype when 'contamination' then 'Contamination' when 'genes' then 'Masking' when 'transcript' then 'Transcript'
-  else 'Genome' end || '_Passed', cast(count_if((flag & 384) = 0) as bigint) from alignments group by sample, reftype
+  else 'Genome' end || '_Passed', cast(count_if((flag & 384) = 0) as bigint) from okd group by sample, reftype
 union all select sample, case reftype when 'contamination' then 'Contamination' when 'genes' then 'Masking' when 'transcript' then 'Transcript'
   else 'Genome' end || '_Dedup', cast(count_if((flag & 384) = 0) as bigint) from kept group by sample, reftype
 """),

@@ -389,6 +389,21 @@ def fit_background(spark, sf):
     return bg.fit_background(bg.background_points(_prepared(spark, sf)))
 
 
+@register(
+    "fit_gates", "U3",
+    fx.with_fixtures(
+        ["site_counts"],
+        "select sample, motif3, count(*) as n_points, case when count(*) < 5 then 'few_points' when max(ratio) - min(ratio) < 1e-10 then 'constant' "
+        "when avg(ratio) > 0 and (max(ratio) - min(ratio)) / avg(ratio) < 0.05 then 'narrow' when count(distinct gc) < 3 then 'few_gc' else 'fit' end as gate "
+        "from points group by sample, motif3",
+        [("prep", _PREP_SQL), ("points", _POINTS_SQL)],
+    ),
+)
+def fit_gates(spark, sf):
+    """U3's gates: per (sample, 3-mer) its number of fit points, and whether it is fitted or why not."""
+    return bg.fit_gates(bg.background_points(_prepared(spark, sf)))
+
+
 def _fallback_bg(spark, sf) -> DataFrame:
     prep = _prepared(spark, sf)
     params = bg.fallback_background(bg.background_points(prep))
@@ -453,32 +468,41 @@ _CHI_SQL = (
     "select sample, chrom, pos, strand, uncon, depth, "
     f"round({q.chi2('uncon', 'depth', 'background')}, 6) as stat, {q.call_tested('uncon', 'depth', 'background')} as tested from bgt"
 )
+# erfc(z) = 1 - 2 / sqrt(pi) exp(-z^2) sum of 2^n z^(2n+1) / (2n+1)!!; it is 0 to 9 places beyond z = 6
+_P_SQL = (
+    "select *, round(case when background is null and depth > 10 and uncon >= 0.1 * depth and uncon > 0 then null when not tested then 1.0 when z > 6 then 0.0 else "
+    "1 - 2 / sqrt(pi()) * exp(-z * z) * list_sum(list_transform(range(0, 200), lambda n: exp((2 * n + 1) * ln(z) + 2 * n * ln(2) + lgamma(n + 1) - lgamma(2 * n + 2)))) end, 9) as p "
+    f"from (select *, sqrt({q.chi2('uncon', 'depth', 'background')} / 2) as z, {q.call_tested('uncon', 'depth', 'background')} as tested from bgt) x"
+)
 
 
 @register(
     "chi2_pvalue", "F8",
-    fx.with_fixtures(["site_counts"], _CHI_SQL, [("prep", _PREP_SQL), ("points", _POINTS_SQL), ("bgt", _BG_SQL)]),
+    fx.with_fixtures(
+        ["site_counts"], "select sample, chrom, pos, strand, uncon, depth, round(2 * z * z, 6) as stat, tested, p from scored",
+        [("prep", _PREP_SQL), ("points", _POINTS_SQL), ("bgt", _BG_SQL), ("scored", _P_SQL)],
+    ),
 )
 def chi2_pvalue(spark, sf):
-    """F8: chi-square statistic and test gate per (site, library); p itself is checked in the tests."""
-    s = calling.chi2_columns(_fallback_bg(spark, sf))
-    return s.select("sample", *KEYS, "uncon", "depth", F.round("stat", 6).alias("stat"), "tested")
+    """F8: chi-square statistic, test gate and p per (site, library)."""
+    s = calling.score_sites(calling.chi2_columns(_fallback_bg(spark, sf)))
+    return s.select("sample", *KEYS, "uncon", "depth", F.round("stat", 6).alias("stat"), "tested", F.round("p", 9).alias("p"))
 
 
 @register(
     "any_sample_significant", "P19",
     fx.with_fixtures(
         ["site_counts"],
-        "select sample, chrom, pos, strand, uncon, depth, tested from t "
+        "select sample, chrom, pos, strand, uncon, depth, tested, p from t "
         "where (chrom, pos, strand) in (select chrom, pos, strand from t where tested)",
-        [("prep", _PREP_SQL), ("points", _POINTS_SQL), ("bgt", _BG_SQL), ("t", _CHI_SQL)],
+        [("prep", _PREP_SQL), ("points", _POINTS_SQL), ("bgt", _BG_SQL), ("t", _P_SQL)],
     ),
 )
 def any_sample_significant(spark, sf):
     """Every library row of sites where some library has p < 1 (fallback background)."""
     scored = calling.score_sites(_fallback_bg(spark, sf))
     kept = calling.keep_significant(scored, KEYS)
-    return kept.select("sample", *KEYS, "uncon", "depth", (F.col("p") < 1).alias("tested"))
+    return kept.select("sample", *KEYS, "uncon", "depth", (F.col("p") < 1).alias("tested"), F.round("p", 9).alias("p"))
 
 
 def _renamed_for_pool(df: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ import re
 import pytest
 
 from sitecall import fixtures as fx
-from sitecall.operators import basecount, merge, reads as rd
+from sitecall.operators import merge, pileup, reads as rd
 from sitecall.plans import site_queries as sq
 from sitecall.plans.registry import load_all
 
@@ -45,9 +45,11 @@ def test_hot_key_aggregates_are_partial(spark, sf, static_plans):
     kept, sets = rd.dedup_alignments(fx.load(spark, sf, "alignments"))
     assert "partial_min" in _plan(kept)
     assert "partial_count" in _plan(sets)
-    counts = basecount.aligned_pair_counts(fx.load(spark, sf, "probe_reads"), ["sample", "reference"])
-    plan = _plan(counts)
-    assert "MapInPandas" in plan and "partial_sum" in plan
+    probes = fx.load(spark, sf, "probe_reads")
+    for counts in (pileup.spike_counts(probes), pileup.pileup_counts(probes)):
+        plan = _plan(counts)
+        assert _shuffles(plan) == 1
+        assert plan.index("Exchange") < plan.index("partial_sum") < plan.index("MapInPandas")  # summed below the shuffle
 
 
 def test_filters_reach_the_scan(spark, sf, static_plans):

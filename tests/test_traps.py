@@ -148,12 +148,45 @@ def test_fit_recovers_noiseless_parameters():
 
     x = np.array([0.0, 0.2, 0.25, 0.3, 0.35, 0.4, 0.45, 0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 1.0])
     true = (0.0002, 6.0, 0.05, 20.0, 0.45)
-    y = fit.combined(x, *true)
-    p = fit.fit_motif(x, y)
-    assert np.max(np.abs(fit.combined(x, *p) - y)) < 2e-3
-    assert fit.gate_reason(x[:4], y[:4]).startswith("insufficient data")
-    assert fit.gate_reason(x, np.full_like(x, 0.1)) == "no variance in data"
-    assert fit.gate_reason(x, 0.1 + 0.001 * (x > 0.5)) == "insufficient variation"
+    y = fit.ratio_model(x, true)[0]
+    assert np.max(np.abs(fit.ratio_model(x, fit.fit_points(x, y))[0] - y)) < 2e-3
+    # two points are enough for a stage of three parameters, and five points with two of them below the limit for a fit
+    two = fit.solve_in_box(x[[1, 5]], y[[1, 5]], fit.START, fit.LEVEL, 1000)
+    assert np.max(np.abs(fit.ratio_model(x[[1, 5]], two)[0] - y[[1, 5]])) < 2e-3
+    few = [1, 5, 8, 11, 14]
+    assert np.all((fit.fit_points(x[few], y[few]) >= fit.LOWER) & (fit.fit_points(x[few], y[few]) <= fit.UPPER))
+
+
+def test_model_slopes_equal_differences():
+    import numpy as np
+
+    from sitecall.operators import fit
+
+    x, theta, h = np.linspace(0, 1, 9), np.array([0.0003, 5.0, 0.1, 30.0, 0.5]), 1e-6
+    slopes = fit.ratio_model(x, theta)[1]
+    for i in range(5):
+        step = np.zeros(5)
+        step[i] = h * max(theta[i], 1e-3)
+        differences = (fit.ratio_model(x, theta + step)[0] - fit.ratio_model(x, theta - step)[0]) / (2 * step[i])
+        assert np.allclose(slopes[:, i], differences, rtol=1e-4, atol=1e-8)
+
+
+def test_fit_gates(spark):
+    from sitecall.operators import background as bg
+
+    gc = [0.2, 0.3, 0.4, 0.5, 0.6]
+    groups = {"few_points": [(g, g) for g in gc[:4]], "constant": [(g, 0.1) for g in gc], "narrow": [(g, 0.1 + 0.001 * (g > 0.5)) for g in gc],
+              "few_gc": [(0.2 + 0.1 * (i % 2), i / 10) for i in range(5)], "fit": [(g, g / 2) for g in gc]}
+    rows = [("s", name, i, ratio, g, 1) for name, points in groups.items() for i, (g, ratio) in enumerate(points)]
+    got = bg.fit_gates(spark.createDataFrame(rows, "sample string, motif3 string, gc_bin int, ratio double, gc double, count long"))
+    assert {r["motif3"]: (r["gate"], r["n_points"]) for r in got.collect()} == {name: (name, len(p)) for name, p in groups.items()}
+
+
+def test_reads_without_alignment_are_unmapped(spark):
+    cols = "sample string, run string, read_id string, reftype string, flag long, qlen long, sclen long, xm long, ns long, nc long"
+    aln = spark.createDataFrame([("s", "r", "a", "genome", 0, 50, 0, 0, 0, 0), ("s", "r", "b", "genome", 4, 50, 0, 0, 40, 0)], cols)
+    reads = spark.createDataFrame([("s", "r", x, "ACGT") for x in "aabc"], "sample string, run string, read_id string, seq string")
+    assert {r["read_id"]: r["stage"] for r in rd.reject_cascade(aln, reads=reads).collect()} == {"a": "genome", "b": "unmapped", "c": "unmapped"}
 
 
 def test_motif3_first_two_t(spark):
