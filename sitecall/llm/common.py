@@ -1,11 +1,13 @@
 """Helpers shared by the text operators: staged tables, Arrow text views and vectorised hashing.
 
-All per-task work goes through chunks of a few MB of text (``CHUNK_BYTES``), so a task's memory is bounded
-by that size (or by its longest single document), never by its partition.
+All per-task work goes through chunks of half a MB of text (``CHUNK_BYTES``), so a task's memory is bounded
+by that size (or by its longest single document), never by its partition; memory that a longer document or a
+finished task has freed goes back to the system, since the workers live on through later stages.
 """
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -16,7 +18,9 @@ from pyspark.sql import functions as F
 
 from sitecall.session import unique_scratch
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
+
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # GNU libc has it
 
 _C1, _C2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -26,7 +30,7 @@ def prepare(spark: SparkSession) -> None:
     hand texts to Python in small Arrow batches, so that a task's memory does not depend on their number."""
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(2 << 20))
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -67,6 +71,13 @@ def text_view(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, off - off[0]
 
 
+def give_back() -> None:
+    """Return freed memory of this Python worker to the system."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def chunks(batches: Iterable[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Cut Arrow batches into row ranges of at most ``limit`` text bytes (one longer row makes its own range)."""
     for rb in batches:
@@ -78,7 +89,10 @@ def chunks(batches: Iterable[pa.RecordBatch], column: str, limit: int = CHUNK_BY
             b = int(np.searchsorted(off, off[a] + limit, side="right")) - 1
             b = min(n, max(b, a + 1), a + 20_000)
             yield rb.slice(a, b - a), data[off[a] : off[b]], off[a : b + 1] - off[a]
+            if off[b] - off[a] > limit:
+                give_back()
             a = b
+    give_back()
 
 
 def ids_of(rb: pa.RecordBatch, column: str = "doc_id") -> pa.Array:
