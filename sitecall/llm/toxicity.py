@@ -1,8 +1,9 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained on the labelled sample: one on windows of ordinary text, one on the
-words that toxic texts use in many different contexts and ordinary texts do not (a word counts once for
-each pair of neighbours, so copies of one text count once). A window of a document is compressed twice, with
+Two zstandard dictionaries are trained on the labelled sample: one on windows of ordinary text, one on the parts
+of the toxic texts that ordinary texts do not share: the runs of ``MER`` byte strings that occur in many different
+contexts and at ``MIN_RATIO`` times the ordinary rate (a string counts once for each pair of 8 bytes around it, so
+copies of one text count once). Runs are cut without regard to words, so stems and inflected forms count. A window of a document is compressed twice, with
 the ordinary dictionary alone and with the toxic dictionary's content put before it; the bytes that the
 toxic one saves are its distance. The largest, the mean and the share of windows that save at least
 ``HIT_BYTES`` are turned into a score by a logistic curve that is calibrated on labelled rows which the
@@ -17,7 +18,6 @@ classes every score is 0; equal rows score the same; other columns are ignored.
 
 from __future__ import annotations
 
-import collections
 import random
 from dataclasses import dataclass
 
@@ -37,10 +37,11 @@ HIT_BYTES = 3
 BASE_BYTES = 65_536
 TOXIC_BYTES = 32_768
 MIN_CONTEXTS = 8
-MIN_RATIO = 6.0
+MER = 7
+MIN_RATIO = 12.0
 SEED = 11
 
-_EDGE = b".,;:!?"
+_K = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass(frozen=True)
@@ -83,12 +84,51 @@ def _features(saved: list[int]) -> list[float]:
     return [1.0, float(x.max()), float(x.mean()), float((x >= HIT_BYTES).mean()), float(np.log1p(len(x)))]
 
 
-def _contexts(texts: list[bytes]) -> collections.Counter:
-    seen = set()
+def _plain(text: bytes) -> bytes:
+    return b" " + b" ".join(text.lower().split()) + b" "
+
+
+def _strings(plain: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(the MER-byte string that starts at each byte, a hash of it with the 8 bytes before and after it)."""
+    n = max(len(plain) - MER + 1, 0)
+    v = np.ndarray((len(plain) + 17,), "<u8", b"\0" * 8 + plain + b"\0" * 16, strides=(1,)).copy()
+    string = v[8 : 8 + n] & np.uint64((1 << 8 * MER) - 1)
+    return string, (v[:n] * _K ^ v[8 + MER : 8 + MER + n]) * _K ^ string
+
+
+def _among(x: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which of x are in the sorted array known."""
+    return known[np.searchsorted(known, x).clip(0, len(known) - 1)] == x if len(known) else np.zeros(len(x), bool)
+
+
+def _contexts(texts: list[bytes], known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(strings in ascending order, different contexts of each), of the known strings only if given."""
+    found = [(np.zeros(0, np.uint64),) * 2]
     for t in texts:
-        w = [b"", *(x.strip(_EDGE) for x in t.lower().split()), b""]
-        seen.update(zip(w, w[1:], w[2:]))
-    return collections.Counter(word for _, word, _ in seen)
+        s, c = _strings(_plain(t))
+        m = _among(s, known) if known is not None else slice(None)
+        found.append((s[m], c[m]))
+    s, c = (np.concatenate(x) for x in zip(*found))
+    return np.unique(s[np.unique(c, return_index=True)[1]], return_counts=True)
+
+
+def _own_runs(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
+    """The different runs of toxic text whose strings are rare in ordinary text."""
+    string, n = _contexts(toxic)
+    few = min(MIN_CONTEXTS, max(2, len(toxic) // 20))
+    na, nb = n.sum(), sum(map(len, ordinary))
+    string, n = string[n >= few], n[n >= few]
+    common = np.zeros(len(string))
+    seen, m = _contexts(ordinary, string)
+    common[np.searchsorted(string, seen)] = m
+    marked = string[n / max(1, na) >= MIN_RATIO * (common + 1) / (na + nb)]
+    runs = set()
+    for t in toxic:
+        plain = _plain(t)
+        at = np.flatnonzero(_among(_strings(plain)[0], marked))
+        new = np.flatnonzero(np.diff(at, prepend=-MER - 1) > MER)
+        runs.update(plain[at[a] : at[b - 1] + MER] for a, b in zip(new, [*new[1:], len(at)]))
+    return sorted(runs)
 
 
 def _fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -115,18 +155,13 @@ def train(toxic: list[bytes], ordinary: list[bytes]) -> Model:
     if not fit_t or not fit_o:
         return none
     rng = random.Random(SEED)
-    a, b = _contexts(fit_t), _contexts(fit_o)
-    na, nb = sum(a.values()), max(1, sum(b.values()))
-    few = min(MIN_CONTEXTS, max(2, len(fit_t) // 20))
-    marked = sorted(w for w, n in a.items() if n >= few and len(w) >= 3 and n / na >= MIN_RATIO * (b[w] + 1) / (nb + na))
     base = [w for t in fit_o for w in windows(t, 4)]
     rng.shuffle(base)
-    samples = [b" " + w + b" " for w in marked for _ in range(40)]
+    samples = _own_runs(fit_t, fit_o)
     rng.shuffle(samples)
-    joined = [b"".join(samples[i : i + 4]) for i in range(0, len(samples), 4)]
     try:
         model_o = zstandard.train_dictionary(BASE_BYTES, base[:80_000]).as_bytes()
-        model_t = zstandard.train_dictionary(TOXIC_BYTES, joined, d=8, k=32).as_bytes()
+        model_t = zstandard.train_dictionary(TOXIC_BYTES, samples, d=6, k=32).as_bytes()
     except zstandard.ZstdError:  # too little text to train on
         return none
     model = Model(model_o, model_t, ())

@@ -277,6 +277,24 @@ def test_toxicity_tells_marked_words():
     assert np.mean([score(t) > 0 for t in toxic[200:]]) > 0.9 and np.mean([score(t) > 0 for t in plain[300:]]) < 0.1
 
 
+def test_toxicity_tells_inflected_words():
+    rng = np.random.default_rng(6)
+    word = lambda a, b: "".join(rng.choice(list("abcdefghijklmnop"), rng.integers(a, b)))
+    vocab = [word(3, 8) for _ in range(400)]
+    plain = [" ".join(rng.choice(vocab, 80)) for _ in range(400)]
+    toxic = []
+    for t in [" ".join(rng.choice(vocab, 80)) for _ in range(300)]:
+        w = t.split()
+        for i in rng.integers(0, 80, 6):
+            w[i] = rng.choice(["vermintz", "wretchqu", "scoundrel"]) + word(4, 7)  # hardly a form occurs twice
+        toxic.append(" ".join(w))
+    model = toxicity.train([t.encode() for t in toxic[:200]], [t.encode() for t in plain[:300]])
+    assert model.weights
+    saved, w = toxicity._savings(model), np.array(model.weights)
+    score = lambda t: float(np.array(toxicity._features(saved(t.encode()))) @ w)
+    assert np.mean([score(t) > 0 for t in toxic[200:]]) > 0.9 and np.mean([score(t) > 0 for t in plain[300:]]) < 0.1
+
+
 def test_importance_keeps_the_top_k(odd):
     out = importance.resample(odd, odd.filter("doc_id >= 22").select("doc_id"), keep=0.5).collect()
     k = math.floor(0.5 * len(out))
