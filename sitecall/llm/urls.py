@@ -6,7 +6,9 @@ rule's path; the longest fitting rule decides. Urls that no rule fits are judged
 * edges: every absolute link of a page's html to another host, and each host to its parent domains and back;
 * trust: personalised PageRank along the edges from the hosts of allowed pages;
 * distrust: the same against the edges from the hosts of blocked pages, so that who links there is reached;
-* a host is blocked when its distrust reaches its trust plus ``NEUTRAL`` times its pages without a rule.
+* a host is blocked when its distrust reaches its trust plus ``NEUTRAL`` times its pages without a rule; with
+  ``by_share`` (not in the query, whose SQL has the rule above), when distrust d and trust t, each from seeds that
+  sum to 1, have d / (d + t) >= ``SHARE``, whatever the number of its pages.
 
 Dangling hosts are not fed back: with restarts at the seeds that only scales all ranks alike. Everything is
 DataFrame operations: edges are pre-aggregated, each step is one join on the source host and one sum, and
@@ -36,6 +38,7 @@ DAMPING = 0.85
 STEPS = 12
 CUT = 4
 NEUTRAL = 0.5
+SHARE = 0.5
 
 _AZ, _az = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LINK = r"""(?i)(?:href|src)\s*=\s*["']?(?:https?:)?//([^/?#"'\s<>]+)"""
@@ -87,7 +90,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, steps: int = STEPS, damping: f
     return ranks
 
 
-def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> DataFrame:
+def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, by_share: bool = False) -> DataFrame:
     """page_id, host, path, rule, verdict, trust and distrust of every page's url."""
     rows = doc_columns(pages, "page_id", "url", "html")
     host, path = host_and_path(F.col("url"))
@@ -107,7 +110,12 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> D
     ranks = ranks.groupBy("host").agg(F.sum(F.when(F.col("kind") == "t", F.col("rank"))).alias("t"), F.sum(F.when(F.col("kind") == "d", F.col("rank"))).alias("d"))
     scored = hosts.select(F.col("host").alias("_host"), "open").join(ranks.withColumnRenamed("host", "_h"), F.col("_host") == F.col("_h"), "left")
     scored = staged(scored.select("_host", "open", F.round(F.coalesce("t", F.lit(0.0)), 9).alias("trust"), F.round(F.coalesce("d", F.lit(0.0)), 9).alias("distrust")), "url-scores")
-    bad = (F.col("distrust") > 0) & (F.col("distrust") >= F.col("trust") + NEUTRAL * F.col("open"))
+    if by_share:
+        trusted, distrusted = hosts.agg(F.sum("allowed"), F.sum("blocked")).first()
+        t, d = F.col("trust") / float(trusted or 1), F.col("distrust") / float(distrusted or 1)
+        bad = (d > 0) & (d >= SHARE * (d + t))
+    else:
+        bad = (F.col("distrust") > 0) & (F.col("distrust") >= F.col("trust") + NEUTRAL * F.col("open"))
     out = ruled.join(scored, F.col("host") == F.col("_host"), "left")
     method = F.when(bad, "block").otherwise("allow")
     return out.select("page_id", "host", "path", "rule", F.coalesce("by_rule", method).alias("verdict"), F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))

@@ -338,6 +338,17 @@ def test_url_rules_and_propagation(spark):
     assert got[7]["verdict"] == "block" and got[8]["verdict"] == "allow"  # c.org links to a blocked host
 
 
+def test_url_share_does_not_depend_on_open_pages(spark):
+    link = '<a href="//%s/x">'
+    rows = [(i, f"http://bad.net/es/{i}", "") for i in range(100)] + [(200, "http://one.org/p", link % "bad.net"), (201, "http://far.org/p", "")]
+    rows += [(300 + i, f"http://many.org/{i}", link % "bad.net") for i in range(500)]
+    rows += [(900, "http://good.com/", link % "seen.org")] + [(901 + i, f"http://seen.org/{i}", "") for i in range(3)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    verdicts = lambda d: {r["host"]: r["verdict"] for r in d.filter("rule is null").collect()}
+    assert verdicts(urls.judge_urls(df))["many.org"] == "allow"  # the rule of the query's SQL
+    assert verdicts(urls.judge_urls(df, by_share=True)) == {"one.org": "block", "many.org": "block", "far.org": "allow", "seen.org": "allow"}
+
+
 def test_urls_empty(spark):
     assert urls.judge_urls(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
