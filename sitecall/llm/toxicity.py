@@ -12,8 +12,8 @@ dictionaries did not see.
 Learning takes a bounded sample: the first ``TRAIN_TOXIC`` and ``TRAIN_ORDINARY`` labelled rows of at most
 ``TRAIN_BYTES`` bytes by a seeded hash of their id. Scoring reads every whole text.
 
-Defined cases: null or empty text scores like a text without any saving; without training rows of both
-classes every score is 0; equal rows score the same; other columns are ignored.
+Defined cases: null or empty text scores like a text without any saving; without a training text of both
+classes every score is 0; texts too few to train on are the dictionaries themselves; equal rows score the same; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -147,23 +147,30 @@ def _fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w / scale
 
 
+def _dictionary(size: int, samples: list[bytes], spare: list[bytes], **how) -> bytes:
+    """A dictionary trained on the samples or, if they are too few for that, the first ``spare`` texts themselves."""
+    try:
+        return zstandard.train_dictionary(size, samples, **how).as_bytes()
+    except zstandard.ZstdError:
+        return b"".join(spare)[:size]
+
+
 def train(toxic: list[bytes], ordinary: list[bytes]) -> Model:
     """Learn from labelled texts: two thirds make the dictionaries, one third calibrates."""
     none = Model(b"", b"", ())
-    fit_t, cal_t = [t for i, t in enumerate(toxic) if i % 3], toxic[::3]
-    fit_o, cal_o = [t for i, t in enumerate(ordinary) if i % 3], ordinary[::3]
-    if not fit_t or not fit_o:
+    fit_t, cal_t = [t for i, t in enumerate(toxic) if i % 3] or toxic, toxic[::3]
+    fit_o, cal_o = [t for i, t in enumerate(ordinary) if i % 3] or ordinary, ordinary[::3]
+    if not any(map(windows, fit_t)) or not any(map(windows, fit_o)):
         return none
     rng = random.Random(SEED)
     base = [w for t in fit_o for w in windows(t, 4)]
     rng.shuffle(base)
     samples = _own_runs(fit_t, fit_o)
     rng.shuffle(samples)
-    try:
-        model_o = zstandard.train_dictionary(BASE_BYTES, base[:80_000]).as_bytes()
-        model_t = zstandard.train_dictionary(TOXIC_BYTES, samples, d=6, k=32).as_bytes()
-    except zstandard.ZstdError:  # too little text to train on
-        return none
+    model_o = _dictionary(BASE_BYTES, base[:80_000], base)
+    shared = set(base)
+    spare = samples or [w for t in fit_t for w in windows(t, 4) if w not in shared]
+    model_t = _dictionary(TOXIC_BYTES, samples, spare, d=6, k=32)
     model = Model(model_o, model_t, ())
     saved = _savings(model)
     x = np.array([_features(saved(t)) for t in [*cal_t, *cal_o]])

@@ -295,6 +295,19 @@ def test_toxicity_tells_inflected_words():
     assert np.mean([score(t) > 0 for t in toxic[200:]]) > 0.9 and np.mean([score(t) > 0 for t in plain[300:]]) < 0.1
 
 
+def test_toxicity_learns_from_few_and_spread_out_texts():
+    rng = np.random.default_rng(7)
+    word = lambda letters: "".join(rng.choice(list(letters), rng.integers(4, 9)))
+    toxic = [" ".join(word("qrstuvwxyz") for _ in range(30)).encode() for _ in range(30)]  # no word occurs twice
+    plain = [" ".join(word("abcdefghij") for _ in range(30)).encode() for _ in range(60)]
+    for n in (1, 30):
+        model = toxicity.train(toxic[:n], plain[: 2 * n])
+        assert model.weights and model.toxic
+        saved, w = toxicity._savings(model), np.array(model.weights)
+        assert float(np.array(toxicity._features(saved(toxic[0]))) @ w) != 0
+    assert not toxicity.train([], plain).weights and not toxicity.train(toxic, [b" "]).weights
+
+
 def test_importance_keeps_the_top_k(odd):
     out = importance.resample(odd, odd.filter("doc_id >= 22").select("doc_id"), keep=0.5).collect()
     k = math.floor(0.5 * len(out))
