@@ -19,8 +19,9 @@ must meet across documents:
 The counts of 1 to 3 are hash aggregates with map-side partial sums, joined back to the members, so a passage
 that a third of all documents share is never gathered in one task.
 
-Defined cases: null text is empty; texts shorter than 100 bytes lose nothing; rows with the same id count as
-one document, so neither copy removes the other; rows with a null id neither remove nor lose anything;
+Defined cases: null text is empty; texts shorter than 100 bytes lose nothing; rows with the same id and text count
+as one document, so neither copy removes the other; rows with the same id and other texts are documents of their own,
+ordered by a hash of the text; rows with a null id neither remove nor lose anything;
 an empty table gives an empty result; other columns are ignored.
 """
 
@@ -30,7 +31,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitecall.llm.common import as_int64, chunks, doc_columns, ids_of, mix64, staged
@@ -246,9 +247,17 @@ def _resolved(members: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     return ranges, open_runs
 
 
+def _document() -> Column:
+    """The key of a document: its id, and a hash of its text for ids that several texts have."""
+    return F.struct("doc_id", F.xxhash64("text").alias("h"))
+
+
 def repeated_ranges(docs: DataFrame) -> DataFrame:
-    """doc_id, lo, hi: byte ranges whose every 100-byte string also starts earlier (ranges of a document may overlap)."""
-    rows = doc_columns(docs, "doc_id", "text").filter("doc_id is not null and octet_length(text) >= 100")
+    """doc_id, lo, hi: byte ranges whose every 100-byte string also starts earlier (ranges of a document may overlap).
+
+    Here ``doc_id`` is the key of ``_document``.
+    """
+    rows = doc_columns(docs, "doc_id", "text").filter("doc_id is not null and octet_length(text) >= 100").withColumn("doc_id", _document())
     kind = dict(rows.dtypes)["doc_id"]
     members = rows.mapInArrow(_anchor_batches, f"core long, run long, doc_id {kind}, pos long")
     whole, open_runs = _resolved(members, "suffix-buckets")
@@ -304,7 +313,8 @@ def remove_repeats(docs: DataFrame, passed: tuple[str, ...] = ("doc_id",), resul
     """
     found = staged(repeated_ranges(docs), "suffix-ranges")
     ranges = found.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
-    rows = doc_columns(docs, *dict.fromkeys([*passed, "text"])).alias("d").join(ranges.alias("r"), F.col("d.doc_id") == F.col("r.doc_id"), "left")
+    rows = doc_columns(docs, *dict.fromkeys([*passed, "text"])).withColumn("_document", _document())
+    rows = rows.alias("d").join(ranges.alias("r"), F.col("d._document") == F.col("r.doc_id"), "left").drop("_document")
     rows = rows.select("d.*", F.coalesce("ranges", F.array().cast("array<struct<lo:bigint,hi:bigint>>")).alias("ranges"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*passed).schema)
     return rows.mapInArrow(_cut_batches(passed, result), f"{schema}, n_bytes long, n_removed long, n_spans long, {result} string")

@@ -79,6 +79,20 @@ def test_suffix_equals_brute_force(odd, odd_rows, monkeypatch, part):
     assert got == brute_suffix([(r[0], r[1]) for r in odd_rows])
 
 
+def test_suffix_keeps_texts_of_one_id_apart(spark):
+    rng = np.random.default_rng(8)
+    text = lambda n: "".join(rng.choice(list("abcdefghij "), n))
+    b, c = text(900), text(200)
+    rows = [(1, b), (2, c), (2, c + "!" + b), (2, c + "!" + b), (2, None), (3, "short")]
+    got = suffix.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), result="kept").collect()
+    kept = sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["kept"]) for r in got)
+    assert [x for x in kept if x[0] != 2] == [(1, 900, 0, b), (3, 5, 0, "short")]
+    two = [x for x in kept if x[0] == 2]
+    assert two[0] == (2, 0, 0, "") and two[2] == two[3] and {x[1] for x in two[1:]} == {200, 1101}
+    whole = "" if two[2][2] == 1100 else c  # the copy of c that goes is the one with the larger hash
+    assert two[2][3] == whole + "!" and two[1][3] == ("" if whole else c)
+
+
 def test_anchor_parts_do_not_change_the_runs_covered():
     data = np.frombuffer((b"abcdefghij" * 40 + bytes(range(32, 127)) * 6), np.uint8)
     _, _, _, lo, last, _ = suffix.anchors(data, np.array([0, len(data)]))
