@@ -1,9 +1,8 @@
 """Importance resampling: documents drawn by the ratio of two hashed n-gram models.
 
 Words and word pairs (lower case) are hashed to ``BUCKETS`` buckets. One bag-of-buckets model is counted over the
-target texts and one over all raw texts, both smoothed. A document's log weight is the mean log ratio of its
-n-grams times ``STRETCH``, the ratio of a typical stretch of text, so that long texts are not favoured for
-their length. Gumbel noise of a seeded hash of the id is added, and the top k keys are drawn: a sample without
+target texts and one over all raw texts, both smoothed. A document's log weight is the sum of the log ratios
+of its n-grams; with ``stretch`` (off), their mean times that many n-grams, whatever the text's length. Gumbel noise of a seeded hash of the id is added, and the top k keys are drawn: a sample without
 replacement in proportion to the weights.
 
 The k-th largest key is found by counting keys in ever finer ranges (at most ``RANGES`` counts a round go to the
@@ -26,7 +25,6 @@ from pyspark.sql import functions as F
 from sitecall.llm.common import LOWER_AZ, chunks, doc_columns, ids_of, mix64, span_hashes, staged, word_spans
 
 BUCKETS = 1 << 16
-STRETCH = 50.0
 KEEP = 0.85
 RANGES = 4096
 SEED = 23
@@ -69,12 +67,14 @@ def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
     return np.log((target + held * model) / (target.sum() + held)) - np.log(model)
 
 
-def _weight_batches(ratio: np.ndarray):
+def _weight_batches(ratio: np.ndarray, stretch: float | None):
     def run(batches):
         for rb, data, off in chunks(batches, "text"):
             bucket, row = _row_buckets(data, off)
             n = np.bincount(row, minlength=rb.num_rows)
-            weight = np.bincount(row, weights=ratio[bucket], minlength=rb.num_rows) / np.maximum(n, 1) * STRETCH
+            weight = np.bincount(row, weights=ratio[bucket], minlength=rb.num_rows)
+            if stretch is not None:
+                weight = weight / np.maximum(n, 1) * stretch
             yield pa.RecordBatch.from_arrays([ids_of(rb), pa.array(n, pa.int64()), pa.array(weight, pa.float64())], ["doc_id", "n_grams", "log_weight"])
 
     return run
@@ -109,14 +109,14 @@ def top_k(rows: DataFrame, key: str, k: int) -> DataFrame:
     return rows.filter(~last).withColumn("kept", F.col(key) > high).unionByName(ranked)
 
 
-def resample(docs: DataFrame, target_ids: DataFrame, keep: float = KEEP, seed: int = SEED) -> DataFrame:
+def resample(docs: DataFrame, target_ids: DataFrame, keep: float = KEEP, seed: int = SEED, stretch: float | None = None) -> DataFrame:
     """doc_id, n_grams, log_weight, key and kept of every document; k is ``keep`` times the number of documents."""
     rows = doc_columns(docs, "doc_id", "text")
     kind = dict(rows.dtypes)["doc_id"]
     # a hash join on shuffled sides at every size: the ids grow with the corpus, so they are never to be broadcast
     target = rows.join(target_ids.select("doc_id").distinct().hint("shuffle_hash"), "doc_id", "left_semi")
     ratio = log_ratio(bucket_counts(target), bucket_counts(rows))
-    weighed = rows.mapInArrow(_weight_batches(ratio), f"doc_id {kind}, n_grams long, log_weight double")
+    weighed = rows.mapInArrow(_weight_batches(ratio, stretch), f"doc_id {kind}, n_grams long, log_weight double")
     h = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 11)
     uniform = (h.cast("double") + 0.5) / float(1 << 53)
     weighed = weighed.withColumn("key", F.col("log_weight") - F.log(-F.log(uniform))).withColumn("_row", F.monotonically_increasing_id())

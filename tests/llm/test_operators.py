@@ -322,6 +322,18 @@ def test_toxicity_learns_from_few_and_spread_out_texts():
     assert not toxicity.train([], plain).weights and not toxicity.train(toxic, [b" "]).weights
 
 
+def test_importance_log_weight_is_the_sum_over_n_grams(spark):
+    rows = [(1, "a b c"), (2, "a b c " * 200), (3, "x y z"), (4, "x y z " * 200), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = by_id(importance.resample(docs, docs.filter("doc_id = 1").select("doc_id")), "n_grams", "log_weight")
+    ratio = importance.log_ratio(importance.bucket_counts(docs.filter("doc_id = 1")), importance.bucket_counts(docs))
+    for k, text in rows:
+        raw = np.frombuffer((text or "").encode(), np.uint8)
+        bucket = importance._row_buckets(raw, np.array([0, len(raw)]))[0]
+        assert got[k] == (len(bucket), pytest.approx(float(ratio[bucket].sum())))
+    assert got[2][1] > 100 * got[1][1] > 0 > got[3][1] > got[4][1] / 100
+
+
 def test_importance_keeps_the_top_k(odd):
     out = importance.resample(odd, odd.filter("doc_id >= 22").select("doc_id"), keep=0.5).collect()
     k = math.floor(0.5 * len(out))
