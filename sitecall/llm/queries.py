@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitecall.llm import importance, jaccard, language, merkle, mixing, packing, quality_rules, suffix, toxicity, urls
+from sitecall.llm import (
+    importance, jaccard, language, licenses, manifest, merkle, mixing, packing, quality_rules, suffix, target_sample, toxicity, urls,
+)
 from sitecall.llm.common import bucket5
 from sitecall.llm.registry import register, table
 
@@ -79,3 +81,21 @@ def op4_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents drawn by their likeness to those labelled as good quality; ``kept`` marks the sample."""
     good = table(spark, sf_dir, "labels").filter("quality = 1")
     return importance.resample(table(spark, sf_dir, "documents"), good)
+
+
+@register("op11_license_scans", licenses.oracle_sql())
+def op11_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in all documents, by votes of word k-grams for template diagonals."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@register("op12_target_resampling", target_sample.oracle_sql())
+def op12_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents drawn by their likeness to the benchmark; ranks of the drawn ones."""
+    return target_sample.resample_to_target(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op13_dataset_manifest", manifest.oracle_sql())
+def op13_dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle root of all documents, each row's proof, and the root that a tampered row leads to."""
+    return manifest.manifest(table(spark, sf_dir, "documents"), tampered=manifest.tampered_rows())
