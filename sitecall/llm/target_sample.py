@@ -43,11 +43,12 @@ def words(text: Column) -> Column:
 
 def features(found: Column, max_run: int = MAX_RUN) -> Column:
     """Runs of 1 to ``max_run`` consecutive words, joined by one space."""
-    runs = [found]
-    for k in range(2, max_run + 1):
+
+    def of(k: int) -> Column:
         starts = F.when(F.size(found) >= k, F.sequence(F.lit(1), F.size(found) - (k - 1))).otherwise(F.array().cast("array<int>"))
-        runs.append(F.transform(starts, lambda i, k=k: F.array_join(F.slice(found, i, k), " ")))
-    return F.concat(*runs) if len(runs) > 1 else found
+        return F.transform(starts, lambda i: F.array_join(F.slice(found, i, k), " "))
+
+    return F.concat(found, *[of(k) for k in range(2, max_run + 1)]) if max_run > 1 else found
 
 
 def bucket(feature: Column, buckets: int = BUCKETS) -> Column:
