@@ -166,24 +166,28 @@ def fastq_files(spark, sf_dir) -> str:
     return p
 
 
-def sam_flag_sql() -> str:
-    return "((flag & ~16) | case when strand = '-' then 16 else 0 end)"
+# Aligned stretches (operation, length, query and reference offset) of the fixture's CIGARs, worked out by hand.
+CIGAR_BLOCKS = {
+    "48M": "M:48:0:0", "3S45M": "M:45:3:0", "20M2I26M": "M:20:0:0,M:26:22:20", "24M3D24M": "M:24:0:0,M:24:24:27",
+    "5S18M1I12M2D12M": "M:18:5:0,M:12:24:18,M:12:36:32", "2H40M6S": "M:40:0:0", "16M500N32M": "M:16:0:0,M:32:16:516",
+    "4=1X20=23M": "=:4:0:0,X:1:4:4,=:20:5:5,M:23:25:25",
+}
 
 
 def sam_files(spark, sf_dir) -> str:
-    """SAM text per (sample, run, reftype); the strand is carried by flag bit 0x10."""
+    """SAM text per (sample, run, reftype) with gapped CIGARs, mate fields, bases and tags of several types, one of them repeated."""
     p, done = _path(spark, sf_dir, "sam")
     if not done:
-        a = fx.load(spark, sf_dir, "alignments")
-        flag = F.col("flag").bitwiseAND(F.lit(~16)).bitwiseOR(F.when(F.col("strand") == "-", F.lit(16)).otherwise(F.lit(0)))
-        cigar = F.when(F.col("sclen") > 0, F.concat((F.col("sclen")).cast("string"), F.lit("S"), (F.col("qlen") - F.col("sclen")).cast("string"), F.lit("M"))) \
-            .otherwise(F.concat(F.col("qlen").cast("string"), F.lit("M")))
+        a = fx.load(spark, sf_dir, "sam_records")
+
+        def tag(name: str, kind: str, c: str):
+            return F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{name}:{kind}:"), F.col(c).cast("string")))
+
         line = F.concat_ws(
-            "\t", "read_id", flag.cast("string"), "chrom", F.col("pos").cast("string"), F.col("mapq").cast("string"), cigar,
-            F.lit("*"), F.lit("0"), F.col("isize").cast("string"), F.lit("*"), F.lit("*"),
-            F.when(F.col("xm").isNotNull(), F.concat(F.lit("XM:i:"), F.col("xm").cast("string"))),
-            F.concat(F.lit("NS:i:"), F.col("ns").cast("string")), F.concat(F.lit("NC:i:"), F.col("nc").cast("string")),
-            F.concat(F.lit("RX:Z:"), "umi"),
+            "\t", "read_id", F.col("flag").cast("string"), "chrom", F.col("pos").cast("string"), F.col("mapq").cast("string"), "cigar",
+            "rnext", F.col("pnext").cast("string"), F.col("isize").cast("string"), "seq", "qual",
+            F.when(F.col("xm_text"), F.lit("XM:Z:a:b")), tag("XM", "i", "xm"), tag("NS", "i", "ns"), F.lit("NS:i:77"), tag("NC", "i", "nc"),
+            tag("RX", "Z", "umi"), tag("Yf", "i", "yf"), tag("Zf", "i", "zf"), F.lit("ML:B:C,1,2"),
         )
         body = a.select("sample", "run", "reftype", line.alias("value"))
         head = a.select("sample", "run", "reftype").distinct().select("sample", "run", "reftype", F.lit("@HD\tVN:1.6\tSO:unsorted").alias("value"))
@@ -191,6 +195,37 @@ def sam_files(spark, sf_dir) -> str:
     return p
 
 
+def genome_fasta_files(spark, sf_dir) -> str:
+    """The reference genome as FASTA, a chromosome one record of many 50-base lines."""
+    p, done = _path(spark, sf_dir, "genome_fasta")
+    if not done:
+        g = fx.load(spark, sf_dir, "genome_segments")
+        heads = g.select("chrom").distinct().select("chrom", F.lit(-1).cast("bigint").alias("seg"), F.concat(F.lit(">"), "chrom", F.lit(" synthetic")).alias("value"))
+        lines = heads.unionByName(g.select("chrom", "seg", F.col("bases").alias("value")))
+        lines.repartition("chrom").sortWithinPartitions("chrom", "seg").select("value").write.mode("overwrite").text(p)
+    return p
+
+
+def probe_fasta_files(spark, sf_dir) -> str:
+    """The spike-in probes, one record each."""
+    p, done = _path(spark, sf_dir, "probe_fasta")
+    if not done:
+        lines = [f">{kind}_{rate}\n{seq[:30]}\n{seq[30:]}" for kind in ("probe", "rrna") for rate, seq in fx.PROBES.items()]
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("overwrite").text(p)
+    return p
+
+
+def plain_fastq_files(spark, sf_dir) -> str:
+    """Uncompressed FASTQ per (sample, run, mate)."""
+    p, done = _path(spark, sf_dir, "fastq_plain")
+    if not done:
+        r = fx.load(spark, sf_dir, "reads")
+        rec = F.concat_ws("\n", F.concat(F.lit("@"), "read_id", F.lit(" "), "mate"), "seq", F.lit("+"), "qual")
+        (r.select("sample", "run", "mate", rec.alias("value")).repartition("sample", "run", "mate")
+         .write.mode("overwrite").partitionBy("sample", "run", "mate").text(p))
+    return p
+
+
 def trim_json_files(spark, sf_dir) -> str:
     p, done = _path(spark, sf_dir, "trim_json")
     if not done:

@@ -101,6 +101,12 @@ select concat('s', cast(l_linenumber % 4 as varchar(8))) as sample,
 from {lineitem}
 """
 
+# Aligner output for the clipped reads: one record a fragment, by its id; some are unmapped or rejected.
+_READ_ALIGNMENTS = _ALIGNMENTS.replace(
+    "concat('r', cast(l_orderkey as varchar(20)), '_', cast(l_suppkey % 3 as varchar(20)))",
+    "concat('f', cast(l_orderkey as varchar(20)), '_', cast(l_linenumber as varchar(8)))",
+)
+
 _TRANSCRIPTS = """
 select concat('G', cast(p_partkey as varchar(20))) as gene_id,
  concat('chr', cast(p_partkey % 5 + 1 as varchar(8))) as chrom,
@@ -230,11 +236,107 @@ select concat('s', cast(l_linenumber % 4 as varchar(8))) as sample,
 from {lineitem}
 """
 
+# A reference genome: every part adds 50 bases to one of five chromosomes; the base is a rule of (chromosome, 0-based position).
+SEGMENT = 50
+
+
+def base_rule(c: str, x: str) -> str:
+    return f"substr('ACGT', cast((({x}) * 7 + ({x}) // 11 * 5 + (({x}) % 13) * (({x}) % 7) + ({c}) * 3) % 97 % 4 + 1 as int), 1)"
+
+
+_GENOME_SEGMENTS = """
+select concat('chr', cast(c as varchar(8))) as chrom, seg, EACH50({base}) as bases
+from (select cast((p_partkey - 1) % 5 + 1 as bigint) as c, cast((p_partkey - 1) // 5 as bigint) as seg from {part}) x
+""".replace("{base}", base_rule("c", f"seg * {SEGMENT} + i"))
+
+# Gapped alignments to that genome, one a lineitem row: clips, insertions, deletions, a splice, = and X, both strands, mates,
+# unmapped, secondary and duplicate records. ``off`` is the reference offset of base i of the read, null where it has none.
+_CIGARS = ("48M", "3S45M", "20M2I26M", "24M3D24M", "5S18M1I12M2D12M", "2H40M6S", "16M500N32M", "4=1X20=23M")
+_SAM_OFFSET = (
+    "case v when 0 then i when 1 then (case when i >= 3 then i - 3 end) when 2 then (case when i < 20 then i when i >= 22 then i - 2 end) "
+    "when 3 then (case when i < 24 then i else i + 3 end) "
+    "when 4 then (case when i < 5 then null when i < 23 then i - 5 when i < 24 then null when i < 36 then i - 6 else i - 4 end) "
+    "when 5 then (case when i < 40 then i end) when 6 then (case when i < 16 then i else i + 500 end) else i end"
+)
+
+
+def _sam_base(ref: str, aligned: str) -> str:
+    """Read base i: converted A (T on the reverse strand) but for one in five, now and then N, its own letter where not aligned."""
+    return (
+        f"(case when {aligned} is null then substr('ACGT', cast((ok + i * 3) % 4 + 1 as int), 1) when (ok + i * 3) % 97 = 0 then 'N' "
+        "when v = 7 and i = 4 then 'T' "
+        f"when not minus and {ref} = 'A' then (case when (ok * 7 + i) % 5 = 0 then 'A' else 'G' end) "
+        f"when minus and {ref} = 'T' then (case when (ok * 7 + i) % 5 = 0 then 'T' else 'C' end) else {ref} end)"
+    )
+
+
+_SAM_RECORDS = """
+select sample, run, reftype, read_id, flag, case when unmapped then '*' else concat('chr', cast(c as varchar(8))) end as chrom,
+ case when unmapped then 0 else x0 + 1 end as pos, mapq, case when unmapped then '*' else {cigars} end as cigar,
+ case when (flag & 1) = 0 then '*' when ok % 7 = 0 then 'chr2' else '=' end as rnext,
+ case when (flag & 1) = 0 then 0 else x0 + 1 + ok % 200 end as pnext, isize,
+ case when ok % 50 = 0 and unmapped then '*' else substr(EACH48({read}), 1, case when v = 5 and not unmapped then 46 else 48 end) end as seq,
+ case when ok % 50 = 0 then '*' else substr(EACH48({qual}), 1, case when v = 5 and not unmapped then 46 else 48 end) end as qual,
+ xm, xm_text, ns, nc, umi, yf, zf
+from (select *, (flag & 4) <> 0 as unmapped, ((flag & 16) <> 0) <> ((flag & 129) = 129) as minus from (
+ select concat('s', cast(l_linenumber % 4 as varchar(8))) as sample, concat('run', cast(l_orderkey % 2 + 1 as varchar(8))) as run,
+  case when l_partkey % 3 = 0 then 'transcript' else 'genome' end as reftype,
+  concat('q', cast(l_orderkey as varchar(20)), '_', cast(l_suppkey % 3 as varchar(20))) as read_id,
+  cast(case (l_orderkey + l_linenumber) % 12 when 0 then 4 when 1 then 355 when 2 then 147 when 3 then 163 when 4 then 1123
+       when 5 then 2147 when 6 then 0 when 7 then 16 when 8 then 83 else 99 end as bigint) as flag,
+  cast((l_partkey - 1) % 5 + 1 as bigint) as c, cast((l_partkey - 1) // 5 * 50 + l_suppkey % 50 as bigint) as x0,
+  cast(l_quantity as bigint) as mapq, cast((l_orderkey + l_linenumber * 3 + l_suppkey) % 8 as bigint) as v, cast(l_orderkey as bigint) as ok,
+  cast(l_quantity * 8 as bigint) as isize,
+  cast(case when l_linenumber >= 6 then null else l_linenumber % 7 end as bigint) as xm, l_linenumber = 6 as xm_text,
+  cast(l_suppkey % 6 as bigint) as ns, cast(l_partkey % 9 as bigint) as nc,
+  concat(substr('ACGT', cast(l_orderkey % 4 + 1 as int), 1), substr('ACGT', cast(l_suppkey % 4 + 1 as int), 1)) as umi,
+  cast(case when l_partkey % 31 = 0 then null else l_partkey % 12 end as bigint) as yf, cast(l_suppkey % 4 as bigint) as zf
+ from {lineitem}) a) b
+""".replace("{cigars}", "case v " + " ".join(f"when {i} then '{c}'" for i, c in enumerate(_CIGARS[:-1])) + f" else '{_CIGARS[-1]}' end").replace(
+    "{read}", _sam_base(base_rule("c", f"x0 + {_SAM_OFFSET}"), _SAM_OFFSET)).replace(
+    "{qual}", f"substr('{QUAL_ALPHABET}', cast((ok * 3 + i * 5) % {len(QUAL_ALPHABET)} + 1 as int), 1)")
+
+
+_GAP_COLUMNS = """cast((l_orderkey + l_linenumber * 3 + l_suppkey) % 8 as bigint) as v, cast(l_orderkey as bigint) as ok, cast(l_linenumber as bigint) as ln,
+  concat('s', cast(l_linenumber % 4 as varchar(8))) as sample, cast(l_partkey % 12 as bigint) as yf, cast(l_suppkey % 4 as bigint) as zf"""
+
+
+def _cigar_case(cigars) -> str:
+    return "case v " + " ".join(f"when {i} then '{c}'" for i, c in enumerate(cigars[:-1])) + f" else '{cigars[-1]}' end"
+
+
+# Gapped alignments in transcript coordinates; some reach past the transcript's 120 bases, a tenth are of unknown genes.
+TX_CIGARS = (*_CIGARS[:6], "16M40D32M", _CIGARS[7])
+_TX_SAM_RECORDS = """
+select sample, read_id, chrom, pos, flag, {cigars} as cigar, substr(EACH48(substr('ACGT', cast((ok * (i + 1) + i * i + ln) % 4 + 1 as int), 1)), 1, case when v = 5 then 46 else 48 end) as seq,
+ substr(EACH48({qual}), 1, case when v = 5 then 46 else 48 end) as qual, yf, zf
+from (select {columns}, concat('t', cast(l_orderkey as varchar(20)), '_', cast(l_linenumber as varchar(8))) as read_id,
+  concat(case when l_suppkey % 10 = 0 then 'U' else 'G' end, cast(l_partkey as varchar(20))) as chrom, cast(l_suppkey % 100 + 1 as bigint) as pos,
+  cast(case l_orderkey % 3 when 0 then 0 when 1 then 16 else 4 * (l_linenumber % 2) end as bigint) as flag from {lineitem}) a
+""".replace("{columns}", _GAP_COLUMNS).replace("{cigars}", _cigar_case(TX_CIGARS)).replace(
+    "{qual}", f"substr('{QUAL_ALPHABET}', cast((ok * 3 + i * 5) % {len(QUAL_ALPHABET)} + 1 as int), 1)")
+
+# Gapped alignments to the spike-in probes, from their first bases on.
+PROBE_CIGARS = (*_CIGARS[:6], "16M1D32M", _CIGARS[7])
+_PROBE_OFFSET = _SAM_OFFSET.replace("i + 500", "i + 1")
+_PROBE_BASE = f"substr(ref_seq, cast(x0 + ({_PROBE_OFFSET}) + 1 as int), 1)"
+_PROBE_READ = (
+    f"(case when {_PROBE_OFFSET} is null then 'A' when {_PROBE_BASE} = 'A' and x0 + ({_PROBE_OFFSET}) = 17 then (case when (ok * 37 + ln * 11) % 100 < rate then 'A' else 'G' end) "
+    f"when {_PROBE_BASE} = 'A' then (case when (ok * 7 + i) % 50 = 0 then 'A' else 'G' end) when {_PROBE_BASE} = 'C' then (case when (ok + i * 3) % 200 = 0 then 'T' else 'C' end) else {_PROBE_BASE} end)"
+)
+_PROBE_SAM_RECORDS = """
+select sample, concat(case when ok % 9 = 0 then 'rrna_' else 'probe_' end, cast(rate as varchar(8))) as chrom, x0 + 1 as pos, cast(case when ok % 13 = 0 then 4 else 0 end as bigint) as flag, {cigars} as cigar,
+ substr(EACH48({read}), 1, case when v = 5 then 46 else 48 end) as seq, yf, zf
+from (select *, case rate {cases} end as ref_seq from (select {columns}, (l_suppkey % 5) * 25 as rate, cast(l_partkey % 3 as bigint) as x0 from {lineitem}) a) b
+""".replace("{columns}", _GAP_COLUMNS).replace("{cigars}", _cigar_case(PROBE_CIGARS)).replace("{read}", _PROBE_READ).replace(
+    "{cases}", " ".join(f"when {k} then '{v}'" for k, v in PROBES.items()))
+
 
 # name -> (template, base tables, fixture dependencies)
 TEMPLATES = {
     "site_counts": (_SITE_COUNTS, ("lineitem",), ()),
     "alignments": (_ALIGNMENTS, ("lineitem",), ()),
+    "read_alignments": (_READ_ALIGNMENTS, ("lineitem",), ()),
     "transcripts": (_TRANSCRIPTS, ("part",), ()),
     "transcript_counts": (_TRANSCRIPT_COUNTS, ("lineitem",), ()),
     "probe_reads": (_PROBE_READS, ("lineitem",), ()),
@@ -243,6 +345,10 @@ TEMPLATES = {
     "trim_reports": (_TRIM_REPORTS, ("lineitem",), ()),
     "dedup_logs": (_DEDUP_LOGS, (), ("alignments",)),
     "tx_alignments": (_TX_ALIGNMENTS, ("lineitem",), ()),
+    "genome_segments": (_GENOME_SEGMENTS, ("part",), ()),
+    "sam_records": (_SAM_RECORDS, ("lineitem",), ()),
+    "tx_sam_records": (_TX_SAM_RECORDS, ("lineitem",), ()),
+    "probe_sam_records": (_PROBE_SAM_RECORDS, ("lineitem",), ()),
 }
 
 
@@ -254,13 +360,24 @@ def _deps(name: str, seen: list[str]) -> list[str]:
     return seen
 
 
+def _each(text: str, form) -> str:
+    """Replace ``EACH<n>(e)`` by ``form(n, e)``: the text of e for i = 0 .. n - 1."""
+    while m := re.search(r"EACH(\d+)\(", text):
+        depth, end = 1, m.end()
+        while depth:
+            depth += {"(": 1, ")": -1}.get(text[end], 0)
+            end += 1
+        text = text[: m.start()] + form(int(m[1]), text[m.end() : end - 1]) + text[end:]
+    return text
+
+
 def duckdb_sql(name: str) -> str:
     """Derivation text for DuckDB, over its pre-registered views (fixture deps as CTE names)."""
     text, tables, deps = TEMPLATES[name]
     for t in (*tables, *deps):
         text = text.replace("{" + t + "}", t)
     text = re.sub(r"fmt_thousands\(([^()]*)\)", r"format('{:,}', \1)", text)
-    return text.strip()
+    return _each(text, lambda n, e: f"array_to_string(list_transform(range({n}), lambda i: {e}), '')").strip()
 
 
 def duckdb_ctes(*names: str) -> list[tuple[str, str]]:
@@ -274,7 +391,8 @@ def duckdb_ctes(*names: str) -> list[tuple[str, str]]:
 def spark_sql_text(name: str) -> str:
     text = TEMPLATES[name][0]
     text = text.replace(" // ", " div ").replace("varchar(8)", "string").replace("varchar(20)", "string")
-    return re.sub(r"fmt_thousands\(([^()]*)\)", r"format_number(\1, 0)", text)
+    text = re.sub(r"fmt_thousands\(([^()]*)\)", r"format_number(\1, 0)", text)
+    return _each(text, lambda n, e: f"array_join(transform(sequence(0, {n - 1}), i -> {e}), '')")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -173,3 +173,109 @@ def position_stats(reads: DataFrame, keys: Sequence[str], seq: str = "seq", qual
         F.sum("q_sum").alias("_qs"), F.sum("q_n").alias("_qn"),
     )
     return g.select(*keys, "position", "reads", *_BASES, F.try_divide(F.col("_qs"), F.col("_qn").cast("double")).alias("mean_quality"))
+
+
+PROFILE_COUNTS = ("reads", *_BASES, "q_n")
+
+
+def _batch_profile(pdf: pd.DataFrame, keys: Sequence[str], seq: str, qual: str, offset: int) -> pd.DataFrame | None:
+    """Rows of all three tables of one batch: ``what`` is position, length or gc, ``at`` its value."""
+    pdf = pdf[pdf[seq].notna()].reset_index(drop=True)
+    if len(pdf) == 0:
+        return None
+    stats = _batch_position_stats(pdf, keys, seq, qual, offset)
+    tables = []
+    if stats is not None:
+        tables.append(stats.rename(columns={"position": "at"}).assign(what="position"))
+    length = pdf[seq].str.len()
+    upper = pdf[seq].str.upper()
+    gc = upper.str.count("G") + upper.str.count("C")
+    shapes = {"length": length, "gc": (100 * gc // length.where(length > 0))}
+    for what, at in shapes.items():
+        t = pdf[list(keys)].assign(at=at)
+        t = t[t["at"].notna()].astype({"at": "int64"})
+        t = t.groupby([*keys, "at"], sort=False, dropna=False).size().rename("reads").reset_index()
+        tables.append(t.assign(what=what, q_sum=0.0, **{c: 0 for c in (*_BASES, "q_n")}))
+    return pd.concat([t for t in tables if len(t)], ignore_index=True) if any(len(t) for t in tables) else None
+
+
+def read_profile(reads: DataFrame, keys: Sequence[str], seq: str = "seq", qual: str = "qual", offset: int = 33) -> DataFrame:
+    """(keys..., what, at, reads, a c g t n, mean_quality): per-position composition and quality, read lengths and
+    integer GC percents of the reads, in one pass with one shuffle of partial counts."""
+    keys = list(keys)
+    src = reads.select(*keys, seq, qual)
+    fields = [f for f in src.schema.fields if f.name in keys]
+    schema = T.StructType(
+        fields + [T.StructField("what", T.StringType()), T.StructField("at", T.LongType())]
+        + [T.StructField(c, T.LongType()) for c in PROFILE_COUNTS] + [T.StructField("q_sum", T.DoubleType())]
+    )
+
+    def run(batches):
+        for batch in batches:
+            for pdf in _chunks(batch, seq):
+                out = _batch_profile(pdf, keys, seq, qual, offset)
+                if out is not None:
+                    yield out[[f.name for f in schema.fields]]
+
+    partial = src.mapInPandas(run, schema)
+    g = partial.groupBy(*keys, "what", "at").agg(*[F.sum(c).alias(c) for c in PROFILE_COUNTS], F.sum("q_sum").alias("q_sum"))
+    return g.select(*keys, "what", "at", "reads", *_BASES, F.try_divide(F.col("q_sum"), F.col("q_n").cast("double")).alias("mean_quality"), "q_n", "q_sum")
+
+
+# ---- gapped alignments -----------------------------------------------------------------------------
+
+
+def _piece_counts(pdf: pd.DataFrame, keys: Sequence[str], tile: int, context: int, wanted: dict[str, str] | None) -> pd.DataFrame | None:
+    refs, seqs = pdf["ref"].to_numpy(), pdf["seq"].to_numpy()
+    lens = np.fromiter((min(len(a) - 2 * context, len(b)) for a, b in zip(refs, seqs)), dtype=np.int64, count=len(refs))
+    ok = lens > 0
+    if not ok.all():
+        pdf, refs, seqs, lens = pdf[ok], refs[ok], seqs[ok], lens[ok]
+    if len(pdf) == 0:
+        return None
+    total = int(lens.sum())
+    rb = np.frombuffer("".join(a[context : context + n] for a, n in zip(refs, lens)).upper().encode("latin-1", "replace"), dtype=np.uint8)
+    qb = np.frombuffer("".join(b[:n] for b, n in zip(seqs, lens)).upper().encode("latin-1", "replace"), dtype=np.uint8)
+    gid = pdf.groupby(list(keys), sort=False, dropna=False).ngroup().to_numpy(dtype=np.int64)
+    row = np.repeat(np.arange(len(pdf)), lens)
+    inside = np.arange(total) - np.repeat(np.cumsum(lens) - lens, lens)
+    if wanted is not None:
+        base = pdf["strand"].map({s: ord(b) for s, b in wanted.items()}).fillna(0).to_numpy(dtype=np.int64)
+        keep = rb == base[row]
+        rb, qb, row, inside = rb[keep], qb[keep], row[keep], inside[keep]
+        if len(rb) == 0:
+            return None
+    pos = pdf["at"].to_numpy(dtype=np.int64)[row] + inside
+    packed = ((gid[row] * tile + pos) << 16) | (rb.astype(np.int64) << 8) | qb.astype(np.int64)
+    uniq, first, counts = np.unique(packed, return_index=True, return_counts=True)
+    out = pdf[list(keys)].iloc[row[first]].reset_index(drop=True)
+    out["pos"] = out["tile"].to_numpy(dtype=np.int64) * tile + pos[first] + 1
+    out["ref_base"] = _CHARS[(uniq >> 8) & 255]
+    out["read_base"] = _CHARS[uniq & 255]
+    out["n"] = counts.astype(np.int64)
+    if context:
+        out["context"] = [refs[r][i : i + 2 * context + 1] for r, i in zip(row[first], inside[first])]
+    return out
+
+
+def piece_partials(pieces: DataFrame, keys: Sequence[str], tile: int, context: int = 0, wanted: dict[str, str] | None = None) -> DataFrame:
+    """(keys..., pos (1-based), ref_base, read_base, n[, context]) per Arrow batch, not yet summed.
+
+    ``pieces``: the keys (``tile`` among them), at (0-based place in the tile), ref (the reference under the piece with
+    ``context`` bases on either side) and seq (its read bases). ``wanted`` names the reference base counted on each
+    value of the key ``strand``; all are counted without it. Bases are compared in upper case.
+    """
+    keys = list(keys)
+    src = pieces.select(*keys, "at", "ref", "seq")
+    fields = [f for f in src.schema.fields if f.name in keys]
+    extra = [T.StructField("context", T.StringType())] if context else []
+    schema = T.StructType(fields + [T.StructField("pos", T.LongType()), T.StructField("ref_base", T.StringType()), T.StructField("read_base", T.StringType()), T.StructField("n", T.LongType())] + extra)
+
+    def run(batches):
+        for batch in batches:
+            for pdf in _chunks(batch, "seq"):
+                out = _piece_counts(pdf, keys, tile, context, wanted)
+                if out is not None and len(out):
+                    yield out[[f.name for f in schema.fields]]
+
+    return src.mapInPandas(run, schema)

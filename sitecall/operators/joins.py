@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # Rows above which a "small" side is shuffled instead of broadcast.
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+# Bytes above which it is shuffled, as counted over its values.
+DEFAULT_BROADCAST_MAX_BYTES = 64 << 20
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -31,6 +33,33 @@ def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_RO
     return small, False
 
 
+def value_bytes(df: DataFrame) -> int:
+    """Bytes of all values: the text of strings and binaries, the JSON text of nested ones, 8 for any other."""
+    sizes = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        kind = f.dataType.simpleString()
+        if kind.startswith(("array", "struct", "map")):
+            c = F.octet_length(F.to_json(F.struct(c)))
+        elif kind in ("string", "binary"):
+            c = F.octet_length(c)
+        else:
+            c = F.lit(8)
+        sizes.append(F.coalesce(c, F.lit(0)).cast("bigint") + 16)
+    total = sizes[0]
+    for c in sizes[1:]:
+        total = total + c
+    return df.agg(F.sum(total)).first()[0] or 0
+
+
+def sized_side(small: DataFrame, max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> tuple[DataFrame, bool]:
+    """Checkpoint ``small``, add up the bytes of its values, and wrap it in ``broadcast`` if they fit."""
+    small = materialise(small)
+    if value_bytes(small) <= max_bytes:
+        return F.broadcast(small), True
+    return small, False
+
+
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Equi-join where ``small`` is expected to be small but is not trusted to be."""

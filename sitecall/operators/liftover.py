@@ -4,7 +4,8 @@ Exons are derived per transcript row without a shuffle: the span list is split,
 exon lengths are prefix-summed inside the array (listed order, 5' -> 3'), and
 the array is exploded.  The site -> exon join is an equi-join on the gene plus
 a residual range predicate; the exon table is bounded by the annotation (not by
-the sequencing data) and is broadcast behind a row-count check.
+the sequencing data) and is broadcast behind a check of its bytes, else joined by
+bins of the transcript position.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sitecall.functions.coords import liftover_pos
-from sitecall.operators.joins import bounded_broadcast
+from sitecall.operators.joins import DEFAULT_BROADCAST_MAX_BYTES, sized_side
 from sitecall.operators.sites import SITE_KEYS
 
 
@@ -60,7 +61,7 @@ def exon_offsets(transcripts: DataFrame) -> DataFrame:
     )
 
 
-def liftover_sites(tx_long: DataFrame, exons: DataFrame, broadcast_max_rows: int = 2_000_000) -> DataFrame:
+def liftover_sites(tx_long: DataFrame, exons: DataFrame, broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES, width: int = 1000) -> DataFrame:
     """Lift transcript sites to genome coordinates (J4 + F5).
 
     ``tx_long``: sample, chrom (= gene), pos (1-based), strand, motif, uncon, depth.
@@ -68,16 +69,23 @@ def liftover_sites(tx_long: DataFrame, exons: DataFrame, broadcast_max_rows: int
     Known gene, position outside every exon -> dropped.
     The transcript strand is discarded; the exon strand is used.
     Output: chrom, pos, strand, gene_name, gene_pos, motif, sample, uncon, depth.
+
+    An exon table whose bytes allow it is broadcast and joined by gene. A larger one is joined by (gene, position div
+    ``width``): an exon stands in each bin that it overlaps, so a site meets the exons of one bin, not of its gene.
     """
-    ex, _ = bounded_broadcast(exons, broadcast_max_rows)
     t = tx_long.select(
         F.col("chrom").alias("gene"), F.col("pos").cast("bigint").alias("gene_pos"),
         "motif", "sample", "uncon", "depth",
     ).withColumn("_gp0", F.col("gene_pos") - 1)
-    joined = t.join(ex, t["gene"] == ex["gene_name"], "left").where(
-        F.col("ex_chrom").isNull()
-        | ((F.col("_gp0") >= F.col("tx_start")) & (F.col("_gp0") < F.col("tx_end")))
-    )
+    ex, small = sized_side(exons, broadcast_max_bytes)
+    inside = (F.col("_gp0") >= F.col("tx_start")) & (F.col("_gp0") < F.col("tx_end"))
+    if small:
+        joined = t.join(ex, t["gene"] == ex["gene_name"], "left").where(F.col("ex_chrom").isNull() | inside)
+    else:
+        bins = ex.select("*", F.explode(F.sequence(F.expr(f"tx_start div {width}"), F.expr(f"greatest(tx_end - 1, tx_start) div {width}"))).alias("_bin"))
+        hit = t.join(bins, (F.col("gene") == F.col("gene_name")) & (F.expr(f"_gp0 div {width}") == F.col("_bin")) & inside).drop("_bin")
+        unknown = t.join(ex.select(F.col("gene_name").alias("_g")).distinct(), F.col("gene") == F.col("_g"), "left_anti")
+        joined = hit.unionByName(unknown, allowMissingColumns=True)
     return joined.select(
         F.coalesce(F.col("ex_chrom"), F.col("gene")).alias("chrom"),
         liftover_pos(F.col("ex_strand"), "g_start", "g_end", "tx_start", "_gp0").cast("bigint").alias("pos"),

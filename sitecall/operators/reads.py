@@ -4,8 +4,8 @@ The aligners stay outside; their output is an alignment table
 (sample, run, read_id, reftype, chrom, pos, strand, flag, qlen, sclen, xm, ns,
 nc, umi, isize, mapq).  Per-read logic (routing, mates, competition) is one
 aggregate keyed by the read, whose groups are bounded by the alignments of one
-read; where whole records are carried (competition, duplicates) it sorts.  Duplicate marking aggregates by the duplicate key with map-side
-partial aggregation, so a hugely duplicated fragment cannot skew one task.
+read; where whole records are carried (competition) it sorts.  Duplicate marking folds records to fragments and fragments to
+duplicate sets with map-side partial aggregation, so a hugely duplicated fragment cannot skew one task.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sitecall.functions.cigar import cigar_ops, unclipped_five_prime
 from sitecall.functions.motif import col
 from sitecall.options import Options
 
@@ -212,33 +213,58 @@ def competitive_assign(aln: DataFrame, opts: Options = Options()) -> DataFrame:
 
 
 # W2 / A23 -------------------------------------------------------------------
-def five_prime(opts: Options = Options()) -> Column:
-    """5' reference position: start on '+', end (pos + aligned - 1) on '-'."""
+def five_prime(aln: DataFrame) -> Column:
+    """5' reference position of a record: from the CIGAR, clips counted as aligned, where the table has one, else the
+    start on '+' and pos + qlen - sclen - 1 on '-'."""
+    if "cigar" in aln.columns:
+        return unclipped_five_prime(cigar_ops("cigar"), "pos", F.col("strand") == "-")
     return F.when(F.col("strand") == "-", F.col("pos") + F.col("qlen") - F.col("sclen") - 1).otherwise(F.col("pos"))
 
 
-DEDUP_KEYS = ("sample", "reftype", "chrom", "strand", "five_prime", "umi")
+FRAGMENT_KEYS = ("sample", "reftype", "run", "read_id")
+DEDUP_KEYS = ("sample", "reftype", "end1", "end2", "umi")
+
+
+def fragments(aln: DataFrame) -> DataFrame:
+    """One narrow row a fragment: the 5' ends (chrom, strand, position) of its first and of its second mate, its UMI,
+    the summed mapping quality and the number of its primary mapped records.
+
+    A single read is its own first mate; a mate that is unmapped or missing is a null end. Where one mate has several
+    primary records, the lowest end counts.
+    """
+    p = primary_reads(aln).where(~bit("flag", UNMAP))
+    second = bit("flag", PAIRED) & bit("flag", READ2)
+    end = F.struct("chrom", "strand", five_prime(aln).alias("five_prime"))
+    return p.groupBy(*FRAGMENT_KEYS).agg(
+        F.min(F.when(~second, end)).alias("end1"), F.min(F.when(second, end)).alias("end2"), F.min("umi").alias("umi"),
+        F.sum("mapq").alias("mapq"), F.count(F.lit(1)).alias("records"),
+    )
 
 
 def dedup_alignments(aln: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Keep one record per duplicate set of primary mapped records (best mapq, then read id).
+    """Of the fragments with the same 5' ends of both mates and the same UMI, keep one with all its records: the best
+    summed mapping quality, then the lowest read id, then run.
 
-    Returns (kept records, per-set counts).  ``min(struct)`` per key is a partial
-    aggregate: a duplicate set of any size is folded map-side.
+    Returns (kept primary mapped records, duplicate sets: end1, end2, umi, set_size, records, kept_records). Two levels,
+    both partial aggregates: records fold to fragments, and a duplicate set of any size folds map-side to its winner,
+    a narrow row that is joined back to the records, so that mates stay or go together.
     """
-    p = primary_reads(aln).where(~bit("flag", UNMAP)).withColumn("five_prime", five_prime())
-    other = [c for c in p.columns if c not in DEDUP_KEYS]
-    sets = p.groupBy(*DEDUP_KEYS).agg(
-        F.min(F.struct((-F.col("mapq")).alias("_negq"), F.col("read_id").alias("_rid"), F.struct(*other).alias("_rec"))).alias("_w"),
-        F.count(F.lit(1)).alias("set_size"),
+    f = fragments(aln)
+    winner = F.struct((-F.col("mapq")).alias("negq"), "read_id", "run", F.col("records").alias("kept_records"))
+    sets = f.groupBy(*DEDUP_KEYS).agg(
+        F.min(winner).alias("_w"), F.count(F.lit(1)).alias("set_size"), F.sum("records").alias("records"),
     )
-    kept = sets.select(*DEDUP_KEYS, "_w._rec.*")
-    return kept, sets.drop("_w")
+    won = sets.select(F.col("sample").alias("_s"), F.col("reftype").alias("_t"), F.col("_w.run").alias("_u"), F.col("_w.read_id").alias("_i"))
+    p = primary_reads(aln).where(~bit("flag", UNMAP)).withColumn("five_prime", five_prime(aln))
+    same = F.lit(True)
+    for ours, theirs in zip(FRAGMENT_KEYS, ("_s", "_t", "_u", "_i")):
+        same = same & F.col(ours).eqNullSafe(F.col(theirs))
+    return p.join(won, same, "left_semi"), sets.select("*", "_w.kept_records").drop("_w")
 
 
 def dedup_report(sets: DataFrame, by: Sequence[str] = ("sample", "reftype")) -> DataFrame:
     """Total, duplicates, unique records and duplication percentage."""
-    g = sets.groupBy(*by).agg(F.sum("set_size").alias("total_reads"), F.count(F.lit(1)).alias("unique_reads"))
+    g = sets.groupBy(*by).agg(F.sum("records").alias("total_reads"), F.sum("kept_records").alias("unique_reads"))
     dups = F.col("total_reads") - F.col("unique_reads")
     return g.select(
         *by, "total_reads", dups.alias("duplicates"), "unique_reads",
@@ -320,3 +346,25 @@ def read_gc(reads: DataFrame, by: Sequence[str] = ("sample", "mate")) -> DataFra
     gc = F.length(s) - F.length(F.regexp_replace(s, "[GC]", ""))
     pct = F.when(F.length(s) > 0, F.floor(gc * 100 / F.length(s))).cast("bigint")
     return reads.groupBy(*by, pct.alias("gc_pct")).agg(F.count(F.lit(1)).alias("count"))
+
+
+def routed_qc(clean: DataFrame, aln: DataFrame, opts: Options = Options(), by: Sequence[str] = ("sample", "mate")) -> DataFrame:
+    """QC tables of the clean reads and of those that end unmapped, in one pass over the reads.
+
+    Each clean read meets its final stage (``reject_cascade``; none is unmapped); the reads are profiled once, parted by
+    whether they are unmapped, and the small tables of both parts add up to those of all clean reads.
+    Output: by..., group (clean, unmapped), what (position, length, gc), at, reads, a c g t n, mean_quality.
+    """
+    from sitecall.operators.basecount import PROFILE_COUNTS, read_profile
+
+    stage = reject_cascade(aln, opts).where(F.col("stage") != "unmapped").select(*[F.col(k).alias(f"_{k}") for k in READ_KEYS], F.lit(False).alias("_un"))
+    same = F.lit(True)
+    for k in READ_KEYS:
+        same = same & (F.col(k) == F.col(f"_{k}"))
+    parted = clean.join(stage, same, "left").withColumn("unmapped", F.coalesce("_un", F.lit(True)))
+    p = read_profile(parted, [*by, "unmapped"])
+    group = F.explode(F.when(F.col("unmapped"), F.array(F.lit("clean"), F.lit("unmapped"))).otherwise(F.array(F.lit("clean"))))
+    p = p.select(*by, group.alias("group"), "what", "at", *PROFILE_COUNTS, "q_sum")
+    g = p.groupBy(*by, "group", "what", "at").agg(*[F.sum(c).alias(c) for c in PROFILE_COUNTS], F.sum("q_sum").alias("q_sum"))
+    bases = [c for c in PROFILE_COUNTS if c not in ("reads", "q_n")]
+    return g.select(*by, "group", "what", "at", "reads", *bases, F.try_divide(F.col("q_sum"), F.col("q_n").cast("double")).alias("mean_quality"))

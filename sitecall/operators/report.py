@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitecall.functions.motif import col, motif3, motif_valid
+from sitecall.operators.joins import materialise
 from sitecall.options import DEPTH_BINS, DEPTH_HIST_MIN_MAX, RATIO_BINS
 
 
@@ -127,20 +128,44 @@ def ratio_histogram(sites_long: DataFrame, n: int = RATIO_BINS) -> DataFrame:
     )
 
 
-def depth_histogram(sites_long: DataFrame, n: int = DEPTH_BINS) -> tuple[DataFrame, list[float]]:
-    """(sample, bin, label, count) of depth in log bins; the global max is one small job first."""
+def depth_counts(sites_long: DataFrame) -> DataFrame:
+    """(sample, depth, count) of sites with depth > 0, computed once: at most samples x distinct depths rows."""
     x = sites_long.where(F.col("depth") > 0)
-    max_depth = x.agg(F.max("depth")).first()[0]
-    edges = depth_edges(max_depth or 0, n)
+    return materialise(x.groupBy("sample", "depth").agg(F.count(F.lit(1)).alias("count")))
+
+
+def depth_bins(counts: DataFrame, n: int = DEPTH_BINS) -> tuple[DataFrame, list[float]]:
+    """(sample, bin, label, count) of depth in log bins and their edges, from the compact counts."""
+    edges = depth_edges(counts.agg(F.max("depth")).first()[0] or 0, n)
     labels = depth_labels(edges)
-    b = x.select("sample", bin_index(F.col("depth").cast("double"), edges).alias("bin")).where(F.col("bin").isNotNull())
+    b = counts.select("sample", bin_index(F.col("depth").cast("double"), edges).alias("bin"), "count").where(F.col("bin").isNotNull())
     lab = F.array(*[F.lit(v).cast("bigint") for v in labels])
-    out = b.groupBy("sample", "bin").agg(F.count(F.lit(1)).alias("count")).select(
+    out = b.groupBy("sample", "bin").agg(F.sum("count").alias("count")).select(
         "sample", F.col("bin").cast("bigint").alias("bin"), F.get(lab, F.col("bin")).alias("label"), "count"
     )
     return out, edges
 
 
+def depth_histogram(sites_long: DataFrame, n: int = DEPTH_BINS) -> tuple[DataFrame, list[float]]:
+    """(sample, bin, label, count) of depth in log bins; the sites are read once."""
+    return depth_bins(depth_counts(sites_long), n)
+
+
+def present_samples(hist: DataFrame, samples: Sequence[str]) -> list[str]:
+    """Those of the design's samples that a compact histogram holds."""
+    found = hist.agg(*[F.max((F.col("sample") == s).cast("int")).alias(f"s{i}") for i, s in enumerate(samples)]).first()
+    return [s for i, s in enumerate(samples) if found[i]]
+
+
+def histograms_wide(sites_long: DataFrame, samples: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The ratio and the depth histogram, one column a sample that has sites: one run of the sites for each."""
+    ratio = materialise(ratio_histogram(sites_long))
+    counts = depth_counts(sites_long)
+    depth, edges = depth_bins(counts)
+    return (histogram_wide(ratio, present_samples(ratio, samples), RATIO_BINS, ratio_labels()),
+            histogram_wide(depth, present_samples(counts, samples), DEPTH_BINS, depth_labels(edges)))
+
+
 def histogram_wide(hist: DataFrame, samples: Sequence[str], n: int, labels: Sequence) -> DataFrame:
     """One column per sample beside the bin label; empty bins 0 (bin spine of n rows)."""
     spark = hist.sparkSession
@@ -222,3 +247,9 @@ def trimmed_pct(text) -> Column:
     a = F.get_json_object(col(text), "$.filtering_statistics.percent_trimmed").cast("double")
     b = F.get_json_object(col(text), "$.report.summary.terminal_stats.percent_trimmed").cast("double")
     return F.when(F.coalesce(a, F.lit(0.0)) == 0, F.coalesce(b, F.lit(0.0))).otherwise(a)
+
+
+def trimmed_pct_of_samples(trim_reports: DataFrame) -> DataFrame:
+    """(sample, report) of all runs -> (sample, trimmed_pct): the runs' percentages weighted by their input reads."""
+    t = trim_reports.select("sample", json_first_number("report", "input").alias("n"), trimmed_pct("report").alias("pct"))
+    return t.groupBy("sample").agg(F.try_divide(F.sum(F.col("pct") * F.col("n")), F.sum("n").cast("double")).alias("trimmed_pct"))

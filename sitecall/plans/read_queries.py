@@ -139,10 +139,51 @@ def read_qc(spark, sf):
     return rd.read_qc(clean).withColumn("mean_quality", F.round("mean_quality", 6))
 
 
-register(
-    "read_length_hist", "A20",
-    W("select sample, reftype, qlen as length, count(*) as count from alignments where (flag & 2304) = 0 group by all"),
-)(lambda spark, sf: rd.read_length_hist(rd.primary_reads(_aln(spark, sf)), F.col("qlen")))
+_QC_PARTS = [
+    CLIP,
+    ("acc", f"select *, coalesce({STAGE_SQL}, false) as ok from read_alignments"),
+    ("grouped", "select *, 'clean' as \"group\" from clipped where length(seq) >= 20 union all select *, 'unmapped' from clipped c where length(seq) >= 20 "
+                "and not exists (select 1 from acc where ok and acc.sample = c.sample and acc.run = c.run and acc.read_id = c.read_id)"),
+]
+
+
+def _routed_qc(spark, sf, what: str) -> DataFrame:
+    clean = rd.length_route(_clipped(spark, sf), OPTS.min_read_len).where(F.col("route") == "clean")
+    return rd.routed_qc(clean, fx.load(spark, sf, "read_alignments"), OPTS).where(F.col("what") == what)
+
+
+@register(
+    "read_qc_groups", "A22",
+    W(
+        'select sample, mate, "group", cast(i as bigint) as position, count(*) as reads, '
+        + ", ".join(f"cast(count_if(upper(substr(seq, i, 1)) = '{b}') as bigint) as {b.lower()}" for b in "ACGTN")
+        + ", round(avg(ascii(substr(qual, i, 1)) - 33), 6) as mean_quality from (select *, unnest(generate_series(1, length(seq))) as i from grouped) group by all",
+        _QC_PARTS, ("reads", "read_alignments"),
+    ),
+)
+def read_qc_groups(spark, sf):
+    """Per-position composition and quality of the clean reads and of those that end unmapped."""
+    t = _routed_qc(spark, sf, "position")
+    return t.select("sample", "mate", "group", F.col("at").alias("position"), "reads", *"acgtn", F.round("mean_quality", 6).alias("mean_quality"))
+
+
+@register(
+    "read_gc", "A22",
+    W('select sample, mate, "group", cast(floor(100 * length(regexp_replace(upper(seq), \'[^GC]\', \'\', \'g\')) / length(seq)) as bigint) as gc_pct, count(*) as count from grouped group by all',
+      _QC_PARTS, ("reads", "read_alignments")),
+)
+def read_gc(spark, sf):
+    """GC percents of the clean and of the unmapped reads."""
+    return _routed_qc(spark, sf, "gc").select("sample", "mate", "group", F.col("at").alias("gc_pct"), F.col("reads").alias("count"))
+
+
+@register(
+    "read_length_groups", "A22",
+    W('select sample, mate, "group", cast(length(seq) as bigint) as length, count(*) as count from grouped group by all', _QC_PARTS, ("reads", "read_alignments")),
+)
+def read_length_groups(spark, sf):
+    """Lengths of the clean and of the unmapped reads."""
+    return _routed_qc(spark, sf, "length").select("sample", "mate", "group", F.col("at").alias("length"), F.col("reads").alias("count"))
 
 
 # J8 / J9 / J10 ----------------------------------------------------------------------
@@ -210,32 +251,60 @@ _DEDUP_P = (
     "dp", "select *, case when strand = '-' then pos + qlen - sclen - 1 else pos end as five_prime from alignments "
           "where (flag & 2304) = 0 and (flag & 4) = 0",
 )
-_DEDUP_KEYS_SQL = "sample, reftype, chrom, strand, five_prime, umi"
-_KEPT = (
-    "kept",
-    f"select * exclude (rn) from (select *, row_number() over (partition by {_DEDUP_KEYS_SQL} order by mapq desc, read_id, run, pos, flag, "
-    "qlen, sclen, xm nulls first, ns, nc, isize) as rn from dp) where rn = 1",
+# a fragment's ends as text, by lowest (chrom, strand, position) of each mate; single reads are first mates
+_END = "first(chrom || ' ' || strand || ' ' || five_prime order by chrom, strand, five_prime) filter ({0})"
+_SECOND = "(flag & 129) = 129"
+_FRAGMENTS = (
+    "fragments",
+    f"select sample, reftype, run, read_id, coalesce({_END.format('not ' + _SECOND)}, '') as end1, coalesce({_END.format(_SECOND)}, '') as end2, "
+    "min(umi) as umi, sum(mapq) as mapq, count(*) as records from dp group by all",
+)
+_RANKED = (
+    "ranked",
+    "select *, row_number() over (partition by sample, reftype, end1, end2, umi order by mapq desc, read_id, run) as rn from fragments",
+)
+_KEPT = ("kept", "select dp.* from dp join ranked r using (sample, reftype, run, read_id) where rn = 1")
+_DEDUP = [_DEDUP_P, _FRAGMENTS, _RANKED, _KEPT]
+_REPORT_SQL = (
+    "select sample, reftype, cast(sum(records) as bigint) as total_reads, cast(sum(case when rn > 1 then records else 0 end) as bigint) as duplicates, "
+    "cast(sum(case when rn = 1 then records else 0 end) as bigint) as unique_reads from ranked group by all"
 )
 
 
 @register(
     "dedup_alignments", "W2",
-    W(f"select {_DEDUP_KEYS_SQL}, run, read_id, pos, flag, mapq from kept", [_DEDUP_P, _KEPT]),
+    W("select sample, reftype, chrom, strand, five_prime, umi, run, read_id, pos, flag, mapq from kept", _DEDUP),
 )
 def dedup_alignments(spark, sf):
-    """One record per duplicate set (best mapq, then read id), as a partial aggregate."""
+    """One fragment, with both mates, per duplicate set (best summed mapq, then read id)."""
     kept, _ = rd.dedup_alignments(_aln(spark, sf))
-    return kept.select(*rd.DEDUP_KEYS, "run", "read_id", "pos", "flag", "mapq")
+    return kept.select("sample", "reftype", "chrom", "strand", "five_prime", "umi", "run", "read_id", "pos", "flag", "mapq")
+
+
+_GAPPED_DEDUP = [
+    ("recs", "select row_number() over () as rid, *, case when (flag & 16) <> 0 then '-' else '+' end as strand from sam_records where (flag & 2308) = 0"),
+    # 5' end by the CIGAR's first and last operations
+    ("dp", "select *, case when strand = '+' then pos - case cigar when '3S45M' then 3 when '5S18M1I12M2D12M' then 5 when '2H40M6S' then 2 else 0 end "
+           "else pos - 1 + case cigar when '3S45M' then 45 when '20M2I26M' then 46 when '24M3D24M' then 51 when '5S18M1I12M2D12M' then 44 when '2H40M6S' then 46 "
+           "when '16M500N32M' then 548 else 48 end end as five_prime from recs"),
+    _FRAGMENTS, _RANKED, _KEPT,
+]
+
+
+@register(
+    "dedup_alignments_gapped", "W2",
+    W("select sample, reftype, chrom, strand, cast(five_prime as bigint) as five_prime, umi, run, read_id, cast(pos as bigint) as pos, flag, mapq, cigar from kept", _GAPPED_DEDUP, ("sam_records",)),
+)
+def dedup_alignments_gapped(spark, sf):
+    """W2 on gapped records: 5' ends from the CIGAR, clipped bases counted."""
+    a = fx.load(spark, sf, "sam_records").withColumn("strand", F.when(F.col("flag").bitwiseAND(F.lit(16)) != 0, "-").otherwise("+"))
+    kept, _ = rd.dedup_alignments(a)
+    return kept.select("sample", "reftype", "chrom", "strand", "five_prime", "umi", "run", "read_id", "pos", "flag", "mapq", "cigar")
 
 
 @register(
     "dedup_report", "A23",
-    W(
-        "select sample, reftype, count(*) as total_reads, count(*) - count(distinct (chrom, strand, five_prime, umi)) as duplicates, "
-        "count(distinct (chrom, strand, five_prime, umi)) as unique_reads, "
-        "round((count(*) - count(distinct (chrom, strand, five_prime, umi))) * 100.0 / count(*), 6) as duplication_rate from dp group by all",
-        [_DEDUP_P],
-    ),
+    W(f"select *, round(duplicates * 100.0 / total_reads, 6) as duplication_rate from ({_REPORT_SQL})", _DEDUP),
 )
 def dedup_report(spark, sf):
     """Total, duplicates, unique, duplication % per (sample, reference type)."""
@@ -264,11 +333,19 @@ register(
     W("select sample, reftype, cast(count_if((flag & 384) = 0) as bigint) as n from alignments group by all"),
 )(lambda spark, sf: rd.read_count_r1(_aln(spark, sf)))
 
+def _deduplicated(spark, sf) -> DataFrame:
+    return rd.dedup_alignments(_aln(spark, sf))[0]
+
+
 register(
     "insert_size_hist", "A19",
-    W("select sample, reftype, least(abs(isize), 1001) as isize, count(*) as pairs from alignments where (flag & 2304) = 0 and (flag & 1) <> 0 "
-      "and (flag & 2) <> 0 and (flag & 64) <> 0 group by all"),
-)(lambda spark, sf: rd.insert_size_hist(_aln(spark, sf)))
+    W("select sample, reftype, least(abs(isize), 1001) as isize, count(*) as pairs from kept where (flag & 1) <> 0 and (flag & 2) <> 0 and (flag & 64) <> 0 group by all", _DEDUP),
+)(lambda spark, sf: rd.insert_size_hist(_deduplicated(spark, sf)))
+
+register(
+    "read_length_hist", "A20",
+    W("select sample, reftype, qlen as length, count(*) as count from kept group by all", _DEDUP),
+)(lambda spark, sf: rd.read_length_hist(_deduplicated(spark, sf), F.col("qlen")))
 
 
 # A21 / F14 / J7 / F15 / F17 --------------------------------------------------------
@@ -297,7 +374,7 @@ def stage_counts_long(spark, sf) -> DataFrame:
 
 
 _STAGE_SQL = [
-    _TRIM_NUM, ACC, ("okd", "select * exclude (ok) from acc where ok"), (_DEDUP_P[0], _DEDUP_P[1].replace("from alignments", "from okd")), _KEPT,
+    _TRIM_NUM, ACC, ("okd", "select * exclude (ok) from acc where ok"), (_DEDUP_P[0], _DEDUP_P[1].replace("from alignments", "from okd")), _FRAGMENTS, _RANKED, _KEPT,
     ("stage", """
 select sample, 'Raw' as key, cast(sum(input) as bigint) as value from tn group by sample
 union all select sample, 'Clean', cast(sum(output) as bigint) from tn group by sample
@@ -329,31 +406,29 @@ register("read_hierarchy", "F14", W("select * from hier", [*_STAGE_SQL, _WIDE_ST
 
 _TRIM_PCT_SQL = (
     "tp",
-    "select sample, case when coalesce(cast(json_extract(report, '$.filtering_statistics.percent_trimmed') as double), 0) = 0 "
+    "select sample, sum(pct * n) / sum(n) as trimmed_pct from (select sample, "
+    "cast(nullif(regexp_extract(report, '\"input\": ([0-9]+),', 1), '') as bigint) as n, "
+    "case when coalesce(cast(json_extract(report, '$.filtering_statistics.percent_trimmed') as double), 0) = 0 "
     "then coalesce(cast(json_extract(report, '$.report.summary.terminal_stats.percent_trimmed') as double), 0) "
-    "else cast(json_extract(report, '$.filtering_statistics.percent_trimmed') as double) end as trimmed_pct from trim_reports where run = 'run1'",
+    "else cast(json_extract(report, '$.filtering_statistics.percent_trimmed') as double) end as pct from trim_reports) group by sample",
 )
 
 
 @register(
     "trim_report_join", "J7",
-    W("select h.*, tp.trimmed_pct from hier h left join tp using (sample)", [*_STAGE_SQL, _WIDE_STAGE, _HIER, _TRIM_PCT_SQL], ("alignments", "trim_reports")),
+    W("select h.*, round(tp.trimmed_pct, 6) as trimmed_pct from hier h left join tp using (sample)", [*_STAGE_SQL, _WIDE_STAGE, _HIER, _TRIM_PCT_SQL], ("alignments", "trim_reports")),
 )
 def trim_report_join(spark, sf):
-    """Read hierarchy rows with the first run's trimmed percentage (left join on sample)."""
+    """Read hierarchy rows with the trimmed percentage over all runs, weighted by their reads (left join on sample)."""
     from sitecall.operators.joins import join_small
 
-    t = fx.load(spark, sf, "trim_reports").where(F.col("run") == "run1").select("sample", report.trimmed_pct("report").alias("trimmed_pct"))
-    return join_small(hierarchy(spark, sf), t, "sample", "left")
+    t = report.trimmed_pct_of_samples(fx.load(spark, sf, "trim_reports"))
+    return join_small(hierarchy(spark, sf), t, "sample", "left").withColumn("trimmed_pct", F.round("trimmed_pct", 6))
 
 
 @register(
     "sample_type_label", "F15",
-    W(
-        "select sample || '_' || reftype as sample_library, count(*) as total_reads, count(distinct (chrom, strand, five_prime, umi)) as unique_reads "
-        "from dp group by sample, reftype",
-        [_DEDUP_P],
-    ),
+    W(f"select sample || '_' || reftype as sample_library, total_reads, unique_reads from ({_REPORT_SQL})", _DEDUP),
 )
 def sample_type_label(spark, sf):
     """``{sample}_{type}`` labels on the dedup table."""
@@ -402,7 +477,7 @@ def _probe(spark, sf) -> DataFrame:
     return fx.load(spark, sf, "probe_reads")
 
 
-register("spike_counts", "A15", W("select * from counts", [_SPIKE_SQL], ("probe_reads",)))(
+register("spike_counts_ungapped", "A15", W("select * from counts", [_SPIKE_SQL], ("probe_reads",)))(
     lambda spark, sf: pu.spike_counts(_probe(spark, sf))
 )
 
@@ -464,9 +539,9 @@ group by sample, reference, pos
 """
 
 
-@register("pileup_counts", "A1", W(_PILEUP_SQL, None, ("probe_reads",)))
-def pileup_counts(spark, sf):
-    """A1: six-count pileup (tiers 0/1/2, unconverted A / converted G) at reference A positions."""
+@register("pileup_counts_ungapped", "A1", W(_PILEUP_SQL, None, ("probe_reads",)))
+def pileup_counts_ungapped(spark, sf):
+    """A1 where read base i lies on reference base i: six-count pileup (tiers 0/1/2, unconverted A / converted G)."""
     return pu.pileup_counts(_probe(spark, sf))
 
 
@@ -489,13 +564,13 @@ def _tx_lifted(spark, sf) -> DataFrame:
 
 
 register(
-    "alignment_liftover", "J11",
+    "alignment_liftover_blocks", "J11",
     W("select * from txl", [("exons", q.exons_cte("transcripts")), ("txl", _TXL_SQL)], ("transcripts", "tx_alignments")),
 )(_tx_lifted)
 
 
 @register(
-    "union_lifted", "O6",
+    "union_lifted_blocks", "O6",
     W(
         "select * from txl union all select sample, read_id, null, chrom, strand, cast(pos as bigint), "
         "cast(pos as varchar) || '-' || cast(pos + qlen - sclen - 1 as varchar), 1, cast(qlen - sclen as bigint) from alignments "
@@ -503,7 +578,7 @@ register(
         [("exons", q.exons_cte("transcripts")), ("txl", _TXL_SQL)], ("transcripts", "tx_alignments", "alignments"),
     ),
 )
-def union_lifted(spark, sf):
-    """Lifted transcript alignments plus genome alignments, coordinate-sorted."""
+def union_lifted_blocks(spark, sf):
+    """O6 on genome blocks alone: lifted transcript alignments plus genome alignments, coordinate-sorted."""
     g = pu.genome_alignment_blocks(_aln(spark, sf).where(F.col("reftype") == "genome"))
     return pu.union_lifted(_tx_lifted(spark, sf), g)

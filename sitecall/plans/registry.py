@@ -37,5 +37,6 @@ def load_all() -> dict[str, Query]:
     from sitecall.plans import report_queries  # noqa: F401
     from sitecall.plans import read_queries  # noqa: F401
     from sitecall.plans import source_queries  # noqa: F401
+    from sitecall.plans import gapped_queries  # noqa: F401
 
     return REGISTRY

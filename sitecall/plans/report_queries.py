@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sitecall import fixtures as fx
 from sitecall.operators import merge, report, sites
+from sitecall.operators.joins import materialise
 from sitecall.plans import sqltext as q
 from sitecall.plans.registry import register
 from sitecall.plans.site_queries import PIPE_REQUIRES, PIPE_SAMPLES
@@ -190,10 +191,43 @@ def depth_histogram(spark, sf):
 )
 def histogram_wide(spark, sf):
     """Ratio histogram with one column per sample that has sites; empty bins 0."""
-    h = report.ratio_histogram(sites_long(spark, sf))
-    present = [r[0] for r in h.select("sample").distinct().collect()]  # bounded by the sample list
-    samples = [s for s in ORDERED if s in present]
-    return report.histogram_wide(h, samples, len(_R_LABELS), _R_LABELS)
+    h = materialise(report.ratio_histogram(sites_long(spark, sf)))
+    return report.histogram_wide(h, report.present_samples(h, ORDERED), len(_R_LABELS), _R_LABELS)
+
+
+@register(
+    "depth_histogram_wide", "A13",
+    _sites_long_sql(
+        "select cast(i as bigint) as bin, cast(floor((edges[i + 1] + edges[i + 2]) / 2) as bigint) as label, "
+        + ", ".join(f"cast(coalesce(max(case when dh.sample = '{s}' then dh.count end), 0) as bigint) as \"{s}\"" for s in ORDERED)
+        + " from range(50) t(i) cross join (select list_transform(range(51), lambda i: case when i = 50 then pow(10.0, log10(m + 1)) else pow(10.0, i * (log10(m + 1) / 50)) end) as edges "
+        "from (select greatest(1000, max(depth)) as m from sl where depth > 0)) e left join dh on dh.bin = t.i group by i, edges",
+        [("dh", _DHIST_SQL)],
+    ),
+)
+def depth_histogram_wide(spark, sf):
+    """Depth histogram with one column per sample that has sites, from the compact depth counts."""
+    counts = report.depth_counts(sites_long(spark, sf))
+    hist, edges = report.depth_bins(counts)
+    return report.histogram_wide(hist, report.present_samples(counts, ORDERED), 50, report.depth_labels(edges))
+
+
+@register(
+    "motif_table_join_transcript", "J6",
+    fx.with_fixtures(
+        ["pileup_tiers", "transcript_counts"],
+        "select motif, " + ", ".join(
+            f"round(max(case when sample = '{s}' then pct end), 6) as \"{s} (%)\"" for s in ORDERED
+        ) + " from (select sample, replace(upper(m3), 'T', 'U') as motif, ratio * 100 as pct from a2 "
+        "where reftype = 'transcript' and strpos(upper(m3), 'N') = 0) group by motif",
+        [("pileups", _PILEUPS_SQL), ("a2", _A2_SQL)],
+    ),
+)
+def motif_table_join_transcript(spark, sf):
+    """Transcript motif tables of all samples joined on Motif."""
+    t = motif_tables(spark, sf).where(F.col("reftype") == "transcript").withColumnRenamed("m3", "motif")
+    w = report.motif_table_wide(t, ORDERED)
+    return w.select("motif", *[F.round(F.col(f"`{s} (%)`"), 6).alias(f"{s} (%)") for s in ORDERED])
 
 
 @register(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sitecall import fixture_files as ff
 from sitecall import fixtures as fx
+from sitecall.functions.cigar import MATCH_OPS
 from sitecall.operators import background as bg
 from sitecall.operators import calling, groups, report
 from sitecall.operators import reads as rd
@@ -19,6 +20,7 @@ from sitecall.plans import sqltext as q
 from sitecall.plans.registry import register
 from sitecall.session import unique_scratch
 from sitecall.sources import files as src
+from sitecall.sources import sequences
 from sitecall.sources import sinks
 
 # S1 / S2 / S3 -----------------------------------------------------------------------
@@ -76,22 +78,30 @@ register(
 @register("scan_reads", "S8", fx.with_fixtures(["reads"], "select sample, run, mate, read_id as name, seq, qual from reads"))
 def scan_reads(spark, sf):
     """Gzip FASTQ per (sample, run, mate) -> read records."""
-    r = src.scan_reads(spark, ff.fastq_files(spark, sf))
-    return r.select(src.fastq_partition("sample").alias("sample"), src.fastq_partition("run").alias("run"),
-                    src.fastq_partition("mate").alias("mate"), "name", "seq", "qual")
+    r = sequences.scan_reads(spark, ff.fastq_files(spark, sf))
+    return r.select(*[src.path_partition(c).alias(c) for c in ("sample", "run", "mate")], "name", "seq", "qual")
+
+
+_SAM_COLS = ("sample", "run", "reftype", "read_id", "flag", "chrom", "pos", "strand", "mapq", "cigar", "mate_chrom", "mate_pos", "isize",
+             "seq", "qual", "qlen", "sclen", "xm", "ns", "nc", "yf", "zf", "umi")
 
 
 @register(
     "scan_alignments", "S9",
     fx.with_fixtures(
-        ["alignments"],
-        f"select sample, run, reftype, read_id, {ff.sam_flag_sql()} as flag, chrom, pos, strand, mapq, qlen, sclen, isize, xm, ns, nc, umi from alignments",
+        ["sam_records"],
+        "select sample, run, reftype, read_id, flag, chrom, cast(pos as bigint) as pos, case when (flag & 16) <> 0 then '-' else '+' end as strand, mapq, cigar, "
+        "case when rnext = '=' then chrom when rnext <> '*' then rnext end as mate_chrom, cast(nullif(pnext, 0) as bigint) as mate_pos, isize, nullif(seq, '*') as seq, nullif(qual, '*') as qual, "
+        "cast(case when cigar = '*' then coalesce(length(nullif(seq, '*')), 0) when cigar = '2H40M6S' then 46 else 48 end as bigint) as qlen, "
+        "cast(case cigar when '3S45M' then 3 when '5S18M1I12M2D12M' then 5 when '2H40M6S' then 6 else 0 end as bigint) as sclen, xm, ns, nc, yf, zf, umi, "
+        "case cigar " + " ".join(f"when '{c}' then '{t}'" for c, t in ff.CIGAR_BLOCKS.items()) + " else '' end as blocks from sam_records",
     ),
 )
 def scan_alignments(spark, sf):
-    """SAM text -> alignment table (CIGAR lengths, flag strand, tags)."""
+    """SAM text -> alignment table with CIGAR operations, mate fields, bases and typed tags."""
     a = src.scan_alignments(spark, ff.sam_files(spark, sf))
-    return a.select("sample", "run", "reftype", "read_id", "flag", "chrom", "pos", "strand", "mapq", "qlen", "sclen", "isize", "xm", "ns", "nc", "umi")
+    blocks = F.transform(F.filter("ops", lambda o: o["op"].isin(*MATCH_OPS)), lambda o: F.concat_ws(":", o["op"], o["len"].cast("string"), o["q"].cast("string"), o["r"].cast("string")))
+    return a.select(*_SAM_COLS, F.array_join(blocks, ",").alias("blocks"))
 
 
 # S10 / S11 / S12 / S13 / S14 ------------------------------------------------------------
@@ -210,7 +220,7 @@ def sink_parquet_groups(spark, sf):
     return spark.read.parquet(path).select("group", "chrom", "pos", "strand", "uncon", "depth", "p")
 
 
-_K4_HEADER = ["# id: dedup_stats_table", "# section_name: 'Detailed Deduplication Statistics'", "# plot_type: 'table'"]
+_K4_HEADER = ["# id: duplicates_by_library", "# section_name: 'Duplicates by library'", "# plot_type: 'table'"]
 
 
 @register(
@@ -218,9 +228,9 @@ _K4_HEADER = ["# id: dedup_stats_table", "# section_name: 'Detailed Deduplicatio
     rq.W(
         "select line from (" + " union all ".join("select '" + h.replace("'", "''") + "' as line" for h in _K4_HEADER)
         + " union all select 'sample_library\ttotal_reads\tunique_reads\tduplicates\tduplication_rate' union all "
-        "select sample || '_' || reftype || chr(9) || total || chr(9) || uniq || chr(9) || (total - uniq) || chr(9) || printf('%.6f', (total - uniq) * 100.0 / total) "
-        "from (select sample, reftype, count(*) as total, count(distinct (chrom, strand, five_prime, umi)) as uniq from dp group by all))",
-        [rq._DEDUP_P],
+        "select sample || '_' || reftype || chr(9) || total_reads || chr(9) || unique_reads || chr(9) || duplicates || chr(9) || printf('%.6f', duplicates * 100.0 / total_reads) "
+        f"from ({rq._REPORT_SQL}))",
+        rq._DEDUP,
     ),
 )
 def sink_report_tsv(spark, sf):

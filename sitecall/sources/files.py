@@ -8,14 +8,14 @@ directory (``.../sample=<name>/...``), else the file name before its first dot.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sitecall.functions.cigar import QUERY_OPS, cigar_ops, ops_length
 from sitecall.operators.joins import bounded_broadcast
-from sitecall.operators.sites import uncon_depth_from_tiers
 
 HEADER_COLS = ("chrom", "pos", "strand", "motif", "u0", "u1", "u2", "m0", "m1", "m2")
 LEGACY_COLS = ("Chrom", "Pos", "Strand", "Motif", "U0", "D0", "U1", "D1", "U2", "D2")
@@ -35,17 +35,70 @@ def _with_sample(df: DataFrame, sample: str | None) -> DataFrame:
 
 
 # S1 -------------------------------------------------------------------------
-def scan_pileup(spark: SparkSession, path: str | Sequence[str], sample: str | None = None) -> DataFrame:
-    """Header layout ``chrom pos strand motif u0 u1 u2 m0 m1 m2`` -> long counts, zero depth dropped."""
-    schema = T.StructType(
-        [T.StructField("chrom", T.StringType()), T.StructField("pos", T.LongType()),
-         T.StructField("strand", T.StringType()), T.StructField("motif", T.StringType())]
-        + [T.StructField(c, T.LongType()) for c in HEADER_COLS[4:]]
+def _first_lines(spark: SparkSession, path: str | Sequence[str]) -> dict[str, str]:
+    """First line of every file that has one. Each is a job that stops at the line, 16 at a time."""
+    files = spark.read.text(path).inputFiles()
+
+    def first(f: str) -> tuple[str, str | None]:
+        row = spark.read.text(f).select("value", "_metadata.file_path").limit(1).collect()
+        return (row[0]["file_path"], row[0]["value"]) if row else (f, None)
+
+    with ThreadPoolExecutor(16) as pool:
+        return {f: line for f, line in pool.map(first, files) if line is not None}
+
+
+def _by_layout(spark: SparkSession, path: str | Sequence[str], legacy: bool) -> DataFrame:
+    """One text scan of all files, each with its own layout: sample columns, ``_legacy``, ``_line`` fields by ``_at``.
+
+    A file whose first line starts with ``chrom`` has the header layout and its columns are found by name, in any order
+    and among others; any other has the legacy layout, or is an error if that is not allowed.
+    """
+    rows = []
+    for file, line in _first_lines(spark, path).items():
+        names = line.split("\t")
+        if line.startswith("chrom"):
+            missing = [c for c in HEADER_COLS if c not in names]
+            if missing:
+                raise ValueError(f"{file}: header without {', '.join(missing)}")
+            rows.append((file, False, line, len(names), [names.index(c) for c in HEADER_COLS]))
+        elif legacy:
+            rows.append((file, True, None, len(LEGACY_COLS), list(range(len(LEGACY_COLS)))))
+        else:
+            raise ValueError(f"{file}: no header line")
+    layout = spark.createDataFrame(rows, "_path string, _legacy boolean, _head string, _width int, _at array<int>")
+    layout, _ = bounded_broadcast(layout)  # one row a file
+    raw = spark.read.text(path)  # Hive-style directories add partition columns
+    lines = raw.select(
+        F.col("value").alias("_value"), F.split("value", "\t").alias("_f"), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_name").alias("_name"),
+        *(["sample"] if "sample" in raw.columns else []),
     )
-    # a malformed count or a header with other names or another order is an error, never a silent loss
-    df = spark.read.csv(path, sep="\t", header=True, schema=schema, enforceSchema=False, mode="FAILFAST")
-    df = _with_sample(df, sample)
-    return uncon_depth_from_tiers(df).where(F.col("depth") > 0).select(*LONG_OUT)
+    x = lines.join(layout, F.col("_file") == F.col("_path")).where((F.col("_value") != "") & ~F.col("_value").eqNullSafe(F.col("_head")))
+    wrong = F.raise_error(F.concat(F.lit("malformed line in "), "_file", F.lit(": "), "_value")).cast("array<string>")
+    return x.withColumn("_f", F.when(F.size("_f") == F.col("_width"), F.col("_f")).otherwise(wrong))
+
+
+def _layout_counts(x: DataFrame, sample: str | None) -> DataFrame:
+    """Long counts of both layouts: tiers 1 and 2 of the header layout, U1 and D1 of the legacy one."""
+
+    def field(i: int) -> Column:
+        return F.col("_f")[F.col("_at")[i]]
+
+    def num(i: int) -> Column:
+        return field(i).cast("bigint")  # a malformed count is an error
+
+    name = F.lit(sample) if sample is not None else F.col("sample").cast("string") if "sample" in x.columns else F.substring_index("_name", ".", 1)
+    old = F.col("_legacy")
+    out = x.select(
+        name.alias("sample"), field(0).alias("chrom"), num(1).alias("pos"), field(2).alias("strand"), field(3).alias("motif"),
+        F.when(old, num(6)).otherwise(num(5) + num(6)).alias("uncon"), F.when(old, num(7)).otherwise(num(5) + num(8) + num(6) + num(9)).alias("depth"),
+    )
+    return out.where(F.col("depth") > 0)
+
+
+def scan_pileup(spark: SparkSession, path: str | Sequence[str], sample: str | None = None) -> DataFrame:
+    """Header layout ``chrom pos strand motif u0 u1 u2 m0 m1 m2``, selected by name file by file -> long counts, zero
+    depth dropped. A file without the header or one of its columns, a malformed count and a line of another width are errors."""
+    return _layout_counts(_by_layout(spark, path, legacy=False), sample)
 
 
 # S2 -------------------------------------------------------------------------
@@ -64,35 +117,10 @@ def scan_pileup_legacy(spark: SparkSession, path: str | Sequence[str], sample: s
 
 
 # S3 -------------------------------------------------------------------------
-def scan_pileup_auto(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Mixed layouts: a file whose header line starts with ``chrom`` is read as the
-    header layout, any other file as the legacy layout.
-
-    The per-file layout table has one row per header file (bounded by the file
-    listing); it is broadcast after a row-count check.
-    """
-    raw = spark.read.text(path)  # Hive-style directories add partition columns
-    lines = raw.select("value", F.col("_metadata.file_path").alias("_file"), *(["sample"] if "sample" in raw.columns else []))
-    header_files = lines.where(F.col("value").startswith("chrom\t")).select("_file").distinct().withColumn("_hdr", F.lit(True))
-    header_files, _ = bounded_broadcast(header_files)  # one row per header file, checked
-    f = F.split(F.col("value"), "\t")
-    x = lines.join(header_files, "_file", "left").where(~F.col("value").startswith("chrom\t"))
-    hdr = F.coalesce(F.col("_hdr"), F.lit(False))
-
-    def fld(i: int) -> Column:
-        return f.getItem(i)
-
-    def num(i: int) -> Column:
-        return fld(i).cast("bigint")
-
-    uncon = F.when(hdr, num(5) + num(6)).otherwise(num(6))
-    depth = F.when(hdr, num(5) + num(8) + num(6) + num(9)).otherwise(num(7))
-    sample = F.col("sample").cast("string") if "sample" in x.columns else F.substring_index(F.element_at(F.split("_file", "/"), -1), ".", 1)
-    out = x.select(
-        sample.alias("sample"), fld(0).alias("chrom"), num(1).alias("pos"), fld(2).alias("strand"), fld(3).alias("motif"),
-        uncon.alias("uncon"), depth.alias("depth"),
-    )
-    return out.where(F.col("depth") > 0)
+def scan_pileup_auto(spark: SparkSession, path: str | Sequence[str], sample: str | None = None) -> DataFrame:
+    """Mixed layouts: a file whose first line starts with ``chrom`` is read as the header layout, by name, any other file
+    as the legacy layout. All files in one scan."""
+    return _layout_counts(_by_layout(spark, path, legacy=True), sample)
 
 
 # S4 -------------------------------------------------------------------------
@@ -161,104 +189,88 @@ def transcript_table(spark: SparkSession, gtf_path: str | Sequence[str], feature
     return g.select("gene_id", "transcript_id", "chrom", "strand", spans.alias("spans"))
 
 
-# S8 -------------------------------------------------------------------------
-FASTQ_SCHEMA = "file string, name string, seq string, qual string"
-
-
-def _fastq_records(batches):
-    carry: list[str] = []
-    carry_file = None
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        files = pdf["file"].to_numpy()
-        values = pdf["value"].to_numpy()
-        start = 0
-        n = len(pdf)
-        while start < n:
-            f = files[start]
-            end = start
-            while end < n and files[end] == f:
-                end += 1
-            chunk = list(values[start:end])
-            if carry_file is not None and carry_file != f:
-                carry = []  # a file ended inside a record: nothing to emit
-            lines = carry + chunk
-            m = len(lines) - len(lines) % 4
-            if m:
-                name = [s[1:].split()[0] if s.startswith("@") else s for s in lines[0:m:4]]
-                yield pd.DataFrame({"file": f, "name": name, "seq": lines[1:m:4], "qual": lines[3:m:4]})
-            carry, carry_file = lines[m:], f
-            start = end
-
-
-def scan_reads(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """FASTQ (gzip) -> (file, name, seq, qual) plus any partition columns.
-
-    Gzip is not splittable, so each file is read in order by one task and the
-    4-line records are assembled batch-wise in Arrow batches.  Plain-text FASTQ
-    must be compressed first (a split could cut a record).
-    """
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
-    return lines.mapInPandas(_fastq_records, FASTQ_SCHEMA)
-
-
-def fastq_partition(col_name: str) -> Column:
-    """A ``<name>=<value>`` directory component of the file path."""
+def path_partition(col_name: str) -> Column:
+    """A ``<name>=<value>`` directory component of the column ``file``."""
     return F.regexp_extract(F.col("file"), f"/{col_name}=([^/]+)/", 1)
 
 
 # S9 -------------------------------------------------------------------------
+def _int_tag(name: str) -> Column:
+    """Value of a tag of type ``i``; a tag of that name with another type counts as missing."""
+    tag = F.col("tags")[name]
+    return F.when(tag["type"] == "i", tag["value"]).cast("bigint")
+
+
+def _star_null(c: Column) -> Column:
+    return F.when(c != "*", c)
+
+
 def scan_alignments(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """SAM text -> alignment table: flag, chrom, pos, strand (flag 0x10), mapq, qlen and
-    sclen from the CIGAR, isize, and tags as a map (XM, NS, NC as bigint, RX as umi).
-    Header lines (``@``) are skipped; missing tags are null.
+    """SAM text -> alignment table: read_id, flag, chrom, pos, mapq, cigar with its operations (``ops``: op, len,
+    query offset q, reference offset r), mate fields, isize, seq, qual, strand (flag 0x10), qlen and sclen, the tags as a
+    map name -> (type, value) and the usual ones as columns (XM, NS, NC, Yf, Zf of type ``i``; RX as umi).
+
+    Header lines (``@``) are skipped; ``*`` is null for seq, qual and the mate's reference, a mate position 0 is null, the
+    mate reference ``=`` is the record's; of a repeated tag the first counts; qlen without a CIGAR is the sequence's.
     """
     t = spark.read.text(path).where(~F.col("value").startswith("@"))
     f = F.split("value", "\t")
-    cigar = f.getItem(5)
-    tags = F.map_from_entries(F.transform(
-        F.slice(f, 12, 1 << 20),
-        lambda x: F.struct(F.split(x, ":", 3).getItem(0), F.split(x, ":", 3).getItem(2)),
-    ))
-    qlen = F.aggregate(F.regexp_extract_all(cigar, F.lit("([0-9]+)[MIS=X]"), F.lit(1)), F.lit(0).cast("bigint"),
-                       lambda acc, x: acc + x.cast("bigint"))
-    sclen = F.aggregate(F.regexp_extract_all(cigar, F.lit("([0-9]+)S"), F.lit(1)), F.lit(0).cast("bigint"),
-                        lambda acc, x: acc + x.cast("bigint"))
-    flag = f.getItem(1).cast("bigint")
+    tags = F.transform(F.slice(f, 12, 1 << 20), lambda x: F.split(x, ":", 3))
+    names = F.transform("_tags", lambda x: x.getItem(0))
+    firsts = F.filter("_tags", lambda x, i: F.array_position(F.col("_names"), x.getItem(0)) == i + 1)
+    tag_map = F.map_from_entries(F.transform(
+        firsts, lambda x: F.struct(x.getItem(0), F.struct(x.getItem(1).alias("type"), x.getItem(2).alias("value")))))
     out = t.select(
-        "*", f.getItem(0).alias("read_id"), flag.alias("flag"), f.getItem(2).alias("chrom"),
-        f.getItem(3).cast("bigint").alias("pos"), f.getItem(4).cast("bigint").alias("mapq"),
-        qlen.alias("qlen"), sclen.alias("sclen"), f.getItem(8).cast("bigint").alias("isize"), tags.alias("tags"),
-    )
-    return out.drop("value").select(
+        "*", f.getItem(0).alias("read_id"), f.getItem(1).cast("bigint").alias("flag"), f.getItem(2).alias("chrom"),
+        f.getItem(3).cast("bigint").alias("pos"), f.getItem(4).cast("bigint").alias("mapq"), f.getItem(5).alias("cigar"),
+        F.when(f.getItem(6) == "=", f.getItem(2)).otherwise(_star_null(f.getItem(6))).alias("mate_chrom"),
+        F.when(f.getItem(7) != "0", f.getItem(7).cast("bigint")).alias("mate_pos"), f.getItem(8).cast("bigint").alias("isize"),
+        _star_null(f.getItem(9)).alias("seq"), _star_null(f.getItem(10)).alias("qual"), tags.alias("_tags"),
+    ).drop("value").withColumn("_names", names).withColumn("tags", tag_map).drop("_tags", "_names")
+    out = out.withColumn("ops", cigar_ops("cigar"))
+    return out.select(
         "*", F.when((F.col("flag").bitwiseAND(16)) != 0, F.lit("-")).otherwise(F.lit("+")).alias("strand"),
-        F.col("tags")["XM"].cast("bigint").alias("xm"), F.col("tags")["NS"].cast("bigint").alias("ns"),
-        F.col("tags")["NC"].cast("bigint").alias("nc"), F.col("tags")["RX"].alias("umi"),
+        F.when(F.size("ops") > 0, ops_length("ops", QUERY_OPS)).otherwise(F.coalesce(F.length("seq"), F.lit(0))).cast("bigint").alias("qlen"),
+        ops_length("ops", ("S",)).alias("sclen"),
+        _int_tag("XM").alias("xm"), _int_tag("NS").alias("ns"), _int_tag("NC").alias("nc"), _int_tag("Yf").alias("yf"), _int_tag("Zf").alias("zf"),
+        F.col("tags")["RX"]["value"].alias("umi"),
     )
 
 
 # S10 / S11 / S12 / S13 -----------------------------------------------------------
 def trim_report_json(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """One row per trimmer JSON file: file text plus partition columns (sample, run)."""
-    return spark.read.text(path, wholetext=True).withColumnRenamed("value", "report")
+    """One row per trimmer JSON file: its text as ``report`` plus partition columns; without a partition directory
+    ``sample`` is the file name before its first underscore."""
+    t = spark.read.text(path, wholetext=True)
+    name = [] if "sample" in t.columns else [F.substring_index(F.col("_metadata.file_name"), "_", 1).alias("sample")]
+    return t.select("*", *name).withColumnRenamed("value", "report")
+
+
+# Fixed text of the external tool's log lines.
+_LOG_TOTAL = r"Total reads processed:\s*([0-9,]+)"
+_LOG_DUPLICATES = r"Duplicates removed:\s*([0-9,]+)"
+_LOG_UNIQUE = r"Total Unique Reads:\s*([0-9,]+)"
+_LOG_RATE = r"Deduplication rate:\s*([\d\.]+)%"
 
 
 def dedup_log_parse(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Dedup logs -> (sample, type, total_reads, duplicates, unique_reads, duplication_rate);
-    files without a total line are dropped.  One aggregate per file (bounded by its lines)."""
-    t = spark.read.text(path).select("*", F.col("_metadata.file_path").alias("_file"))
+    """Dedup logs -> (sample, reftype, total_reads, duplicates, unique_reads, duplication_rate);
+    files without a total line are dropped.  Without partition directories, sample and type are the
+    first two dot-separated parts of the file name.  One aggregate per file (bounded by its lines)."""
+    t = spark.read.text(path)
+    parts = F.split(F.col("_metadata.file_name"), "\\.")
+    named = {"sample": parts.getItem(0), "reftype": F.when(F.size(parts) > 2, F.get(parts, F.lit(1))).otherwise(F.lit("unknown"))}
+    t = t.select("*", F.col("_metadata.file_path").alias("_file"), *[c.alias(k) for k, c in named.items() if k not in t.columns])
 
     def grab(pattern: str) -> Column:
         v = F.regexp_replace(F.regexp_extract("value", pattern, 1), ",", "")
         return F.when(v != "", v)
 
-    keys = [c for c in ("sample", "reftype") if c in t.columns]
-    g = t.groupBy("_file", *keys).agg(
-        F.max(grab(r"Total reads processed:\s*([0-9,]+)").cast("bigint")).alias("total_reads"),
-        F.max(grab(r"Duplicates removed:\s*([0-9,]+)").cast("bigint")).alias("duplicates"),
-        F.max(grab(r"Total Unique Reads:\s*([0-9,]+)").cast("bigint")).alias("unique_reads"),
-        F.max(grab(r"Deduplication rate:\s*([\d\.]+)%").cast("double")).alias("duplication_rate"),
+    g = t.groupBy("_file", "sample", "reftype").agg(
+        F.max(grab(_LOG_TOTAL).cast("bigint")).alias("total_reads"),
+        F.max(grab(_LOG_DUPLICATES).cast("bigint")).alias("duplicates"),
+        F.max(grab(_LOG_UNIQUE).cast("bigint")).alias("unique_reads"),
+        F.max(grab(_LOG_RATE).cast("double")).alias("duplication_rate"),
     )
     return g.where(F.col("total_reads").isNotNull()).drop("_file")
 

@@ -24,7 +24,7 @@ def test_dedup_hot_duplicate_set(spark):
     best = min(hot, key=lambda r: (-r[15], r[2]))
     assert got[100] == (best[2], best[15])
     assert len(got) == 1 + sum(1 for r in rows if r[5] != 100)
-    assert {r["five_prime"]: r["set_size"] for r in sets.collect()}[100] == len(hot)
+    assert {r["end1"]["five_prime"]: r["set_size"] for r in sets.collect()}[100] == len(hot)
 
 
 def test_pair_counts_hot_probe_many_batches(spark):
