@@ -5,7 +5,7 @@ the last return the columns of their input; further columns of ``documents`` pas
 stage's result to the shared scratch folder as Parquet and reads it again.
 
 Rows with the same doc_id are one document to the join of stage 2 and the mix of stage 4: they stay or go, and
-are repeated, together.
+are repeated, together; of those that also have the same text, stage 2 keeps one, null ids included.
 """
 
 from __future__ import annotations
@@ -29,11 +29,25 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.select(*[F.col("text") if c == "text" else F.col(f"row.{c}").alias(c) for c in docs.columns])
 
 
+def _without_repeats(rows: DataFrame) -> DataFrame:
+    """One row of each (doc_id, text), null ids included; ``rows`` has the one column row. Only repeated rows are shuffled
+    whole, after a partial aggregate in their task."""
+    key = [F.col("row.doc_id").alias("id"), F.xxhash64("row.text").alias("h1"), F.crc32(F.coalesce("row.text", F.lit("")).cast("binary")).alias("h2")]
+    again = rows.select(*key).groupBy("id", "h1", "h2").agg(F.count("*").alias("n")).filter("n > 1")
+    again = staged(again.select(*[F.col(c).alias(f"r_{c}") for c in ("id", "h1", "h2")]), "pipeline-repeats")
+    keyed = rows.select("row", *key)
+    same = F.col("id").eqNullSafe(F.col("r_id")) & (F.col("h1") == F.col("r_h1")) & (F.col("h2") == F.col("r_h2"))
+    one = keyed.join(again, same, "left_semi").groupBy("id", "h1", "h2").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return keyed.join(again, same, "left_anti").select("row").unionByName(one.select("row"))
+
+
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of linked documents, the one with the smallest doc_id stays."""
+    """Of each component of linked documents, the one with the smallest doc_id stays; of rows with the same id and text,
+    null ids included, one."""
     found = jaccard.jaccard_components(docs)
-    gone = staged(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "pipeline-gone")
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = staged(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct(), "pipeline-gone")
+    rows = docs.select(F.struct(*docs.columns).alias("row")).join(gone, F.col("row.doc_id") == F.col("gone"), "left_anti")
+    return _without_repeats(rows).select("row.*")
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,11 +63,10 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it; documents that the mix does not take go."""
-    mix = mixing.mix_sources(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.when(F.col("size") > 0, F.col("copies")).otherwise(0)).alias("_copies"))
-    mix = staged(mix.filter("_copies > 0"), "pipeline-mix")
-    kept = docs.join(mix, F.col("doc_id").eqNullSafe(F.col("_id")))
-    again = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_again")
-    return kept.select(*[F.col(c) for c in docs.columns], again).drop("_again")
+    mix = mixing.mix_sources(docs).groupBy(F.col("doc_id").alias("id")).agg(F.max(F.when(F.col("size") > 0, F.col("copies")).otherwise(0)).alias("copies"))
+    mix = staged(mix.filter("copies > 0"), "pipeline-mix")
+    kept = docs.select(F.struct(*docs.columns).alias("row")).join(mix, F.col("row.doc_id").eqNullSafe(F.col("id")))
+    return kept.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
