@@ -15,6 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from sitecall.session import unique_scratch
 
@@ -42,6 +44,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def local_rows(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
+    """A few rows of the driver as a relation of the JVM. ``createDataFrame`` of a list is an RDD of pickled rows, for
+    which every executor starts a second set of Python workers that live on beside those of the operators."""
+    kinds = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    columns = list(zip(*rows)) or [()] * len(kinds)
+    table = pa.Table.from_arrays([pa.array(c, to_arrow_type(f.dataType)) for c, f in zip(columns, kinds)], names=kinds.names)
+    return spark.createDataFrame(table, kinds)
+
+
 def doc_columns(docs: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, so that further columns of the input can clash with none of an operator's."""
     return docs.select(*[F.col(n) for n in names])

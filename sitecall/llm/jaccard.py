@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitecall.llm.common import LOWER_AZ, as_int64, chunks, doc_columns, ids_of, mix64, shingle_hashes, span_hashes, staged, word_spans
+from sitecall.llm.common import LOWER_AZ, as_int64, chunks, doc_columns, ids_of, local_rows, mix64, shingle_hashes, span_hashes, staged, word_spans
 from sitecall.llm.components import components
 
 SHINGLE = 5
@@ -323,7 +323,7 @@ def _blocks(parts: DataFrame, dense: DataFrame, step: int) -> DataFrame:
 def _resolve(members: DataFrame) -> DataFrame:
     """Links (a, b) within zones; zones that are too large are split by pivots, round after round."""
     spark = members.sparkSession
-    links = spark.createDataFrame([], "a long, b long")
+    links = local_rows(spark, [], "a long, b long")
     joined = lambda rows: rows.select("zone", "doc_id", "label", "shingles").groupBy("zone").applyInPandas(_zone_links, "a long, b long")
     for step in range(10_000):
         sizes = members.groupBy("zone").agg(
@@ -345,7 +345,7 @@ def _resolve(members: DataFrame) -> DataFrame:
             room -= cost
         if not chosen:
             return links
-        zones = F.broadcast(spark.createDataFrame(chosen, "_zone long, settled boolean"))  # at most PIVOT_HASHES // ZONE_HASHES * PIVOTS rows
+        zones = F.broadcast(local_rows(spark, chosen, "_zone long, settled boolean"))  # at most PIVOT_HASHES // ZONE_HASHES * PIVOTS rows
         split = staged(members.join(zones, F.col("zone") == F.col("_zone")).drop("_zone"), f"jaccard-split{step}")
         # pivots are open members: the first of each of PIVOTS hash buckets
         able = split.filter(F.col("label").isNull() | F.col("settled"))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitecall.llm.common import chunks, doc_columns, ids_of, staged, word_spans
+from sitecall.llm.common import chunks, doc_columns, ids_of, local_rows, staged, word_spans
 
 WEIGHTS = (5, 2, 1)
 CEILING = 3
@@ -160,7 +160,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, ceiling: in
     same = ranked["source"].eqNullSafe(F.col("q.source")) & (ranked["size"] == F.col("q.size")) & (ranked["bucket"] == F.col("q.bucket"))
     chosen = ranked.join(quota, same, "left").select(ranked["doc_id"], ranked["source"], ranked["size"], F.coalesce(F.col("rank") <= F.col("quota"), F.lit(False)).alias("extra"))
     mixed = chosen.unionByName(rows.filter("take <= 0").select("doc_id", "source", "size", F.lit(False).alias("extra")))
-    facts = spark.createDataFrame([(s, sizes[s], float(target[s]), whole[s]) for s in sizes], f"source {source_kind}, source_size long, target double, whole long").alias("f")
+    facts = local_rows(spark, [(s, sizes[s], float(target[s]), whole[s]) for s in sizes], f"source {source_kind}, source_size long, target double, whole long").alias("f")
     out = mixed.join(F.broadcast(facts), mixed["source"].eqNullSafe(F.col("f.source")))  # at most MAX_SOURCES rows
     copies = F.col("whole") + F.col("extra").cast("long")
     return out.select(mixed["doc_id"], mixed["source"], mixed["size"], "source_size", "target", (F.col("size") * copies).alias("taken"), copies.alias("copies"))

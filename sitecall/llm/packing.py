@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitecall.llm.common import chunks, doc_columns, ids_of, staged
+from sitecall.llm.common import chunks, doc_columns, ids_of, local_rows, staged
 from sitecall.llm.tokens import tokenizer_path, word_ids
 
 CAPACITY = 2048
@@ -221,7 +221,7 @@ def _pack_groups(items: DataFrame, capacity: int, seed: int, name: str) -> DataF
     groups = max(1, -(-items.count() // GROUP))
     items = items.withColumn("grp", F.pmod(F.xxhash64(F.lit(seed), "row_no"), F.lit(groups)))
     on_islands = items.withColumn("island", F.explode(F.array(*[F.lit(i) for i in range(ISLANDS)])))
-    state = spark.createDataFrame([], _STATE)
+    state = local_rows(spark, [], _STATE)
     for epoch in range(EPOCHS):
         moved = state.withColumn("island", ((F.col("island") + 1) % ISLANDS).cast("int"))
         came = state.unionByName(moved) if ISLANDS > 1 else state

@@ -32,3 +32,22 @@ def test_stages_of_an_empty_table(spark, none):
     for name, stage in corpus_pipeline.STAGES:
         docs = corpus_pipeline.staged(stage(spark, docs, "/none"), "empty-test")
         assert docs.count() == 0, name
+
+
+def test_repeated_rows_and_clashing_columns(spark, odd):
+    """One row of each (doc_id, text) stays, null ids included; columns with the stages' own names pass through."""
+    names = ("gone", "id", "copies", "row", "h1", "h2", "r_id", "_gone", "_id", "_copies", "_again", "col", "n")
+    more = odd.unionByName(odd.limit(6)).unionByName(odd.limit(2).withColumn("doc_id", F.lit(None).cast("long")))
+    more = more.unionByName(odd.filter("doc_id = 10").withColumn("doc_id", F.lit(None).cast("long")))
+    docs = more.select("*", *[F.lit(c).alias(c) for c in names])
+    stages = dict(corpus_pipeline.STAGES)
+    joined = corpus_pipeline.staged(stages["n-gram Jaccard join"](spark, docs, "/none"), "stage-test")
+    assert joined.columns == docs.columns
+    kept = sorted((r["doc_id"] is None, r["doc_id"], r["text"]) for r in joined.select("doc_id", "text").collect())
+    assert len(kept) == len(set(kept))
+    texts = lambda df, some: {(r["doc_id"], r["text"]) for r in df.filter(some).collect()}
+    assert texts(joined, "doc_id is null") == texts(docs, "doc_id is null")
+    plain = corpus_pipeline.staged(stages["n-gram Jaccard join"](spark, odd, "/none"), "stage-test")
+    assert texts(joined, "doc_id < 90") == texts(plain, "doc_id < 90")
+    mixed = corpus_pipeline.staged(stages["mixing sources to target weights"](spark, joined, "/none"), "stage-test")
+    assert mixed.columns == docs.columns and mixed.filter(" or ".join(f"`{c}` <> '{c}'" for c in names)).count() == 0
