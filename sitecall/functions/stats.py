@@ -1,8 +1,8 @@
 """Statistical Column functions.
 
-Tail probabilities run on the JVM and keep relative accuracy deep into the tails (unlike ``1 - cdf``). The
-chi-square tail is a series or a continued fraction in Column arithmetic; the binomial tail calls, by Spark's
-``java_method``, the regularised beta function of commons-math3, which ships with Spark.
+Tail probabilities keep relative accuracy deep into the tails (unlike ``1 - cdf``). The chi-square tail is a series or
+a continued fraction in Column arithmetic; the binomial tail is the continued fraction of the incomplete beta function
+in NumPy over Arrow batches.
 """
 
 from __future__ import annotations
@@ -10,23 +10,19 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sitecall.functions.motif import col
 from sitecall.options import BACKGROUND_FLOOR, EXPECTED_FLOOR
 
-_BETA = "org.apache.commons.math3.special.Beta"
-
 
 def _dbl(x) -> Column:
     return (F.lit(float(x)) if isinstance(x, (int, float)) else col(x)).cast("double")
 
 
-def _jcall(cls: str, method: str, *args: Column) -> Column:
-    return F.java_method(F.lit(cls), F.lit(method), *args).cast("double")
-
-
 def _with_value(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -52,15 +48,60 @@ def chi2_sf_1df(stat) -> Column:
     return F.when(s <= 0, F.lit(1.0)).otherwise(_with_value(F.sqrt(s / F.lit(2.0)), _erfc))
 
 
+_TINY = 1e-300
+_lgamma = np.frompyfunc(math.lgamma, 1, 1)
+
+
+def _beta_fraction(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Continued fraction of the incomplete beta function, by Lentz's recurrence, until no element changes."""
+    c, d = np.ones_like(x), 1.0 - (a + b) * x / (a + 1.0)
+    d = 1.0 / np.where(np.abs(d) < _TINY, _TINY, d)
+    h = d.copy()
+    for m in range(1, 100_000):
+        even = m * (b - m) * x / ((a + 2 * m - 1.0) * (a + 2 * m))
+        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1.0))
+        for term in (even, odd):
+            d = 1.0 + term * d
+            c = 1.0 + term / c
+            d = 1.0 / np.where(np.abs(d) < _TINY, _TINY, d)
+            c = np.where(np.abs(c) < _TINY, _TINY, c)
+            step = c * d
+            h = h * step
+        if np.all(np.abs(step - 1.0) < 1e-15):
+            break
+    return h
+
+
+def incomplete_beta(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Regularised incomplete beta function I_x(a, b) for 0 < x < 1 and a, b > 0."""
+    front = np.exp((_lgamma(a + b) - _lgamma(a) - _lgamma(b)).astype(float) + a * np.log(x) + b * np.log1p(-x))
+    small = x < (a + 1.0) / (a + b + 2.0)  # else the fraction of the other tail converges, and is the smaller one
+    y, p, q = np.where(small, x, 1.0 - x), np.where(small, a, b), np.where(small, b, a)
+    part = front * _beta_fraction(y, p, q) / p
+    return np.where(small, part, 1.0 - part)
+
+
+def _upper_tail(k: pd.Series, n: pd.Series, p: pd.Series) -> pd.Series:
+    """P(X >= k) row by row; null where k, n or p is null."""
+    out = np.full(len(k), np.nan)
+    known = (k.notna() & n.notna() & p.notna()).to_numpy()
+    kk, nn, pp = (x.to_numpy(dtype=float, na_value=np.nan) for x in (k, n, p))
+    with np.errstate(invalid="ignore"):
+        out[known & ((kk <= 0) | (pp >= 1) & (kk <= nn))] = 1.0
+        out[known & ((kk > nn) | (pp <= 0) & (kk > 0))] = 0.0
+    todo = known & np.isnan(out)
+    if todo.any():
+        out[todo] = incomplete_beta(pp[todo], kk[todo], nn[todo] - kk[todo] + 1.0)
+    return pd.Series(out).where(pd.Series(known), None)
+
+
 def binom_upper_tail(k, n, p) -> Column:
     """P(X >= k) for X ~ Binomial(n, p), i.e. ``binom.sf(k, n, p, loc=1)``.
 
     1 for k <= 0, 0 for k > n, else the regularised incomplete beta I_p(k, n-k+1).
     """
     kk, nn = col(k).cast("bigint"), col(n).cast("bigint")
-    pb = _dbl(p)
-    tail = _jcall(_BETA, "regularizedBeta", pb, kk.cast("double"), (nn - kk + 1).cast("double"))
-    return F.when(kk <= 0, F.lit(1.0)).when(kk > nn, F.lit(0.0)).otherwise(tail)
+    return F.pandas_udf(_upper_tail, "double")(kk, nn, _dbl(p))
 
 
 def group_pvalue(uncon, depth, p: float = 0.01) -> Column:

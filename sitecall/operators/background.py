@@ -8,6 +8,8 @@ shuffle, so a hot library or motif cannot skew it.  U3 runs per
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -71,9 +73,9 @@ def fit_gates(points: DataFrame) -> DataFrame:
     return gated_points(points).select("sample", "motif3", "n_points", "gate").distinct()
 
 
-def _fit_group(pdf: pd.DataFrame) -> pd.DataFrame:
+def _fit_group(pdf: pd.DataFrame, fallback: Sequence[float] = FALLBACK_PARAMS) -> pd.DataFrame:
     pdf = pdf.sort_values("gc", kind="mergesort")
-    status, params = pdf["gate"].iloc[0], FALLBACK_PARAMS
+    status, params = pdf["gate"].iloc[0], tuple(fallback)
     if status == "fit":
         try:
             params = tuple(fitlib.fit_points(pdf["gc"].to_numpy(float), pdf["ratio"].to_numpy(float)).tolist())
@@ -91,14 +93,15 @@ def _fit_group(pdf: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def fit_background(points: DataFrame) -> DataFrame:
-    """One parameter row per (sample, motif3) that has points; ``status`` is ``fit``, the gate or ``not_converged``."""
-    return gated_points(points).groupBy("sample", "motif3").applyInPandas(_fit_group, PARAM_SCHEMA)
+def fit_background(points: DataFrame, fallback: Sequence[float] = FALLBACK_PARAMS) -> DataFrame:
+    """One parameter row per (sample, motif3) that has points; ``status`` is ``fit``, the gate or ``not_converged``,
+    whose rows have the ``fallback`` parameters."""
+    return gated_points(points).groupBy("sample", "motif3").applyInPandas(lambda pdf: _fit_group(pdf, fallback), PARAM_SCHEMA)
 
 
-def fallback_background(points: DataFrame) -> DataFrame:
+def fallback_background(points: DataFrame, fallback: Sequence[float] = FALLBACK_PARAMS) -> DataFrame:
     """Fallback parameters for every (sample, motif3) with points (no fitting)."""
-    a, b, c, d, e = FALLBACK_PARAMS
+    a, b, c, d, e = fallback
     return points.select("sample", "motif3").distinct().select(
         "sample", "motif3", F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(c).alias("c"),
         F.lit(d).alias("d"), F.lit(e).alias("e"), F.lit("fallback").alias("status"),

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -225,27 +226,17 @@ def read_profile(reads: DataFrame, keys: Sequence[str], seq: str = "seq", qual:
 # ---- gapped alignments -----------------------------------------------------------------------------
 
 
-def _piece_counts(pdf: pd.DataFrame, keys: Sequence[str], tile: int, context: int, wanted: dict[str, str] | None) -> pd.DataFrame | None:
+def _piece_counts(pdf: pd.DataFrame, keys: Sequence[str], tile: int) -> pd.DataFrame | None:
     refs, seqs = pdf["ref"].to_numpy(), pdf["seq"].to_numpy()
-    lens = np.fromiter((min(len(a) - 2 * context, len(b)) for a, b in zip(refs, seqs)), dtype=np.int64, count=len(refs))
-    ok = lens > 0
-    if not ok.all():
-        pdf, refs, seqs, lens = pdf[ok], refs[ok], seqs[ok], lens[ok]
-    if len(pdf) == 0:
-        return None
+    lens = np.fromiter((len(a) for a in refs), dtype=np.int64, count=len(refs))
     total = int(lens.sum())
-    rb = np.frombuffer("".join(a[context : context + n] for a, n in zip(refs, lens)).upper().encode("latin-1", "replace"), dtype=np.uint8)
-    qb = np.frombuffer("".join(b[:n] for b, n in zip(seqs, lens)).upper().encode("latin-1", "replace"), dtype=np.uint8)
+    if total == 0:
+        return None
+    rb = np.frombuffer(b"".join(refs), dtype=np.uint8) & 0xDF  # upper case of letters
+    qb = np.frombuffer("".join(b[:n] for b, n in zip(seqs, lens)).encode("latin-1", "replace"), dtype=np.uint8) & 0xDF
     gid = pdf.groupby(list(keys), sort=False, dropna=False).ngroup().to_numpy(dtype=np.int64)
     row = np.repeat(np.arange(len(pdf)), lens)
-    inside = np.arange(total) - np.repeat(np.cumsum(lens) - lens, lens)
-    if wanted is not None:
-        base = pdf["strand"].map({s: ord(b) for s, b in wanted.items()}).fillna(0).to_numpy(dtype=np.int64)
-        keep = rb == base[row]
-        rb, qb, row, inside = rb[keep], qb[keep], row[keep], inside[keep]
-        if len(rb) == 0:
-            return None
-    pos = pdf["at"].to_numpy(dtype=np.int64)[row] + inside
+    pos = pdf["at"].to_numpy(dtype=np.int64)[row] + np.arange(total) - np.repeat(np.cumsum(lens) - lens, lens)
     packed = ((gid[row] * tile + pos) << 16) | (rb.astype(np.int64) << 8) | qb.astype(np.int64)
     uniq, first, counts = np.unique(packed, return_index=True, return_counts=True)
     out = pdf[list(keys)].iloc[row[first]].reset_index(drop=True)
@@ -253,29 +244,79 @@ def _piece_counts(pdf: pd.DataFrame, keys: Sequence[str], tile: int, context: in
     out["ref_base"] = _CHARS[(uniq >> 8) & 255]
     out["read_base"] = _CHARS[uniq & 255]
     out["n"] = counts.astype(np.int64)
-    if context:
-        out["context"] = [refs[r][i : i + 2 * context + 1] for r, i in zip(row[first], inside[first])]
     return out
 
 
-def piece_partials(pieces: DataFrame, keys: Sequence[str], tile: int, context: int = 0, wanted: dict[str, str] | None = None) -> DataFrame:
-    """(keys..., pos (1-based), ref_base, read_base, n[, context]) per Arrow batch, not yet summed.
+def piece_partials(pieces: DataFrame, keys: Sequence[str], tile: int) -> DataFrame:
+    """(keys..., pos (1-based), ref_base, read_base, n) per Arrow batch, not yet summed, in upper case.
 
-    ``pieces``: the keys (``tile`` among them), at (0-based place in the tile), ref (the reference under the piece with
-    ``context`` bases on either side) and seq (its read bases). ``wanted`` names the reference base counted on each
-    value of the key ``strand``; all are counted without it. Bases are compared in upper case.
+    ``pieces``: the keys (``tile`` among them), at (0-based place in the tile), ref (bytes of the reference under the
+    piece) and seq (its read bases).
     """
     keys = list(keys)
     src = pieces.select(*keys, "at", "ref", "seq")
     fields = [f for f in src.schema.fields if f.name in keys]
-    extra = [T.StructField("context", T.StringType())] if context else []
-    schema = T.StructType(fields + [T.StructField("pos", T.LongType()), T.StructField("ref_base", T.StringType()), T.StructField("read_base", T.StringType()), T.StructField("n", T.LongType())] + extra)
+    schema = T.StructType(fields + [T.StructField("pos", T.LongType()), T.StructField("ref_base", T.StringType()), T.StructField("read_base", T.StringType()), T.StructField("n", T.LongType())])
 
     def run(batches):
         for batch in batches:
             for pdf in _chunks(batch, "seq"):
-                out = _piece_counts(pdf, keys, tile, context, wanted)
-                if out is not None and len(out):
+                out = _piece_counts(pdf, keys, tile)
+                if out is not None:
                     yield out[[f.name for f in schema.fields]]
 
     return src.mapInPandas(run, schema)
+
+
+PILEUP_CELLS = ("u0", "u1", "u2", "m0", "m1", "m2")
+
+
+def _pileup_batch(pdf: pd.DataFrame, keys: Sequence[str], tile: int, bases: dict[str, tuple[str, str]]) -> pa.RecordBatch | None:
+    refs, seqs = pdf["ref"].to_numpy(), pdf["seq"].to_numpy()
+    lens = np.fromiter((len(a) for a in refs), dtype=np.int64, count=len(refs))
+    total = int(lens.sum())
+    rb = np.frombuffer(b"".join(refs), dtype=np.uint8) & 0xDF  # upper case of letters
+    qb = np.frombuffer("".join(b[:n] for b, n in zip(seqs, lens)).encode("latin-1", "replace"), dtype=np.uint8) & 0xDF
+    row = np.repeat(np.arange(len(pdf)), lens)
+    strand = pdf["strand"]
+    ref_base, mut_base = (strand.map({s: ord(x[i]) for s, x in bases.items()}).fillna(0).to_numpy(dtype=np.uint8) for i in (0, 1))
+    keep = rb == ref_base[row]
+    inside = (np.arange(total) - np.repeat(np.cumsum(lens) - lens, lens))[keep]
+    qb, row = qb[keep], row[keep]
+    if len(qb) == 0:
+        return None
+    group = pdf.groupby(list(keys), sort=False, dropna=False)
+    gid = group.ngroup().to_numpy(dtype=np.int64)
+    tier = pdf["tier"].to_numpy(dtype=np.int64)[row]
+    cell = np.where(qb == ref_base[row], tier, np.where(qb == mut_base[row], 3 + tier, 6))
+    uniq, at = np.unique(gid[row] * tile + pdf["at"].to_numpy(dtype=np.int64)[row] + inside, return_inverse=True)
+    counts = np.bincount(at * 7 + cell, minlength=7 * len(uniq)).reshape(-1, 7)
+    found, starts = np.unique(uniq // tile, return_index=True)
+    offsets = pa.array(np.append(starts, len(uniq)).astype(np.int32))
+    first = pd.Series(np.arange(len(gid))).groupby(gid).first()
+    of = pdf[list(keys)].iloc[first.loc[found].to_numpy()]
+    pos = uniq % tile + np.repeat(of["tile"].to_numpy(dtype=np.int64) * tile, np.diff(np.append(starts, len(uniq)))) + 1
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(x, dtype=np.int64))) for x in (pos, *counts[:, :6].T)]
+    return pa.RecordBatch.from_arrays([*(pa.array(of[k], from_pandas=True) for k in keys), *lists], [*keys, "pos", *PILEUP_CELLS])
+
+
+def pileup_partials(pieces: DataFrame, tile: int, bases: dict[str, tuple[str, str]]) -> DataFrame:
+    """(sample, chrom, strand, pos (1-based), u0 .. m2) per Arrow batch, not yet summed.
+
+    ``pieces``: sample, chrom, tile, strand, tier, at (0-based place in the tile), ref (bytes of the reference under the
+    piece) and seq. ``bases`` gives the unconverted and the converted base on each strand. The counts of one tile
+    travel as arrays, one row a tile, and are rows only on the JVM.
+    """
+    keys = ["sample", "chrom", "tile", "strand"]
+    src = pieces.select(*keys, "tier", "at", "ref", "seq")
+    fields = [f for f in src.schema.fields if f.name in keys]
+    schema = T.StructType(fields + [T.StructField(c, T.ArrayType(T.LongType())) for c in ("pos", *PILEUP_CELLS)])
+
+    def run(batches):
+        for rb in batches:
+            for pdf in _chunks(rb.to_pandas(), "seq"):
+                if len(pdf) and (out := _pileup_batch(pdf, keys, tile, bases)) is not None:
+                    yield out
+
+    rows = src.mapInArrow(run, schema).select("sample", "chrom", "strand", F.arrays_zip("pos", *PILEUP_CELLS).alias("a"))
+    return rows.select("sample", "chrom", "strand", F.inline("a"))

@@ -10,13 +10,18 @@ from pyspark.sql import functions as F
 from sitecall.functions.motif import gc_pct, has_n, motif3_rna, site_ratio
 from sitecall.functions.stats import call_gate, call_pvalue, chi2_stat
 from sitecall.operators import background as bg
-from sitecall.operators.joins import materialise
+from sitecall.operators.joins import materialise_dealt
 from sitecall.options import Options
 
 POOL_MARK = "-p-"
 POOL_SUFFIX = "-FTO"
 
 
+def by_site(long_df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows dealt by site, so that later groupings and windows by site find the partitioning and need no shuffle."""
+    return long_df.repartition(int(long_df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def pool_treated(long_df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Samples named ``<s>-p-*`` are summed into ``<s>-FTO``; the originals disappear."""
     s = F.col("sample")
@@ -54,10 +59,9 @@ def score_sites(sites_bg: DataFrame, opts: Options = Options()) -> DataFrame:
 def keep_significant(scored: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keep all library rows of sites where any library has p < 1.
 
-    Site ids with a hit come from one partial-aggregated shuffle; the
-    semi-join brings the rows back (no per-site row collection).
+    A site's window holds one row a library.
     """
-    # one window: the rows are scored once, on the partitioning by site that they already have
+    # one window: the rows are scored once, on the partitioning by site that they have (by_site)
     hit = F.max((F.col("p") < 1).cast("int")).over(Window.partitionBy(*keys))
     return scored.withColumn("_hit", hit).where(F.col("_hit") == 1).drop("_hit")
 
@@ -69,13 +73,15 @@ def call_sites(long_sites: DataFrame, keys: Sequence[str], opts: Options = Optio
     ``long_sites``: keys..., motif, sample, uncon, depth (plus any annotation).
     ``params``: precomputed parameters (sample, motif3, a, b, ...); fitted if None.
     """
-    x = pool_treated(long_sites, [*keys, "motif"]) if pool else long_sites
+    dealt = by_site(long_sites, keys)
+    x = pool_treated(dealt, [*keys, "motif"]) if pool else dealt
     # the site table feeds both the fit and the scoring: write it once to the
-    # shared checkpoint folder (keeps its partitioning) instead of recomputing it
-    sites = materialise(prepare_sites(x))
+    # shared checkpoint folder instead of recomputing it; the one shuffle, of unscored
+    # rows by site, serves the pooling and the hit test
+    sites = materialise_dealt(prepare_sites(x))
     points = bg.background_points(sites, opts.fit_depth_max)
     if params is None:
-        params = bg.fit_background(points)
+        params = bg.fit_background(points, opts.fallback_params)
     with_bg = bg.attach_background(sites, params)
     scored = score_sites(with_bg, opts)
     return keep_significant(scored, keys), points, params

@@ -3,24 +3,31 @@
 An alignment's aligned stretches are cut at the tiles of the reference and joined to them by (chromosome, tile), so
 that no read carries more reference than lies under it; a reference of checked size is broadcast, a larger one is
 joined by a shuffle whose hot tiles adaptive execution can split. Bases are counted in the task that holds the
-joined rows and summed below the one shuffle of counts.
+joined rows and summed below the one shuffle of counts. CIGARs are parsed once for each distinct one that a worker meets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sitecall.functions.cigar import MATCH_OPS, REF_OPS, aligned_blocks, cigar_ops, reverse_complement
-from sitecall.operators.basecount import piece_partials
+from sitecall.functions.cigar import MATCH_OPS, QUERY_OPS, REF_OPS, reverse_complement
+from sitecall.operators.basecount import PILEUP_CELLS, piece_partials, pileup_partials
 from sitecall.operators.joins import DEFAULT_BROADCAST_MAX_BYTES, sized_side
 from sitecall.operators.pileup import MOTIF_HALF, default_tier, probe_rate, read_min_support
 from sitecall.operators.reads import DUP, PAIRED, QCFAIL, READ2, REVERSE, SECONDARY, SUPPLEMENTARY, UNMAP, bit
 from sitecall.options import SIGNAL_POS
 from sitecall.sources.sequences import MARGIN, TILE
 
+_OPERATION = re.compile("([0-9]+)([MIDNSHP=X])")
+_CIGAR = re.compile("([0-9]+[MIDNSHP=X])+")
 _COMPLEMENT = {"A": "T", "C": "G", "G": "C", "T": "A"}
 
 
@@ -35,27 +42,71 @@ def counted_records(aln: DataFrame, skip: int = UNMAP | SECONDARY | SUPPLEMENTAR
     return aln.where(~bit("flag", skip) & F.col("seq").isNotNull() & (F.col("seq") != "*"))
 
 
-def reference_pieces(aln: DataFrame, tiles: DataFrame, passed: Sequence[str], tile: int = TILE, margin: int = MARGIN,
-                     context: int = 0, broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
-    """``passed`` and, for every aligned stretch in every tile: chrom, tile, at (0-based in the tile), ref, seq.
-
-    ``aln``: chrom, pos (1-based), cigar, seq; ``tiles``: name, length, tile, bases with ``margin`` more on either side.
-    ``ref`` has ``context`` (at most ``margin``) bases on either side of the stretch, ``N`` beyond the reference's ends;
-    read bases past them are left out.
+@lru_cache(maxsize=1 << 16)
+def _operations(cigar: str) -> tuple[tuple[int, str], ...]:
+    if not _CIGAR.fullmatch(cigar):
+        raise ValueError(f"not a CIGAR: {cigar}")
+    return tuple((int(n), op) for n, op in _OPERATION.findall(cigar))
+
+
+@lru_cache(maxsize=1 << 16)
+def _stretches(cigar: str) -> tuple[tuple[int, int, int], ...]:
+    """(query offset, reference offset, length) of the aligned stretches; adjoining ones are one."""
+    out: list[tuple[int, int, int]] = []
+    q = r = 0
+    for n, op in _operations(cigar):
+        if op in MATCH_OPS:
+            if out and out[-1][0] + out[-1][2] == q and out[-1][1] + out[-1][2] == r:
+                out[-1] = (*out[-1][:2], out[-1][2] + n)
+            else:
+                out.append((q, r, n))
+        q += n * (op in QUERY_OPS)
+        r += n * (op in REF_OPS)
+    return tuple(out)
+
+
+def _cut_batches(passed: list[str], tile: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in batches:
+            which, tiles, places, parts = [], [], [], []
+            for i, (cigar, pos, seq) in enumerate(zip(*(rb.column(c).to_pylist() for c in ("cigar", "pos", "seq")))):
+                for q, r, n in _stretches(cigar) if cigar and cigar != "*" else ():
+                    low = pos - 1 + r
+                    while n > 0:
+                        t, at = divmod(low, tile)
+                        m = min(n, tile - at)
+                        which.append(i)
+                        tiles.append(t)
+                        places.append(at)
+                        parts.append(seq[q : q + m])
+                        low, q, n = low + m, q + m, n - m
+            taken = [rb.column(c).take(pa.array(which, pa.int64())) for c in passed]
+            yield pa.RecordBatch.from_arrays([*taken, pa.array(tiles, pa.int64()), pa.array(places, pa.int64()), pa.array(parts, pa.string())], [*passed, "tile", "at", "seq"])
+
+    return run
+
+
+def reference_side(tiles: DataFrame, broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+    """The tiles as a join side (_name, _tile, length, bases as bytes, which are cut without a walk over characters)."""
+    side, _ = sized_side(tiles.select(F.col("name").alias("_name"), F.col("tile").alias("_tile"), "length", F.col("bases").cast("binary").alias("bases")), broadcast_max_bytes)
+    return side
+
+
+def reference_pieces(aln: DataFrame, side: DataFrame, passed: Sequence[str], tile: int = TILE, margin: int = MARGIN) -> DataFrame:
+    """``passed`` and, for every aligned stretch in every tile: chrom, tile, at (0-based in the tile), ref (bytes), seq.
+
+    ``aln``: chrom, pos (1-based), cigar, seq; ``side``: as from ``reference_side``, tiles with ``margin`` more bases on
+    either side. Read bases past the reference's end are left out.
     """
-    b = aln.select(*passed, "chrom", "seq", F.explode(aligned_blocks(cigar_ops("cigar"), "pos")).alias("b"))
-    b = b.select(*passed, "chrom", "seq", "b.*")
-    b = b.select("*", F.explode(F.sequence(F.expr(f"ref div {tile}"), F.expr(f"(ref + len - 1) div {tile}"))).alias("tile"))
-    low = F.greatest(F.col("ref"), F.col("tile") * tile)
-    high = F.least(F.col("ref") + F.col("len"), (F.col("tile") + 1) * tile)
-    b = b.select(*passed, "chrom", "tile", (low - F.col("tile") * tile).alias("at"),
-                 F.substring("seq", (F.col("query") + (low - F.col("ref")) + 1).cast("int"), (high - low).cast("int")).alias("seq"))
-    side, _ = sized_side(tiles.select(F.col("name").alias("_name"), F.col("tile").alias("_tile"), "length", "bases"), broadcast_max_bytes)
+    src = aln.select(*passed, "chrom", "pos", "cigar", "seq")
+    kept = [*passed, "chrom"]
+    schema = T.StructType([src.schema[c] for c in kept]).add("tile", "long").add("at", "long").add("seq", "string")
+    b = src.mapInArrow(_cut_batches(kept, tile), schema)
     x = b.join(side, (F.col("chrom") == F.col("_name")) & (F.col("tile") == F.col("_tile")))
     left = (F.col("length") - F.col("tile") * tile - F.col("at")).cast("int")
-    x = x.where(left > 0).withColumn("seq", F.substring("seq", F.lit(1), left))
-    ref = F.substring("bases", (F.col("at") + 1 + margin - context).cast("int"), (F.length("seq") + 2 * context).cast("int"))
-    return x.select(*passed, "chrom", "tile", "at", ref.alias("ref"), "seq")
+    x = x.where((left > 0) & (F.length("seq") > 0)).withColumn("seq", F.substring("seq", F.lit(1), left))
+    ref = F.substring("bases", (F.col("at") + 1 + margin).cast("int"), F.length("seq"))
+    return x.select(*kept, "tile", "at", ref.alias("ref"), "seq")
 
 
 # A1 -------------------------------------------------------------------------
@@ -66,22 +117,20 @@ def pileup_counts(aln: DataFrame, tiles: DataFrame, ref_base: str = "A", mut_bas
     u<t> counts reads that show ``ref_base`` (unconverted), m<t> those that show ``mut_base`` (converted), for tier t.
     On the strand "-" the complements are compared and the motif is reverse complemented. Input: sample, chrom, pos,
     flag, cigar, seq, yf, zf; unmapped, secondary, supplementary, failed and duplicate records are passed over.
-    Output: sample, chrom, pos, strand, motif (31 bases, N beyond the reference), u0 u1 u2 m0 m1 m2.
+    Output: sample, chrom, pos, strand, motif (31 bases, N beyond the reference), u0 u1 u2 m0 m1 m2. Motifs are cut
+    from the tiles once the counts of a site are one row.
     """
     ref_base, mut_base = ref_base.upper(), mut_base.upper()
     tier = default_tier() if tier is None else tier
+    side = reference_side(tiles, broadcast_max_bytes)
     rows = counted_records(aln).select("sample", "chrom", "pos", "cigar", "seq", tier.alias("tier"), fragment_strand().alias("strand"))
-    pieces = reference_pieces(rows, tiles, ["sample", "tier", "strand"], tile, margin, MOTIF_HALF, broadcast_max_bytes)
-    c = piece_partials(pieces, ["sample", "chrom", "tile", "tier", "strand"], tile, MOTIF_HALF, {"+": ref_base, "-": _COMPLEMENT[ref_base]})
-    plus = F.col("strand") == "+"
-    aggs = []
-    for base, prefix in ((ref_base, "u"), (mut_base, "m")):
-        shown = F.col("read_base") == F.when(plus, F.lit(base)).otherwise(F.lit(_COMPLEMENT[base]))
-        for t in (0, 1, 2):
-            aggs.append(F.sum(F.when((F.col("tier") == t) & shown, F.col("n")).otherwise(0)).cast("bigint").alias(f"{prefix}{t}"))
-    g = c.groupBy("sample", "chrom", "pos", "strand", "context").agg(*aggs)
-    motif = F.when(plus, F.col("context")).otherwise(reverse_complement("context"))
-    return g.select("sample", "chrom", "pos", "strand", motif.alias("motif"), *[f"{p}{t}" for p in "um" for t in (0, 1, 2)])
+    pieces = reference_pieces(rows, side, ["sample", "tier", "strand"], tile, margin)
+    c = pileup_partials(pieces, tile, {"+": (ref_base, mut_base), "-": (_COMPLEMENT[ref_base], _COMPLEMENT[mut_base])})
+    g = c.groupBy("sample", "chrom", "pos", "strand").agg(*[F.sum(x).alias(x) for x in PILEUP_CELLS])
+    x = g.withColumn("_t", F.expr(f"(pos - 1) div {tile}")).join(side, (F.col("chrom") == F.col("_name")) & (F.col("_t") == F.col("_tile")))
+    around = F.substring("bases", (F.col("pos") - F.col("_t") * tile + margin - MOTIF_HALF).cast("int"), F.lit(2 * MOTIF_HALF + 1)).cast("string")
+    motif = F.when(F.col("strand") == "+", around).otherwise(reverse_complement(around))
+    return x.select("sample", "chrom", "pos", "strand", motif.alias("motif"), *PILEUP_CELLS)
 
 
 # A15 ------------------------------------------------------------------------
@@ -92,17 +141,14 @@ def spike_counts(aln: DataFrame, tiles: DataFrame, prefix: str = "probe_", signa
     Reads whose Yf + Zf is at least the least support; ``is_signal`` marks the reference position ``signal_pos``.
     """
     rows = read_min_support(counted_records(aln, UNMAP)).where(F.col("chrom").startswith(prefix))
-    pieces = reference_pieces(rows, tiles, ["sample"], tile, margin)
+    pieces = reference_pieces(rows, reference_side(tiles), ["sample"], tile, margin)
     c = piece_partials(pieces, ["sample", "chrom", "tile"], tile)
     return c.groupBy("sample", probe_rate("chrom").alias("rate"), (F.col("pos") == signal_pos).alias("is_signal"), "ref_base", "read_base").agg(F.sum("n").alias("n"))
 
 
 # J11 / O6 -----------------------------------------------------------------------
-_PIECE = "struct<op: string, len: bigint, low: bigint, high: bigint>"
-
-
 def binned_exons(exons: DataFrame, width: int) -> DataFrame:
-    """(gene_name, bin) -> each transcript row's exons that an alignment starting in the bin and spanning at most
+    """(gene_name, bin) -> each transcript row's exons (four numbers each: tx_start, tx_end, g_start, g_end) that an alignment starting in the bin and spanning at most
     ``width`` can touch (those of the bin and the next one), with the transcript's length.
 
     A group holds the exons of two bins of one transcript, however long the transcript is.
@@ -112,28 +158,60 @@ def binned_exons(exons: DataFrame, width: int) -> DataFrame:
     ex = ex.join(length, (F.col("_tx_row") == F.col("_row")) & (F.col("gene_name") == F.col("_gene")))
     x = ex.select("*", F.explode(F.sequence(F.greatest(F.lit(0), F.expr(f"tx_start div {width} - 1")), F.expr(f"greatest(tx_end - 1, 0) div {width}"))).alias("bin"))
     return x.groupBy("gene_name", "ex_chrom", "ex_strand", "_tx_row", "tx_len", "bin").agg(
-        F.array_sort(F.collect_list(F.struct("tx_start", "tx_end", "g_start", "g_end"))).alias("exons")
+        F.flatten(F.transform(
+            F.array_sort(F.collect_list(F.struct("tx_start", "tx_end", "g_start", "g_end"))),
+            lambda e: F.array(e["tx_start"], e["tx_end"], e["g_start"], e["g_end"]))).alias("exons")
     ).drop("_tx_row")
 
 
-def _pieces_of(op: Column) -> Column:
-    """An operation as pieces in transcript order: cut at exon ends where it consumes the reference, soft clipped past the transcript."""
-    start, end = F.col("_s") + op["r"], F.col("_s") + op["r"] + op["len"]
-    plus = F.col("ex_strand") == "+"
+def lift_cigar(cigar: str, start: int, exons, tx_len: int, plus: bool) -> tuple[int | None, str | None]:
+    """(0-based genome start, genome CIGAR) of an alignment at the 0-based transcript position ``start``; nulls if no
+    aligned base lies on the transcript.
 
-    def piece(e: Column) -> Column:
-        a, b = F.greatest(start, e["tx_start"]), F.least(end, e["tx_end"])
-        low = F.when(plus, e["g_start"] + (a - e["tx_start"])).otherwise(e["g_end"] - (b - e["tx_start"]))
-        return F.struct(op["op"].alias("op"), (b - a).alias("len"), low.alias("low"), (low + b - a).alias("high"))
-
-    no = F.lit(None).cast("bigint")
-    other = lambda kind, n: F.struct(kind.alias("op"), n.alias("len"), no.alias("low"), no.alias("high"))
-    hit = F.transform(F.filter("exons", lambda e: (start < e["tx_end"]) & (end > e["tx_start"])), piece)
-    past = end - F.greatest(start, F.col("tx_len"))
-    beyond = F.when((past > 0) & op["op"].isin(*MATCH_OPS), F.array(other(F.lit("S"), past))).otherwise(F.array().cast(f"array<{_PIECE}>"))
-    clipped = op["op"].isin("I", "S") & (start >= F.col("tx_len"))
-    return F.when(op["op"].isin(*REF_OPS), F.concat(hit, beyond)).otherwise(
-        F.array(other(F.when(clipped, F.lit("S")).otherwise(op["op"]), op["len"])))
+    ``exons`` holds tx_start, tx_end, g_start, g_end of each exon in turn, by transcript position. What consumes the
+    reference is cut at exon ends, a gap to the piece before becomes an intron; what lies past the transcript is clipped.
+    """
+    pieces: list[tuple[int, str, int | None]] = []  # length, operation, lowest genome position
+    at, k = start, 0
+    for n, op in _operations(cigar):
+        if op not in REF_OPS:
+            pieces.append((n, "S" if op == "I" and at >= tx_len else op, None))
+            continue
+        end = at + n
+        while at < min(end, tx_len):
+            while k < len(exons) and exons[k + 1] <= at:
+                k += 4
+            stop = min(end, exons[k + 1])
+            low = exons[k + 2] + at - exons[k] if plus else exons[k + 3] - (stop - exons[k])
+            pieces.append((stop - at, op, low))
+            at = stop
+        if at < end and op in MATCH_OPS:
+            pieces.append((end - at, "S", None))
+        at = end
+    if not any(low is not None and op in MATCH_OPS for _, op, low in pieces):
+        return None, None
+    out: list[list] = []
+    first = last = None
+    for n, op, low in pieces if plus else reversed(pieces):
+        if low is not None:
+            if last is not None and low > last:
+                out.append([low - last, "N"])
+            first, last = low if first is None else first, low + n
+        if out and out[-1][1] == op:
+            out[-1][0] += n
+        else:
+            out.append([n, op])
+    return int(first), "".join(f"{n}{op}" for n, op in out)
+
+
+def _lift_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        columns = (pdf[c] for c in ("cigar", "_s", "exons", "tx_len", "ex_strand"))
+        got = [lift_cigar(c, s, e.tolist(), n, strand == "+") for c, s, e, n, strand in zip(*columns)]
+        pdf = pdf.drop(columns=["cigar", "exons", "tx_len"])
+        pdf["_low"] = pd.array([x[0] for x in got], dtype="Int64")
+        pdf["cigar"] = [x[1] for x in got]
+        yield pdf[pdf["cigar"].notna()]
 
 
 def lift_alignments(tx_aln: DataFrame, exons: DataFrame, broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES, least_width: int = 1000) -> DataFrame:
@@ -150,37 +228,22 @@ def lift_alignments(tx_aln: DataFrame, exons: DataFrame, broadcast_max_bytes: in
     longest alignment at least, so that two always do.
     """
     others = [c for c in tx_aln.columns if c not in ("chrom", "pos", "flag", "cigar", "seq", "qual", "strand", "gene", "n_blocks", "ops")]
-    a = tx_aln.where(~bit("flag", UNMAP)).select(*others, F.col("chrom").alias("gene"), F.col("pos").cast("bigint").alias("_p"), "flag", "seq", "qual", cigar_ops("cigar").alias("_ops"))
-    span = F.aggregate(F.filter("_ops", lambda x: x["op"].isin(*REF_OPS)), F.lit(0).cast("bigint"), lambda acc, x: acc + x["len"])
-    a = a.withColumn("_s", F.col("_p") - 1)
-    width = max(least_width, tx_aln.where(~bit("flag", UNMAP)).select(cigar_ops("cigar").alias("_ops")).agg(F.max(span)).first()[0] or 0)
+    a = tx_aln.where(~bit("flag", UNMAP)).select(*others, F.col("chrom").alias("gene"), (F.col("pos").cast("bigint") - 1).alias("_s"), "flag", "cigar", "seq", "qual")
+    # no alignment spans more than all its operations together
+    numbers = F.transform(F.regexp_extract_all("cigar", F.lit("([0-9]+)")), lambda n: n.cast("bigint"))
+    longest = a.select("cigar").distinct().agg(F.max(F.aggregate(numbers, F.lit(0).cast("bigint"), lambda x, y: x + y))).first()[0]
+    width = max(least_width, longest or 0)
     side, _ = sized_side(binned_exons(exons, width), broadcast_max_bytes)
-    x = a.join(side, (F.col("gene") == F.col("gene_name")) & (F.expr(f"_s div {width}") == F.col("bin")))
-    x = x.withColumn("_pieces", F.flatten(F.transform("_ops", _pieces_of)))
-    x = x.withColumn("_pieces", F.when(F.col("ex_strand") == "+", F.col("_pieces")).otherwise(F.reverse("_pieces")))
-    x = x.withColumn("_on", F.filter("_pieces", lambda p: p["low"].isNotNull())).where(F.exists("_on", lambda p: p["op"].isin(*MATCH_OPS)))
-
-    def joined(acc: Column, p: Column) -> Column:
-        """Append a piece, an intron before it where the genome leaves a gap, or lengthen the last operation."""
-        gap = F.when(p["low"].isNotNull() & acc["at"].isNotNull(), p["low"] - acc["at"]).otherwise(F.lit(0).cast("bigint"))
-        empty = F.array().cast("array<struct<op: string, len: bigint>>")
-        out = F.concat(acc["out"], F.when(gap > 0, F.array(F.struct(F.lit("N").alias("op"), gap.alias("len")))).otherwise(empty))
-        last = F.get(out, F.size(out) - 1)
-        same = F.coalesce(last["op"] == p["op"], F.lit(False))
-        longer = F.concat(F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(0))), F.array(F.struct(p["op"].alias("op"), (last["len"] + p["len"]).alias("len"))))
-        more = F.concat(out, F.array(F.struct(p["op"].alias("op"), p["len"].alias("len"))))
-        return F.struct(F.coalesce(p["high"], acc["at"]).alias("at"), F.when(same, longer).otherwise(more).alias("out"))
-
-    zero = F.struct(F.lit(None).cast("bigint").alias("at"), F.array().cast("array<struct<op: string, len: bigint>>").alias("out"))
-    x = x.withColumn("_cigar", F.aggregate("_pieces", zero, joined, lambda acc: acc["out"]))
+    x = a.join(side, (F.col("gene") == F.col("gene_name")) & (F.expr(f"_s div {width}") == F.col("bin"))).drop("gene_name", "bin")
+    schema = T.StructType([f for f in x.schema.fields if f.name not in ("cigar", "exons", "tx_len")]).add("_low", "long").add("cigar", "string")
+    x = x.mapInPandas(_lift_batches, schema)
     minus = F.col("ex_strand") != "+"
     flag = F.when(minus, F.col("flag").bitwiseXOR(F.lit(REVERSE))).otherwise(F.col("flag"))
     return x.select(
-        *others, "gene", F.col("ex_chrom").alias("chrom"), (F.element_at("_on", 1)["low"] + 1).alias("pos"), flag.alias("flag"),
-        F.array_join(F.transform("_cigar", lambda o: F.concat(o["len"].cast("string"), o["op"])), "").alias("cigar"),
+        *others, "gene", F.col("ex_chrom").alias("chrom"), (F.col("_low") + 1).alias("pos"), flag.alias("flag"), "cigar",
         F.when(minus, reverse_complement("seq")).otherwise(F.col("seq")).alias("seq"), F.when(minus, F.reverse("qual")).otherwise(F.col("qual")).alias("qual"),
         F.when(flag.bitwiseAND(F.lit(REVERSE)) != 0, F.lit("-")).otherwise(F.lit("+")).alias("strand"),
-        (F.size(F.filter("_cigar", lambda o: o["op"] == "N")) + 1).cast("bigint").alias("n_blocks"),
+        (F.regexp_count("cigar", F.lit("N")) + 1).cast("bigint").alias("n_blocks"),
     )
 
 

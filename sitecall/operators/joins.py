@@ -14,12 +14,23 @@ DEFAULT_BROADCAST_MAX_BYTES = 64 << 20
 def materialise(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
 
-    An eager checkpoint computes each row once; the checkpointed frame keeps
-    its output partitioning.
+    An eager checkpoint computes each row once.
     """
     return df.checkpoint(eager=True)
 
 
+def materialise_dealt(df: DataFrame) -> DataFrame:
+    """Checkpoint a frame that keeps its partitioning by key.  A plan that adaptive execution
+    runs has no partitioning to pass on, so this one is planned without it."""
+    conf = df.sparkSession.conf
+    adaptive = conf.get("spark.sql.adaptive.enabled", "true")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.select("*").checkpoint(eager=True)
+    finally:
+        conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
     """Checkpoint ``small``, count it, and wrap it in ``broadcast`` if it fits.
 

@@ -253,3 +253,10 @@ def trimmed_pct_of_samples(trim_reports: DataFrame) -> DataFrame:
     """(sample, report) of all runs -> (sample, trimmed_pct): the runs' percentages weighted by their input reads."""
     t = trim_reports.select("sample", json_first_number("report", "input").alias("n"), trimmed_pct("report").alias("pct"))
     return t.groupBy("sample").agg(F.try_divide(F.sum(F.col("pct") * F.col("n")), F.sum("n").cast("double")).alias("trimmed_pct"))
+
+
+def spike_table(counts: DataFrame) -> DataFrame:
+    """Spike-in calibration per sample and rate, as the probe report lists it."""
+    from sitecall.operators.pileup import spike_ratio
+
+    return spike_ratio(counts).select("sample", "rate", "m6a_pct", "a_convert_pct", "c_convert_pct")

@@ -1,5 +1,5 @@
 """End-to-end plans (entries B, C, D of SURVEY §3) composed from the operators,
-writing the pipeline's outputs through the sinks.
+writing the pipeline's outputs through the sinks.  ``reads_pipeline`` starts before them, at alignments (entry A).
 
     from sitecall.plans import pipeline
     out = pipeline.run_sites(spark, genome_long, transcript_long, transcripts, cfg, out_dir)
@@ -30,6 +30,11 @@ class SampleDesign:
     requires: Sequence[int]
     groups: Sequence[tuple[str, Sequence[str]]] = field(default_factory=tuple)
 
+    def with_options(self, opts: Options) -> SampleDesign:
+        """Samples that the options skip only annotate; the options' groups hold where the design has none."""
+        requires = [0 if s in opts.skip_samples else r for s, r in zip(self.samples, self.requires)]
+        return SampleDesign(self.samples, requires, self.groups or opts.groups)
+
     @property
     def ordered(self) -> list[str]:
         return [s for s, _ in merge.merge_order(self.samples, self.requires)]
@@ -70,8 +75,9 @@ def group_tests(merged_long: DataFrame, design: SampleDesign, opts: Options = Op
 
 def run_sites(spark: SparkSession, genome_long: DataFrame, transcript_long: DataFrame, transcripts: DataFrame,
               design: SampleDesign, out_dir: str, opts: Options = Options()) -> dict[str, str]:
-    """Write sites.tsv.gz, filtered.tsv (wide, 8-digit scientific floats), the model,
+    """Write sites.tsv.gz and filtered.tsv (wide, in coordinate order, 8-digit scientific floats), the model,
     and grouped/<group> Parquet; returns the output paths."""
+    design = design.with_options(opts)
     out = {
         "merged": f"{out_dir}/merged.parquet",
         "sites": f"{out_dir}/sites.tsv.gz",
@@ -81,10 +87,10 @@ def run_sites(spark: SparkSession, genome_long: DataFrame, transcript_long: Data
     }
     merged_sites(genome_long, transcript_long, transcripts, design, opts).write.mode("overwrite").parquet(out["merged"])
     merged = spark.read.parquet(out["merged"])
-    sinks.sink_tsv(merged_sites_wide(merged, design), out["sites"])
+    sinks.sink_tsv(merged_sites_wide(merged, design), out["sites"], order_by=["Chrom", "Pos", "Strand"])
     called, points, params = call(merged, opts, design)
     wide = calling.called_wide(called, design.ordered, KEYS, site_cols=("gene_names", "gene_pos", "motif", "motif3", "gc_pct"))
-    sinks.sink_tsv_sci(wide, out["filtered"])
+    sinks.sink_tsv_sci(wide.orderBy(*KEYS), out["filtered"])
     sinks.sink_model(points, params, out["model"])
     if design.groups:
         tested = group_tests(merged, design, opts)

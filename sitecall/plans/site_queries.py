@@ -571,6 +571,33 @@ def flagship(spark: SparkSession, sf: str, fitted: bool = True) -> DataFrame:
     return called.select("sample", *KEYS, "motif", "motif3", "gc_pct", "uncon", "depth", "background", "ratio", "p")
 
 
+# entry B with a fixed parameter table in place of the fit: rates by the 3-mer's first base, none for CAC; libraries pooled
+_FIXED_RATES = {"A": (2e-4, 7.0), "C": (1e-4, 9.0), "G": (3e-4, 5.0), "U": (1e-4, 8.0)}
+_FIXED_SQL = (
+    "select *, case when motif3 = 'CAC' then null " + " ".join(f"when motif3[1] = '{m}' then {a} * exp({b} * (gc_pct * 0.01))" for m, (a, b) in _FIXED_RATES.items()) + " end as background from prep"
+)
+
+
+@register(
+    "call_sites_fixed", "entry B",
+    fx.with_fixtures(
+        ["site_counts"],
+        "select sample, chrom, pos, strand, motif, motif3, gc_pct, uncon, depth, round(background, 9) as background, round(uncon::double / depth, 9) as ratio, p from t "
+        "where (chrom, pos, strand) in (select chrom, pos, strand from t where p < 1)",
+        [("pooled", _POOL_SQL), ("prep", _PREP_SQL.replace("from site_counts", "from pooled")), ("bgt", _FIXED_SQL), ("t", _P_SQL)],
+    ),
+)
+def call_sites_fixed(spark, sf):
+    """Entry B, all but the fit: pooled libraries, background by a fixed parameter table, chi-square p, sites with any p < 1."""
+    long = _renamed_for_pool(_sc(spark, sf))
+    first = F.substring("motif3", 1, 1)
+    pick = lambda i: F.coalesce(*[F.when(first == m, F.lit(ab[i])) for m, ab in _FIXED_RATES.items()])
+    found = calling.prepare_sites(calling.pool_treated(long, [*KEYS, "motif"])).select("sample", "motif3").distinct().where("motif3 <> 'CAC'")
+    params = found.select("sample", "motif3", pick(0).alias("a"), pick(1).alias("b"))
+    called, _, _ = calling.call_sites(long, KEYS, Options(), params=params, pool=True)
+    return called.select("sample", *KEYS, "motif", "motif3", "gc_pct", "uncon", "depth", F.round("background", 9).alias("background"), F.round("ratio", 9).alias("ratio"), F.round("p", 9).alias("p"))
+
+
 register("call_sites", "entry B")(lambda spark, sf: flagship(spark, sf, True))
 
 

@@ -217,6 +217,14 @@ def fasta_tiles(spark: SparkSession, paths: str | Sequence[str], tile: int = TIL
     return g.select("name", "description", "length", "tile", F.rpad(F.concat(F.repeat(F.lit("N"), lead), text), tile + 2 * margin, "N").alias("bases"))
 
 
+def sequence_tiles(rows: DataFrame, tile: int = TILE, margin: int = MARGIN) -> DataFrame:
+    """(name, seq) of short records, such as transcripts or probes -> the tiles of ``fasta_tiles``."""
+    padded = F.concat(F.repeat(F.lit("N"), F.lit(margin)), F.col("seq"), F.repeat(F.lit("N"), F.lit(tile + margin)))
+    x = rows.where(F.length("seq") > 0).select("name", F.lit(None).cast("string").alias("description"), F.length("seq").cast("bigint").alias("length"), padded.alias("seq"))
+    x = x.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(length - 1) div {tile}"))).alias("tile"))
+    return x.select("name", "description", "length", "tile", F.substring("seq", (F.col("tile") * tile + 1).cast("int"), F.lit(tile + 2 * margin)).alias("bases"))
+
+
 # S7 -------------------------------------------------------------------------
 def transcript_sequences(transcripts: DataFrame, tiles: DataFrame, tile: int = TILE, margin: int = MARGIN) -> DataFrame:
     """(gene_id, chrom, strand, spans) and reference tiles -> the same with ``seq``: the exons' bases in listed order,

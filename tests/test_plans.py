@@ -5,7 +5,7 @@ import re
 import pytest
 
 from sitecall import fixtures as fx
-from sitecall.operators import merge, pileup, reads as rd
+from sitecall.operators import calling, merge, pileup, reads as rd
 from sitecall.plans import site_queries as sq
 from sitecall.plans.registry import load_all
 
@@ -59,6 +59,20 @@ def test_filters_reach_the_scan(spark, sf, static_plans):
 
 
 def test_statistics_stay_on_the_jvm(spark, sf, static_plans):
-    for name in ("chi2_pvalue", "binom_pvalue", "any_sample_significant"):
+    for name in ("chi2_pvalue", "any_sample_significant"):
         plan = _plan(load_all()[name].run(spark, sf))
         assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan, name
+
+
+def test_calling_shuffles_sites_once(spark, sf):
+    """The checkpointed sites keep their partitioning by site also under adaptive execution: none above the checkpoint."""
+    called, _, _ = calling.call_sites(fx.load(spark, sf, "site_counts"), sq.KEYS, pool=True)
+    called.write.format("noop").mode("overwrite").save()
+    plan = _plan(called)
+    assert "Window" in plan and _shuffles(plan) == 0
+
+
+def test_binomial_tail_runs_after_its_gates(spark, sf, static_plans):
+    plan = _plan(load_all()["binom_pvalue"].run(spark, sf))
+    assert "ArrowEvalPython" in plan and "java_method" not in plan
+    assert plan.index("ArrowEvalPython") < plan.rindex("depth") and "Filter" in plan[plan.index("ArrowEvalPython"):]
