@@ -245,9 +245,9 @@ def base_rule(c: str, x: str) -> str:
 
 
 _GENOME_SEGMENTS = """
-select concat('chr', cast(c as varchar(8))) as chrom, seg, EACH50({base}) as bases
+select concat('chr', cast(c as varchar(8))) as chrom, seg, EACH50(at := {at}; {base}) as bases
 from (select cast((p_partkey - 1) % 5 + 1 as bigint) as c, cast((p_partkey - 1) // 5 as bigint) as seg from {part}) x
-""".replace("{base}", base_rule("c", f"seg * {SEGMENT} + i"))
+""".replace("{at}", f"seg * {SEGMENT} + i").replace("{base}", base_rule("c", "at"))
 
 # Gapped alignments to that genome, one a lineitem row: clips, insertions, deletions, a splice, = and X, both strands, mates,
 # unmapped, secondary and duplicate records. ``off`` is the reference offset of base i of the read, null where it has none.
@@ -260,13 +260,14 @@ _SAM_OFFSET = (
 )
 
 
-def _sam_base(ref: str, aligned: str) -> str:
+def _sam_base() -> str:
     """Read base i: converted A (T on the reverse strand) but for one in five, now and then N, its own letter where not aligned."""
     return (
-        f"(case when {aligned} is null then substr('ACGT', cast((ok + i * 3) % 4 + 1 as int), 1) when (ok + i * 3) % 97 = 0 then 'N' "
+        f"at := x0 + {_SAM_OFFSET}; ref := {base_rule('c', 'at')}; "
+        "(case when at is null then substr('ACGT', cast((ok + i * 3) % 4 + 1 as int), 1) when (ok + i * 3) % 97 = 0 then 'N' "
         "when v = 7 and i = 4 then 'T' "
-        f"when not minus and {ref} = 'A' then (case when (ok * 7 + i) % 5 = 0 then 'A' else 'G' end) "
-        f"when minus and {ref} = 'T' then (case when (ok * 7 + i) % 5 = 0 then 'T' else 'C' end) else {ref} end)"
+        "when not minus and ref = 'A' then (case when (ok * 7 + i) % 5 = 0 then 'A' else 'G' end) "
+        "when minus and ref = 'T' then (case when (ok * 7 + i) % 5 = 0 then 'T' else 'C' end) else ref end)"
     )
 
 
@@ -293,7 +294,7 @@ from (select *, (flag & 4) <> 0 as unmapped, ((flag & 16) <> 0) <> ((flag & 129)
   cast(case when l_partkey % 31 = 0 then null else l_partkey % 12 end as bigint) as yf, cast(l_suppkey % 4 as bigint) as zf
  from {lineitem}) a) b
 """.replace("{cigars}", "case v " + " ".join(f"when {i} then '{c}'" for i, c in enumerate(_CIGARS[:-1])) + f" else '{_CIGARS[-1]}' end").replace(
-    "{read}", _sam_base(base_rule("c", f"x0 + {_SAM_OFFSET}"), _SAM_OFFSET)).replace(
+    "{read}", _sam_base()).replace(
     "{qual}", f"substr('{QUAL_ALPHABET}', cast((ok * 3 + i * 5) % {len(QUAL_ALPHABET)} + 1 as int), 1)")
 
 
@@ -319,10 +320,10 @@ from (select {columns}, concat('t', cast(l_orderkey as varchar(20)), '_', cast(l
 # Gapped alignments to the spike-in probes, from their first bases on.
 PROBE_CIGARS = (*_CIGARS[:6], "16M1D32M", _CIGARS[7])
 _PROBE_OFFSET = _SAM_OFFSET.replace("i + 500", "i + 1")
-_PROBE_BASE = f"substr(ref_seq, cast(x0 + ({_PROBE_OFFSET}) + 1 as int), 1)"
 _PROBE_READ = (
-    f"(case when {_PROBE_OFFSET} is null then 'A' when {_PROBE_BASE} = 'A' and x0 + ({_PROBE_OFFSET}) = 17 then (case when (ok * 37 + ln * 11) % 100 < rate then 'A' else 'G' end) "
-    f"when {_PROBE_BASE} = 'A' then (case when (ok * 7 + i) % 50 = 0 then 'A' else 'G' end) when {_PROBE_BASE} = 'C' then (case when (ok + i * 3) % 200 = 0 then 'T' else 'C' end) else {_PROBE_BASE} end)"
+    f"at := x0 + {_PROBE_OFFSET}; ref := substr(ref_seq, cast(at + 1 as int), 1); "
+    "(case when at is null then 'A' when ref = 'A' and at = 17 then (case when (ok * 37 + ln * 11) % 100 < rate then 'A' else 'G' end) "
+    "when ref = 'A' then (case when (ok * 7 + i) % 50 = 0 then 'A' else 'G' end) when ref = 'C' then (case when (ok + i * 3) % 200 = 0 then 'T' else 'C' end) else ref end)"
 )
 _PROBE_SAM_RECORDS = """
 select sample, concat(case when ok % 9 = 0 then 'rrna_' else 'probe_' end, cast(rate as varchar(8))) as chrom, x0 + 1 as pos, cast(case when ok % 13 = 0 then 4 else 0 end as bigint) as flag, {cigars} as cigar,
@@ -361,23 +362,48 @@ def _deps(name: str, seen: list[str]) -> list[str]:
 
 
 def _each(text: str, form) -> str:
-    """Replace ``EACH<n>(e)`` by ``form(n, e)``: the text of e for i = 0 .. n - 1."""
+    """Replace ``EACH<n>(x := a; r := b; e)`` by ``form(n, [(x, a), (r, b)], e)``: the text of e for i = 0 .. n - 1, with
+    the values named before it computed once."""
     while m := re.search(r"EACH(\d+)\(", text):
         depth, end = 1, m.end()
         while depth:
             depth += {"(": 1, ")": -1}.get(text[end], 0)
             end += 1
-        text = text[: m.start()] + form(int(m[1]), text[m.end() : end - 1]) + text[end:]
+        *named, e = (part.strip() for part in text[m.end() : end - 1].split("; "))
+        text = text[: m.start()] + form(int(m[1]), [tuple(x.split(" := ", 1)) for x in named], e) + text[end:]
     return text
 
 
+def _fields(e: str, names) -> str:
+    """``e`` with the names i and those bound so far read from the struct s."""
+    return re.sub(r"\b(" + "|".join(["i", *names]) + r")\b(?!')", r"s.\1", e)
+
+
+def _each_duckdb(n: int, named, e: str) -> str:
+    rows, names = f"list_transform(range({n}), lambda j: {{'i': j}})", []
+    for name, value in named:
+        kept = ", ".join(f"'{k}': s.{k}" for k in ["i", *names])
+        rows = f"list_transform({rows}, lambda s: {{{kept}, '{name}': {_fields(value, names)}}})"
+        names.append(name)
+    return f"array_to_string(list_transform({rows}, lambda s: {_fields(e, names)}), '')"
+
+
+def _each_spark(n: int, named, e: str) -> str:
+    rows, names = f"transform(sequence(0, {n - 1}), j -> named_struct('i', j))", []
+    for name, value in named:
+        kept = ", ".join(f"'{k}', s.{k}" for k in ["i", *names])
+        rows = f"transform({rows}, s -> named_struct({kept}, '{name}', {_fields(value, names)}))"
+        names.append(name)
+    return f"array_join(transform({rows}, s -> {_fields(e, names)}), '')"
+
+
 def duckdb_sql(name: str) -> str:
     """Derivation text for DuckDB, over its pre-registered views (fixture deps as CTE names)."""
     text, tables, deps = TEMPLATES[name]
     for t in (*tables, *deps):
         text = text.replace("{" + t + "}", t)
     text = re.sub(r"fmt_thousands\(([^()]*)\)", r"format('{:,}', \1)", text)
-    return _each(text, lambda n, e: f"array_to_string(list_transform(range({n}), lambda i: {e}), '')").strip()
+    return _each(text, _each_duckdb).strip()
 
 
 def duckdb_ctes(*names: str) -> list[tuple[str, str]]:
@@ -392,7 +418,7 @@ def spark_sql_text(name: str) -> str:
     text = TEMPLATES[name][0]
     text = text.replace(" // ", " div ").replace("varchar(8)", "string").replace("varchar(20)", "string")
     text = re.sub(r"fmt_thousands\(([^()]*)\)", r"format_number(\1, 0)", text)
-    return _each(text, lambda n, e: f"array_join(transform(sequence(0, {n - 1}), i -> {e}), '')")
+    return _each(text, _each_spark)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
