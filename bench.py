@@ -26,14 +26,14 @@ HEADLINE = [
     "merge_optional",        # N-sample merge with an optional sample
     "motif_conversion",      # per-sample motif tables
     "ratio_histogram",       # report histogram
-    "spike_counts",          # per-base spike-in counting
-    "pileup_counts",         # per-base pileup
+    "spike_counts_ungapped",  # per-base spike-in counting
+    "pileup_counts_ungapped",  # per-base pileup
     "reject_cascade",        # read routing
     "dedup_alignments",      # duplicate marking
-    "alignment_liftover",    # transcript alignments -> genome blocks
+    "alignment_liftover_blocks",  # transcript alignments -> genome blocks
     "scan_pileup_auto",      # mixed-layout text scan
 ]
-FIXTURES = ["site_counts", "pileup_tiers", "transcripts", "transcript_counts", "alignments", "probe_reads", "tx_alignments"]
+FIXTURES = ["site_counts", "pileup_tiers", "transcripts", "transcript_counts", "alignments", "probe_reads", "tx_alignments", "reads"]
 
 
 def main() -> None:
