@@ -6,9 +6,9 @@ rule's path; the longest fitting rule decides. Urls that no rule fits are judged
 * edges: every absolute link of a page's html to another host, and each host to its parent domains and back;
 * trust: personalised PageRank along the edges from the hosts of allowed pages;
 * distrust: the same against the edges from the hosts of blocked pages, so that who links there is reached;
-* a host is blocked when its distrust reaches its trust plus ``NEUTRAL`` times its pages without a rule; with
-  ``by_share`` (not in the query, whose SQL has the rule above), when distrust d and trust t, each from seeds that
-  sum to 1, have d / (d + t) >= ``SHARE``, whatever the number of its pages.
+* a host is blocked when distrust d and trust t, each as a share of its seeds' sum, have d > 0 and
+  d / (d + t) >= ``SHARE``: the more likely end of a walk from the blocked seeds than of one from the allowed, whatever
+  the number of its pages. A host that no walk reaches is allowed.
 
 Dangling hosts are not fed back: with restarts at the seeds that only scales all ranks alike. Everything is
 DataFrame operations: edges are pre-aggregated, each step is one join on the source host and one sum, and
@@ -37,7 +37,6 @@ RULES = [
 DAMPING = 0.85
 STEPS = 12
 CUT = 4
-NEUTRAL = 0.5
 SHARE = 0.5
 
 _AZ, _az = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -90,7 +89,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, steps: int = STEPS, damping: f
     return ranks
 
 
-def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, by_share: bool = False) -> DataFrame:
+def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> DataFrame:
     """page_id, host, path, rule, verdict, trust and distrust of every page's url."""
     rows = doc_columns(pages, "page_id", "url", "html")
     host, path = host_and_path(F.col("url"))
@@ -100,7 +99,6 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, by_s
     hosts = staged(
         ruled.filter("host <> ''").groupBy("host").agg(
             F.sum(F.when(F.col("by_rule") == "allow", 1).otherwise(0)).alias("allowed"), F.sum(F.when(F.col("by_rule") == "block", 1).otherwise(0)).alias("blocked"),
-            F.sum(F.when(F.col("by_rule").isNull(), 1).otherwise(0)).alias("open"),
         ), "url-hosts",
     )
     seeds = hosts.filter("allowed > 0").select(F.lit("t").alias("kind"), "host", F.col("allowed").cast("double").alias("seed")).unionByName(
@@ -108,14 +106,11 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, by_s
     )
     ranks = propagate(_edges(rows, hosts), seeds)
     ranks = ranks.groupBy("host").agg(F.sum(F.when(F.col("kind") == "t", F.col("rank"))).alias("t"), F.sum(F.when(F.col("kind") == "d", F.col("rank"))).alias("d"))
-    scored = hosts.select(F.col("host").alias("_host"), "open").join(ranks.withColumnRenamed("host", "_h"), F.col("_host") == F.col("_h"), "left")
-    scored = staged(scored.select("_host", "open", F.round(F.coalesce("t", F.lit(0.0)), 9).alias("trust"), F.round(F.coalesce("d", F.lit(0.0)), 9).alias("distrust")), "url-scores")
-    if by_share:
-        trusted, distrusted = hosts.agg(F.sum("allowed"), F.sum("blocked")).first()
-        t, d = F.col("trust") / float(trusted or 1), F.col("distrust") / float(distrusted or 1)
-        bad = (d > 0) & (d >= SHARE * (d + t))
-    else:
-        bad = (F.col("distrust") > 0) & (F.col("distrust") >= F.col("trust") + NEUTRAL * F.col("open"))
+    scored = hosts.select(F.col("host").alias("_host")).join(ranks.withColumnRenamed("host", "_h"), F.col("_host") == F.col("_h"), "left")
+    scored = staged(scored.select("_host", F.round(F.coalesce("t", F.lit(0.0)), 9).alias("trust"), F.round(F.coalesce("d", F.lit(0.0)), 9).alias("distrust")), "url-scores")
+    trusted, distrusted = hosts.agg(F.sum("allowed"), F.sum("blocked")).first()
+    t, d = F.col("trust") / float(trusted or 1), F.col("distrust") / float(distrusted or 1)
+    bad = (d > 0) & (d >= SHARE * (d + t))
     out = ruled.join(scored, F.col("host") == F.col("_host"), "left")
     method = F.when(bad, "block").otherwise("allow")
     return out.select("page_id", "host", "path", "rule", F.coalesce("by_rule", method).alias("verdict"), F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
@@ -134,7 +129,7 @@ def oracle_sql(rules: list[tuple[str, str, str]] = RULES) -> str:
 with u as (select page_id, html, case when instr(url, '://') > 0 then substring(url, instr(url, '://') + 3) else '' end as rest from pages),
 v as (select page_id, html, coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), '{_AZ}', '{_az}'), '') as host, coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') as path from u),
 ruled as (select page_id, html, host, path, {case(lambda v, h, p: h + p)} as rule, {case(lambda v, h, p: v)} as by_rule from v),
-hosts as (select host, count(*) filter (by_rule = 'allow') as allowed, count(*) filter (by_rule = 'block') as blocked, count(*) filter (by_rule is null) as open from ruled where host <> '' group by 1),
+hosts as (select host, count(*) filter (by_rule = 'allow') as allowed, count(*) filter (by_rule = 'block') as blocked from ruled where host <> '' group by 1),
 links as (select host as src, translate(unnest(regexp_extract_all(html, '{link}', 1)), '{_AZ}', '{_az}') as dst from v),
 parts as (select host, string_split(host, '.') as l from hosts),
 parents as (select host as src, unnest(list_transform(range(1, len(l) - 1), lambda i: array_to_string(l[i + 1:], '.'))) as dst from parts where len(l) >= 3),
@@ -144,7 +139,8 @@ ways as materialized (select kind, a, b, {DAMPING} * n / sum(n) over (partition
 r0 as materialized (select 't' as kind, host, {1 - DAMPING} * allowed::double as rank from hosts where allowed > 0 union all select 'd', host, {1 - DAMPING} * blocked::double from hosts where blocked > 0),
 {", ".join(steps)},
 s as (select host, sum(rank) filter (kind = 't') as t, sum(rank) filter (kind = 'd') as d from r{STEPS} group by 1),
-scored as (select h.host, h.open, round(coalesce(t, 0), 9) as trust, round(coalesce(d, 0), 9) as distrust from hosts h left join s on h.host = s.host)
-select page_id, ruled.host, path, rule, coalesce(by_rule, case when distrust > 0 and distrust >= trust + {NEUTRAL} * open then 'block' else 'allow' end) as verdict,
+scored as (select h.host, round(coalesce(t, 0), 9) as trust, round(coalesce(d, 0), 9) as distrust from hosts h left join s on h.host = s.host),
+sums as (select greatest(sum(allowed), 1)::double as all_t, greatest(sum(blocked), 1)::double as all_d from hosts)
+select page_id, ruled.host, path, rule, coalesce(by_rule, case when distrust > 0 and distrust / all_d >= {SHARE} * (distrust / all_d + trust / all_t) then 'block' else 'allow' end) as verdict,
   coalesce(trust, 0)::double as trust, coalesce(distrust, 0)::double as distrust
-from ruled left join scored on ruled.host = scored.host"""
+from ruled cross join sums left join scored on ruled.host = scored.host"""

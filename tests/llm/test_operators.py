@@ -384,8 +384,17 @@ def test_url_share_does_not_depend_on_open_pages(spark):
     rows += [(900, "http://good.com/", link % "seen.org")] + [(901 + i, f"http://seen.org/{i}", "") for i in range(3)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     verdicts = lambda d: {r["host"]: r["verdict"] for r in d.filter("rule is null").collect()}
-    assert verdicts(urls.judge_urls(df))["many.org"] == "allow"  # the rule of the query's SQL
-    assert verdicts(urls.judge_urls(df, by_share=True)) == {"one.org": "block", "many.org": "block", "far.org": "allow", "seen.org": "allow"}
+    assert verdicts(urls.judge_urls(df)) == {"one.org": "block", "many.org": "block", "far.org": "allow", "seen.org": "allow"}
+
+
+def test_urls_of_odd_rows(spark):
+    """Repeated rows and null ids get equal values, further columns with the operator's own names change nothing."""
+    rows = [(1, "http://a.net/es/1", None), (1, "http://a.net/es/1", None), (None, "http://b.a.net/x", "<a href='//a.net/'>"), (None, "http://b.a.net/x", "<a href='//a.net/'>"), (2, None, "x")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted(map(str, urls.judge_urls(df).collect()))
+    assert len(got) == 5 and len(set(got)) == 3 and sum("block" in x for x in got) == 4
+    more = df.select("*", *[F.lit("?").alias(c) for c in ("host", "path", "rule", "by_rule", "rank", "kind", "t", "d", "n", "_host")])
+    assert sorted(map(str, urls.judge_urls(more).collect())) == got
 
 
 def test_urls_empty(spark):
@@ -394,4 +403,4 @@ def test_urls_empty(spark):
 
 def test_registered_queries():
     names = set(load_all())
-    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 14)}
