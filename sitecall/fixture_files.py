@@ -262,3 +262,14 @@ def sample_sheet_files(spark, sf_dir) -> str:
         )).alias("value"))
         out.write.mode("overwrite").text(p)
     return p
+
+
+def sample_mapping_files(spark, sf_dir) -> str:
+    """The sample sheet as one configuration: a mapping of samples under a batch's name and a global adapter."""
+    p, done = _path(spark, sf_dir, "sample_mapping")
+    if not done:
+        lines = spark.read.text(sample_sheet_files(spark, sf_dir))
+        one = lines.select(F.concat(F.lit('"'), F.get_json_object("value", "$.sample"), F.lit('": '), F.col("value")).alias("line"))
+        text = F.concat(F.lit(f'{{"adapter": "{fx.ADAPTER}",\n"samples_b1": {{'), F.array_join(F.array_sort(F.collect_list("line")), ",\n"), F.lit("}}"))
+        one.agg(text.alias("value")).write.mode("overwrite").text(p)
+    return p

@@ -72,13 +72,12 @@ def gc_bin_pct(gc_pct_col, low: int = 20, high: int = 80) -> Column:
 
 
 def ratio_pct2(uncon, depth) -> Column:
-    """round(uncon / depth, 2) as integer hundredths, half-up on the exact ratio.
+    """round(uncon / depth, 2) as integer hundredths: the double quotient times 100, ties to the even hundredth.
 
-    Integer arithmetic keeps the value exact and identical on every engine;
-    null when depth <= 0.
+    An integer keeps the value identical on every engine; null when depth <= 0.
     """
-    u, d = col(uncon).cast("bigint"), col(depth).cast("bigint")
-    return F.when(d > 0, idiv(u * 200 + d, d * 2))
+    u, d = col(uncon).cast("double"), col(depth).cast("double")
+    return F.when(d > 0, F.rint(F.try_divide(u, d) * 100).cast("bigint"))
 
 
 def site_ratio(uncon, depth) -> Column:

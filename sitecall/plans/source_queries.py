@@ -185,6 +185,21 @@ def sample_sheet(spark, sf):
     return runs
 
 
+@register(
+    "sample_mapping", "S14",
+    fx.with_fixtures(
+        ["alignments"],
+        "select sample, run, case when sample = 's0' then 'TAKARAv2' else '' end as libtype, 'AGATCGGAAGAGC' as adapter, "
+        "'fastq/' || sample || '_' || run || '_R1.fq.gz' as r1, "
+        "case when sample in ('s1', 's3') then 'fastq/' || sample || '_' || run || '_R2.fq.gz' end as r2, sample in ('s1', 's3') as is_pe "
+        "from (select distinct sample, run from alignments)",
+    ),
+)
+def sample_mapping(spark, sf):
+    """Configuration with a mapping of samples -> one row per sample x run with fallbacks and pairing."""
+    return src.sample_mapping(spark, ff.sample_mapping_files(spark, sf), "b1")[0]
+
+
 # K1-K6 -------------------------------------------------------------------------------
 @register("sink_tsv_gz", "K1", sq._oracle_merged_sites(1))
 def sink_tsv_gz(spark, sf):

@@ -27,7 +27,7 @@ def gc_bin(g: str) -> str:
 
 
 def ratio2(u: str, d: str) -> str:
-    return f"(case when {d} > 0 then (200 * {u} + {d}) // (2 * {d}) end)"
+    return f"(case when {d} > 0 then cast(round_even(cast({u} as double) / cast({d} as double) * 100, 0) as bigint) end)"
 
 
 def ratio(u: str, d: str) -> str:

@@ -318,3 +318,25 @@ def sample_sheet(spark: SparkSession, path: str | Sequence[str], libtype: str =
     )
     groups = s.where(F.col("group").isNotNull()).select("group", "sample")
     return runs, groups
+
+
+MAPPING_SAMPLE = "struct<libtype: string, adapter: string, `group`: string, data: array<map<string, string>>>"
+
+
+def sample_mapping(spark: SparkSession, path: str, batch: str = "") -> tuple[DataFrame, DataFrame]:
+    """Configuration with a mapping of samples, as JSON: ``samples`` (or ``samples_<batch>``) maps a sample's name to its
+    libtype, adapter, group and data, a list of runs each with R1 and maybe R2; libtype and adapter at the top are the
+    fallback -> (runs, groups) as from ``sample_sheet``. A run is paired if it has two files; a configuration without
+    samples is an error.
+    """
+    named = f"samples: map<string, {MAPPING_SAMPLE}>, `samples_{batch}`: map<string, {MAPPING_SAMPLE}>"
+    config = spark.read.text(path, wholetext=True).select(F.from_json("value", f"struct<libtype: string, adapter: string, {named}>", {"mode": "FAILFAST"}).alias("c"))
+    found = F.coalesce(F.when(F.size("c.samples") > 0, F.col("c.samples")), F.when(F.size(F.col("c")[f"samples_{batch}"]) > 0, F.col("c")[f"samples_{batch}"]))
+    empty = F.raise_error(F.lit("a configuration needs samples")).cast(f"map<string, {MAPPING_SAMPLE}>")
+    s = config.select("c.libtype", "c.adapter", F.explode(F.coalesce(found, empty)).alias("sample", "s"))
+    runs = s.select("sample", F.coalesce("s.libtype", "libtype", F.lit("")).alias("libtype"), F.coalesce("s.adapter", "adapter", F.lit("")).alias("adapter"), F.posexplode("s.data").alias("i", "d"))
+    runs = runs.select(
+        "sample", F.concat(F.lit("run"), (F.col("i") + 1).cast("string")).alias("run"), "libtype", "adapter",
+        F.col("d")["R1"].alias("r1"), F.col("d")["R2"].alias("r2"), (F.size("d") == 2).alias("is_pe"),
+    )
+    return runs, s.where(F.col("s.group").isNotNull()).select(F.col("s.group").alias("group"), "sample")

@@ -59,3 +59,14 @@ def test_large_insert_sizes_are_counted(spark):
     got = reads.insert_size_hist(spark.createDataFrame(rows, "sample string, reftype string, flag int, isize int"))
     assert {r["isize"]: r["pairs"] for r in got.collect()} == {150: 1, 1000: 1, 1001: 2}
     assert got.agg(F.sum("pairs")).first()[0] == 4
+
+
+def test_sample_mapping(spark, tmp_path):
+    """Fallbacks, pairing by the number of files, groups, a batch's own mapping; no samples is an error."""
+    (tmp_path / "c.json").write_text('{"adapter": "ACGT", "samples": {"7": {"data": [{"R1": "a.fq"}, {"R1": "b.fq", "R2": "c.fq"}], "group": "g"}, "x": {"libtype": "L", "adapter": "TT", "data": [{"R1": "d.fq"}]}}}')
+    runs, groups = files.sample_mapping(spark, str(tmp_path / "c.json"))
+    assert {tuple(r) for r in runs.collect()} == {("7", "run1", "", "ACGT", "a.fq", None, False), ("7", "run2", "", "ACGT", "b.fq", "c.fq", True), ("x", "run1", "L", "TT", "d.fq", None, False)}
+    assert [tuple(r) for r in groups.collect()] == [("g", "7")]
+    (tmp_path / "e.json").write_text('{"adapter": "ACGT"}')
+    with pytest.raises(Exception, match="needs samples"):
+        files.sample_mapping(spark, str(tmp_path / "e.json"))[0].collect()

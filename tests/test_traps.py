@@ -3,6 +3,7 @@
 import math
 
 import pytest
+import numpy as np
 from pyspark.sql import functions as F
 
 from sitecall.functions import motif as fm
@@ -195,9 +196,12 @@ def test_motif3_first_two_t(spark):
     assert (r["a"], r["b"]) == ("UUT", "UUU")
 
 
-def test_ratio_round2_half_up_exact(spark):
-    df = spark.createDataFrame([(57, 200), (1, 200), (1, 3), (0, 0)], "u long, d long")
-    assert [r[0] for r in df.select(fm.ratio_pct2("u", "d")).collect()] == [29, 1, 33, None]
+def test_ratio_round2_is_numpys(spark):
+    """Ties go to the even hundredth of the double quotient, as np.round has them."""
+    pairs = [(u, d) for d in range(0, 201) for u in range(0, d + 1, 1 if d < 60 else 7)] + [(57, 200), (1, 200), (3, 200)]
+    df = spark.createDataFrame(pairs, "u long, d long")
+    want = [None if d == 0 else int(round(float(np.round(u / d, 2)) * 100)) for u, d in pairs]
+    assert [r[0] for r in df.select(fm.ratio_pct2("u", "d")).collect()] == want
 
 
 def test_pool_treated(spark):
