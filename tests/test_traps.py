@@ -2,8 +2,8 @@
 
 import math
 
-import pytest
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from sitecall.functions import motif as fm
