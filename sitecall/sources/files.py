@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,8 +23,13 @@ LEGACY_COLS = ("Chrom", "Pos", "Strand", "Motif", "U0", "D0", "U1", "D1", "U2",
 LONG_OUT = ("sample", "chrom", "pos", "strand", "motif", "uncon", "depth")
 
 
+def _file_name() -> Column:
+    """Name of the row's file; the metadata has it as in a URL, but for the plus sign."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
 def _file_stem_sample() -> Column:
-    return F.substring_index(F.col("_metadata.file_name"), ".", 1)
+    return F.substring_index(_file_name(), ".", 1)
 
 
 def _with_sample(df: DataFrame, sample: str | None) -> DataFrame:
@@ -40,7 +46,7 @@ def _first_lines(spark: SparkSession, path: str | Sequence[str]) -> dict[str, st
     files = spark.read.text(path).inputFiles()
 
     def first(f: str) -> tuple[str, str | None]:
-        row = spark.read.text(f).select("value", "_metadata.file_path").limit(1).collect()
+        row = spark.read.text(unquote(f)).select("value", "_metadata.file_path").limit(1).collect()
         return (row[0]["file_path"], row[0]["value"]) if row else (f, None)
 
     with ThreadPoolExecutor(16) as pool:
@@ -69,7 +75,7 @@ def _by_layout(spark: SparkSession, path: str | Sequence[str], legacy: bool) ->
     layout, _ = bounded_broadcast(layout)  # one row a file
     raw = spark.read.text(path)  # Hive-style directories add partition columns
     lines = raw.select(
-        F.col("value").alias("_value"), F.split("value", "\t").alias("_f"), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_name").alias("_name"),
+        F.col("value").alias("_value"), F.split("value", "\t").alias("_f"), F.col("_metadata.file_path").alias("_file"), _file_name().alias("_name"),
         *(["sample"] if "sample" in raw.columns else []),
     )
     x = lines.join(layout, F.col("_file") == F.col("_path")).where((F.col("_value") != "") & ~F.col("_value").eqNullSafe(F.col("_head")))
@@ -242,7 +248,7 @@ def trim_report_json(spark: SparkSession, path: str | Sequence[str]) -> DataFram
     """One row per trimmer JSON file: its text as ``report`` plus partition columns; without a partition directory
     ``sample`` is the file name before its first underscore."""
     t = spark.read.text(path, wholetext=True)
-    name = [] if "sample" in t.columns else [F.substring_index(F.col("_metadata.file_name"), "_", 1).alias("sample")]
+    name = [] if "sample" in t.columns else [F.substring_index(_file_name(), "_", 1).alias("sample")]
     return t.select("*", *name).withColumnRenamed("value", "report")
 
 
@@ -258,7 +264,7 @@ def dedup_log_parse(spark: SparkSession, path: str | Sequence[str]) -> DataFrame
     files without a total line are dropped.  Without partition directories, sample and type are the
     first two dot-separated parts of the file name.  One aggregate per file (bounded by its lines)."""
     t = spark.read.text(path)
-    parts = F.split(F.col("_metadata.file_name"), "\\.")
+    parts = F.split(_file_name(), "\\.")
     named = {"sample": parts.getItem(0), "reftype": F.when(F.size(parts) > 2, F.get(parts, F.lit(1))).otherwise(F.lit("unknown"))}
     t = t.select("*", F.col("_metadata.file_path").alias("_file"), *[c.alias(k) for k, c in named.items() if k not in t.columns])
 
@@ -289,7 +295,7 @@ def motif_file_scan(spark: SparkSession, path: str | Sequence[str]) -> DataFrame
     schema = "motif string, count bigint, unconverted bigint, depth bigint, ratio double"
     # a malformed count or a header with other names or another order is an error, never a silent loss
     df = spark.read.csv(path, sep="\t", header=True, schema=schema, enforceSchema=False, mode="FAILFAST")
-    name = F.regexp_replace(F.col("_metadata.file_name"), "\\.tsv$", "")
+    name = F.regexp_replace(_file_name(), "\\.tsv$", "")
     parts = F.split(name, "\\.")
     sample = F.col("sample").cast("string") if "sample" in df.columns else parts.getItem(0)
     reftype = F.col("reftype").cast("string") if "reftype" in df.columns else F.coalesce(parts.getItem(1), F.lit("unknown"))

@@ -30,9 +30,10 @@ def test_columns_are_found_by_name(spark, tmp_path):
     assert {tuple(r) for r in files.scan_pileup(spark, str(tmp_path)).collect()} == want
     (tmp_path / "c.tsv").write_text("1\t7\t+\tTTTTT\t9\t9\t2\t8\t1\t1\nchromX\t8\t+\tTTTTT\t9\t9\t3\t7\t1\t1\n")
     (tmp_path / "empty.tsv").write_text("")
+    (tmp_path / "d e%.tsv").write_text("1\t9\t+\tTTTTT\t0\t0\t1\t2\t0\t0\n")
     auto = files.scan_pileup_auto(spark, str(tmp_path))
     assert auto._jdf.queryExecution().executedPlan().toString().count("FileScan text") == 1
-    assert {tuple(r) for r in auto.collect()} == want | {("c", "1", 7, "+", "TTTTT", 2, 8), ("c", "chromX", 8, "+", "TTTTT", 3, 7)}
+    assert {tuple(r) for r in auto.collect()} == want | {("c", "1", 7, "+", "TTTTT", 2, 8), ("c", "chromX", 8, "+", "TTTTT", 3, 7), ("d e%", "1", 9, "+", "TTTTT", 1, 2)}
     with pytest.raises(ValueError, match="no header"):
         files.scan_pileup(spark, str(tmp_path))
 
