@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ def _split_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
                       ((m["file_block_start"] == 0) & (m["file_block_length"] >= m["file_size"])).alias("whole"))
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, bool, list[str]]]:
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, bool, pa.StringArray]]:
     """(file, block, whole, lines) of consecutive lines of one split, as the batches bring them."""
     for rb in batches:
         if not rb.num_rows:
@@ -35,7 +36,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, bool, l
         f, b = files.dictionary_encode().indices.to_numpy(), blocks.to_numpy()
         ends = [0, *(int(i) + 1 for i in ((f[1:] != f[:-1]) | (b[1:] != b[:-1])).nonzero()[0]), rb.num_rows]
         for start, end in zip(ends, ends[1:]):
-            yield files[start].as_py(), blocks[start].as_py(), whole[start].as_py(), values.slice(start, end - start).to_pylist()
+            yield files[start].as_py(), blocks[start].as_py(), whole[start].as_py(), values.slice(start, end - start)
 
 
 # S8 -------------------------------------------------------------------------
@@ -49,18 +50,19 @@ class _Split:
     def __init__(self, file: str, block: int, whole: bool):
         self.file, self.block, self.whole = file, block, whole
         self.known = block == 0  # a file starts with a header
-        self.carry: list[str] = []
+        self.carry = pa.array([], pa.string())
         self.pieces: list[str] = []
 
-    def feed(self, lines: list[str]) -> list[str]:
+    def feed(self, lines: pa.StringArray) -> pa.StringArray:
         """Lines of whole records."""
-        self.carry += lines
+        self.carry = pa.concat_arrays([self.carry, lines]) if len(self.carry) else lines
         if not self.known:
             # only a header has @ here and + two lines on: a quality line that starts with @ is followed by a header and bases
-            first = next((i for i in range(len(self.carry) - 2) if self.carry[i][:1] == "@" and self.carry[i + 2][:1] == "+"), None)
+            line = lambda i: self.carry[i].as_py()
+            first = next((i for i in range(len(self.carry) - 2) if line(i)[:1] == "@" and line(i + 2)[:1] == "+"), None)
             if first is None:
-                return []
-            self.pieces += self.carry[:first]
+                return self.carry[:0]
+            self.pieces += self.carry[:first].to_pylist()
             self.carry, self.known = self.carry[first:], True
         n = len(self.carry) - len(self.carry) % 4
         ready, self.carry = self.carry[:n], self.carry[n:]
@@ -68,9 +70,10 @@ class _Split:
 
     def end(self) -> list[str]:
         """Lines of cut records: those before the first whole one and those after the last."""
-        if self.whole and any(self.carry):
-            raise ValueError(f"cut read at the end of {self.file}: {self.carry[0]}")
-        return self.pieces + self.carry
+        rest = self.carry.to_pylist()
+        if self.whole and any(rest):
+            raise ValueError(f"cut read at the end of {self.file}: {rest[0]}")
+        return self.pieces + rest
 
 
 def _whole_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,8 +83,9 @@ def _whole_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             if now:
                 now.end()
             now = _Split(file, block, whole)
-        if ready := now.feed(lines):
-            yield pa.RecordBatch.from_pydict({"file": [file] * (len(ready) // 4), "name": ready[0::4], "seq": ready[1::4], "plus": ready[2::4], "qual": ready[3::4]})
+        if n := len(ready := now.feed(lines)) // 4:
+            fields = (ready.take(pa.array(np.arange(k, 4 * n, 4))) for k in range(4))
+            yield pa.RecordBatch.from_arrays([pa.repeat(file, n), *fields], names=["file", "name", "seq", "plus", "qual"])
     if now:
         now.end()
 
@@ -159,7 +163,7 @@ def _fasta_split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if at != (file, block):
             chunk()
             at, rec, off = (file, block), 0, 0
-        for line in lines:
+        for line in lines.to_pylist():
             if line[:1] == ">":
                 chunk()
                 rec, off = rec + 1, 0
