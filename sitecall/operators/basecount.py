@@ -14,6 +14,7 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -107,45 +108,90 @@ for _i, _b in enumerate("ACGTN"):
 _BASES = ("a", "c", "g", "t", "n")
 
 
-def _batch_position_stats(pdf: pd.DataFrame, keys: Sequence[str], seq: str, qual: str, offset: int) -> pd.DataFrame | None:
-    seqs = pdf[seq].to_numpy()
-    quals = pdf[qual].fillna("").to_numpy()
-    ok = pd.notna(seqs)
-    if not ok.all():
-        pdf, seqs, quals = pdf[ok], seqs[ok], quals[ok]
-    if len(pdf) == 0:
-        return None
-    lens = np.fromiter((len(s) for s in seqs), dtype=np.int64, count=len(seqs))
+def _slices(batch: pa.RecordBatch, seq: str, max_bases: int = MAX_BASES_PER_CHUNK):
+    """``_chunks`` for Arrow: consecutive slices holding at most ``max_bases`` bases (at least one read); reads without a
+    sequence are left out."""
+    batch = batch.filter(batch.column(seq).is_valid())
+    ends = np.cumsum(pc.utf8_length(batch.column(seq)).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = done = 0
+    while start < len(ends):
+        stop = max(int(np.searchsorted(ends, done + max_bases, side="right")), start + 1)
+        yield batch.slice(start, stop - start)
+        start, done = stop, int(ends[stop - 1])
+
+
+def _letters(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(all characters, one Latin-1 byte each, as other alphabets' count as ``?``; characters a string, none if null)."""
+    lens = pc.fill_null(pc.utf8_length(strings), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     total = int(lens.sum())
-    if total == 0:
-        return None
-    sb = np.frombuffer("".join(seqs).encode("latin-1", "replace"), dtype=np.uint8)
-    # quality aligned to the read: padded/truncated to the read length (missing -> no quality)
-    qpad = "".join(q[:n].ljust(n, "\x00") for q, n in zip(quals, lens))
-    qb = np.frombuffer(qpad.encode("latin-1", "replace"), dtype=np.uint8).astype(np.int64)
-    gid = pdf.groupby(list(keys), sort=False, dropna=False).ngroup().to_numpy(dtype=np.int64)
-    starts = np.cumsum(lens) - lens
-    pos = np.arange(total, dtype=np.int64) - np.repeat(starts, lens)
-    width = int(lens.max())
-    ngroups = int(gid.max()) + 1
-    cell = np.repeat(gid, lens) * width + pos
-    size = ngroups * width
-    reads = np.bincount(cell, minlength=size)
-    has_q = qb > 0
-    qsum = np.bincount(cell[has_q], weights=(qb[has_q] - offset).astype(np.float64), minlength=size)
-    qn = np.bincount(cell[has_q], minlength=size)
-    code = _BASE_CODE[sb]
-    bases = np.bincount(cell * 6 + code, minlength=size * 6).reshape(size, 6)
-    used = np.nonzero(reads)[0]
-    first_row = pd.Series(np.arange(len(gid))).groupby(gid).first()
-    out = pdf[list(keys)].iloc[first_row.loc[used // width].to_numpy()].reset_index(drop=True)
-    out["position"] = (used % width + 1).astype(np.int64)
-    out["reads"] = reads[used].astype(np.int64)
-    for j, b in enumerate(_BASES):
-        out[b] = bases[used, j].astype(np.int64)
-    out["q_sum"] = qsum[used]
-    out["q_n"] = qn[used].astype(np.int64)
-    return out
+    if total == (pc.sum(pc.binary_length(strings)).as_py() or 0):  # ASCII: the array's own bytes
+        whole = pa.concat_arrays([pc.fill_null(strings.cast(pa.large_string()), "")])
+        first = np.frombuffer(whole.buffers()[1], dtype=np.int64)[whole.offset] if len(whole) else 0
+        data = whole.buffers()[2]
+        return np.frombuffer(data, dtype=np.uint8)[first : first + total] if total else np.zeros(0, np.uint8), lens
+    return np.frombuffer("".join(x for x in strings.to_pylist() if x).encode("latin-1", "replace"), dtype=np.uint8), lens
+
+
+def _groups(batch: pa.RecordBatch, keys: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each row's key group, each group's first row)."""
+    gid, first = np.zeros(batch.num_rows, dtype=np.int64), np.zeros(1, dtype=np.int64)
+    for k in keys:
+        found = pc.dictionary_encode(batch.column(k), null_encoding="encode")
+        gid, _ = pd.factorize(gid * max(len(found.dictionary), 1) + found.indices.to_numpy(zero_copy_only=False))
+    if batch.num_rows:
+        first = np.empty(int(gid.max()) + 1, dtype=np.int64)
+        first[gid[::-1]] = np.arange(batch.num_rows)[::-1]  # of several rows of a group the last one assigned stays
+    return gid.astype(np.int64), first
+
+
+class _Reads:
+    """The reads of a slice as arrays: bases of all of them in a row, their qualities beside them."""
+
+    def __init__(self, batch: pa.RecordBatch, keys: Sequence[str], seq: str, qual: str, offset: int):
+        self.batch, self.keys, self.offset = batch, list(keys), offset
+        letters, self.lens = _letters(batch.column(seq))
+        self.code = _BASE_CODE[letters]
+        self.starts = np.cumsum(self.lens) - self.lens
+        self.quals, qlens = _letters(batch.column(qual))
+        if not np.array_equal(qlens, self.lens):  # padded with zeros or cut to the read length (missing: no quality)
+            n = np.minimum(qlens, self.lens)
+            inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            padded = np.zeros(len(letters), dtype=np.uint8)
+            padded[np.repeat(self.starts, n) + inside] = self.quals[np.repeat(np.cumsum(qlens) - qlens, n) + inside]
+            self.quals = padded
+        self.gid, self.first = _groups(batch, keys)
+
+    def table(self, groups: np.ndarray, columns: dict[str, np.ndarray | pa.Array]) -> pa.RecordBatch:
+        """Rows of the key groups' values and of the columns given."""
+        rows = pa.array(self.first[groups])
+        of = [self.batch.column(k).take(rows) for k in self.keys]
+        return pa.RecordBatch.from_arrays([*of, *map(pa.array, columns.values())], [*self.keys, *columns])
+
+    def positions(self) -> tuple[np.ndarray, dict[str, np.ndarray]] | None:
+        """(group, counts) a group and position that reads cover."""
+        if len(self.code) == 0:
+            return None
+        width, ngroups = int(self.lens.max()), len(self.first)
+        cell = np.repeat(self.gid * width - self.starts, self.lens)
+        cell += np.arange(len(cell))
+        size = ngroups * width
+        bases = np.bincount(cell * 6 + self.code, minlength=size * 6).reshape(size, 6)
+        reads = bases.sum(axis=1)
+        if self.quals.all():
+            qn, qsum = reads, np.bincount(cell, weights=self.quals, minlength=size)
+        else:
+            has_q = self.quals > 0
+            qn = np.bincount(cell[has_q], minlength=size)
+            qsum = np.bincount(cell[has_q], weights=self.quals[has_q], minlength=size)
+        used = np.nonzero(reads)[0]
+        counts = {"position": used % width + 1, "reads": reads[used]} | {b: bases[used, j] for j, b in enumerate(_BASES)}
+        return used // width, counts | {"q_sum": qsum[used] - self.offset * qn[used].astype(np.float64), "q_n": qn[used]}
+
+    def histogram(self, values: np.ndarray, reads: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(group, value, reads) of the values, not below zero, of the reads numbered ``reads``."""
+        width = int(values.max(initial=0)) + 1
+        found, n = np.unique(self.gid[reads] * width + values, return_counts=True)
+        return found // width, found % width, n
 
 
 def position_stats(reads: DataFrame, keys: Sequence[str], seq: str = "seq", qual: str = "qual", offset: int = 33) -> DataFrame:
@@ -160,15 +206,16 @@ def position_stats(reads: DataFrame, keys: Sequence[str], seq: str = "seq", qual
         + [T.StructField(b, T.LongType()) for b in _BASES]
         + [T.StructField("q_sum", T.DoubleType()), T.StructField("q_n", T.LongType())]
     )
+    names = [f.name for f in schema.fields]
 
     def run(batches):
         for batch in batches:
-            for pdf in _chunks(batch, seq):
-                out = _batch_position_stats(pdf, keys, seq, qual, offset)
-                if out is not None and len(out):
-                    yield out[[f.name for f in schema.fields]]
+            for part in _slices(batch, seq):
+                r = _Reads(part, keys, seq, qual, offset)
+                if (found := r.positions()) is not None:
+                    yield r.table(*found).select(names)
 
-    partial = src.mapInPandas(run, schema)
+    partial = src.mapInArrow(run, schema)
     g = partial.groupBy(*keys, "position").agg(
         F.sum("reads").alias("reads"), *[F.sum(b).alias(b) for b in _BASES],
         F.sum("q_sum").alias("_qs"), F.sum("q_n").alias("_qn"),
@@ -179,25 +226,18 @@ def position_stats(reads: DataFrame, keys: Sequence[str], seq: str = "seq", qual
 PROFILE_COUNTS = ("reads", *_BASES, "q_n")
 
 
-def _batch_profile(pdf: pd.DataFrame, keys: Sequence[str], seq: str, qual: str, offset: int) -> pd.DataFrame | None:
-    """Rows of all three tables of one batch: ``what`` is position, length or gc, ``at`` its value."""
-    pdf = pdf[pdf[seq].notna()].reset_index(drop=True)
-    if len(pdf) == 0:
-        return None
-    stats = _batch_position_stats(pdf, keys, seq, qual, offset)
-    tables = []
-    if stats is not None:
-        tables.append(stats.rename(columns={"position": "at"}).assign(what="position"))
-    length = pdf[seq].str.len()
-    upper = pdf[seq].str.upper()
-    gc = upper.str.count("G") + upper.str.count("C")
-    shapes = {"length": length, "gc": (100 * gc // length.where(length > 0))}
-    for what, at in shapes.items():
-        t = pdf[list(keys)].assign(at=at)
-        t = t[t["at"].notna()].astype({"at": "int64"})
-        t = t.groupby([*keys, "at"], sort=False, dropna=False).size().rename("reads").reset_index()
-        tables.append(t.assign(what=what, q_sum=0.0, **{c: 0 for c in (*_BASES, "q_n")}))
-    return pd.concat([t for t in tables if len(t)], ignore_index=True) if any(len(t) for t in tables) else None
+def _profile(r: _Reads):
+    """Rows of all three tables of a slice: ``what`` is position, length or gc, ``at`` its value."""
+    if (found := r.positions()) is not None:
+        groups, counts = found
+        yield r.table(groups, {"what": ["position"] * len(groups), "at": counts.pop("position")} | counts)
+    some = np.nonzero(r.lens)[0]
+    is_gc = np.concatenate([[0], np.cumsum((r.code == 1) | (r.code == 2))])
+    gc = 100 * (is_gc[r.starts + r.lens] - is_gc[r.starts])[some] // r.lens[some]
+    for what, values, rows in (("length", r.lens, np.arange(len(r.lens))), ("gc", gc, some)):
+        groups, at, n = r.histogram(values, rows)
+        none = np.zeros(len(n), dtype=np.int64)
+        yield r.table(groups, {"what": [what] * len(n), "at": at, "reads": n} | {c: none for c in (*_BASES, "q_n")} | {"q_sum": none.astype(np.float64)})
 
 
 def read_profile(reads: DataFrame, keys: Sequence[str], seq: str = "seq", qual: str = "qual", offset: int = 33) -> DataFrame:
@@ -210,15 +250,16 @@ def read_profile(reads: DataFrame, keys: Sequence[str], seq: str = "seq", qual:
         fields + [T.StructField("what", T.StringType()), T.StructField("at", T.LongType())]
         + [T.StructField(c, T.LongType()) for c in PROFILE_COUNTS] + [T.StructField("q_sum", T.DoubleType())]
     )
+    names = [f.name for f in schema.fields]
 
     def run(batches):
         for batch in batches:
-            for pdf in _chunks(batch, seq):
-                out = _batch_profile(pdf, keys, seq, qual, offset)
-                if out is not None:
-                    yield out[[f.name for f in schema.fields]]
+            for part in _slices(batch, seq):
+                for table in _profile(_Reads(part, keys, seq, qual, offset)):
+                    if table.num_rows:
+                        yield table.select(names)
 
-    partial = src.mapInPandas(run, schema)
+    partial = src.mapInArrow(run, schema)
     g = partial.groupBy(*keys, "what", "at").agg(*[F.sum(c).alias(c) for c in PROFILE_COUNTS], F.sum("q_sum").alias("q_sum"))
     return g.select(*keys, "what", "at", "reads", *_BASES, F.try_divide(F.col("q_sum"), F.col("q_n").cast("double")).alias("mean_quality"), "q_n", "q_sum")
 
