@@ -129,7 +129,8 @@ def adapter_clip(reads: DataFrame, adapter: str, umi_len: int = 0, min_overlap:
         partial = F.lit(None).cast("int")
     cut = F.when(full > 0, full).otherwise(F.coalesce(partial, n + 1))  # first clipped position
     keep_len = cut - 1
-    out = reads.withColumn("_keep", keep_len)
+    # as a generated column: a filter on the clipped read is then not rewritten into one that clips it all over again
+    out = reads.select("*", F.explode(F.array(keep_len)).alias("_keep"))
     if umi_len:
         out = out.withColumn("umi", F.substring("seq", 1, umi_len))
     start = umi_len + 1
