@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from sitecall import fixtures as fx
 from sitecall.operators import reads as rd
+from sitecall.plans.registry import load_all
 
 
 def test_reads_are_not_written_first(spark, sf):
@@ -25,3 +26,11 @@ def test_filter_on_clipped_reads_does_not_clip_again(spark):
     # a null read is not shorter than any length
     assert {(r.umi, r.seq, r.qual) for r in clean.collect()} == {("ACGT", "ACGTACGTACGTACGTACGT", "5" * 20), (None, None, None)}
     assert {(r.umi, r.seq) for r in routed.where("route = 'too_short'").collect()} == {("ACGT", "ACGT"), ("", "")}
+
+
+def test_names_of_probes_and_alignments_are_not_written_first(spark, sf, monkeypatch):
+    read = []
+    monkeypatch.setattr(fx, "load", lambda s, d, name, load=fx.load: read.append(name) or load(s, d, name))
+    names = load_all()["probe_rate"].run(spark, sf)
+    assert set(read) <= set(fx.AS_READ)
+    assert "umi" not in names._jdf.queryExecution().optimizedPlan().toString()
