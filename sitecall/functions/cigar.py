@@ -2,10 +2,16 @@
 
 A CIGAR is parsed once into an array of (op, len, q, r), where q and r are the 0-based offsets at which the
 operation starts in the stored sequence and on the reference, as running sums over the operations before it.
+Parsing runs in Python on Arrow batches, once for each distinct CIGAR of a batch.
 """
 
 from __future__ import annotations
 
+import re
+from functools import lru_cache
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,8 +22,8 @@ QUERY_OPS = ("M", "I", "S", "=", "X")
 REF_OPS = ("M", "D", "N", "=", "X")
 MATCH_OPS = ("M", "=", "X")
 
-_OP = "([0-9]+)([MIDNSHP=X])"
-_VALID = "^([0-9]+[MIDNSHP=X])+$"
+_OP = re.compile("([0-9]+)([MIDNSHP=X])")
+_VALID = re.compile("([0-9]+[MIDNSHP=X])+")
 _OPS_TYPE = "array<struct<op: string, len: bigint, q: bigint, r: bigint>>"
 
 
@@ -25,27 +31,61 @@ def _zero() -> Column:
     return F.lit(0).cast("bigint")
 
 
+@lru_cache(maxsize=1 << 16)
+def operations(cigar: str) -> tuple[tuple[int, str], ...]:
+    """(length, operation) of each; an error for what is no CIGAR."""
+    if not _VALID.fullmatch(cigar):
+        raise ValueError(f"not a CIGAR: {cigar}")
+    return tuple((int(n), op) for n, op in _OP.findall(cigar))
+
+
+def _distinct(cigars: pa.Array) -> tuple[list[tuple[tuple[int, str], ...]], pa.Array]:
+    """(operations of the distinct CIGARs of a batch and, last, of none; number of each row's)."""
+    found = cigars.dictionary_encode()
+    parsed = [operations(c) if c != "*" else () for c in found.dictionary.to_pylist()]
+    return [*parsed, ()], pc.fill_null(found.indices, len(parsed))
+
+
+def _ops_batch(cigars: pa.Array) -> pa.Array:
+    parsed, rows = _distinct(cigars)
+    ends, kinds, lens, queries, refs = [0], [], [], [], []
+    for ops in parsed:
+        q = r = 0
+        for n, op in ops:
+            kinds.append(op)
+            lens.append(n)
+            queries.append(q)
+            refs.append(r)
+            q += n * (op in QUERY_OPS)
+            r += n * (op in REF_OPS)
+        ends.append(len(kinds))
+    fields = [pa.array(kinds, pa.string()), *(pa.array(x, pa.int64()) for x in (lens, queries, refs))]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(fields, ["op", "len", "q", "r"])).take(rows)
+
+
 def cigar_ops(cigar) -> Column:
-    """array<struct<op, len, q, r>>; empty for ``*`` or null, an error for anything that is no CIGAR."""
-    c = col(cigar)
-    lens = F.regexp_extract_all(c, F.lit(_OP), F.lit(1))
-    kinds = F.regexp_extract_all(c, F.lit(_OP), F.lit(2))
-    pairs = F.zip_with(lens, kinds, lambda n, k: F.struct(k.alias("op"), n.cast("bigint").alias("len")))
-
-    def step(acc: Column, x: Column) -> Column:
-        here = F.struct(x["op"].alias("op"), x["len"].alias("len"), acc["q"].alias("q"), acc["r"].alias("r"))
-        return F.struct(
-            (acc["q"] + F.when(x["op"].isin(*QUERY_OPS), x["len"]).otherwise(_zero())).alias("q"),
-            (acc["r"] + F.when(x["op"].isin(*REF_OPS), x["len"]).otherwise(_zero())).alias("r"),
-            F.concat(acc["out"], F.array(here)).alias("out"),
-        )
-
-    start = F.struct(_zero().alias("q"), _zero().alias("r"), F.array().cast(_OPS_TYPE).alias("out"))
-    parsed = F.aggregate(pairs, start, step, lambda acc: acc["out"])
-    none = c.isNull() | (c == "*")
-    return F.when(none, F.array().cast(_OPS_TYPE)).when(c.rlike(_VALID), parsed).otherwise(
-        F.raise_error(F.concat(F.lit("not a CIGAR: "), c)).cast(_OPS_TYPE)
-    )
+    """array<struct<op, len, q, r>>; empty for ``*`` or null, an error for anything that is no CIGAR. A batch's distinct CIGARs are parsed once."""
+    return F.arrow_udf(_ops_batch, _OPS_TYPE)(col(cigar))
+
+
+def _reach_batch(cigars: pa.Array) -> pa.Array:
+    parsed, rows = _distinct(cigars)
+    leads, reaches = [], []
+    for ops in parsed:
+        lead = reach = 0
+        for n, op in ops:
+            if op in REF_OPS:
+                reach += n
+            elif op in "SH":
+                lead, reach = (lead, reach + n) if reach else (lead + n, 0)
+        leads.append(lead)
+        reaches.append(reach)
+    return pa.StructArray.from_arrays([pa.array(leads, pa.int64()), pa.array(reaches, pa.int64())], ["lead", "reach"]).take(rows)
+
+
+def cigar_reach(cigar) -> Column:
+    """struct<lead, reach>: clipped bases before the first base on the reference; reference bases and the clipped ones after it."""
+    return F.arrow_udf(_reach_batch, "struct<lead: bigint, reach: bigint>")(col(cigar))
 
 
 def ops_length(ops, kinds: tuple[str, ...]) -> Column:
@@ -70,6 +110,12 @@ def unclipped_five_prime(ops, start, reverse) -> Column:
     return F.when(col(reverse), col(start) + span - 1 + trail).otherwise(col(start) - lead)
 
 
+def five_prime_of(cigar, start, reverse) -> Column:
+    """``unclipped_five_prime`` of a CIGAR whose operations nobody else needs."""
+    x = cigar_reach(cigar)
+    return F.when(col(reverse), col(start) - 1 + x["reach"]).otherwise(col(start) - x["lead"])
+
+
 def reverse_complement(seq) -> Column:
     """Reverse complement of A, C, G, T (either case); other letters stay."""
     return F.translate(F.reverse(col(seq)), "ACGTacgt", "TGCAtgca")

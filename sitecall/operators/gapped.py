@@ -8,7 +8,6 @@ joined rows and summed below the one shuffle of counts. CIGARs are parsed once f
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -18,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sitecall.functions.cigar import MATCH_OPS, QUERY_OPS, REF_OPS, reverse_complement
+from sitecall.functions.cigar import MATCH_OPS, QUERY_OPS, REF_OPS, operations, reverse_complement
 from sitecall.operators.basecount import PILEUP_CELLS, piece_partials, pileup_partials
 from sitecall.operators.joins import DEFAULT_BROADCAST_MAX_BYTES, sized_side
 from sitecall.operators.pileup import MOTIF_HALF, default_tier, probe_rate, read_min_support
@@ -26,8 +25,6 @@ from sitecall.operators.reads import DUP, PAIRED, QCFAIL, READ2, REVERSE, SECOND
 from sitecall.options import SIGNAL_POS
 from sitecall.sources.sequences import MARGIN, TILE
 
-_OPERATION = re.compile("([0-9]+)([MIDNSHP=X])")
-_CIGAR = re.compile("([0-9]+[MIDNSHP=X])+")
 _COMPLEMENT = {"A": "T", "C": "G", "G": "C", "T": "A"}
 
 
@@ -42,19 +39,12 @@ def counted_records(aln: DataFrame, skip: int = UNMAP | SECONDARY | SUPPLEMENTAR
     return aln.where(~bit("flag", skip) & F.col("seq").isNotNull() & (F.col("seq") != "*"))
 
 
-@lru_cache(maxsize=1 << 16)
-def _operations(cigar: str) -> tuple[tuple[int, str], ...]:
-    if not _CIGAR.fullmatch(cigar):
-        raise ValueError(f"not a CIGAR: {cigar}")
-    return tuple((int(n), op) for n, op in _OPERATION.findall(cigar))
-
-
 @lru_cache(maxsize=1 << 16)
 def _stretches(cigar: str) -> tuple[tuple[int, int, int], ...]:
     """(query offset, reference offset, length) of the aligned stretches; adjoining ones are one."""
     out: list[tuple[int, int, int]] = []
     q = r = 0
-    for n, op in _operations(cigar):
+    for n, op in operations(cigar):
         if op in MATCH_OPS:
             if out and out[-1][0] + out[-1][2] == q and out[-1][1] + out[-1][2] == r:
                 out[-1] = (*out[-1][:2], out[-1][2] + n)
@@ -173,7 +163,7 @@ def lift_cigar(cigar: str, start: int, exons, tx_len: int, plus: bool) -> tuple[
     """
     pieces: list[tuple[int, str, int | None]] = []  # length, operation, lowest genome position
     at, k = start, 0
-    for n, op in _operations(cigar):
+    for n, op in operations(cigar):
         if op not in REF_OPS:
             pieces.append((n, "S" if op == "I" and at >= tx_len else op, None))
             continue

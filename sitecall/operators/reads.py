@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitecall.functions.cigar import cigar_ops, unclipped_five_prime
+from sitecall.functions.cigar import five_prime_of
 from sitecall.functions.motif import col
 from sitecall.options import Options
 
@@ -218,7 +218,7 @@ def five_prime(aln: DataFrame) -> Column:
     """5' reference position of a record: from the CIGAR, clips counted as aligned, where the table has one, else the
     start on '+' and pos + qlen - sclen - 1 on '-'."""
     if "cigar" in aln.columns:
-        return unclipped_five_prime(cigar_ops("cigar"), "pos", F.col("strand") == "-")
+        return five_prime_of("cigar", "pos", F.col("strand") == "-")
     return F.when(F.col("strand") == "-", F.col("pos") + F.col("qlen") - F.col("sclen") - 1).otherwise(F.col("pos"))
 
 
@@ -256,11 +256,12 @@ def dedup_alignments(aln: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.min(winner).alias("_w"), F.count(F.lit(1)).alias("set_size"), F.sum("records").alias("records"),
     )
     won = sets.select(F.col("sample").alias("_s"), F.col("reftype").alias("_t"), F.col("_w.run").alias("_u"), F.col("_w.read_id").alias("_i"))
-    p = primary_reads(aln).where(~bit("flag", UNMAP)).withColumn("five_prime", five_prime(aln))
+    p = primary_reads(aln).where(~bit("flag", UNMAP))
     same = F.lit(True)
     for ours, theirs in zip(FRAGMENT_KEYS, ("_s", "_t", "_u", "_i")):
         same = same & F.col(ours).eqNullSafe(F.col(theirs))
-    return p.join(won, same, "left_semi"), sets.select("*", "_w.kept_records").drop("_w")
+    kept = p.join(won, same, "left_semi").withColumn("five_prime", five_prime(aln))
+    return kept, sets.select("*", "_w.kept_records").drop("_w")
 
 
 def dedup_report(sets: DataFrame, by: Sequence[str] = ("sample", "reftype")) -> DataFrame:
